@@ -65,14 +65,14 @@ def tree_samples(rows: DataFrame, key: str, columns: list[str], n_trees: int = N
     if psi < 2:
         raise ValueError("a forest needs at least two rows")
     share = min(1.0, 4.0 * psi / n + 64.0 / n)
-    top = float(2 ** 63)
+    top = float(2 ** 62)
     key_text = F.col(key).cast("string")
     while True:
         limit = F.lit(int(min(share * top, top - 1))).cast("bigint")
         draws = F.filter(
             F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(
                 t.alias("tree_id"),
-                F.xxhash64(F.lit(seed), t, key_text).bitwiseAND(2 ** 63 - 1).alias("draw"))),
+                F.xxhash64(F.lit(seed), t, key_text).bitwiseAND(2 ** 62 - 1).alias("draw"))),
             lambda d: d["draw"] <= limit)
         drawn = rows.select(key_text.alias("_key"), *columns, F.inline(draws))
         rank = F.row_number().over(W.partitionBy("tree_id").orderBy("draw", "_key"))

@@ -155,7 +155,7 @@ def trim_log(reports: DataFrame, min_written: int = 1_000) -> DataFrame:
 
 def aligner_log(reports: DataFrame) -> DataFrame:
     """Eleven numbers of the aligner's summary; the last line with a phrase wins, absent ones are null."""
-    rows = F.transform(X.lines(F.col("body")), F.trim)
+    rows = F.transform(X.lines(F.col("body")), lambda r: F.regexp_replace(r, r"^\s+|\s+$", ""))
     kept = F.filter(rows, lambda r: ~(r.startswith("Warning") | r.startswith("---")) & r.rlike(ALIGNER_LINE))
     pairs = F.transform(kept, lambda r: F.struct(
         F.regexp_extract(r, ALIGNER_LINE, 3).alias("name"), F.regexp_extract(r, ALIGNER_LINE, 1).alias("value")))

@@ -27,13 +27,13 @@ def fastq_text(reads: DataFrame) -> DataFrame:
     return reads.select("srr", "mate", F.concat_ws("\n", "h1", "seq", "h2", "qual").alias("value"))
 
 
-def write_clean_fastq(reads: DataFrame, path: str) -> None:
-    """Gzip FASTQ in ``srr=…/mate=…`` folders. Mates stay aligned by sorting on the read number inside each file.
+def write_clean_fastq(reads: DataFrame, path: str, compression: str = "gzip") -> None:
+    """FASTQ text in ``srr=…/mate=…`` folders. Mates stay aligned by sorting on the read number inside each file.
 
     Range-partitioning on (run, mate, read number) spreads a large run over many files instead of one task.
     """
     ordered = reads.repartitionByRange("srr", "mate", "read_no").sortWithinPartitions("srr", "mate", "read_no")
-    fastq_text(ordered).write.mode("overwrite").partitionBy("srr", "mate").text(path, compression="gzip")
+    fastq_text(ordered).write.mode("overwrite").partitionBy("srr", "mate").text(path, compression=compression)
 
 
 def mark_done(runs: DataFrame, path: str) -> None:

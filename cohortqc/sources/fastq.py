@@ -11,6 +11,7 @@ from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 from pyspark.sql.types import StructType
@@ -47,8 +48,9 @@ class FastqReader(DataSourceReader):
         if "text" in self.options:
             return [FastqFile(None, self.options.get("srr", "text"), int(self.options.get("mate", 1)),
                               self.options["text"])]
+        pattern = self.options.get("pattern", FILE_NAME)
         return [FastqFile(path, m.group(1), int(m.group(2) or 1))
-                for path in self.options["path"].split(",") if (m := re.search(FILE_NAME, path))]
+                for path in self.options["path"].split(",") if (m := re.search(pattern, path))]
 
     def _lines(self, part: FastqFile):
         if part.text is not None:
@@ -93,7 +95,8 @@ class FastqReader(DataSourceReader):
 
 
 class FastqDataSource(DataSource):
-    """Options: ``path`` (comma-separated files) or literal ``text`` with ``srr`` and ``mate``."""
+    """Options: ``path`` (comma-separated files) and ``pattern`` (run and mate in a file name), or literal ``text`` with
+    ``srr`` and ``mate``."""
 
     @classmethod
     def name(cls):
@@ -106,13 +109,17 @@ class FastqDataSource(DataSource):
         return FastqReader(dict(self.options))
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
+def _run_and_mate(pattern: str):
+    mate = F.nullif(F.regexp_extract("path", pattern, 2), F.lit("")).cast("int")
+    return F.regexp_extract("path", pattern, 1).alias("srr"), mate
+
+
+def list_files(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
     """Names and sizes of the FASTQ files of a folder; the content is not read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.f*q*").option("recursiveFileLookup", "true")
-            .load(folder).select("path", F.col("length").alias("size"))
-            .where(F.col("path").rlike(FILE_NAME))
-            .select("path", "size", F.regexp_extract("path", FILE_NAME, 1).alias("srr"),
-                    F.nullif(F.regexp_extract("path", FILE_NAME, 2), F.lit("")).cast("int").alias("mate")))
+    srr, mate = _run_and_mate(pattern)
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+            .select("path", F.col("length").alias("size")).where(F.col("path").rlike(pattern))
+            .select("path", "size", srr, mate.alias("mate")))
 
 
 def file_roles(files: DataFrame) -> DataFrame:
@@ -128,7 +135,7 @@ def missing_runs(manifest: DataFrame, roles: DataFrame) -> DataFrame:
     return manifest.join(roles, "srr", "left_anti").select("srr").distinct()
 
 
-def read_plain(spark: SparkSession, paths) -> DataFrame:
+def read_plain(spark: SparkSession, paths, pattern: str = FILE_NAME) -> DataFrame:
     """Plain-text FASTQ, split inside files.
 
     A split knows its offset in the file, and lines keep their order inside it. Counting the lines of every split (one
@@ -139,7 +146,6 @@ def read_plain(spark: SparkSession, paths) -> DataFrame:
              .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("at"), "value"))
     blocks = (lines.groupBy("path", "block").agg(F.min("at").alias("first_at"), F.count(F.lit(1)).alias("n")))
-    from pyspark.sql import Window as W
     before = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
                .select("path", "block", "first_at", "before"))
@@ -148,24 +154,24 @@ def read_plain(spark: SparkSession, paths) -> DataFrame:
     slot = F.col("line_no") % 4
     record = numbered.groupBy("path", F.expr("line_no div 4").alias("read_no")).agg(
         *[F.max(F.when(slot == i, F.col("value"))).alias(c) for i, c in enumerate(("h1", "seq", "h2", "qual"))])
+    srr, mate = _run_and_mate(pattern)
     return (record.where("seq IS NOT NULL OR qual IS NOT NULL")
-            .select(F.regexp_extract("path", FILE_NAME, 1).alias("srr"),
-                    F.coalesce(F.nullif(F.regexp_extract("path", FILE_NAME, 2), F.lit("")).cast("int"),
-                               F.lit(1)).alias("mate"),
-                    "read_no", *[decode(F.col(c)).alias(c) for c in ("h1", "seq", "h2", "qual")]))
+            .select(srr, F.coalesce(mate, F.lit(1)).alias("mate"), "read_no", *[
+                decode(F.col(c)).alias(c) for c in ("h1", "seq", "h2", "qual")]))
 
 
-def read_fastq(spark: SparkSession, folder: str) -> DataFrame:
+def read_fastq(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
     """Reads of all FASTQ files of a folder. File names are listed on the driver, as for any Spark file source."""
     spark.dataSource.register(FastqDataSource)
-    paths = [row.path for row in list_files(spark, folder).select("path").toLocalIterator()]
+    paths = [row.path for row in list_files(spark, folder, pattern).select("path").toLocalIterator()]
     zipped = [p for p in paths if p.endswith(".gz")]
     plain = [p for p in paths if not p.endswith(".gz")]
     parts = []
     if zipped:
-        parts.append(spark.read.format("fastq").option("path", ",".join(zipped)).load())
+        parts.append(spark.read.format("fastq").option("path", ",".join(zipped)).option(
+            "pattern", pattern).load())
     if plain:
-        parts.append(read_plain(spark, plain))
+        parts.append(read_plain(spark, plain, pattern))
     if not parts:
         raise ValueError(f"no FASTQ files under {folder}")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -43,6 +43,13 @@ VIEWS: dict[str, str] = {
         FROM customer""",
     "done_v": f"SELECT DISTINCT {_RUN} AS srr FROM orders WHERE o_orderstatus = 'F'",
     "orders_v": f"SELECT {_RUN} AS srr, o_orderstatus, o_orderpriority, o_totalprice FROM orders",
+    "balances_v": """
+        SELECT 'SRR' || CAST(c_custkey AS STRING) AS srr, c_acctbal AS balance, CAST(c_nationkey AS DOUBLE) AS nation
+        FROM customer""",
+    "numbers_v": """
+        SELECT srr, count(*) AS n, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS nf,
+               count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS no, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS np
+        FROM orders_v GROUP BY srr""",
     # ---- stage tables: aggregates of a run's orders; runs without the kind of order a stage asks for have no row ----
     "layout_v": """
         SELECT srr, CASE WHEN sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) * 2 > count(*) THEN 'SE' ELSE 'PE'
@@ -111,7 +118,7 @@ VIEWS: dict[str, str] = {
                CASE WHEN right(text, 1) <> '.' THEN NULL
                     ELSE translate(lower(text), '{_LETTERS} .,' || chr(10), '{_TO_QUALITY}') END AS qual
         FROM (SELECT 'SRR' || CAST(conv_id AS STRING) AS srr, CASE WHEN role = 'assistant' THEN 2 ELSE 1 END AS mate,
-                     row_number() OVER (PARTITION BY conv_id, role = 'assistant' ORDER BY turn) - 1 AS read_no,
+                     CAST(row_number() OVER (PARTITION BY conv_id, role = 'assistant' ORDER BY turn) - 1 AS BIGINT) AS read_no,
                      CAST(length(text) AS BIGINT) AS n_chars, text
               FROM conversations) turns""",
     "mate_files_v": """
