@@ -5,7 +5,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OP = r"(\d+)([MIDNSHP=X])"
-_INTERVAL = "array<struct<start:bigint,end:bigint>>"
+INTERVALS = "array<struct<start:bigint,end:bigint>>"
 
 
 def _ops(cigar: Column) -> Column:
@@ -24,35 +24,39 @@ def _walk(pos: Column, cigar: Column, wanted: tuple[str, ...]) -> Column:
         found = F.when(o["op"].isin(*wanted), F.concat(acc["found"], interval)).otherwise(acc["found"])
         return F.struct(moved.alias("at"), found.alias("found"))
 
-    start = F.struct(pos.cast("bigint").alias("at"), F.array().cast(_INTERVAL).alias("found"))
+    start = F.struct(pos.cast("bigint").alias("at"), F.array().cast(INTERVALS).alias("found"))
     return F.aggregate(_ops(cigar), start, step, lambda acc: acc["found"])
 
 
+def _matched(cigar: Column) -> Column:
+    """Length of an alignment that is one match, null for any other."""
+    return F.when(cigar.rlike(r"^\d+M$"), F.substring(cigar, F.lit(1), F.length(cigar) - 1).try_cast("bigint"))
+
+
 def blocks(pos: Column, cigar: Column) -> Column:
     """Aligned blocks: runs of M, = or X. Deletions, introns and clips are not aligned bases."""
-    simple = cigar.rlike(r"^\d+M$")
-    n = F.regexp_extract(cigar, r"^(\d+)M$", 1).try_cast("bigint")
+    n = _matched(cigar)
     whole = F.array(F.struct(pos.cast("bigint").alias("start"), (pos + n - 1).cast("bigint").alias("end")))
-    return F.when(simple, whole).otherwise(_walk(pos, cigar, ("M", "=", "X")))
+    return F.when(n.isNotNull(), whole).otherwise(_walk(pos, cigar, ("M", "=", "X")))
 
 
 def junctions(pos: Column, cigar: Column) -> Column:
     """Introns: the reference intervals skipped by N."""
     return (F.when(cigar.contains("N"), _walk(pos, cigar, ("N",)))
-            .otherwise(F.array().cast(_INTERVAL)))
+            .otherwise(F.array().cast(INTERVALS)))
 
 
 def reference_length(cigar: Column) -> Column:
     """Reference bases spanned, introns and deletions included."""
-    return F.aggregate(
-        F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1)), F.lit(0).cast("bigint"),
-        lambda acc, n: acc + n.cast("bigint"))
+    parts = F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1))
+    return F.coalesce(_matched(cigar), F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint")))
 
 
 def _clip(cigar: Column, pattern: str) -> Column:
-    return F.aggregate(
-        F.regexp_extract_all(F.regexp_extract(cigar, pattern, 1), F.lit(r"(\d+)"), F.lit(1)),
-        F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint"))
+    run = F.regexp_extract(cigar, pattern, 1)
+    total = F.aggregate(F.regexp_extract_all(run, F.lit(r"(\d+)"), F.lit(1)),
+                        F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint"))
+    return F.when(cigar.contains("S") | cigar.contains("H"), total).otherwise(0)
 
 
 def unclipped_five_prime(pos: Column, cigar: Column, reverse: Column) -> Column:

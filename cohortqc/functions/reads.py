@@ -76,29 +76,3 @@ def pair_reject_reason(r1: Column, r2: Column, strict_header: bool = False) -> C
             .when(either(lambda r: is_wrong_encoding(r["h1"], r["seq"], r["qual"], strict_header)), BAD_ENCODING)
             .when(either(lambda r: is_unequal(r["seq"], r["qual"])), UNEQUAL)
             .when(is_different_header(r1["h1"], r2["h1"]), MIXED))
-
-
-def quality_cut(qual: Column, cutoff: int = 20, base: int = 33) -> Column:
-    """Number of bases kept by 3' quality trimming.
-
-    From the 3' end, sum ``cutoff - Q``; stop once the sum is negative; cut where it was largest (the first such place
-    seen from the 3' end). One pass over the quality string.
-    """
-    n = F.length(qual)
-    # the first base already good enough: nothing can be cut, skip the walk
-    untouched = (n == 0) | (F.ascii(F.right(qual, F.lit(1))) - base > cutoff)
-
-    def step(acc, ch):
-        total = acc["total"] + cutoff + base - F.ascii(ch)
-        at = acc["at"] + 1
-        live = acc["live"] & (total >= 0)
-        better = live & (total > acc["best"])
-        return F.struct(
-            total.alias("total"), at.alias("at"), live.alias("live"),
-            F.when(better, total).otherwise(acc["best"]).alias("best"),
-            F.when(better, at).otherwise(acc["cut"]).alias("cut"))
-
-    start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("at"), F.lit(True).alias("live"),
-                     F.lit(0).alias("best"), F.lit(0).alias("cut"))
-    walked = F.aggregate(F.split(F.reverse(qual), ""), start, step, lambda acc: acc["cut"])
-    return F.when(untouched, n).otherwise(n - walked)

@@ -158,50 +158,62 @@ def count_modes(layout: DataFrame, strand: DataFrame) -> DataFrame:
             .select("srr", (F.col("layout") == "PE").alias("paired"), mode.alias("strand_mode")))
 
 
+SHAPE = ("srr", "ref", "reverse", "pos", "cigar", "pos2", "cigar2")
+
+
 def fragments(alignments: DataFrame, paired: bool = False, min_size: int = 50, max_size: int = 600) -> DataFrame:
-    """Countable fragments, collapsed to distinct shapes: ``(srr, ref, reverse, blocks, n)``.
+    """Countable fragments, collapsed to distinct shapes with a count ``n``.
 
     Single reads are their own fragment. Of pairs, both ends must be mapped to one chromosome and span 50 to 600
-    bases; the strand is that of mate 1. Copies of one shape become one row with a count before anything is joined,
-    so a pile-up costs one row per run and shape.
+    bases; the strand is that of mate 1. Copies of one shape become one row before any CIGAR is expanded and before
+    anything is joined, so a pile-up costs one row per run and shape.
     """
     rows = alignments.where(primary() & ~has(UNMAPPED))
-    blocks = C.blocks(F.col("pos"), F.col("cigar"))
     if not paired:
-        shapes = rows.select("srr", "ref", has(REVERSE).alias("reverse"), blocks.alias("blocks"))
+        shapes = rows.select("srr", "ref", has(REVERSE).alias("reverse"), "pos", "cigar",
+                             F.lit(None).cast("bigint").alias("pos2"), F.lit(None).cast("string").alias("cigar2"))
     else:
         second = has(SECOND)
+
+        def of(mate, value: str) -> Column:
+            return F.max(F.when(mate, F.col(value)))
+
         pairs = rows.where(has(PAIRED) & ~has(MATE_UNMAPPED)).select(
-            "srr", "qname", "ref", "pos", second.alias("second"), blocks.alias("blocks"),
-            (has(REVERSE) != second).alias("reverse"),
+            "srr", "qname", "ref", "pos", "cigar", second.alias("second"), (has(REVERSE) != second).alias("reverse"),
             (F.col("pos") + C.reference_length(F.col("cigar")) - 1).alias("last")).groupBy("srr", "qname").agg(
             F.min("ref").alias("ref"), F.max("ref").alias("_ref2"), F.count_if(~F.col("second")).alias("_n1"),
             F.count_if(F.col("second")).alias("_n2"), F.min("pos").alias("_first"), F.max("last").alias("_last"),
             F.bool_or(~F.col("second") & F.col("reverse")).alias("reverse"),
-            F.sort_array(F.concat(F.max(F.when(~F.col("second"), F.col("blocks"))),
-                                  F.max(F.when(F.col("second"), F.col("blocks"))))).alias("blocks"))
+            of(~F.col("second"), "pos").alias("pos"), of(~F.col("second"), "cigar").alias("cigar"),
+            of(F.col("second"), "pos").alias("pos2"), of(F.col("second"), "cigar").alias("cigar2"))
         size = F.col("_last") - F.col("_first") + 1
         shapes = pairs.where((F.col("_n1") == 1) & (F.col("_n2") == 1) & (F.col("ref") == F.col("_ref2"))
                              & size.between(min_size, max_size))
-    return shapes.groupBy("srr", "ref", "reverse", "blocks").agg(F.count(F.lit(1)).alias("n"))
+    return shapes.groupBy(*SHAPE).agg(F.count(F.lit(1)).alias("n"))
+
+
+def with_blocks(shapes: DataFrame) -> DataFrame:
+    """Add the aligned blocks of one or both ends."""
+    second = F.when(F.col("cigar2").isNotNull(), C.blocks(F.col("pos2"), F.col("cigar2"))).otherwise(
+        F.array().cast(C.INTERVALS))
+    return shapes.withColumn("blocks", F.concat(C.blocks(F.col("pos"), F.col("cigar")), second))
 
 
 def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int = 0, width: int = BIN_WIDTH,
               max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Shapes that touch exactly one gene: ``(srr, gene_id, n)`` per shape.
 
-    ``strand_mode`` 1 wants the gene on the fragment's strand, 2 on the other one, 0 does not care.
+    ``strand_mode`` 1 wants the gene on the fragment's strand, 2 on the other one, 0 does not care. The shapes arrive
+    partitioned by their key and keep that through the broadcast join, so regrouping them needs no second shuffle.
     """
-    key = ["srr", "ref", "reverse", "blocks"]
-    block = shapes.withColumn("_b", F.explode("blocks")).select(
-        *key, "n", F.col("_b.start").alias("start"), F.col("_b.end").alias("end"))
+    block = with_blocks(shapes).select(*SHAPE, "n", F.inline("blocks"))
     targets, same = exons.select("gene_id", "ref", "start", "end", "strand"), None
     if strand_mode:
         block = block.withColumn("strand", F.when(F.col("reverse") == F.lit(strand_mode == 1), "-").otherwise("+"))
         same = ["strand"]
     pairs = overlap_join(block, targets, width=width, max_rows=max_rows, same=same)
-    return (pairs.groupBy(*key).agg(F.min("s_gene_id").alias("gene_id"), F.max("s_gene_id").alias("_other"),
-                                    F.max("n").alias("n"))
+    return (pairs.groupBy(*SHAPE).agg(F.min("s_gene_id").alias("gene_id"), F.max("s_gene_id").alias("_other"),
+                                      F.max("n").alias("n"))
             .where(F.col("gene_id") == F.col("_other")).select("srr", "gene_id", "n"))
 
 

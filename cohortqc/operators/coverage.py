@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from cohortqc import schemas
 from cohortqc.functions import cigar as C
-from cohortqc.operators.alignments import UNMAPPED, fragments, has, primary
-from cohortqc.operators.intervals import BIN_WIDTH, clip_to_bins, equi_join, overlap_join
+from cohortqc.operators.alignments import SHAPE, UNMAPPED, fragments, has, primary, with_blocks
+from cohortqc.operators.intervals import BIN_WIDTH, binned_rows, clip_to_bins, equi_join, overlap_join
 from cohortqc.session import BROADCAST_ROWS
 
 CLASSES = ("coding", "utr", "intronic")
@@ -100,8 +100,10 @@ def base_classes(alignments: DataFrame, transcripts: DataFrame, width: int = BIN
     length = F.aggregate("blocks", F.lit(0).cast("bigint"), lambda acc, b: acc + b["end"] - b["start"] + 1)
     total = shapes.groupBy("srr").agg(F.sum(F.col("n") * length).alias("aligned"))
     pieces = clip_to_bins(aligned_blocks(shapes), width)
-    met = equi_join(pieces, class_segments(transcript_regions(transcripts), width), ["ref", "bin"], max_rows=max_rows,
-                    salt_by=["srr", "start", "end"])
+    regions = transcript_regions(transcripts)
+    # flattening gives at most two stretches per piece of a region
+    met = equi_join(pieces, class_segments(regions, width), ["ref", "bin"], 2 * binned_rows(regions, width),
+                    ["srr", "start", "end"], max_rows)
     overlap = (F.least("end", "seg_end") - F.greatest("start", "seg_start") + 1) * F.col("n")
     found = (met.where((F.col("start") <= F.col("seg_end")) & (F.col("seg_start") <= F.col("end")))
              .groupBy("srr").agg(*[F.coalesce(F.sum(F.when(F.col("cls") == c, overlap)), F.lit(0)).alias(f"{c}_bases")
@@ -192,8 +194,8 @@ def coverage_evenness(stretches: DataFrame) -> DataFrame:
 def strand_agreement(alignments: DataFrame, exons: DataFrame, width: int = BIN_WIDTH,
                      max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per run: reads on exactly one gene, and the share of them that lie on the gene's strand."""
-    key = ["srr", "ref", "reverse", "blocks"]
-    block = fragments(alignments).select(*key, "n", F.inline("blocks"))
+    key = list(SHAPE)
+    block = with_blocks(fragments(alignments)).select(*key, "n", F.inline("blocks"))
     pairs = overlap_join(block, exons.select("gene_id", "ref", "start", "end", "strand"), width=width, max_rows=max_rows)
     reads = (pairs.groupBy(*key).agg(F.min("s_gene_id").alias("g0"), F.max("s_gene_id").alias("g1"),
                                      F.min("s_strand").alias("strand"), F.max("n").alias("n"))

@@ -5,7 +5,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortqc import schemas
 from cohortqc.operators.reports import screen_wide
@@ -55,29 +54,24 @@ def align(tables: dict[str, DataFrame], keep: DataFrame | None = None) -> DataFr
     full joins, each with its own sort, and it counts the rows of a run per stage on the way: a run that a stage holds
     twice fails the query instead of multiplying rows. With ``keep`` only its runs remain, absent ones as null rows.
     """
-    tagged = [(name, [f for f in df.schema.fields if f.name != "srr"], df) for name, df in tables.items()]
-    all_fields: list[T.StructField] = [f for _, fs, _ in tagged for f in fs]
-    if len({f.name for f in all_fields}) != len(all_fields):
-        raise ValueError("stage tables share column names besides srr")
-
-    def branch(name: str | None, own: set[str], df: DataFrame) -> DataFrame:
-        return df.select("srr", F.lit(name).cast("string").alias("_stage"), *[
-            F.col(f"`{f.name}`") if f.name in own else F.lit(None).cast(f.dataType).alias(f.name) for f in all_fields])
+    def quoted(df: DataFrame) -> list[str]:
+        return [f"`{c}`" for c in df.columns if c != "srr"]
 
-    parts = [branch(name, {f.name for f in fs}, df) for name, fs, df in tagged]
+    columns = [c for df in tables.values() for c in quoted(df)]
+    if len(set(columns)) != len(columns):
+        raise ValueError("stage tables share column names besides srr")
+    # a stage's bit: if the sum of a run's bits is not their union, some stage came twice
+    parts = [df.selectExpr("srr", f"{1 << i}L AS _bit", *quoted(df)) for i, df in enumerate(tables.values())]
     if keep is not None:
-        parts.append(branch(None, set(), keep.select("srr")))
-    counts = [F.count_if(F.col("_stage") == name).alias(f"_n_{name}") for name, _, _ in tagged]
-    grouped = reduce(DataFrame.unionByName, parts).groupBy("srr").agg(
-        *[F.max(F.col(f"`{f.name}`")).alias(f.name) for f in all_fields], *counts,
-        F.bool_or(F.col("_stage").isNull()).alias("_kept"))
+        parts.append(keep.selectExpr("srr", "0L AS _bit"))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    grouped = rows.groupBy("srr").agg(
+        F.expr("sum(_bit) <> bit_or(_bit)").alias("_twice"), F.expr("bool_or(_bit = 0)").alias("_kept"),
+        *[F.expr(f"max({c}) AS {c}") for c in columns])
     if keep is not None:
         grouped = grouped.where("_kept")
-
-    duplicate = reduce(lambda a, b: a | b, [F.col(f"_n_{name}") > 1 for name, _, _ in tagged])
-    message = F.concat(F.lit("a stage holds more than one row for run "), F.col("srr"))
-    return (grouped.withColumn("srr", F.when(duplicate, F.raise_error(message)).otherwise(F.col("srr")))
-            .select("srr", *[F.col(f"`{f.name}`") for f in all_fields]))
+    message = "'a stage holds more than one row for run ' || srr"
+    return grouped.selectExpr(f"CASE WHEN _twice THEN raise_error({message}) ELSE srr END AS srr", *columns)
 
 
 def stage_inputs(stages: dict[str, DataFrame], rrna: str = "rRNA") -> dict[str, DataFrame]:
@@ -90,7 +84,7 @@ def stage_inputs(stages: dict[str, DataFrame], rrna: str = "rRNA") -> dict[str,
         elif name == "fastq_screen" and "reference" in df.columns:
             df = screen_wide(df.where(F.col("reference") == rrna), [rrna]).withColumnRenamed(
                 f"{rrna}_pct_reads_mapped", "rRNA_pct_reads_mapped")
-        out[name] = df.select("srr", *[F.col(f"`{c}`") for c in columns])
+        out[name] = df.select("srr", *[f"`{c}`" for c in columns])
     return out
 
 
@@ -102,23 +96,21 @@ def workflow_table(stages: dict[str, DataFrame], done: DataFrame, manifest: Data
     return rows.join(manifest, "srr", "left")
 
 
-def _renamed(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed(schemas.FEATURE_RENAME)
-
-
 def run_features(workflow: DataFrame) -> DataFrame:
     """The 21 features per run."""
-    return _renamed(workflow.select("srr", *[F.col(f"`{c}`").cast("double").alias(c) for c in schemas.FEATURE_AGG]))
+    return workflow.selectExpr("srr", *[
+        f"CAST(`{c}` AS DOUBLE) AS {schemas.FEATURE_RENAME.get(c, c)}" for c in schemas.FEATURE_AGG])
 
 
 def experiment_features(workflow: DataFrame) -> DataFrame:
     """The 21 features per experiment. Runs without experiment drop out; a sum of nothing is 0, a mean null."""
     def agg(name: str, how: str) -> Column:
-        column = F.col(f"`{name}`").cast("double")
-        return (F.coalesce(F.sum(column), F.lit(0.0)) if how == "sum" else F.avg(column)).alias(name)
+        value = f"CAST(`{name}` AS DOUBLE)"
+        rolled = f"coalesce(sum({value}), 0D)" if how == "sum" else f"avg({value})"
+        return F.expr(f"{rolled} AS {schemas.FEATURE_RENAME.get(name, name)}")
 
-    return _renamed(workflow.where("srx IS NOT NULL").groupBy("srx").agg(
-        *[agg(name, how) for name, how in schemas.FEATURE_AGG.items()]))
+    return workflow.where("srx IS NOT NULL").groupBy("srx").agg(
+        *[agg(name, how) for name, how in schemas.FEATURE_AGG.items()])
 
 
 def drop_incomplete(features: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortqc.session import BROADCAST_ROWS, is_small
+from cohortqc.session import BROADCAST_ROWS
 
 BIN_WIDTH = 1_000
 SALTS = 16
@@ -19,19 +19,26 @@ def bin_range(start: Column, end: Column, width: int) -> Column:
     return F.sequence(F.floor(start / width), F.floor(end / width))
 
 
-def equi_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-              max_rows: int = BROADCAST_ROWS, salts: int = SALTS, salt_by: list[str] | None = None) -> DataFrame:
-    """Join that survives a hot key.
+def binned_rows(rows: DataFrame, width: int, start: str = "start", end: str = "end") -> int:
+    """How many rows cutting into bins will give; adds up numbers, expands nothing."""
+    n = F.floor(F.col(end) / width) - F.floor(F.col(start) / width) + 1
+    return rows.agg(F.sum(n).alias("n")).first()["n"] or 0
 
-    If ``small`` is measured to be small it is broadcast and ``big`` does not move. Otherwise both sides are shuffled
-    with a salt in the key: the big side takes one of ``salts`` values from a hash of ``salt_by``, the other side is
-    repeated for each, so the rows of one key spread over ``salts`` tasks (and AQE splits further what is still large).
+
+def equi_join(big: DataFrame, small: DataFrame, on: list[str], small_rows: int, salt_by: list[str],
+              max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+    """Inner join that survives a hot key.
+
+    If ``small`` is known to be small (``small_rows`` was counted) it is broadcast and ``big`` does not move.
+    Otherwise both sides are shuffled with a salt in the key: the big side takes one of ``salts`` values from a hash of
+    ``salt_by``, the other side is repeated for each, so the rows of one key spread over ``salts`` tasks (and AQE
+    splits further what is still large).
     """
-    if is_small(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    salt = F.pmod(F.hash(*[F.col(c) for c in (salt_by or big.columns)]), F.lit(salts))
+    if small_rows <= max_rows:
+        return big.join(F.broadcast(small), on)
+    salt = F.pmod(F.hash(*[F.col(c) for c in salt_by]), F.lit(salts))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
+    return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"]).drop("_salt")
 
 
 def overlap_join(big: DataFrame, small: DataFrame, width: int = BIN_WIDTH, max_rows: int = BROADCAST_ROWS,
@@ -44,7 +51,8 @@ def overlap_join(big: DataFrame, small: DataFrame, width: int = BIN_WIDTH, max_r
     right = small.select(*[F.col(c).alias(c if c in keys else f"s_{c}") for c in small.columns]).withColumn(
         "_bin", F.explode(bin_range(F.col("s_start"), F.col("s_end"), width)))
     left = big.withColumn("_bin", F.explode(bin_range(F.col("start"), F.col("end"), width)))
-    pairs = equi_join(left, right, [*keys, "_bin"], max_rows=max_rows, salts=salts)
+    pairs = equi_join(left, right, [*keys, "_bin"], binned_rows(small, width),
+                      [c for c in big.columns if c not in keys], max_rows, salts)
     return (pairs.where((F.col("start") <= F.col("s_end")) & (F.col("s_start") <= F.col("end"))
                         & (F.col("_bin") == F.floor(F.greatest("start", "s_start") / width)))
             .drop("_bin"))

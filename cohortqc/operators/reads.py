@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortqc.functions import reads as R
+from cohortqc.functions.quality import quality_cut
 
 MIN_LIBRARY = 100_000
 EMPTY_BYTES = 1_000
@@ -148,10 +149,10 @@ def clean_reads(reads: DataFrame, layout: DataFrame, strict_header: bool = False
 
 def quality_trim(reads: DataFrame, cutoff: int = 20) -> DataFrame:
     """Cut the 3' end of every read at the quality cutoff."""
-    kept = R.quality_cut(F.col("qual"), cutoff)
+    kept = quality_cut(F.col("qual"), cutoff)
     return (reads.withColumn("_n", kept)
-            .withColumns({"seq": F.substring(F.col("seq"), F.lit(1), F.col("_n")),
-                          "qual": F.substring(F.col("qual"), F.lit(1), F.col("_n"))})
+            .withColumns({"seq": F.substring(F.col("seq"), F.lit(1), F.col("_n").cast("int")),
+                          "qual": F.substring(F.col("qual"), F.lit(1), F.col("_n").cast("int"))})
             .drop("_n"))
 
 
@@ -164,7 +165,7 @@ def trim_counts(reads: DataFrame, paired: bool = False, cutoff: int = 20, min_le
 
     Only the kept length is computed, no trimmed string. Mates of a pair count once, and fall together.
     """
-    short = R.quality_cut(F.col("qual"), cutoff) < min_length
+    short = quality_cut(F.col("qual"), cutoff) < min_length
     if paired:
         marked = reads.groupBy("srr", "read_no").agg(F.bool_or(short).alias("short"))
     else:

@@ -1,11 +1,10 @@
-"""Session defaults, the shared work folder and the size-checked broadcast."""
+"""Session defaults, the shared work folder, file checks."""
 from __future__ import annotations
 
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Rows a side may have to be broadcast. Annotation rows are a few dozen bytes, so this stays near 100 MB.
 BROADCAST_ROWS = 1_000_000
@@ -44,25 +43,22 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than that many rows per partition to find out."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on whatever file system the path names."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    system, hadoop_path = _hadoop(spark, path)
+    return system.exists(hadoop_path)
 
 
-def empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of a file or folder."""
+    system, hadoop_path = _hadoop(spark, path)
+    return system.getContentSummary(hadoop_path).getLength()
 
-def scalar(df: DataFrame, expr):
-    """One global aggregate as a scalar subquery: evaluated once per query, without a cross join."""
-    return df.agg(expr.alias("v")).scalar()
 
-
-__all__ = ["BROADCAST_ROWS", "F", "empty", "is_small", "path_exists", "scalar", "shared_folder", "with_defaults"]
+def empty(spark: SparkSession, schema) -> DataFrame:
+    return spark.createDataFrame([], schema)

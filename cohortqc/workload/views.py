@@ -6,8 +6,14 @@ and checked against separate SQL.
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortqc.session import file_bytes
+
+SMALL_FILE, SPREAD_BELOW = 256 << 10, 16 << 20
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
 
@@ -214,14 +220,35 @@ def needed(names: tuple[str, ...]) -> list[str]:
     return [name for name in VIEWS if name in wanted]
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. A small file is one row group and would be read by one task; its rows are spread over the cores
+    as the many row groups of a large table would be. Tables beyond 16 MB per core are left as they are."""
+    path = f"{sf_dir}/{name}.parquet"
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.read.parquet(path)
+    return df.repartition(cores) if SMALL_FILE < file_bytes(spark, path) < cores * SPREAD_BELOW else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One view as a DataFrame over the tables in ``sf_dir``."""
-    for table in TABLES:
-        if any(table in VIEWS[v].split() or table in sql(v, SPARK) for v in needed((name,))):
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    for view in needed((name,)):
-        spark.sql(sql(view, SPARK)).createOrReplaceTempView(view)
-    return spark.table(name)
+    """One view as a lazy DataFrame over the tables in ``sf_dir``. Plans are kept, data never is."""
+    def plan(key: str, make) -> DataFrame:
+        full = (id(spark), spark.sparkContext.applicationId, sf_dir, key)
+        if full not in _PLANS:
+            _PLANS[full] = make()
+        return _PLANS[full]
+
+    full = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    if full in _PLANS:
+        return _PLANS[full]
+    views = needed((name,))
+    words = set(re.findall(r"\w+", " ".join(sql(v, SPARK) for v in views)))
+    for key in [t for t in TABLES if t in words] + views:
+        make = (lambda: _table(spark, sf_dir, key)) if key in TABLES else (lambda: spark.sql(sql(key, SPARK)))
+        plan(key, make).createOrReplaceTempView(key)
+    return _PLANS[full]
 
 
 def ctes(*names: str) -> str:
