@@ -46,10 +46,19 @@ def junctions(pos: Column, cigar: Column) -> Column:
             .otherwise(F.array().cast(INTERVALS)))
 
 
+def _total(cigar: Column, codes: str) -> Column:
+    parts = F.regexp_extract_all(cigar, F.lit(rf"(\d+)[{codes}]"), F.lit(1))
+    return F.coalesce(_matched(cigar), F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint")))
+
+
 def reference_length(cigar: Column) -> Column:
     """Reference bases spanned, introns and deletions included."""
-    parts = F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1))
-    return F.coalesce(_matched(cigar), F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint")))
+    return _total(cigar, "MDN=X")
+
+
+def aligned_length(cigar: Column) -> Column:
+    """Bases aligned to the reference: the summed length of the blocks."""
+    return _total(cigar, "M=X")
 
 
 def _clip(cigar: Column, pattern: str) -> Column:

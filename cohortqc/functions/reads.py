@@ -6,14 +6,18 @@ from pyspark.sql import functions as F
 
 INCOMPLETE, BAD_ENCODING, UNEQUAL, MIXED = "incomplete", "bad_encoding", "unequal_length", "header_mismatch"
 
-# blanks that a reader strips from both ends of a line once it holds ASCII only
-_BLANK = r"[\t-\r\x1c-\x20]"
+# blanks that a reader strips from both ends of a line
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 
 
 def decode(value: Column) -> Column:
-    """Drop everything outside ASCII, then strip surrounding blanks; null stays null."""
-    ascii_only = F.regexp_replace(value, r"[^\x00-\x7F]", "")
-    return F.regexp_replace(ascii_only, rf"^{_BLANK}+|{_BLANK}+$", "")
+    """Drop everything outside ASCII, then strip surrounding blanks; null stays null.
+
+    A string with as many bytes as characters is ASCII already and skips the pattern.
+    """
+    ascii_only = F.when(F.octet_length(value) == F.length(value), value).otherwise(
+        F.regexp_replace(value, r"[^\x00-\x7F]", ""))
+    return F.btrim(ascii_only, F.lit(_BLANKS))
 
 
 def strip_control(value: Column) -> Column:

@@ -192,28 +192,33 @@ def fragments(alignments: DataFrame, paired: bool = False, min_size: int = 50, m
     return shapes.groupBy(*SHAPE).agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_blocks(shapes: DataFrame) -> DataFrame:
-    """Add the aligned blocks of one or both ends."""
+def block_rows(shapes: DataFrame, *carry: str) -> DataFrame:
+    """One row per aligned block of a shape, both ends of a pair included.
+
+    The blocks are computed inside the generator: Spark would turn an array column into a "not empty" filter, push it
+    below the aggregate and so parse every CIGAR of the input.
+    """
     second = F.when(F.col("cigar2").isNotNull(), C.blocks(F.col("pos2"), F.col("cigar2"))).otherwise(
         F.array().cast(C.INTERVALS))
-    return shapes.withColumn("blocks", F.concat(C.blocks(F.col("pos"), F.col("cigar")), second))
+    return shapes.select(*SHAPE, "n", *carry, F.inline(F.concat(C.blocks(F.col("pos"), F.col("cigar")), second)))
 
 
-def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int = 0, width: int = BIN_WIDTH,
+def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int | str = 0, width: int = BIN_WIDTH,
               max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Shapes that touch exactly one gene: ``(srr, gene_id, n)`` per shape.
 
-    ``strand_mode`` 1 wants the gene on the fragment's strand, 2 on the other one, 0 does not care. The shapes arrive
-    partitioned by their key and keep that through the broadcast join, so regrouping them needs no second shuffle.
+    ``strand_mode`` 1 wants the gene on the fragment's strand, 2 on the other one, 0 does not care; a column name
+    takes the mode from each shape. The shapes arrive partitioned by their key and keep that through the broadcast
+    join, so regrouping them needs no second shuffle.
     """
-    block = with_blocks(shapes).select(*SHAPE, "n", F.inline("blocks"))
-    targets, same = exons.select("gene_id", "ref", "start", "end", "strand"), None
-    if strand_mode:
-        block = block.withColumn("strand", F.when(F.col("reverse") == F.lit(strand_mode == 1), "-").otherwise("+"))
-        same = ["strand"]
-    pairs = overlap_join(block, targets, width=width, max_rows=max_rows, same=same)
-    return (pairs.groupBy(*SHAPE).agg(F.min("s_gene_id").alias("gene_id"), F.max("s_gene_id").alias("_other"),
-                                      F.max("n").alias("n"))
+    by_column = isinstance(strand_mode, str)
+    mode = F.col(strand_mode) if by_column else F.lit(strand_mode)
+    pairs = overlap_join(block_rows(shapes, *([strand_mode] if by_column else [])),
+                         exons.select("gene_id", "ref", "start", "end", "strand"), width=width, max_rows=max_rows)
+    same = F.when(F.col("reverse"), "-").otherwise("+") == F.col("s_strand")
+    return (pairs.where((mode == 0) | ((mode == 1) & same) | ((mode == 2) & ~same))
+            .groupBy(*SHAPE).agg(F.min("s_gene_id").alias("gene_id"), F.max("s_gene_id").alias("_other"),
+                                 F.max("n").alias("n"))
             .where(F.col("gene_id") == F.col("_other")).select("srr", "gene_id", "n"))
 
 
@@ -228,17 +233,17 @@ def gene_counts_by_mode(alignments: DataFrame, exons: DataFrame, modes: DataFram
                         max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Gene counts of a whole cohort, each run counted in its own mode (``count_modes``).
 
-    Six fixed cases at most, each over its own runs; the run table joins without a hint, AQE picks the way.
+    Single reads and pairs are collapsed separately and then counted together. The run table joins without a hint: AQE
+    broadcasts it when it measures it as small and splits a dominant run otherwise.
     """
-    parts = []
+    mode = modes.select("srr", "strand_mode")
+    shapes = None
     for paired in (False, True):
-        for mode in (0, 1, 2):
-            runs = modes.where((F.col("paired") == paired) & (F.col("strand_mode") == mode)).select("srr")
-            parts.append(gene_counts(alignments.join(runs, "srr", "left_semi"), exons, paired, mode, width, max_rows))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        runs = modes.where(F.col("paired") == paired).select("srr")
+        part = fragments(alignments.join(runs, "srr", "left_semi"), paired)
+        shapes = part if shapes is None else shapes.unionByName(part)
+    hits = gene_hits(shapes.join(mode, "srr"), exons, "strand_mode", width, max_rows)
+    return hits.groupBy("srr", "gene_id").agg(F.sum("n").alias("count"))
 
 
 def gene_count_summary(counts: DataFrame, runs: DataFrame, exons: DataFrame) -> DataFrame:

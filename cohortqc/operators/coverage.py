@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortqc import schemas
 from cohortqc.functions import cigar as C
-from cohortqc.operators.alignments import SHAPE, UNMAPPED, fragments, has, primary, with_blocks
+from cohortqc.operators.alignments import SHAPE, UNMAPPED, block_rows, fragments, has, primary
 from cohortqc.operators.intervals import BIN_WIDTH, binned_rows, clip_to_bins, equi_join, overlap_join
 from cohortqc.session import BROADCAST_ROWS
 
@@ -86,18 +86,18 @@ def transcript_exons(transcripts: DataFrame, min_length: int) -> DataFrame:
 def aligned_shapes(alignments: DataFrame) -> DataFrame:
     """Equal alignments of a run collapsed to one row with a count, before anything is expanded or joined."""
     return (alignments.where(primary() & ~has(UNMAPPED)).groupBy("srr", "ref", "pos", "cigar")
-            .agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", C.blocks(F.col("pos"), F.col("cigar"))))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def aligned_blocks(shapes: DataFrame) -> DataFrame:
-    return shapes.select("srr", "ref", "n", F.inline("blocks"))
+    return shapes.select("srr", "ref", "n", F.inline(C.blocks(F.col("pos"), F.col("cigar"))))
 
 
 def base_classes(alignments: DataFrame, transcripts: DataFrame, width: int = BIN_WIDTH,
                  max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per run: aligned bases by class, and the percentages of the ``rnaseqmetrics`` stage."""
     shapes = aligned_shapes(alignments)
-    length = F.aggregate("blocks", F.lit(0).cast("bigint"), lambda acc, b: acc + b["end"] - b["start"] + 1)
+    length = C.aligned_length(F.col("cigar"))
     total = shapes.groupBy("srr").agg(F.sum(F.col("n") * length).alias("aligned"))
     pieces = clip_to_bins(aligned_blocks(shapes), width)
     regions = transcript_regions(transcripts)
@@ -195,7 +195,7 @@ def strand_agreement(alignments: DataFrame, exons: DataFrame, width: int = BIN_W
                      max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per run: reads on exactly one gene, and the share of them that lie on the gene's strand."""
     key = list(SHAPE)
-    block = with_blocks(fragments(alignments)).select(*key, "n", F.inline("blocks"))
+    block = block_rows(fragments(alignments))
     pairs = overlap_join(block, exons.select("gene_id", "ref", "start", "end", "strand"), width=width, max_rows=max_rows)
     reads = (pairs.groupBy(*key).agg(F.min("s_gene_id").alias("g0"), F.max("s_gene_id").alias("g1"),
                                      F.min("s_strand").alias("strand"), F.max("n").alias("n"))

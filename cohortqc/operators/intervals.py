@@ -42,17 +42,16 @@ def equi_join(big: DataFrame, small: DataFrame, on: list[str], small_rows: int,
 
 
 def overlap_join(big: DataFrame, small: DataFrame, width: int = BIN_WIDTH, max_rows: int = BROADCAST_ROWS,
-                 salts: int = SALTS, same: list[str] | None = None) -> DataFrame:
-    """All pairs of rows with equal ``ref`` (and equal ``same`` columns) whose inclusive [start, end] share a base.
+                 salts: int = SALTS) -> DataFrame:
+    """All pairs of rows with equal ``ref`` whose inclusive [start, end] share a base.
 
     ``big`` keeps its names; the columns of ``small`` come out with the prefix ``s_``.
     """
-    keys = ["ref", *(same or [])]
-    right = small.select(*[F.col(c).alias(c if c in keys else f"s_{c}") for c in small.columns]).withColumn(
+    right = small.select(*[F.col(c).alias(c if c == "ref" else f"s_{c}") for c in small.columns]).withColumn(
         "_bin", F.explode(bin_range(F.col("s_start"), F.col("s_end"), width)))
     left = big.withColumn("_bin", F.explode(bin_range(F.col("start"), F.col("end"), width)))
-    pairs = equi_join(left, right, [*keys, "_bin"], binned_rows(small, width),
-                      [c for c in big.columns if c not in keys], max_rows, salts)
+    pairs = equi_join(left, right, ["ref", "_bin"], binned_rows(small, width),
+                      [c for c in big.columns if c != "ref"], max_rows, salts)
     return (pairs.where((F.col("start") <= F.col("s_end")) & (F.col("s_start") <= F.col("end"))
                         & (F.col("_bin") == F.floor(F.greatest("start", "s_start") / width)))
             .drop("_bin"))

@@ -10,10 +10,15 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortqc.session import file_bytes
+from cohortqc.session import file_bytes, shared_folder
 
 SMALL_FILE, SPREAD_BELOW = 256 << 10, 16 << 20
 
+# Views that stand for tables a pipeline has on disk: raw reads, alignments and stage stores. They are written once per
+# session to the shared folder, so queries scan, prune and filter a table as they would in production.
+STORED = {"reads_v", "mates_v", "alignments_v", "paired_v", "layout_v", "fastq_screen_v", "atropos_v", "hisat2_v",
+          "aln_stats_v", "rnaseqmetrics_v", "markduplicates_v", "count_summary_v", "coverage_v"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
 
@@ -232,23 +237,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(cores) if SMALL_FILE < file_bytes(spark, path) < cores * SPREAD_BELOW else df
 
 
+def _view(spark: SparkSession, name: str) -> DataFrame:
+    df = spark.sql(sql(name, SPARK))
+    if name not in STORED:
+        return df
+    path = shared_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One view as a lazy DataFrame over the tables in ``sf_dir``. Plans are kept, data never is."""
-    def plan(key: str, make) -> DataFrame:
-        full = (id(spark), spark.sparkContext.applicationId, sf_dir, key)
-        if full not in _PLANS:
-            _PLANS[full] = make()
-        return _PLANS[full]
+    """One view as a DataFrame over the tables in ``sf_dir``."""
+    def key(what: str) -> tuple:
+        return spark.sparkContext.applicationId, id(spark), sf_dir, what
 
-    full = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
-    if full in _PLANS:
-        return _PLANS[full]
-    views = needed((name,))
-    words = set(re.findall(r"\w+", " ".join(sql(v, SPARK) for v in views)))
-    for key in [t for t in TABLES if t in words] + views:
-        make = (lambda: _table(spark, sf_dir, key)) if key in TABLES else (lambda: spark.sql(sql(key, SPARK)))
-        plan(key, make).createOrReplaceTempView(key)
-    return _PLANS[full]
+    if key(name) not in _PLANS:
+        views = needed((name,))
+        words = set(re.findall(r"\w+", " ".join(sql(v, SPARK) for v in views)))
+        for what in [t for t in TABLES if t in words] + views:
+            if key(what) not in _PLANS:
+                _PLANS[key(what)] = _table(spark, sf_dir, what) if what in TABLES else _view(spark, what)
+            _PLANS[key(what)].createOrReplaceTempView(what)
+    return _PLANS[key(name)]
 
 
 def ctes(*names: str) -> str:
