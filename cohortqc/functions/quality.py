@@ -67,9 +67,12 @@ def quality_sum(qual: Column, at_least: int = 0) -> Column:
 
 
 def quality_cut(qual: Column, cutoff: int = 20) -> Column:
-    """Number of bases kept by 3' quality trimming."""
+    """Number of bases kept by 3' quality trimming.
+
+    Declared non-deterministic only so that a filter on the result is not pushed below it, which would run it twice.
+    """
     @F.arrow_udf("bigint")
     def evaluate(strings: pa.Array) -> pa.Array:
         return kept_lengths(strings, cutoff)
 
-    return evaluate(qual)
+    return evaluate.asNondeterministic()(qual)

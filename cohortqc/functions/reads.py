@@ -71,12 +71,13 @@ def reject_reason(h1: Column, seq: Column, qual: Column, strict_header: bool = F
             .when(is_unequal(seq, qual), UNEQUAL))
 
 
-def pair_reject_reason(r1: Column, r2: Column, strict_header: bool = False) -> Column:
-    """First failing rule of a pair of read structs; a pair fails a rule when either mate does."""
-    def either(rule):
-        return rule(r1) | rule(r2)
-
-    return (F.when(either(lambda r: is_incomplete(r["qual"])), INCOMPLETE)
-            .when(either(lambda r: is_wrong_encoding(r["h1"], r["seq"], r["qual"], strict_header)), BAD_ENCODING)
-            .when(either(lambda r: is_unequal(r["seq"], r["qual"])), UNEQUAL)
-            .when(is_different_header(r1["h1"], r2["h1"]), MIXED))
+def pair_reject_reason(reason1: Column, reason2: Column, h1: Column, h2: Column) -> Column:
+    """First failing rule of a pair, from the verdicts of its mates and their headers.
+
+    The rules come in one order for mates and pairs, so the earlier of the two verdicts is the pair's.
+    """
+    def either(what: str) -> Column:
+        return reason1.eqNullSafe(F.lit(what)) | reason2.eqNullSafe(F.lit(what))
+
+    return (F.when(either(INCOMPLETE), INCOMPLETE).when(either(BAD_ENCODING), BAD_ENCODING)
+            .when(either(UNEQUAL), UNEQUAL).when(is_different_header(h1, h2), MIXED))

@@ -47,7 +47,7 @@ def alignment_stats(alignments: DataFrame, min_mapq: int | None = 20) -> DataFra
     Insert sizes and orientation are read from the leftmost mate of a pair on one chromosome.
     """
     rows = mapq_filter(alignments, min_mapq) if min_mapq is not None else alignments
-    rows = rows.where(primary() & ~has(UNMAPPED))
+    rows = rows.where(primary() & ~has(UNMAPPED)).withColumn("_quality", quality_sum(F.col("qual")))
     pair = has(PAIRED) & ~has(MATE_UNMAPPED)
     same_ref = (F.col("rnext") == "=") | (F.col("rnext") == F.col("ref"))
     leftmost = pair & same_ref & (F.col("tlen") > 0)
@@ -56,7 +56,7 @@ def alignment_stats(alignments: DataFrame, min_mapq: int | None = 20) -> DataFra
     n = F.count(F.lit(1))
     return rows.groupBy("srr").agg(
         F.count_if(F.col("mapq") == 0).alias("reads_MQ0"),
-        F.try_divide(F.sum(quality_sum(F.col("qual"))), F.sum(F.length("qual"))).alias("average_quality"),
+        F.try_divide(F.sum("_quality"), F.sum(F.length("qual"))).alias("average_quality"),
         F.coalesce(F.avg(size), F.lit(0.0)).alias("insert_size_average"),
         F.coalesce(F.stddev_pop(size), F.lit(0.0)).alias("insert_size_standard_deviation"),
         F.count_if(leftmost & ~reverse & mate_reverse).alias("inward_oriented_pairs"),
@@ -161,6 +161,11 @@ def count_modes(layout: DataFrame, strand: DataFrame) -> DataFrame:
 SHAPE = ("srr", "ref", "reverse", "pos", "cigar", "pos2", "cigar2")
 
 
+def shape_key(shapes: DataFrame) -> list[str]:
+    """Columns that identify a shape; single reads have no second end."""
+    return [c for c in SHAPE if c in shapes.columns]
+
+
 def fragments(alignments: DataFrame, paired: bool = False, min_size: int = 50, max_size: int = 600) -> DataFrame:
     """Countable fragments, collapsed to distinct shapes with a count ``n``.
 
@@ -170,8 +175,7 @@ def fragments(alignments: DataFrame, paired: bool = False, min_size: int = 50, m
     """
     rows = alignments.where(primary() & ~has(UNMAPPED))
     if not paired:
-        shapes = rows.select("srr", "ref", has(REVERSE).alias("reverse"), "pos", "cigar",
-                             F.lit(None).cast("bigint").alias("pos2"), F.lit(None).cast("string").alias("cigar2"))
+        shapes = rows.select("srr", "ref", has(REVERSE).alias("reverse"), "pos", "cigar")
     else:
         second = has(SECOND)
 
@@ -189,7 +193,7 @@ def fragments(alignments: DataFrame, paired: bool = False, min_size: int = 50, m
         size = F.col("_last") - F.col("_first") + 1
         shapes = pairs.where((F.col("_n1") == 1) & (F.col("_n2") == 1) & (F.col("ref") == F.col("_ref2"))
                              & size.between(min_size, max_size))
-    return shapes.groupBy(*SHAPE).agg(F.count(F.lit(1)).alias("n"))
+    return shapes.groupBy(*shape_key(shapes)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def block_rows(shapes: DataFrame, *carry: str) -> DataFrame:
@@ -198,9 +202,11 @@ def block_rows(shapes: DataFrame, *carry: str) -> DataFrame:
     The blocks are computed inside the generator: Spark would turn an array column into a "not empty" filter, push it
     below the aggregate and so parse every CIGAR of the input.
     """
-    second = F.when(F.col("cigar2").isNotNull(), C.blocks(F.col("pos2"), F.col("cigar2"))).otherwise(
-        F.array().cast(C.INTERVALS))
-    return shapes.select(*SHAPE, "n", *carry, F.inline(F.concat(C.blocks(F.col("pos"), F.col("cigar")), second)))
+    blocks = C.blocks(F.col("pos"), F.col("cigar"))
+    if "cigar2" in shapes.columns:
+        blocks = F.concat(blocks, F.when(F.col("cigar2").isNotNull(), C.blocks(F.col("pos2"), F.col("cigar2")))
+                          .otherwise(F.array().cast(C.INTERVALS)))
+    return shapes.select(*shape_key(shapes), "n", *carry, F.inline(blocks))
 
 
 def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int | str = 0, width: int = BIN_WIDTH,
@@ -217,7 +223,7 @@ def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int | str = 0, w
                          exons.select("gene_id", "ref", "start", "end", "strand"), width=width, max_rows=max_rows)
     same = F.when(F.col("reverse"), "-").otherwise("+") == F.col("s_strand")
     return (pairs.where((mode == 0) | ((mode == 1) & same) | ((mode == 2) & ~same))
-            .groupBy(*SHAPE).agg(F.min("s_gene_id").alias("gene_id"), F.max("s_gene_id").alias("_other"),
+            .groupBy(*shape_key(shapes)).agg(F.min("s_gene_id").alias("gene_id"), F.max("s_gene_id").alias("_other"),
                                  F.max("n").alias("n"))
             .where(F.col("gene_id") == F.col("_other")).select("srr", "gene_id", "n"))
 
@@ -241,7 +247,7 @@ def gene_counts_by_mode(alignments: DataFrame, exons: DataFrame, modes: DataFram
     for paired in (False, True):
         runs = modes.where(F.col("paired") == paired).select("srr")
         part = fragments(alignments.join(runs, "srr", "left_semi"), paired)
-        shapes = part if shapes is None else shapes.unionByName(part)
+        shapes = part if shapes is None else shapes.unionByName(part, allowMissingColumns=True)
     hits = gene_hits(shapes.join(mode, "srr"), exons, "strand_mode", width, max_rows)
     return hits.groupBy("srr", "gene_id").agg(F.sum("n").alias("count"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortqc import schemas
 from cohortqc.functions import cigar as C
-from cohortqc.operators.alignments import SHAPE, UNMAPPED, block_rows, fragments, has, primary
+from cohortqc.operators.alignments import UNMAPPED, block_rows, fragments, has, primary, shape_key
 from cohortqc.operators.intervals import BIN_WIDTH, binned_rows, clip_to_bins, equi_join, overlap_join
 from cohortqc.session import BROADCAST_ROWS
 
@@ -152,20 +152,25 @@ def gene_body_coverage(stretches: DataFrame) -> DataFrame:
     """101 relative positions per run: depth in the position over the transcript's mean, averaged over the covered
     transcripts (``genebody_coverage`` stage row). Transcripts have at least 101 bases, so no position is empty."""
     last = F.col("tx_len") - 1
-    size = F.col("b") - F.col("a") + 1
-    mean = F.sum(F.col("depth") * size).over(W.partitionBy("srr", "tx", "tx_len")) / F.col("tx_len")
+    transcript = W.partitionBy("srr", "tx", "tx_len")
     position = lambda x: F.floor(x * 100 / last)
-    cut = (stretches.withColumn("mean", mean)
-           .withColumn("position", F.explode(F.sequence(position(F.col("a")), position(F.col("b"))))))
+    cut = stretches.select(
+        "srr", "tx_len", "a", "b", "depth",
+        (F.sum(F.col("depth") * (F.col("b") - F.col("a") + 1)).over(transcript) / F.col("tx_len")).alias("mean"),
+        (F.min("a").over(transcript) == F.col("a")).alias("leads"))
+    # in a select of its own: beside a window, the window would see the exploded rows
+    cut = cut.withColumn("position", F.explode(F.sequence(position(F.col("a")), position(F.col("b")))))
     first = F.ceil(F.col("position") * last / 100)
     end = F.least(F.ceil((F.col("position") + 1) * last / 100) - 1, last)
     value = F.col("depth") * _overlap(first, end) / (end - first + 1) / F.col("mean")
-    covered = stretches.groupBy("srr").agg(F.count_distinct("tx").alias("n_tx"))
-    summed = (cut.groupBy("srr", "position").agg(F.sum(value).alias("v")).groupBy("srr")
-              .agg(F.map_from_entries(F.collect_list(F.struct("position", "v"))).alias("m")))
+    # every covered transcript is counted once, at the first position of its first stretch
+    counted = F.count_if(F.col("leads") & (F.col("position") == position(F.col("a"))))
+    summed = (cut.groupBy("srr", "position").agg(F.sum(value).alias("v"), counted.alias("n"))
+              .groupBy("srr").agg(F.map_from_entries(F.collect_list(F.struct("position", "v"))).alias("m"),
+                                  F.sum("n").alias("n_tx")))
     values = F.transform(F.sequence(F.lit(0), F.lit(schemas.N_COVERAGE - 1)), lambda i: F.coalesce(
         F.try_element_at("m", i.cast("bigint")), F.lit(0.0)) / F.col("n_tx"))
-    return summed.join(covered, "srr").select("srr", values.alias("coverage"))
+    return summed.select("srr", values.alias("coverage"))
 
 
 def transcript_evenness(stretches: DataFrame) -> DataFrame:
@@ -194,9 +199,9 @@ def coverage_evenness(stretches: DataFrame) -> DataFrame:
 def strand_agreement(alignments: DataFrame, exons: DataFrame, width: int = BIN_WIDTH,
                      max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per run: reads on exactly one gene, and the share of them that lie on the gene's strand."""
-    key = list(SHAPE)
-    block = block_rows(fragments(alignments))
-    pairs = overlap_join(block, exons.select("gene_id", "ref", "start", "end", "strand"), width=width, max_rows=max_rows)
+    shapes = fragments(alignments)
+    key = shape_key(shapes)
+    pairs = overlap_join(block_rows(shapes), exons.select("gene_id", "ref", "start", "end", "strand"), width=width, max_rows=max_rows)
     reads = (pairs.groupBy(*key).agg(F.min("s_gene_id").alias("g0"), F.max("s_gene_id").alias("g1"),
                                      F.min("s_strand").alias("strand"), F.max("n").alias("n"))
              .where(F.col("g0") == F.col("g1")))

@@ -13,10 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortqc import schemas
 from cohortqc.operators.iforest import Forest
+from cohortqc.operators.reports import wide
 
 
 class Leaf:
@@ -150,13 +152,12 @@ def shap_long(rows: DataFrame, key: str, explainer: Explainer, columns: list[str
 
 
 def shap_wide(long: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    return long.groupBy(key).pivot("feature", columns).agg(F.max("phi"))
+    return wide(long, [key], "feature", "phi", columns)
 
 
 def mean_abs_shap(long: DataFrame) -> DataFrame:
     """Mean absolute attribution per feature; rank 1 is the most important. One row per feature remains, so the
     ranking is over a handful of rows."""
-    from pyspark.sql import Window as W
     means = long.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_shap"))
     return means.withColumn("rank", F.rank().over(W.orderBy(F.desc("mean_abs_shap"), "feature")))
 

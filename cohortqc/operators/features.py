@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortqc import schemas
-from cohortqc.operators.reports import screen_wide
 
 # ---- Fixed values: the three stretches of the 101 coverage positions, as (first position, length). -----------------
 TERTILES = {
@@ -82,8 +81,7 @@ def stage_inputs(stages: dict[str, DataFrame], rrna: str = "rRNA") -> dict[str,
         if name == "genebody_coverage":
             df = gene_body_tertiles(df)
         elif name == "fastq_screen" and "reference" in df.columns:
-            df = screen_wide(df.where(F.col("reference") == rrna), [rrna]).withColumnRenamed(
-                f"{rrna}_pct_reads_mapped", "rRNA_pct_reads_mapped")
+            df = df.where(F.col("reference") == rrna).withColumnRenamed("pct_reads_mapped", "rRNA_pct_reads_mapped")
         out[name] = df.select("srr", *[f"`{c}`" for c in columns])
     return out
 

@@ -183,12 +183,15 @@ class Forest:
 
 
 def path_length(forest: Forest, columns: list[str]) -> Column:
-    """Mean path length of a row, evaluated on Arrow batches."""
+    """Mean path length of a row, evaluated on Arrow batches.
+
+    Declared non-deterministic only so that a filter on the score is not pushed below it, which would run it twice.
+    """
     @F.pandas_udf("double")
     def evaluate(x: pd.DataFrame) -> pd.Series:
         return pd.Series(forest.path_length(x.to_numpy(dtype=float)))
 
-    return evaluate(F.struct(*[F.col(c).cast("double").alias(c) for c in columns]))
+    return evaluate.asNondeterministic()(F.struct(*[F.col(c).cast("double").alias(c) for c in columns]))
 
 
 def score(rows: DataFrame, forest: Forest, columns: list[str]) -> DataFrame:

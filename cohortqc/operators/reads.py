@@ -28,7 +28,7 @@ def valid_reads(reads: DataFrame, strict_header: bool = False) -> DataFrame:
     return read_validity(reads, strict_header).where("reject_reason IS NULL").drop("reject_reason")
 
 
-def pair_mates(reads: DataFrame) -> DataFrame:
+def pair_mates(reads: DataFrame, how: str = "full") -> DataFrame:
     """Mates 1 and 2 side by side, matched by position; a missing side is null.
 
     The key holds the read number, so the shuffle is even however large one run is.
@@ -37,17 +37,39 @@ def pair_mates(reads: DataFrame) -> DataFrame:
         return (reads.where(F.col("mate") == mate)
                 .select("srr", "read_no", F.struct("h1", "seq", "h2", "qual").alias(f"r{mate}")))
 
-    return side(1).join(side(2), ["srr", "read_no"], "full")
+    return side(1).join(side(2), ["srr", "read_no"], how)
 
 
-def pair_validity(pairs: DataFrame, strict_header: bool = False) -> DataFrame:
-    """Add ``reject_reason`` to complete pairs. Pairs with a missing side belong to the layout call, not here."""
-    return (pairs.where(F.col("r1").isNotNull() & F.col("r2").isNotNull())
-            .withColumn("reject_reason", R.pair_reject_reason(F.col("r1"), F.col("r2"), strict_header)))
+def pair_verdicts(reads: DataFrame, strict_header: bool = False) -> DataFrame:
+    """Per position: which mates exist, the verdict on each and on the pair, lengths and the colour-space test.
+
+    Each read is judged where it lies; only verdict, length and header are shuffled to meet the mate, no sequence and
+    no quality string.
+    """
+    judged = read_validity(reads, strict_header).select(
+        "srr", "read_no", "mate", F.struct("h1", F.length("seq").alias("len"), R.is_abi(F.col("seq")).alias("abi"),
+                                           F.col("reject_reason").alias("reason")).alias("r"))
+
+    def side(mate: int) -> DataFrame:
+        return judged.where(F.col("mate") == mate).select("srr", "read_no", F.col("r").alias(f"r{mate}"))
+
+    both = F.col("r1").isNotNull() & F.col("r2").isNotNull()
+    pair = R.pair_reject_reason(F.col("r1.reason"), F.col("r2.reason"), F.col("r1.h1"), F.col("r2.h1"))
+    return (side(1).join(side(2), ["srr", "read_no"], "full")
+            .select("srr", "read_no", "r1", "r2", both.alias("complete"), F.when(both, pair).alias("reject_reason")))
+
+
+def pair_validity(reads: DataFrame, strict_header: bool = False) -> DataFrame:
+    """``reject_reason`` of every complete pair, null for good ones. Pairs with a missing side belong to the layout
+    call, not here."""
+    return pair_verdicts(reads, strict_header).where("complete").select("srr", "read_no", "reject_reason")
 
 
-def valid_pairs(pairs: DataFrame, strict_header: bool = False) -> DataFrame:
-    return pair_validity(pairs, strict_header).where("reject_reason IS NULL").drop("reject_reason")
+def valid_pairs(reads: DataFrame, strict_header: bool = False) -> DataFrame:
+    """Good pairs side by side."""
+    # mates are judged before they meet, so a bad one is not shuffled at all
+    good = pair_mates(valid_reads(reads, strict_header), "inner")
+    return good.where(~R.is_different_header(F.col("r1.h1"), F.col("r2.h1")))
 
 
 def abi_runs(reads: DataFrame) -> DataFrame:
@@ -81,25 +103,19 @@ def library_stats(reads: DataFrame, files: DataFrame, min_library: int = MIN_LIB
     without files has no row. The counters of all three ways to read a run (as pairs, as mate 1, as mate 2) come out of
     one pass; the layout then picks its own.
     """
-    def of(mate: str) -> Column:
-        return R.reject_reason(F.col(f"{mate}.h1"), F.col(f"{mate}.seq"), F.col(f"{mate}.qual"), strict_header)
-
-    has1, has2 = F.col("r1").isNotNull(), F.col("r2").isNotNull()
-    verdict = (pair_mates(reads)
-               .withColumn("v1", F.when(has1, F.coalesce(of("r1"), F.lit("ok"))))
-               .withColumn("v2", F.when(has2, F.coalesce(of("r2"), F.lit("ok"))))
-               .withColumn("vp", F.when(has1 & has2, F.coalesce(
-                   R.pair_reject_reason(F.col("r1"), F.col("r2"), strict_header), F.lit("ok")))))
-
-    aggs = [F.count_if(has1).alias("n1"), F.count_if(has2).alias("n2"),
-            F.count_if(F.col("vp") == R.MIXED).alias("n_mixed"),
-            F.min_by(F.when(has1, R.is_abi(F.col("r1.seq"))), F.when(has1, F.col("read_no"))).alias("abi1"),
-            F.min_by(F.when(has2, R.is_abi(F.col("r2.seq"))), F.when(has2, F.col("read_no"))).alias("abi2")]
+    verdict = pair_verdicts(reads, strict_header).select(
+        "srr", "read_no", "r1", "r2",
+        F.when(F.col("r1").isNotNull(), F.coalesce("r1.reason", F.lit("ok"))).alias("v1"),
+        F.when(F.col("r2").isNotNull(), F.coalesce("r2.reason", F.lit("ok"))).alias("v2"),
+        F.when(F.col("complete"), F.coalesce("reject_reason", F.lit("ok"))).alias("vp"))
+    aggs = [F.count("v1").alias("n1"), F.count("v2").alias("n2"), F.count_if(F.col("vp") == R.MIXED).alias("n_mixed"),
+            F.min_by("r1.abi", F.when(F.col("v1").isNotNull(), F.col("read_no"))).alias("abi1"),
+            F.min_by("r2.abi", F.when(F.col("v2").isNotNull(), F.col("read_no"))).alias("abi2")]
     for v in ("v1", "v2", "vp"):
         aggs += [F.count_if(F.col(v) == what).alias(f"{v}_{name}") for what, name in (
             ("ok", "ok"), (R.INCOMPLETE, "incomplete"), (R.BAD_ENCODING, "bad"), (R.UNEQUAL, "unequal"))]
     for v, r in (("v1", "r1"), ("v2", "r2"), ("vp", "r1"), ("vp", "r2")):
-        aggs.append(F.sum(F.when(F.col(v) == "ok", F.length(F.col(r)["seq"]))).alias(f"{v}_{r}_len"))
+        aggs.append(F.sum(F.when(F.col(v) == "ok", F.col(r)["len"])).alias(f"{v}_{r}_len"))
     counted = verdict.groupBy("srr").agg(*aggs)
 
     # a run with files but no reads at all still gets its row
@@ -141,7 +157,7 @@ def clean_reads(reads: DataFrame, layout: DataFrame, strict_header: bool = False
     pe = reads.join(accepted.where("layout = 'PE'").select("srr"), "srr", "left_semi")
     mates = F.array(*[F.struct(F.lit(m).alias("mate"), f"r{m}.h1", f"r{m}.seq", f"r{m}.h2", f"r{m}.qual")
                       for m in (1, 2)])
-    paired = (valid_pairs(pair_mates(pe), strict_header)
+    paired = (valid_pairs(pe, strict_header)
               .select("srr", "read_no", F.inline(mates))
               .select("srr", "mate", "read_no", "h1", "seq", "h2", "qual"))
     return single.unionByName(paired)

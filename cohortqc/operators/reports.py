@@ -116,10 +116,14 @@ def screen_long(metrics: DataFrame) -> DataFrame:
             .unpivot(["srr", "reference"], names, "type", "value"))
 
 
+def wide(long: DataFrame, keys: list[str], name: str, value: str, names: list[str]) -> DataFrame:
+    """Long to wide for known names: conditional aggregates, so one shuffle where a pivot takes two."""
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col(name) == n, F.col(value))).alias(n) for n in names])
+
+
 def unstack(long: DataFrame) -> DataFrame:
-    """Long to wide, one row per run and reference. The metric names are known, so the pivot needs no extra pass."""
-    return (long.groupBy("srr", "reference").pivot("type", [name for name, _ in SCREEN_METRICS])
-            .agg(F.max("value")))
+    """(run, reference, type, value) rows to one row per run and reference."""
+    return wide(long, ["srr", "reference"], "type", "value", [name for name, _ in SCREEN_METRICS])
 
 
 def screen_summary(metrics: DataFrame) -> DataFrame:
@@ -131,8 +135,8 @@ def screen_summary(metrics: DataFrame) -> DataFrame:
 
 def screen_wide(summary: DataFrame, references: list[str]) -> DataFrame:
     """One row per run with ``<reference>_pct_reads_mapped`` columns."""
-    wide = summary.groupBy("srr").pivot("reference", references).agg(F.max("pct_reads_mapped"))
-    return wide.withColumnsRenamed({r: f"{r}_pct_reads_mapped" for r in references})
+    return wide(summary, ["srr"], "reference", "pct_reads_mapped", references).withColumnsRenamed(
+        {r: f"{r}_pct_reads_mapped" for r in references})
 
 
 # ---- trimming -----------------------------------------------------------------------------------------------------

@@ -10,47 +10,38 @@ from cohortqc import schemas
 from cohortqc.operators import alignments as A
 from cohortqc.operators import coverage as V
 from cohortqc.operators import explain, features, iforest, reads, reports, store
+from cohortqc.session import empty, path_exists
 from cohortqc.sinks import writers
 from cohortqc.sources import fastq, tables
 
 
+def _known_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Runs of a table that may not exist yet."""
+    return spark.read.parquet(path).select("srr") if path_exists(spark, path) else empty(spark, "srr string")
+
+
 def qc_reads(spark: SparkSession, fastq_dir: str, manifest: DataFrame, out: str,
              min_library: int = reads.MIN_LIBRARY, empty_bytes: int = reads.EMPTY_BYTES) -> DataFrame:
     """FASTQ folder to clean reads (``<out>/reads``) and library statistics (``<out>/libraries``), which it returns.
 
-    Runs of the manifest without files get a ``download_bad`` row. The raw reads are written to parquet first, by run
-    mate and number, since they are used twice and compressed FASTQ can only be read front to back.
+    Only runs without a row in ``<out>/libraries`` are processed; runs of the manifest without files get a
+    ``download_bad`` row. The raw reads are written to parquet first: they are used twice, and compressed FASTQ can only
+    be read front to back.
     """
-    roles = fastq.file_roles(fastq.list_files(spark, fastq_dir))
-    wanted = manifest.select("srr").distinct()
-    raw = fastq.read_fastq(spark, fastq_dir).join(wanted, "srr", "left_semi").join(
-        tables_done(spark, f"{out}/libraries"), "srr", "left_anti")
-    raw.write.mode("overwrite").partitionBy("mate").parquet(f"{out}/raw")
+    known = _known_runs(spark, f"{out}/libraries")
+    todo = manifest.select("srr").distinct().join(known, "srr", "left_anti")
+    roles = fastq.file_roles(fastq.list_files(spark, fastq_dir)).join(todo, "srr", "left_semi")
+    (fastq.read_fastq(spark, fastq_dir).join(todo, "srr", "left_semi")
+     .write.mode("overwrite").partitionBy("mate").parquet(f"{out}/raw"))
     raw = spark.read.schema(schemas.READS).parquet(f"{out}/raw")
-    stats = reads.library_stats(raw, roles.join(raw.select("srr").distinct(), "srr", "left_semi"), min_library,
-                                empty_bytes)
-    known = spark.read.parquet(f"{out}/libraries").select("srr") if _exists(spark, f"{out}/libraries") else None
-    absent = fastq.missing_runs(manifest, roles)
-    if known is not None:
-        absent = absent.join(known, "srr", "left_anti")
-    stats = stats.unionByName(absent.select("srr", F.lit("download_bad").alias("status")), allowMissingColumns=True)
+    stats = reads.library_stats(raw, roles, min_library, empty_bytes).unionByName(
+        fastq.missing_runs(todo, roles).select("srr", F.lit("download_bad").alias("status")), allowMissingColumns=True)
     stats.write.mode("append").parquet(f"{out}/libraries")
     libraries = spark.read.parquet(f"{out}/libraries")
     reads.clean_reads(raw, libraries).write.mode("append").partitionBy("mate").parquet(f"{out}/reads")
     return libraries
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from cohortqc.session import path_exists
-    return path_exists(spark, path)
-
-
-def tables_done(spark: SparkSession, path: str) -> DataFrame:
-    """Keys of a table that may not exist yet."""
-    from cohortqc.session import empty
-    return spark.read.parquet(path).select("srr") if _exists(spark, path) else empty(spark, "srr string")
-
-
 def ingest_reports(report: DataFrame, stage: str, second: DataFrame | None = None) -> DataFrame:
     """Stage rows from one kind of report. ``second`` is the other report where a stage needs two (bamtools for
     ``aln_stats``, the second-strand summary for ``strand``)."""
@@ -136,7 +127,7 @@ def detect(matrix: DataFrame, key: str, out: str | None = None, nulls: str = "er
     nodes = trees.toPandas()
     forest = iforest.Forest(nodes)
     scored = iforest.score(rows, forest, columns)
-    test = scored.where("split = 'test'")
+    test = iforest.score(rows.where("split = 'test'"), forest, columns)
     explainer = explain.Explainer.build(forest, iforest.inliers(test), columns)
     shap = explain.shap_long(test, key, explainer, columns, carry=("is_inlier", "is_outlier"))
     result = iforest.label(scored).select(key, *columns, "labels")

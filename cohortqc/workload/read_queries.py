@@ -9,15 +9,15 @@ from cohortqc.operators import reads as O
 from cohortqc.session import shared_folder
 from cohortqc.sources import fastq
 from cohortqc.workload.registry import query, rounded
-from cohortqc.workload.views import ctes, load
+from cohortqc.workload.views import ctes, load, stored
 
 
 def single(spark, sf):
-    return O.decoded(load(spark, sf, "reads_v"))
+    return stored(spark, sf, "reads", lambda: O.decoded(load(spark, sf, "reads_v")))
 
 
 def mates(spark, sf):
-    return O.decoded(load(spark, sf, "mates_v")).drop("n_chars")
+    return stored(spark, sf, "mates", lambda: O.decoded(load(spark, sf, "mates_v")).drop("n_chars"))
 
 
 def _clean(c: str) -> str:
@@ -64,7 +64,7 @@ MIN_LIBRARY, EMPTY = 1, 300
 
 @query("read_decode", f"WITH {ctes('reads_v')}, {_decoded('reads_v', 'r')} SELECT * FROM r")
 def read_decode(spark, sf):
-    return single(spark, sf)
+    return O.decoded(load(spark, sf, "reads_v"))
 
 
 @query("read_strip_control", rf"""WITH {ctes('reads_v')}
@@ -104,7 +104,7 @@ def pair_join(spark, sf):
 @query("pair_validity", f"""WITH {_PAIRS} SELECT srr, read_no, nullif(vp, 'ok') AS reject_reason FROM verdict
     WHERE has1 AND has2""")
 def pair_validity(spark, sf):
-    return O.pair_validity(O.pair_mates(mates(spark, sf))).select("srr", "read_no", "reject_reason")
+    return O.pair_validity(mates(spark, sf))
 
 
 _LIBRARIES = _PAIRS + f""", counted AS (

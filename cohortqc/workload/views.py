@@ -237,19 +237,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(cores) if SMALL_FILE < file_bytes(spark, path) < cores * SPREAD_BELOW else df
 
 
-def _view(spark: SparkSession, name: str) -> DataFrame:
-    df = spark.sql(sql(name, SPARK))
-    if name not in STORED:
-        return df
+def _written(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _view(spark: SparkSession, name: str) -> DataFrame:
+    df = spark.sql(sql(name, SPARK))
+    return _written(spark, name, df) if name in STORED else df
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    return spark.sparkContext.applicationId, id(spark), sf_dir, name
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """A derived table that is written once per session, like the views in ``STORED``."""
+    key = _key(spark, sf_dir, name)
+    if key not in _PLANS:
+        _PLANS[key] = _written(spark, name, make())
+    return _PLANS[key]
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One view as a DataFrame over the tables in ``sf_dir``."""
     def key(what: str) -> tuple:
-        return spark.sparkContext.applicationId, id(spark), sf_dir, what
+        return _key(spark, sf_dir, what)
 
     if key(name) not in _PLANS:
         views = needed((name,))
