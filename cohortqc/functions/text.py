@@ -30,12 +30,5 @@ def by_header(header: Column, values: Column, name: str) -> Column:
     return F.try_element_at(values, at)
 
 
-def after(rows: Column, prefix: str) -> Column:
-    """The rows from the first one starting with ``prefix`` on; empty when there is none."""
-    first = F.array_position(F.transform(rows, lambda r: r.startswith(prefix)), F.lit(True)).cast("int")
-    return F.when(first > 0, F.slice(rows, F.greatest(first, F.lit(1)), F.size(rows))).otherwise(
-        F.array().cast("array<string>"))
-
-
 def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole) * 100

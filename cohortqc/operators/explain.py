@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -58,6 +59,7 @@ def leaves(forest: Forest) -> list[list[Leaf]]:
     return out
 
 
+@cache
 def _weights(u: int) -> tuple[np.ndarray, np.ndarray]:
     """Shapley weights [a, b] when a of the features come from the row and b from the background row."""
     gain, loss = np.zeros((u + 1, u + 1)), np.zeros((u + 1, u + 1))
@@ -71,18 +73,23 @@ def _weights(u: int) -> tuple[np.ndarray, np.ndarray]:
     return gain, loss
 
 
-def _leaf_table(leaf: Leaf, patterns: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    """phi[row pattern, feature] of one leaf, averaged over the background."""
+def _leaf_table(leaf: Leaf, own: np.ndarray, patterns: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """phi[i, feature] of one leaf for the row patterns ``own``, averaged over the background.
+
+    A leaf is reachable by a mix of row and background row only if each of its conditions holds for one of them; then
+    the features the background fails come from the row, and those the row fails from the background.
+    """
     u = len(leaf.features)
-    bits = (np.arange(1 << u)[:, None] >> np.arange(u)) & 1
-    x, z = bits[:, None, :] == 1, ((patterns[:, None] >> np.arange(u)) & 1)[None] == 1
-    reachable = (x | z).all(axis=2)
-    from_x, from_z = x & ~z, z & ~x
-    a, b = from_x.sum(axis=2), from_z.sum(axis=2)
+    bits = np.arange(u)
+    x_fails = (own[:, None] >> bits & 1) == 0
+    z_fails = (patterns[:, None] >> bits & 1) == 0
+    reachable = (own[:, None] | patterns[None, :]) == (1 << u) - 1
     gain, loss = _weights(u)
+    a, b = z_fails.sum(axis=1)[None, :], x_fails.sum(axis=1)[:, None]
     w = np.where(reachable, shares[None, :], 0.0)
-    per_pair = from_x * (w * gain[a, b])[:, :, None] + from_z * (w * loss[a, b])[:, :, None]
-    return per_pair.sum(axis=1) * leaf.value
+    from_row = (w * gain[a, b]) @ z_fails
+    from_background = (w * loss[a, b]).sum(axis=1)[:, None] * x_fails
+    return (from_row + from_background) * leaf.value
 
 
 def background_patterns(background: DataFrame, forest: Forest, columns: list[str]) -> DataFrame:
@@ -116,23 +123,26 @@ class Explainer:
     def build(cls, forest: Forest, background: DataFrame, columns: list[str]) -> "Explainer":
         return cls(forest, background_patterns(background, forest, columns).toPandas())
 
+    def __getstate__(self):
+        return {"forest": self.forest, "patterns": self.patterns}  # leaves are rebuilt where they are needed
+
+    @cached_property
+    def leaves(self) -> list[tuple[Leaf, np.ndarray, np.ndarray]]:
+        """Every leaf with its background patterns and their shares."""
+        return [(leaf, self.patterns[(i, j)][0], self.patterns[(i, j)][1] / self.patterns[(i, j)][1].sum())
+                for i, tree in enumerate(leaves(self.forest)) for j, leaf in enumerate(tree)]
+
     def expected_value(self) -> float:
         """Mean path length over the background."""
-        total = 0.0
-        for i, tree in enumerate(leaves(self.forest)):
-            for j, leaf in enumerate(tree):
-                patterns, n = self.patterns[(i, j)]
-                full = (1 << len(leaf.features)) - 1
-                total += leaf.value * n[patterns == full].sum() / n.sum()
-        return total
+        return float(sum(leaf.value * shares[patterns == (1 << len(leaf.features)) - 1].sum()
+                         for leaf, patterns, shares in self.leaves))
 
     def phi(self, x: np.ndarray) -> np.ndarray:
+        """Attribution of every row; each pattern that occurs at a leaf is worked out once."""
         out = np.zeros(x.shape)
-        for i, tree in enumerate(leaves(self.forest)):
-            for j, leaf in enumerate(tree):
-                patterns, n = self.patterns[(i, j)]
-                table = _leaf_table(leaf, patterns, n / n.sum())
-                out[:, leaf.features] += table[leaf.pattern(x)]
+        for leaf, patterns, shares in self.leaves:
+            own, which = np.unique(leaf.pattern(x), return_inverse=True)
+            out[:, leaf.features] += _leaf_table(leaf, own, patterns, shares)[which]
         return out
 
 

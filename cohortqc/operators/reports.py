@@ -212,12 +212,16 @@ def alignment_stats(samtools: DataFrame, bamtools: DataFrame) -> DataFrame:
 
 # ---- RNA metrics --------------------------------------------------------------------------------------------------
 
+def _two_lines(before: str) -> tuple[Column, Column]:
+    """Fields of two consecutive lines of the report; ``before`` is the pattern that leads up to the first."""
+    pattern = rf"(?:^|\n){before}([^\n]*)\n([^\n]*)"
+    return tuple(X.fields(F.regexp_replace(F.regexp_extract("body", pattern, i), "\r$", "")) for i in (1, 2))
+
+
 def rna_summary(reports: DataFrame) -> DataFrame:
     """Thirty typed columns of the RNA metrics summary; ``?`` is null."""
-    rows = F.filter(X.lines(F.col("body")), lambda r: ~r.startswith("#"))
-    table = X.after(rows, "PF_BASES")
-    split = reports.select("srr", X.fields(F.try_element_at(table, F.lit(1))).alias("_h"),
-                           X.fields(F.try_element_at(table, F.lit(2))).alias("_v"))
+    header, values = _two_lines("(?=PF_BASES)")
+    split = reports.select("srr", header.alias("_h"), values.alias("_v"))
 
     def value(name: str) -> Column:
         return X.number(X.by_header(F.col("_h"), F.col("_v"), name))
@@ -237,9 +241,9 @@ def rna_projection(summary: DataFrame) -> DataFrame:
 
 def coverage_histogram(reports: DataFrame) -> DataFrame:
     """The 101 normalised coverage values as one array (``genebody_coverage`` stage row)."""
-    rows = F.filter(X.lines(F.col("body")), lambda r: ~r.startswith("#") & (r != ""))
-    table = F.slice(X.after(rows, "normalized"), 2, schemas.N_COVERAGE)
-    return reports.select("srr", F.transform(table, lambda r: X.number(F.get(X.fields(r), 1))).alias("coverage"))
+    table = F.regexp_extract("body", r"(?:^|\n)normalized[^\n]*\n([\s\S]*)", 1)
+    rows = F.slice(F.filter(X.lines(table), lambda r: (r != "") & ~r.startswith("#")), 1, schemas.N_COVERAGE)
+    return reports.select("srr", F.transform(rows, lambda r: X.number(F.get(X.fields(r), 1))).alias("coverage"))
 
 
 def strand_call(first: DataFrame, second: DataFrame, threshold: float = 0.75) -> DataFrame:
@@ -256,9 +260,8 @@ def strand_call(first: DataFrame, second: DataFrame, threshold: float = 0.75) ->
 
 def duplicate_metrics(reports: DataFrame) -> DataFrame:
     """The ``markduplicates`` stage row: six columns, missing is 0, the fraction becomes a percent."""
-    table = X.after(X.lines(F.col("body")), "## METRICS CLASS")
-    split = reports.select("srr", X.fields(F.try_element_at(table, F.lit(2))).alias("_h"),
-                           X.fields(F.try_element_at(table, F.lit(3))).alias("_v"))
+    header, values = _two_lines(r"## METRICS CLASS[^\n]*\n")
+    split = reports.select("srr", header.alias("_h"), values.alias("_v"))
 
     def column(field) -> Column:
         value = F.coalesce(X.number(X.by_header(F.col("_h"), F.col("_v"), field.name.upper())), F.lit(0.0))

@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,33 +111,71 @@ def build_features(spark: SparkSession, manifest: DataFrame, done: DataFrame, ro
 
 @dataclass
 class Detection:
-    result: DataFrame
-    scored: DataFrame
-    checks: DataFrame
-    trees: DataFrame
-    shap: DataFrame
-    importance: DataFrame
-    expected_value: float
+    """Labels and checks of a feature matrix; the attribution is worked out when first asked for."""
+
+    key: str
+    columns: list[str]
+    rows: DataFrame
+    nodes: pd.DataFrame
+    strict: bool = False
+
+    @cached_property
+    def forest(self) -> iforest.Forest:
+        return iforest.Forest(self.nodes)
+
+    @property
+    def trees(self) -> DataFrame:
+        return self.rows.sparkSession.createDataFrame(self.nodes, iforest.TREES_SCHEMA)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return iforest.score(self.rows, self.forest, self.columns)
+
+    @property
+    def result(self) -> DataFrame:
+        return iforest.label(self.scored).select(self.key, *self.columns, "labels")
+
+    @property
+    def checks(self) -> DataFrame:
+        return iforest.share_check(self.scored, strict=self.strict)
+
+    @cached_property
+    def _test(self) -> DataFrame:
+        return iforest.score(self.rows.where("split = 'test'"), self.forest, self.columns)
+
+    @cached_property
+    def explainer(self) -> explain.Explainer:
+        return explain.Explainer.build(self.forest, iforest.inliers(self._test), self.columns)
+
+    @property
+    def expected_value(self) -> float:
+        return self.explainer.expected_value()
+
+    @cached_property
+    def shap(self) -> DataFrame:
+        return explain.shap_long(self._test, self.key, self.explainer, self.columns, carry=("is_inlier", "is_outlier"))
+
+    @property
+    def importance(self) -> DataFrame:
+        return explain.importance(self.shap)
 
 
 def detect(matrix: DataFrame, key: str, out: str | None = None, nulls: str = "error", n_trees: int = iforest.N_TREES,
            seed: int = iforest.SEED, strict: bool = False) -> Detection:
-    """Label the unusual rows of a feature matrix and say which features made them so."""
+    """Label the unusual rows of a feature matrix and say which features made them so.
+
+    ``strict`` raises when the outlier shares of train and test differ. The node table that comes to the driver has at
+    most ``n_trees`` × 511 rows.
+    """
     columns = [c for c in matrix.columns if c != key]
     rows = iforest.split_rows(iforest.handle_nulls(matrix, columns, nulls), key, seed)
-    trees = iforest.fit(rows.where("split = 'train'"), key, columns, n_trees=n_trees, seed=seed)
-    nodes = trees.toPandas()
-    forest = iforest.Forest(nodes)
-    scored = iforest.score(rows, forest, columns)
-    test = iforest.score(rows.where("split = 'test'"), forest, columns)
-    explainer = explain.Explainer.build(forest, iforest.inliers(test), columns)
-    shap = explain.shap_long(test, key, explainer, columns, carry=("is_inlier", "is_outlier"))
-    result = iforest.label(scored).select(key, *columns, "labels")
+    nodes = iforest.fit(rows.where("split = 'train'"), key, columns, n_trees=n_trees, seed=seed).toPandas()
+    found = Detection(key, columns, rows, nodes, strict)
+    if strict:
+        found.checks.collect()
     if out:
-        writers.write_result_csv(result, f"{out}/result.csv")
-    return Detection(result, scored, iforest.share_check(scored, strict=strict),
-                     matrix.sparkSession.createDataFrame(nodes, iforest.TREES_SCHEMA), shap, explain.importance(shap),
-                     explainer.expected_value())
+        writers.write_result_csv(found.result, f"{out}/result.csv")
+    return found
 
 
 def run_all(spark: SparkSession, manifest: DataFrame, done: DataFrame, out: str, **detect_options) -> Detection:

@@ -5,17 +5,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortqc.operators import reports as P
-from cohortqc.operators import store  # noqa: F401
 from cohortqc.session import shared_folder
 from cohortqc.sources import tables
 from cohortqc.workload.registry import query, rounded
-from cohortqc.workload.views import ctes, load
+from cohortqc.workload.views import ctes, load, stored
 
 N = ctes("numbers_v")
 
 
-def _reports(spark, sf, stage: str, body: Column) -> DataFrame:
-    return load(spark, sf, "numbers_v").select("srr", F.lit(stage).alias("stage"), body.alias("body"))
+def _reports(spark, sf, stage: str, body: Column, variant: str = "") -> DataFrame:
+    """The reports as a pipeline has them: texts on disk, written once per session."""
+    return stored(spark, sf, f"report-{stage}{variant}", lambda: load(spark, sf, "numbers_v").select(
+        "srr", F.lit(stage).alias("stage"), body.alias("body")))
 
 
 def _text(*lines) -> Column:
@@ -166,7 +167,7 @@ def samtools_stats(spark, sf):
 
 
 def _bamtools(spark, sf):
-    return _reports(spark, sf, "aln_stats", _text(
+    return _reports(spark, sf, "bam_stats", _text(
         "**********************************************", "Stats for BAM file(s): ", "",
         ("Total reads:       ", c("n * 1000")), ("Mapped reads:      ", c("n * 1000 - nf"), "\t(99%)"),
         ("Forward strand:    ", c("no * 10"), "\t(50%)"), ("Reverse strand:    ", c("n * 1000 - no * 10"), "\t(50%)"),
@@ -216,7 +217,7 @@ def _rna(spark, sf, correct: str = "nf"):
     return _reports(spark, sf, "rnaseqmetrics", _text(
         "## htsjdk.samtools.metrics.StringHeader", "# CollectRnaSeqMetrics", "## METRICS CLASS\tRnaSeqMetrics",
         "\t".join(_RNA_COLUMNS), tuple(row), "", "## HISTOGRAM\tjava.lang.Integer",
-        "normalized_position\tAll_Reads.normalized_coverage", (histogram,)))
+        "normalized_position\tAll_Reads.normalized_coverage", (histogram,)), f"-{correct}")
 
 
 @query("picard_summary", f"""WITH {N} SELECT srr, n * 5000 AS "PF_BASES", n * 4000 AS "PF_ALIGNED_BASES",
