@@ -2,7 +2,8 @@
 
 These two are the only read-level expressions outside the JVM. Spark's array functions can express them, but walk a
 string one boxed character at a time; here an Arrow batch of strings is one byte array and every step is a vector
-operation, which measured 50 to 100 times faster for trimming.
+operation. On the same 19 million bases and 8 cores that took 0.6 s instead of 2.4 s for trimming and 0.24 s instead of
+0.66 s for sums, scan included.
 """
 from __future__ import annotations
 

@@ -84,6 +84,36 @@ def aligner_counts(alignments: DataFrame) -> DataFrame:
         ((n - n_unaligned) * 100 / n).alias("per_alignment"))
 
 
+def aligner_stage(alignments: DataFrame) -> DataFrame:
+    """The ``hisat2`` stage row from the flags, with the aligner's own bookkeeping.
+
+    A pair counts once and is concordant when flagged proper; it is discordant when both mates are uniquely aligned but
+    not proper. The mates of all other pairs are counted one by one, together with unpaired reads.
+    """
+    rows = alignments.where(primary())
+    nh = F.col("nh") if "nh" in alignments.columns else F.lit(None).cast("int")
+    mapped_read = ~has(UNMAPPED)
+    multi = mapped_read & F.when(nh.isNotNull(), nh > 1).otherwise(F.col("mapq") <= 1)
+    unique = mapped_read & ~multi
+    paired, first = has(PAIRED), has(FIRST)
+    proper = paired & has(PROPER) & mapped_read & ~has(MATE_UNMAPPED)
+    discordant = paired & ~proper & unique & ~has(MATE_UNMAPPED)
+    alone = ~proper & ~discordant
+    n = F.count(F.lit(1))
+
+    def count(condition: Column, name: str) -> Column:
+        return F.count_if(condition).cast("double").alias(name)
+
+    return rows.groupBy("srr").agg(
+        count(~paired | first, "num_reads"), count(paired & first, "num_reads_paired"),
+        count(~paired, "num_reads_unpaired"), count(first & paired & ~proper, "num_concordant_reads_unaligned"),
+        count(first & proper & unique, "num_concordant_reads_uniquely_aligned"),
+        count(first & proper & multi, "num_concordant_multimappers"),
+        count(first & discordant, "num_discordant_reads_aligned"), count(alone & ~mapped_read, "num_unaligned"),
+        count(alone & unique, "num_uniquely_aligned"), count(alone & multi, "num_multimappers"),
+        (F.count_if(mapped_read) * 100 / n).alias("per_alignment"))
+
+
 # ---- duplicates ---------------------------------------------------------------------------------------------------
 
 def _ends(alignments: DataFrame) -> DataFrame:

@@ -70,14 +70,13 @@ def alignment_features(alignments: DataFrame, exons: DataFrame, transcripts: Dat
                        layout: DataFrame, min_mapq: int = 20) -> dict[str, DataFrame]:
     """The stage tables that external programs would report, computed from the alignments themselves."""
     filtered = A.mapq_filter(alignments, min_mapq).where(~A.has(A.UNMAPPED))
-    counts = A.aligner_counts(alignments)
     strand = V.strand_from_agreement(V.strand_agreement(filtered, exons))
     genes = A.gene_counts_by_mode(filtered, exons, A.count_modes(layout, strand))
     junctions = A.junction_summary(A.junction_counts(filtered))
     stretches = V.depth_stretches(filtered, transcripts)
     runs = alignments.select("srr").distinct()
     return {
-        "hisat2": counts,
+        "hisat2": A.aligner_stage(alignments),
         "aln_stats": A.alignment_stats(alignments, min_mapq),
         "markduplicates": A.duplication_rate(filtered),
         "strand": strand,

@@ -14,7 +14,8 @@ def write_stage(rows: DataFrame, path: str, stage: str) -> None:
 
 
 def write_features(features: DataFrame, path: str) -> None:
-    features.write.mode("overwrite").parquet(path)
+    """The feature matrix in key order (first column)."""
+    features.orderBy(features.columns[0]).write.mode("overwrite").parquet(path)
 
 
 def write_result_csv(result: DataFrame, path: str) -> None:

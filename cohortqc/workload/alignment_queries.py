@@ -93,6 +93,32 @@ def aligner_counts_paired(spark, sf):
     return rounded(A.aligner_counts(load(spark, sf, "paired_v")))
 
 
+def _stage_sql(view: str) -> str:
+    return f"""WITH {ctes(view)}, f AS (SELECT srr, flag & 1 > 0 AS pe, flag & 64 > 0 AS one, flag & 4 = 0 AS ok,
+        flag & 3 = 3 AND flag & 12 = 0 AS proper, flag & 4 = 0 AND mapq > 1 AS uniq, flag & 4 = 0 AND mapq <= 1 AS multi,
+        flag & 3 = 1 AND flag & 12 = 0 AND mapq > 1 AS disc FROM {view})
+      SELECT srr, count(*) FILTER (NOT pe OR one)::DOUBLE AS num_reads, count(*) FILTER (one)::DOUBLE AS num_reads_paired,
+        count(*) FILTER (NOT pe)::DOUBLE AS num_reads_unpaired,
+        count(*) FILTER (one AND NOT proper)::DOUBLE AS num_concordant_reads_unaligned,
+        count(*) FILTER (one AND proper AND uniq)::DOUBLE AS num_concordant_reads_uniquely_aligned,
+        count(*) FILTER (one AND proper AND multi)::DOUBLE AS num_concordant_multimappers,
+        count(*) FILTER (one AND disc)::DOUBLE AS num_discordant_reads_aligned,
+        count(*) FILTER (NOT proper AND NOT disc AND NOT ok)::DOUBLE AS num_unaligned,
+        count(*) FILTER (NOT proper AND NOT disc AND uniq)::DOUBLE AS num_uniquely_aligned,
+        count(*) FILTER (NOT proper AND NOT disc AND multi)::DOUBLE AS num_multimappers,
+        round(count(*) FILTER (ok) * 100 / count(*), 6) AS per_alignment FROM f GROUP BY srr"""
+
+
+@query("aligner_stage", _stage_sql("alignments_v"))
+def aligner_stage(spark, sf):
+    return rounded(A.aligner_stage(reads(spark, sf)))
+
+
+@query("aligner_stage_paired", _stage_sql("paired_v"))
+def aligner_stage_paired(spark, sf):
+    return rounded(A.aligner_stage(load(spark, sf, "paired_v")))
+
+
 _FIVE_PRIME = """CASE WHEN flag & 16 > 0 THEN pos + len - 1 WHEN cigar = '5S45M' THEN pos - 5 ELSE pos END"""
 _SINGLE_ENDS = f"""templates AS (SELECT srr, qname, ref, {_FIVE_PRIME} AS e1, flag & 16 AS r1, NULL AS e2, false AS is_pair,
       {_QUALITY.format(15)} AS score FROM alignments_v JOIN spans USING (cigar) WHERE flag <> 4)"""

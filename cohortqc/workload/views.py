@@ -161,7 +161,8 @@ VIEWS: dict[str, str] = {
         FROM orders""",
     "paired_v": """
         SELECT srr, qname,
-               CASE WHEN kind = '4-NOT SPECIFIED' THEN 73 WHEN orient = 'F' THEN 97 WHEN orient = 'O' THEN 81
+               CASE WHEN kind = '4-NOT SPECIFIED' THEN 73 WHEN orient = 'F' AND kind <> '5-LOW' THEN 99
+                    WHEN orient = 'F' THEN 97 WHEN orient = 'O' THEN 81
                     ELSE 65 END AS flag,
                ref, pos, mapq, '50M' AS cigar,
                CASE WHEN kind = '5-LOW' THEN 'chrX' ELSE '=' END AS rnext,
@@ -170,7 +171,8 @@ VIEWS: dict[str, str] = {
         FROM templates_v
         UNION ALL
         SELECT srr, qname,
-               CASE WHEN kind = '4-NOT SPECIFIED' THEN 133 WHEN orient = 'F' THEN 145 WHEN orient = 'O' THEN 161
+               CASE WHEN kind = '4-NOT SPECIFIED' THEN 133 WHEN orient = 'F' AND kind <> '5-LOW' THEN 147
+                    WHEN orient = 'F' THEN 145 WHEN orient = 'O' THEN 161
                     ELSE 129 END AS flag,
                CASE WHEN kind = '5-LOW' THEN 'chrX' ELSE ref END AS ref, pos + size - 50 AS pos, mapq, '50M' AS cigar,
                CASE WHEN kind = '5-LOW' THEN ref ELSE '=' END AS rnext,

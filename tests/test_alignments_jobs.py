@@ -90,7 +90,7 @@ def test_coordinate_sort(spark):
     assert got == sorted(got)
 
 
-def test_alignment_features(spark):
+def test_alignment_features(spark, tmp_path):
     reads = []
     for i in range(40):
         reads.append(("s", f"a{i}", 16 if i % 8 == 0 else 0, "c", 100 + 5 * i, 60, "50M", "*", 0, 0, "*", "I" * 50, 1))
@@ -114,7 +114,8 @@ def test_alignment_features(spark):
     metrics = out["rnaseqmetrics"].first()
     assert metrics.percent_coding_bases > 99 and metrics.percent_intergenic_bases == 0
     for stage, rows in out.items():
-        assert rows.count() == 1, stage
+        sinks.write_stage(rows, f"{tmp_path}/{stage}", stage)
+        assert tables.read_store(spark, f"{tmp_path}/{stage}", stage).count() == 1, stage
 
 
 def fastq_lines(srr, mate, n):
