@@ -181,11 +181,10 @@ def trim_counts(reads: DataFrame, paired: bool = False, cutoff: int = 20, min_le
 
     Only the kept length is computed, no trimmed string. Mates of a pair count once, and fall together.
     """
-    short = quality_cut(F.col("qual"), cutoff) < min_length
+    short = (quality_cut(F.col("qual"), cutoff) < min_length).alias("short")
+    marked = reads.select("srr", "read_no", short)
     if paired:
-        marked = reads.groupBy("srr", "read_no").agg(F.bool_or(short).alias("short"))
-    else:
-        marked = reads.select("srr", short.alias("short"))
+        marked = marked.groupBy("srr", "read_no").agg(F.bool_or("short").alias("short"))
     return marked.groupBy("srr").agg(
         F.count(F.lit(1)).alias("total_processed"),
         F.count_if(~F.col("short")).alias("total_written"),

@@ -183,6 +183,20 @@ def trim_counts(spark, sf):
     return O.trim_gate(O.trim_counts(O.valid_reads(single(spark, sf))), min_written=160)
 
 
+@query("trim_counts_paired", f"""WITH {ctes('mates_v')}, {_decoded('mates_v', 'r')}, bases AS (
+      SELECT srr, mate, read_no, length(qual) - p + 1 AS step, 20 - (ascii(substr(qual, p, 1)) - 33) AS d
+      FROM (SELECT *, unnest(range(1, length(qual) + 1)) AS p FROM r) t),
+    running AS (SELECT *, sum(d) OVER (PARTITION BY srr, mate, read_no ORDER BY step) AS s FROM bases),
+    live AS (SELECT *, min(s) OVER (PARTITION BY srr, mate, read_no ORDER BY step) >= 0 AS alive FROM running),
+    kept AS (SELECT srr, mate, read_no, count(*) - coalesce(arg_min(step, struct_pack(a := -s, b := step))
+               FILTER (alive AND s > 0), 0) AS n FROM live GROUP BY srr, mate, read_no),
+    templates AS (SELECT srr, read_no, bool_or(n < 25) AS short FROM kept GROUP BY srr, read_no)
+    SELECT srr, count(*) AS total_processed, count(*) FILTER (NOT short) AS total_written,
+      count(*) FILTER (short) AS too_short FROM templates GROUP BY srr""")
+def trim_counts_paired(spark, sf):
+    return O.trim_counts(mates(spark, sf), paired=True)
+
+
 @query("subset_reads", f"""WITH {ctes('reads_v')}
     SELECT srr, read_no, length(seq) AS n FROM reads_v
     QUALIFY row_number() OVER (PARTITION BY srr ORDER BY md5(srr || ':' || CAST(read_no AS VARCHAR)), read_no) <= 100""")
