@@ -109,6 +109,12 @@ class FastqDataSource(DataSource):
         return FastqReader(dict(self.options))
 
 
+def register(spark: SparkSession) -> None:
+    """Make ``format("fastq")`` known to a session. Spark refuses sources that accept filters unless they are enabled."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(FastqDataSource)
+
+
 def _run_and_mate(pattern: str):
     mate = F.nullif(F.regexp_extract("path", pattern, 2), F.lit("")).cast("int")
     return F.regexp_extract("path", pattern, 1).alias("srr"), mate
@@ -162,7 +168,7 @@ def read_plain(spark: SparkSession, paths, pattern: str = FILE_NAME) -> DataFram
 
 def read_fastq(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
     """Reads of all FASTQ files of a folder. File names are listed on the driver, as for any Spark file source."""
-    spark.dataSource.register(FastqDataSource)
+    register(spark)
     paths = [row.path for row in list_files(spark, folder, pattern).select("path").toLocalIterator()]
     zipped = [p for p in paths if p.endswith(".gz")]
     plain = [p for p in paths if not p.endswith(".gz")]

@@ -189,7 +189,7 @@ def test_plain_fastq_is_split_exactly(spark, tmp_path):
 
 
 def test_literal_text_source(spark):
-    spark.dataSource.register(fastq.FastqDataSource)
+    fastq.register(spark)
     rows = spark.read.format("fastq").option("text", fastq_text(2, "x")).option("srr", "x").load().collect()
     assert [(r.srr, r.read_no, r.seq) for r in rows] == [("x", 0, "ACGT"), ("x", 1, "ACGTA")]
 
