@@ -5,8 +5,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortqc.llm import exact_dedup, mixing, packing, quality_rules, simhash_dedup
+from cohortqc.llm import (
+    exact_dedup, language_id, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_counts, toxicity,
+)
 from cohortqc.llm.common import documents
+from cohortqc.session import shared_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -42,11 +45,38 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cache = shared_folder(spark, "token-counts")
+    return token_counts.token_counts(spark, documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), cache)
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(spark, documents(spark, sf_dir))
+
+
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(spark, documents(spark, sf_dir), lm_scoring.contract_fold())
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark, documents(spark, sf_dir), language_id.contract_fold())
+
+
 @query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(spark, documents(spark, sf_dir))
 
 
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.toxicity(spark, documents(spark, sf_dir), labels, toxicity.contract_fold())
+
+
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
