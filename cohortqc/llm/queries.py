@@ -82,7 +82,36 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@query("op10_pfair_mixing")
+# One cycle is scheduled slot by slot: of the sources whose next block is released, the one with the earliest deadline.
+OP10_SQL = f"""
+WITH RECURSIVE k AS (
+  SELECT doc_id, source, coalesce('=' || source, '-') AS s, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+t AS (SELECT s, count(*) AS n, sqrt(count(*)) AS w FROM k GROUP BY s),
+q AS (SELECT s, n, greatest(1, round(w / (SELECT sum(w) FROM t) * {mixing.RESOLUTION}))::BIGINT AS q FROM t),
+c AS (SELECT list(s ORDER BY s) AS ss, list(q ORDER BY s) AS qs, sum(q)::BIGINT AS cycle FROM q),
+step AS (
+  SELECT 0::BIGINT AS t, 0::BIGINT AS pick, list_transform(qs, lambda x: 0::BIGINT) AS done FROM c WHERE cycle IS NOT NULL
+  UNION ALL
+  SELECT t + 1, p, list_transform(done, lambda n, i: n + CASE WHEN i = p THEN 1 ELSE 0 END) FROM (
+    SELECT t, done, cycle, list_min(list_filter(list_transform(done, lambda n, i:
+      CASE WHEN n < qs[i] AND n * cycle // qs[i] <= t THEN [((n + 1) * cycle + qs[i] - 1) // qs[i], i] END),
+      lambda x: x IS NOT NULL))[2] AS p
+    FROM step, c WHERE t < cycle) x),
+slots AS (
+  SELECT ss[pick] AS s, t - 1 AS turn_slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn
+  FROM step, c WHERE t > 0),
+r AS (
+  SELECT doc_id, source, s, n, q, cycle, row_number() OVER (PARTITION BY s ORDER BY h, doc_id) - 1 AS source_rank
+  FROM k JOIN q USING (s), c),
+b AS (SELECT *, source_rank // {mixing.BLOCK_DOCS} AS block FROM r),
+p AS (SELECT b.*, (block // q) * cycle + turn_slot AS slot FROM b JOIN slots ON b.s = slots.s AND block % q = turn)
+SELECT doc_id, source, source_rank, block, block * cycle // q AS release, ((block + 1) * cycle + q - 1) // q AS deadline,
+  slot, source_rank % {mixing.BLOCK_DOCS} AS place,
+  slot <= (SELECT min(m) FROM (SELECT max(slot) AS m FROM p GROUP BY s)) AS on_target
+FROM p"""
+
+
+@query("op10_pfair_mixing", OP10_SQL)
 def op10_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return mixing.mixed(spark, docs, mixing.root_targets(docs))
