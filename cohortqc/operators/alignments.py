@@ -119,7 +119,8 @@ def aligner_stage(alignments: DataFrame) -> DataFrame:
 def _ends(alignments: DataFrame) -> DataFrame:
     """One row per template: its one or two ends in a fixed order and its summed base quality.
 
-    A single read, or a read whose mate is unmapped, is a template as it stands; only true pairs are brought together.
+    A single read, or a read whose mate is unmapped or not among the alignments, is a template as it stands; only true
+    pairs are brought together.
     """
     reverse = has(REVERSE)
     end = F.struct("ref", C.unclipped_five_prime(F.col("pos"), F.col("cigar"), reverse).alias("five_prime"),
@@ -130,8 +131,9 @@ def _ends(alignments: DataFrame) -> DataFrame:
     singles = rows.where(~both).select("srr", "qname", F.array(end).alias("ends"), score.cast("bigint").alias("score"))
     pairs = (rows.where(both).select("srr", "qname", end.alias("_end"), score.cast("bigint").alias("_score"))
              .groupBy("srr", "qname").agg(F.min("_end").alias("_lo"), F.max("_end").alias("_hi"),
-                                          F.sum("_score").alias("score"))
-             .select("srr", "qname", F.array("_lo", "_hi").alias("ends"), "score"))
+                                          F.sum("_score").alias("score"), F.count(F.lit(1)).alias("_n"))
+             .select("srr", "qname", F.when(F.col("_n") > 1, F.array("_lo", "_hi")).otherwise(F.array("_lo")).alias("ends"),
+                     "score"))
     return singles.unionByName(pairs)
 
 
@@ -199,13 +201,14 @@ def shape_key(shapes: DataFrame) -> list[str]:
 def fragments(alignments: DataFrame, paired: bool = False, min_size: int = 50, max_size: int = 600) -> DataFrame:
     """Countable fragments, collapsed to distinct shapes with a count ``n``.
 
-    Single reads are their own fragment. Of pairs, both ends must be mapped to one chromosome and span 50 to 600
+    Single reads are their own fragment; taken one by one, the second mate of a pair counts on the other strand. Of pairs, both ends must be mapped to one chromosome and span 50 to 600
     bases; the strand is that of mate 1. Copies of one shape become one row before any CIGAR is expanded and before
     anything is joined, so a pile-up costs one row per run and shape.
     """
     rows = alignments.where(primary() & ~has(UNMAPPED))
     if not paired:
-        shapes = rows.select("srr", "ref", has(REVERSE).alias("reverse"), "pos", "cigar")
+        flipped = has(PAIRED) & has(SECOND)
+        shapes = rows.select("srr", "ref", (has(REVERSE) != flipped).alias("reverse"), "pos", "cigar")
     else:
         second = has(SECOND)
 
@@ -282,14 +285,20 @@ def gene_counts_by_mode(alignments: DataFrame, exons: DataFrame, modes: DataFram
     return hits.groupBy("srr", "gene_id").agg(F.sum("n").alias("count"))
 
 
-def gene_count_summary(counts: DataFrame, runs: DataFrame, exons: DataFrame) -> DataFrame:
+def gene_count_summary(counts: DataFrame, runs: DataFrame, exons: DataFrame,
+                       counted: DataFrame | None = None) -> DataFrame:
     """Per run: genic reads and the percent of all genes with any read. Genes without reads need no rows: they only
-    add to the denominator, which is one number."""
+    add to the denominator, which is one number. With ``counted`` (the runs that could be counted), other runs get null
+    instead of zero."""
     n_genes = exons.agg(F.count_distinct("gene_id").alias("v")).scalar()
     per_run = counts.groupBy("srr").agg(F.sum("count").alias("_sum"), F.count_if(F.col("count") > 0).alias("_on"))
-    return (runs.select("srr").distinct().join(per_run, "srr", "left")
-            .select("srr", F.coalesce("_sum", F.lit(0)).alias("number_genic_reads"),
-                    (F.coalesce(F.col("_on"), F.lit(0)) * 100 / n_genes).alias("percent_genes_on")))
+    known = runs.select("srr").distinct().join(per_run, "srr", "left")
+    zero = F.lit(0)
+    if counted is not None:
+        known = known.join(counted.select("srr", F.lit(True).alias("_counted")).distinct(), "srr", "left")
+        zero = F.when(F.col("_counted"), 0)
+    return known.select("srr", F.coalesce("_sum", zero).alias("number_genic_reads"),
+                        (F.coalesce(F.col("_on"), zero) * 100 / n_genes).alias("percent_genes_on"))
 
 
 def count_table_summary(counts: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def handle_nulls(features: DataFrame, columns: list[str], nulls: str = "error")
     if nulls == "drop":
         return features.na.drop(subset=columns)
     if nulls == "median":
-        row = features.agg(*[F.percentile_approx(F.col(c), 0.5, 100_000).alias(c) for c in columns]).first()
+        row = features.agg(*[F.median(F.col(c)).alias(c) for c in columns]).first()
         return features.na.fill({c: row[c] for c in columns if row[c] is not None}, columns)
     if nulls != "error":
         raise ValueError("nulls must be 'error', 'drop' or 'median'")

@@ -75,11 +75,13 @@ def valid_pairs(reads: DataFrame, strict_header: bool = False) -> DataFrame:
 def abi_runs(reads: DataFrame) -> DataFrame:
     """Per run: does the first read of either mate look like colour space?
 
-    One aggregate: the smallest read number carries its sequence, so the test needs no sort and no window.
+    Reads are numbered from zero, so the filter reaches the scan and one row per file is left; runs come from their
+    keys alone.
     """
-    first = F.min_by(F.col("seq"), F.col("read_no"))
-    return (reads.groupBy("srr", "mate").agg(R.is_abi(first).alias("abi"))
-            .groupBy("srr").agg(F.bool_or(F.coalesce("abi", F.lit(False))).alias("is_abi")))
+    runs = reads.select("srr").distinct()
+    first = reads.where("read_no = 0").groupBy("srr").agg(
+        F.bool_or(F.coalesce(R.is_abi(F.col("seq")), F.lit(False))).alias("is_abi"))
+    return runs.join(first, "srr", "left").select("srr", F.coalesce("is_abi", F.lit(False)).alias("is_abi"))
 
 
 def layout_call(n1: Column, n2: Column, n_mixed: Column, paired: Column, size1: Column, size2: Column) -> Column:

@@ -240,10 +240,12 @@ def rna_projection(summary: DataFrame) -> DataFrame:
 
 
 def coverage_histogram(reports: DataFrame) -> DataFrame:
-    """The 101 normalised coverage values as one array (``genebody_coverage`` stage row)."""
+    """The 101 normalised coverage values as one array (``genebody_coverage`` stage row); null where a report has any
+    other number of rows."""
     table = F.regexp_extract("body", r"(?:^|\n)normalized[^\n]*\n([\s\S]*)", 1)
-    rows = F.slice(F.filter(X.lines(table), lambda r: (r != "") & ~r.startswith("#")), 1, schemas.N_COVERAGE)
-    return reports.select("srr", F.transform(rows, lambda r: X.number(F.get(X.fields(r), 1))).alias("coverage"))
+    rows = F.filter(X.lines(table), lambda r: (r != "") & ~r.startswith("#"))
+    values = F.transform(rows, lambda r: X.number(F.get(X.fields(r), 1)))
+    return reports.select("srr", F.when(F.size(values) == schemas.N_COVERAGE, values).alias("coverage"))
 
 
 def strand_call(first: DataFrame, second: DataFrame, threshold: float = 0.75) -> DataFrame:

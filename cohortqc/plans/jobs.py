@@ -71,7 +71,8 @@ def alignment_features(alignments: DataFrame, exons: DataFrame, transcripts: Dat
     """The stage tables that external programs would report, computed from the alignments themselves."""
     filtered = A.mapq_filter(alignments, min_mapq).where(~A.has(A.UNMAPPED))
     strand = V.strand_from_agreement(V.strand_agreement(filtered, exons))
-    genes = A.gene_counts_by_mode(filtered, exons, A.count_modes(layout, strand))
+    modes = A.count_modes(layout, strand)
+    genes = A.gene_counts_by_mode(filtered, exons, modes)
     junctions = A.junction_summary(A.junction_counts(filtered))
     stretches = V.depth_stretches(filtered, transcripts)
     runs = alignments.select("srr").distinct()
@@ -84,7 +85,7 @@ def alignment_features(alignments: DataFrame, exons: DataFrame, transcripts: Dat
             "srr", "percent_coding_bases", "percent_utr_bases", "percent_intronic_bases", "percent_intergenic_bases",
             "percent_mrna_bases").join(V.coverage_evenness(stretches), "srr", "left"),
         "genebody_coverage": V.gene_body_coverage(stretches),
-        "count_summary": A.gene_count_summary(genes, runs, exons).join(junctions, "srr", "left").na.fill(
+        "count_summary": A.gene_count_summary(genes, runs, exons, modes).join(junctions, "srr", "left").na.fill(
             0, ["number_junction_reads", "number_junctions_on"]),
     }
 

@@ -54,11 +54,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop_path)
 
 
-def file_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of a file or folder."""
-    system, hadoop_path = _hadoop(spark, path)
-    return system.getContentSummary(hadoop_path).getLength()
-
-
 def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)

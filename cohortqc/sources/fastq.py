@@ -1,7 +1,8 @@
 """FASTQ input: a batch data source for compressed files and a splittable reader for plain ones.
 
-``format("fastq")`` streams each file through one task, which is all gzip allows. Plain text has no such limit:
-``read_plain`` cuts files by Spark's own splits and numbers the lines exactly, so one huge file is read by many tasks.
+Folders are read by Spark's text source, so any file system Spark knows will do. A compressed file is one split, and its
+lines are put together to reads where they are read. Plain text is cut by Spark's own splits: ``read_plain`` numbers the
+lines exactly, so one huge file is read by many tasks. ``format("fastq")`` reads single files and literal text.
 """
 from __future__ import annotations
 
@@ -20,7 +21,8 @@ from cohortqc import schemas
 from cohortqc.functions.reads import decode
 
 # ---- Fixed values: accepted names, <run>.fastq.gz for single files, <run>_1 and <run>_2 for mates. ----------------
-FILE_NAME = r"([^/_]+)(?:_([12]))?\.f(?:ast)?q(?:\.gz)?$"
+FILE_NAME = r"(?:^|/)([^/_]+)(?:_([12]))?\.f(?:ast)?q(?:\.gz)?$"
+ANY_FASTQ = r"\.f(?:ast)?q(?:\.gz)?$"
 BATCH_READS = 16_384
 
 
@@ -128,12 +130,20 @@ def list_files(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> Da
             .select("path", "size", srr, mate.alias("mate")))
 
 
+def unfit_files(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
+    """FASTQ files of a folder whose names tell no run; they are read by nothing."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+            .select("path", F.col("length").alias("size"))
+            .where(F.col("path").rlike(ANY_FASTQ) & ~F.col("path").rlike(pattern)))
+
+
 def file_roles(files: DataFrame) -> DataFrame:
-    """Per run: paired or single, and the file sizes. Names match the run exactly, never by prefix."""
+    """Per run: paired or single, and the sizes of each mate's files together. Names match the run exactly, never by
+    prefix."""
     return files.groupBy("srr").agg(
         F.bool_or(F.col("mate").isNotNull()).alias("paired"),
-        F.max(F.when(F.coalesce("mate", F.lit(1)) == 1, F.col("size"))).alias("size1"),
-        F.max(F.when(F.col("mate") == 2, F.col("size"))).alias("size2"))
+        F.sum(F.when(F.coalesce("mate", F.lit(1)) == 1, F.col("size"))).alias("size1"),
+        F.sum(F.when(F.col("mate") == 2, F.col("size"))).alias("size2"))
 
 
 def missing_runs(manifest: DataFrame, roles: DataFrame) -> DataFrame:
@@ -141,16 +151,66 @@ def missing_runs(manifest: DataFrame, roles: DataFrame) -> DataFrame:
     return manifest.join(roles, "srr", "left_anti").select("srr").distinct()
 
 
-def read_plain(spark: SparkSession, paths, pattern: str = FILE_NAME) -> DataFrame:
-    """Plain-text FASTQ, split inside files.
+RECORDS = "path string, read_no long, h1 string, seq string, h2 string, qual string"
+
+
+def _assemble(batches):
+    """Lines of whole files, in order, to records of four; a file's last record may lack lines."""
+    path, lines, read_no = None, [], 0
+
+    def records(final: bool):
+        nonlocal lines, read_no
+        n = -(-len(lines) // 4) if final else len(lines) // 4
+        taken = lines[:4 * n] + [None] * (4 * n - len(lines))
+        lines = lines[4 * n:]
+        columns = [taken[i::4] for i in range(4)]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([path] * n, pa.string()), pa.array(range(read_no, read_no + n), pa.int64()),
+             *[pa.array(c, pa.string()) for c in columns]], names=["path", "read_no", "h1", "seq", "h2", "qual"])
+        read_no += n
+        return batch
+
+    for batch in batches:
+        paths = batch.column("path").dictionary_encode()
+        values = batch.column("value").to_pylist()
+        names, codes = paths.dictionary.to_pylist(), paths.indices.to_numpy()
+        at = 0
+        while at < len(values):
+            end = at + 1
+            while end < len(values) and codes[end] == codes[at]:
+                end += 1
+            if names[codes[at]] != path:
+                if lines:
+                    yield records(final=True)
+                path, lines, read_no = names[codes[at]], [], 0
+            lines += values[at:end]
+            at = end
+        if lines:
+            yield records(final=False)
+    if lines:
+        yield records(final=True)
+
+
+def _named(records: DataFrame, pattern: str) -> DataFrame:
+    srr, mate = _run_and_mate(pattern)
+    return (records.where("seq IS NOT NULL OR qual IS NOT NULL")
+            .select("path", srr, F.coalesce(mate, F.lit(1)).alias("mate"), "read_no", "h1", "seq", "h2", "qual"))
+
+
+def _zipped_records(spark: SparkSession, paths, pattern: str) -> DataFrame:
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").text(paths).select(F.col("_metadata.file_path").alias("path"), decode(F.col("value")).alias("value"))
+    return _named(lines.where(F.col("path").rlike(pattern)).mapInArrow(_assemble, RECORDS), pattern)
 
-    A split knows its offset in the file, and lines keep their order inside it. Counting the lines of every split (one
-    row per split) gives each split the number of lines before it, and with that every line its exact number; four
+
+def _plain_records(spark: SparkSession, paths, pattern: str) -> DataFrame:
+    """A split knows its offset in the file, and lines keep their order inside it. Counting the lines of every split
+    (one row per split) gives each split the number of lines before it, and with that every line its exact number; four
     consecutive numbers are one read. No guess about where a record starts is needed.
     """
-    lines = (spark.read.text(paths)
+    lines = (spark.read.option("recursiveFileLookup", "true").text(paths)
              .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("at"), "value"))
+                     F.monotonically_increasing_id().alias("at"), "value")
+             .where(F.col("path").rlike(pattern) & ~F.col("path").endswith(".gz")))
     blocks = (lines.groupBy("path", "block").agg(F.min("at").alias("first_at"), F.count(F.lit(1)).alias("n")))
     before = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -159,25 +219,32 @@ def read_plain(spark: SparkSession, paths, pattern: str = FILE_NAME) -> DataFram
                 .withColumn("line_no", F.col("before") + F.col("at") - F.col("first_at")))
     slot = F.col("line_no") % 4
     record = numbered.groupBy("path", F.expr("line_no div 4").alias("read_no")).agg(
-        *[F.max(F.when(slot == i, F.col("value"))).alias(c) for i, c in enumerate(("h1", "seq", "h2", "qual"))])
-    srr, mate = _run_and_mate(pattern)
-    return (record.where("seq IS NOT NULL OR qual IS NOT NULL")
-            .select(srr, F.coalesce(mate, F.lit(1)).alias("mate"), "read_no", *[
-                decode(F.col(c)).alias(c) for c in ("h1", "seq", "h2", "qual")]))
+        *[F.max(F.when(slot == i, decode(F.col("value")))).alias(c) for i, c in enumerate(("h1", "seq", "h2", "qual"))])
+    return _named(record, pattern)
+
+
+def _numbered(records: DataFrame) -> DataFrame:
+    """Read numbers over all part files of a run and mate, in the order of their names: one row per file is counted."""
+    files = records.groupBy("srr", "mate", "path").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("srr", "mate").orderBy("path").rowsBetween(W.unboundedPreceding, -1)
+    offsets = files.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return records.join(offsets, "path").select(
+        "srr", "mate", (F.col("read_no") + F.col("before")).alias("read_no"), "h1", "seq", "h2", "qual")
+
+
+def read_plain(spark: SparkSession, paths, pattern: str = FILE_NAME) -> DataFrame:
+    """Plain-text FASTQ, split inside files."""
+    return _numbered(_plain_records(spark, paths, pattern))
 
 
 def read_fastq(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
-    """Reads of all FASTQ files of a folder. File names are listed on the driver, as for any Spark file source."""
-    register(spark)
-    paths = [row.path for row in list_files(spark, folder, pattern).select("path").toLocalIterator()]
-    zipped = [p for p in paths if p.endswith(".gz")]
-    plain = [p for p in paths if not p.endswith(".gz")]
-    parts = []
-    if zipped:
-        parts.append(spark.read.format("fastq").option("path", ",".join(zipped)).option(
-            "pattern", pattern).load())
-    if plain:
-        parts.append(read_plain(spark, plain, pattern))
-    if not parts:
+    """Reads of all FASTQ files of a folder, compressed or plain; files whose names do not fit are left out
+    (``unfit_files`` names them). Spark lists the files."""
+    files = list_files(spark, folder, pattern).select(F.col("path").endswith(".gz").alias("gz")).distinct()
+    kinds = {row.gz for row in files.collect()}  # two rows at most
+    if not kinds:
         raise ValueError(f"no FASTQ files under {folder}")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    parts = [_zipped_records(spark, folder, pattern)] if True in kinds else []
+    if False in kinds:
+        parts.append(_plain_records(spark, folder, pattern))
+    return _numbered(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))

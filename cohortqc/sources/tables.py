@@ -28,12 +28,19 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """Last column of count tables (``#`` comments, one header line, tab-separated), with the run from the file name.
 
-    The header is the first line that is no comment; its last field is no number, so it drops out by the cast.
+    The header is the first line of a file that is no comment, whatever it holds; a count that is no whole number is an
+    error.
     """
-    lines = spark.read.text(path).select(F.regexp_extract("_metadata.file_name", r"^([^.]+)", 1).alias("srr"), "value")
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    lines = (spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), place.alias("place"), "value")
+             .where(~F.col("value").startswith("#") & (F.col("value") != "")))
+    header = lines.groupBy("path").agg(F.min("place").alias("header"))
     last = F.element_at(F.split("value", "\t"), -1)
-    return (lines.where(~F.col("value").startswith("#") & (F.col("value") != ""))
-            .select("srr", last.try_cast("bigint").alias("count")).where(F.col("count").isNotNull()))
+    count = last.try_cast("bigint")
+    return lines.join(header, "path").where("place <> header").select(
+        F.regexp_extract("path", r"([^./]+)[^/]*$", 1).alias("srr"),
+        F.coalesce(count, F.raise_error(F.concat(F.lit("no count in "), "path", F.lit(": "), "value")).cast("bigint"))
+        .alias("count"))
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
@@ -93,7 +100,7 @@ def read_store(spark: SparkSession, path: str, stage: str) -> DataFrame:
 
 
 def read_done(spark: SparkSession, path: str) -> DataFrame:
-    """The done table; runs marked twice count once."""
+    """The done table as it is; what reads it treats runs as a set."""
     if not path_exists(spark, path):
         return empty(spark, schemas.DONE)
     return spark.read.schema(schemas.DONE).parquet(path)

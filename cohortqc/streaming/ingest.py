@@ -1,30 +1,41 @@
-"""Incremental ingest as streams over the done table."""
+"""Incremental ingest as streams; batch and stream share one store, a plain Parquet table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortqc import schemas
-from cohortqc.sources.tables import read_stage_folder
+from cohortqc.operators.store import append_new
+from cohortqc.session import path_exists
+from cohortqc.sources.tables import read_done
 
 
-def new_done_runs(spark: SparkSession, done_path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of finished runs, each once: the keyed state is the store's set of keys."""
-    reader = spark.readStream.schema(schemas.DONE)
+def arrivals(spark: SparkSession, schema, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream of the keys that arrive in a table."""
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(done_path).select("srr").dropDuplicates(["srr"])
+    return reader.parquet(path).select("srr")
 
 
 def stream_stage(spark: SparkSession, stage: str, folder_path: str, done_path: str, store_path: str,
                  checkpoint_path: str, max_files: int | None = None):
-    """Append the stage rows of newly finished runs; returns the started query.
+    """Append the stage rows of finished runs to the store; returns the started query.
 
-    The done table drives the stream because a stage row is written before its run is finished. ``availableNow``
-    works off what is there and stops; the checkpoint makes the next call go on from there, exactly once.
+    New files in the done table or in the stage folder start a batch; a batch takes whatever the store lacks of all
+    finished runs, so a stage row that arrives after its run is done is taken too, and a repeated batch adds nothing.
+    No keyed state is held. ``availableNow`` works off what is there and stops; the checkpoint makes the next call go
+    on from there.
     """
-    rows = new_done_runs(spark, done_path, max_files).join(read_stage_folder(spark, folder_path, stage), "srr")
-    return (rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint_path)
-            .trigger(availableNow=True).start(store_path))
+    keys = arrivals(spark, schemas.DONE, done_path, max_files)
+    if path_exists(spark, folder_path):
+        keys = keys.unionByName(arrivals(spark, schemas.STAGES[stage], folder_path, max_files))
+
+    def take(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        append_new(session, read_done(session, done_path), folder_path, store_path, stage)
+
+    return (keys.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_path)
+            .trigger(availableNow=True).start())
 
 
 def stream_all(spark: SparkSession, root: str, done_path: str, checkpoint_root: str, timeout: int | None = None) -> None:

@@ -80,14 +80,20 @@ def _comma(text: str) -> Column:
     return F.format_number(c(text), 0)
 
 
+def _share(part: str, of: str):
+    """A percentage as the tools print it."""
+    return F.format_string("%.1f%%", c(part) * 100 / F.greatest(c(of), F.lit(1)))
+
+
 def _trim(spark, sf):
+    written = "n * 1000 - np * 900"
     single = _text("Reads                     records  fraction", ("Total reads processed:      ", _comma("n * 1100")),
-                   ("Reads that were too short:     ", _comma("nf * 7"), "      2.2%"),
-                   ("Reads written (passing filters):       ", _comma("n * 1000 - np * 900"), "     97.8%"))
+                   ("Reads that were too short:     ", _comma("nf * 7"), "      ", _share("nf * 7", "n * 1100")),
+                   ("Reads written (passing filters):       ", _comma(written), "     ", _share(written, "n * 1100")))
     pairs = _text("Pairs                     records  fraction", ("Total read pairs processed:   ", _comma("n * 1100")),
-                  "Read 1 with adapter:           106     7.8%",
-                  ("Pairs that were too short:     ", _comma("nf * 7"), "      2.2%"),
-                  ("Pairs written (passing filters):       ", _comma("n * 1000 - np * 900"), "     97.8%"))
+                  ("Read 1 with adapter:      ", _comma("nf * 3"), "     ", _share("nf * 3", "n * 1100")),
+                  ("Pairs that were too short:     ", _comma("nf * 7"), "      ", _share("nf * 7", "n * 1100")),
+                  ("Pairs written (passing filters):       ", _comma(written), "     ", _share(written, "n * 1100")))
     broken = F.lit("ERROR: cannot open file")
     body = F.when(c("no = 0"), broken).when(c("nf > no"), pairs).otherwise(single)
     return _reports(spark, sf, "atropos", body)
@@ -102,21 +108,23 @@ def trim_log(spark, sf):
 
 
 def _aligner(spark, sf):
-    single = _text((c("n * 1000"), " reads; of these:"), ("  ", c("n * 1000"), " (100.00%) were unpaired; of these:"),
-                   ("    ", c("np * 100"), " (4.32%) aligned 0 times"),
-                   ("    ", c("no * 200"), " (91.45%) aligned exactly 1 time"),
-                   ("    ", c("nf * 10"), " (4.23%) aligned >1 times"), (c("no * 3"), ".5% overall alignment rate"))
+    def line(indent: int, count: str, of: str, text: str):
+        return " " * indent, c(count), " (", _share(count, of), f") {text}"
+
+    single = _text((c("n * 1000"), " reads; of these:"), line(2, "n * 1000", "n * 1000", "were unpaired; of these:"),
+                   line(4, "np * 100", "n * 1000", "aligned 0 times"),
+                   line(4, "no * 200", "n * 1000", "aligned exactly 1 time"),
+                   line(4, "nf * 10", "n * 1000", "aligned >1 times"), (c("no * 3"), ".5% overall alignment rate"))
     pairs = _text("Warning: skipped 3 reads; of these:", (c("n * 500"), " reads; of these:"),
-                  ("  ", c("n * 500"), " (100.00%) were paired; of these:"),
-                  ("    ", c("nf * 11"), " (34.98%) aligned concordantly 0 times"),
-                  ("    ", c("no * 90"), " (62.71%) aligned concordantly exactly 1 time"),
-                  ("    ", c("np * 3"), " (2.32%) aligned concordantly >1 times"), "    ----",
+                  line(2, "n * 500", "n * 500", "were paired; of these:"),
+                  line(4, "nf * 11", "n * 500", "aligned concordantly 0 times"),
+                  line(4, "no * 90", "n * 500", "aligned concordantly exactly 1 time"),
+                  line(4, "np * 3", "n * 500", "aligned concordantly >1 times"), "    ----",
                   ("    ", c("nf * 11"), " pairs aligned concordantly 0 times; of these:"),
-                  ("      ", c("nf * 2"), " (4.70%) aligned discordantly 1 time"), "    ----",
+                  line(6, "nf * 2", "nf * 11", "aligned discordantly 1 time"), "    ----",
                   ("      ", c("nf * 18"), " mates make up the pairs; of these:"),
-                  ("        ", c("nf * 5"), " (90.47%) aligned 0 times"),
-                  ("        ", c("nf * 7"), " (8.30%) aligned exactly 1 time"),
-                  ("        ", c("nf * 6"), " (1.23%) aligned >1 times"), (c("n * 5"), ".25% overall alignment rate"))
+                  line(8, "nf * 5", "nf * 18", "aligned 0 times"), line(8, "nf * 7", "nf * 18", "aligned exactly 1 time"),
+                  line(8, "nf * 6", "nf * 18", "aligned >1 times"), (c("n * 5"), ".25% overall alignment rate"))
     return _reports(spark, sf, "hisat2", F.when(c("nf > no"), pairs).otherwise(single))
 
 
@@ -295,8 +303,12 @@ def report_scan(spark, sf):
 def count_table_scan(spark, sf):
     """Count tables written as text and read back by their last column."""
     path = shared_folder(spark, "counts")
-    (load(spark, sf, "orders_v").select(F.concat_ws("\t", "srr", "o_orderpriority",
-                                                    F.floor("o_totalprice").cast("string")).alias("value"))
-     .union(spark.range(1).select(F.explode(F.array(F.lit("# Program: counter"), F.lit("Geneid\tChr\trun.bam")))))
-     .write.text(path))
+    rows = load(spark, sf, "orders_v").select(
+        F.pmod(F.xxhash64("srr"), F.lit(8)).alias("run"), F.lit(2).alias("place"),
+        F.concat_ws("\t", "srr", "o_orderpriority", F.floor("o_totalprice").cast("string")).alias("value"))
+    # every file starts with its comment and its header, as the counter writes them
+    heads = rows.select("run").distinct().select("run", F.posexplode(F.array(
+        F.lit("# Program: counter"), F.lit("Geneid\tChr\trun.bam"))).alias("place", "value"))
+    (rows.unionByName(heads).repartition("run").sortWithinPartitions("run", "place").select("run", "value")
+     .write.partitionBy("run").text(path))
     return tables.read_counts(spark, path).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("count").alias("total"))

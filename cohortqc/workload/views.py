@@ -10,9 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortqc.session import file_bytes, shared_folder
-
-SMALL_FILE, SPREAD_BELOW = 256 << 10, 16 << 20
+from cohortqc.session import shared_folder
 
 # Views that stand for tables a pipeline has on disk: raw reads, alignments and stage stores. They are written once per
 # session to the shared folder, so queries scan, prune and filter a table as they would in production.
@@ -230,15 +228,6 @@ def needed(names: tuple[str, ...]) -> list[str]:
 _PLANS: dict[tuple, DataFrame] = {}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A small file is one row group and would be read by one task; its rows are spread over the cores
-    as the many row groups of a large table would be. Tables beyond 16 MB per core are left as they are."""
-    path = f"{sf_dir}/{name}.parquet"
-    cores = spark.sparkContext.defaultParallelism
-    df = spark.read.parquet(path)
-    return df.repartition(cores) if SMALL_FILE < file_bytes(spark, path) < cores * SPREAD_BELOW else df
-
-
 def _written(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     path = shared_folder(spark, name)
     df.write.parquet(path)
@@ -272,7 +261,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         words = set(re.findall(r"\w+", " ".join(sql(v, SPARK) for v in views)))
         for what in [t for t in TABLES if t in words] + views:
             if key(what) not in _PLANS:
-                _PLANS[key(what)] = _table(spark, sf_dir, what) if what in TABLES else _view(spark, what)
+                _PLANS[key(what)] = spark.read.parquet(f"{sf_dir}/{what}.parquet") if what in TABLES else _view(spark, what)
             _PLANS[key(what)].createOrReplaceTempView(what)
     return _PLANS[key(name)]
 

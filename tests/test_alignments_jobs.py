@@ -163,3 +163,42 @@ def test_run_all(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{tmp_path}/result.csv").count() == found.result.count()
     for stage in schemas.STAGES:
         assert tables.read_store(spark, f"{root}/{stage}.parquet", stage).count() == n
+
+
+def paired_reads(n, first_flag, second_flag, lone=False):
+    """Pairs of which mate 1 has the first flag; ``lone`` leaves the second mates out."""
+    rows = []
+    for i in range(n):
+        rows.append(("p", f"q{i}", first_flag, "c", 100 + i, 60, "30M", "=", 150 + i, 80, "*", "I" * 30, 1))
+        if not lone:
+            rows.append(("p", f"q{i}", second_flag, "c", 150 + i, 60, "30M", "=", 100 + i, -80, "*", "I" * 30, 1))
+    return rows
+
+
+@pytest.mark.parametrize("flags, strand", [((99, 147), "same_strand"), ((83, 163), "opposite_strand")])
+def test_strand_of_pairs(spark, flags, strand):
+    reads = spark.createDataFrame(paired_reads(40, *flags), schemas.ALIGNMENTS)
+    exons = spark.createDataFrame([("g1", "t1", "c", 50, 400, "+")], schemas.EXONS)
+    found = V.strand_agreement(reads, exons)
+    assert found.first().correct_strand_share == (1.0 if strand == "same_strand" else 0.0)
+    assert V.strand_from_agreement(found).first().strand == strand
+
+
+def test_lone_mates_are_no_pairs(spark):
+    reads = spark.createDataFrame(paired_reads(40, 99, 147, lone=True), schemas.ALIGNMENTS)
+    row = A.duplication_rate(reads).first()
+    assert (row.read_pairs_examined, row.unpaired_reads_examined) == (0, 40)
+    assert A.mark_duplicates(reads).where("is_pair").count() == 0
+
+
+def test_runs_without_a_layout_stay_visible(spark):
+    reads = spark.createDataFrame(
+        [(srr, f"q{i}", 0, "c", 100 + i, 60, "30M", "*", 0, 0, "*", "I" * 30, None) for srr in ("a", "b") for i in range(5)],
+        schemas.ALIGNMENTS)
+    exons = spark.createDataFrame([("g1", "t1", "c", 90, 200, "+")], schemas.EXONS)
+    modes = A.count_modes(spark.createDataFrame([("a", "SE")], "srr string, layout string"),
+                          spark.createDataFrame([], "srr string, strand string"))
+    counts = A.gene_counts_by_mode(reads, exons, modes)
+    got = {r.srr: (r.number_genic_reads, r.percent_genes_on) for r in
+           A.gene_count_summary(counts, reads.select("srr"), exons, modes).collect()}
+    assert got == {"a": (5, 100.0), "b": (None, None)}

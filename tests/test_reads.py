@@ -206,3 +206,31 @@ def test_sink_layout(spark, tmp_path):
     [part] = list((tmp_path / "out" / "srr=s" / "mate=1").glob("*.gz"))
     with gzip.open(part, "rt") as f:
         assert f.read() == "".join(f"@s.{i}/1\nACGT\n+\nIIII\n" for i in range(3))
+
+
+def test_pairs_survive_several_files_per_run(spark, tmp_path):
+    n = 6_000
+    rows = spark.range(n).selectExpr("'SRRb' AS srr", "explode(array(1, 2)) AS mate", "id AS read_no",
+                                     "concat('@r', id) AS h1", "'ACGT' AS seq", "'+' AS h2", "'IIII' AS qual")
+    path, pattern = str(tmp_path / "many"), r"srr=([^/]+)/mate=([12])/part-[^/]*\.txt(?:\.gz)?$"
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keeps the writer's partitions, as for a large run
+    try:
+        write_clean_fastq(rows, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    files = fastq.list_files(spark, path, pattern)
+    assert files.where("mate = 1").count() > 1
+    role = fastq.file_roles(files).first()
+    assert role.size1 == sum(r["size"] for r in files.where("mate = 1").collect())
+    back = fastq.read_fastq(spark, path, pattern)
+    one, two = (back.where(f"mate = {m}").select("read_no", F.col("h1").alias(f"h{m}")) for m in (1, 2))
+    assert one.join(two, "read_no").where("h1 = h2 AND h1 = concat('@r', read_no)").count() == n == one.count()
+
+
+def test_only_fitting_names_are_read(spark, tmp_path):
+    for name in ("SRR1.fastq", "SRR1_R1.fastq", "SRR2_3.fq", "S_A_1.fq"):
+        (tmp_path / name).write_text(fastq_text(2, "x"))
+    assert {r.srr for r in fastq.read_fastq(spark, str(tmp_path)).collect()} == {"SRR1"}
+    unfit = {r.path.rsplit("/", 1)[1] for r in fastq.unfit_files(spark, str(tmp_path)).collect()}
+    assert unfit == {"SRR1_R1.fastq", "SRR2_3.fq", "S_A_1.fq"}

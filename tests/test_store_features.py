@@ -53,6 +53,26 @@ def test_late_stage_rows_reach_the_batch_store(spark, tmp_path):
     assert keys(spark, store) == ["a", "b"]
 
 
+def test_stream_and_batch_share_one_store(spark, tmp_path):
+    root, store = str(tmp_path), str(tmp_path / "atropos.parquet")
+
+    def stream():
+        stream_stage(spark, "atropos", f"{root}/atropos", f"{root}/done", store, f"{root}/checkpoint").awaitTermination()
+
+    sinks.write_stage(trim_rows(spark, "a"), f"{root}/atropos", "atropos")
+    sinks.mark_done(runs(spark, "a", "b", "c"), f"{root}/done")
+    stream()
+    assert keys(spark, store) == ["a"]
+    sinks.write_stage(trim_rows(spark, "b"), f"{root}/atropos", "atropos")  # after its run was done
+    stream()
+    assert keys(spark, store) == ["a", "b"]
+    sinks.write_stage(trim_rows(spark, "c"), f"{root}/atropos", "atropos")
+    for _ in range(2):
+        S.append_new(spark, tables.read_done(spark, f"{root}/done"), f"{root}/atropos", store, "atropos")
+    stream()
+    assert keys(spark, store) == ["a", "b", "c"]
+
+
 def test_no_empty_store(spark, tmp_path):
     S.append_all(spark, runs(spark, "a"), str(tmp_path))
     assert not path_exists(spark, str(tmp_path / "atropos.parquet"))
