@@ -51,7 +51,50 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(spark, documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), cache)
 
 
-@query("op4_secret_scan")
+def _op4_sql() -> str:
+    """Places of matches are running sums of the lengths between and of them; the rest is grouping."""
+    kinds = [*secret_scan.BASE, ("owner", secret_scan.LOOSE, 1, secret_scan.LOOSE_CHARS)]
+    quoted = lambda pattern: "'" + pattern.replace("'", "''") + "'"
+    found = " UNION ALL ".join(f"""
+  SELECT row, source, doc_id, {k} AS kind, '{name}' AS name, {least} AS least, string_split_regex(t, {quoted(pattern)}) AS gaps,
+    regexp_extract_all(t, {quoted(pattern)}, 0) AS hits, regexp_extract_all(t, {quoted(pattern)}, {group}) AS vals
+  FROM d WHERE regexp_matches(t, {quoted(pattern)})""" for k, (name, pattern, group, least) in enumerate(kinds))
+    loose = len(secret_scan.BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS t FROM documents),
+m AS ({found}),
+i AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+p AS (
+  SELECT row, source, doc_id, kind, name, vals[i] AS value, least, len(hits[i]) AS n,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS s
+  FROM i),
+a AS (SELECT *, (s + n)::BIGINT AS e FROM p WHERE length(value) >= least),
+b AS (SELECT * FROM a WHERE kind < {loose}),
+l AS (
+  SELECT * FROM a WHERE kind = {loose} AND regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9][^0-9]*[0-9][^0-9]*[0-9]')
+    AND NOT EXISTS (SELECT 1 FROM b WHERE b.row = a.row AND b.s < a.e AND a.s < b.e)),
+c AS (SELECT * FROM b UNION ALL SELECT * FROM l),
+o AS (
+  SELECT value, count(DISTINCT o) AS owners, count(DISTINCT (o, r)) AS repositories
+  FROM (SELECT value, coalesce('=' || source, '-') AS o, coalesce('=' || doc_id, '-') AS r FROM c) t GROUP BY value),
+v AS (
+  SELECT row, kind, name, s, e, owners >= {secret_scan.WIDE_OWNERS} AS copied,
+    owners = 1 AND repositories <= {secret_scan.MAX_REPOSITORIES} AS live
+  FROM c JOIN o USING (value)),
+g AS (
+  SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(name || ':' || s::BIGINT || ':' || e, ',' ORDER BY s, kind, e) FILTER (kind < {loose}) AS base,
+    string_agg(name || ':' || s::BIGINT || ':' || e, ',' ORDER BY s, kind, e) FILTER (kind < {loose} OR live) AS spans,
+    count(*) FILTER (kind < {loose} AND live) AS n_live, count(*) FILTER (kind < {loose} AND copied) AS n_copied,
+    count(*) FILTER (kind = {loose} AND live) AS n_added
+  FROM v GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+  coalesce(n_copied, 0) AS n_copied, coalesce(n_added, 0) AS n_added
+FROM d LEFT JOIN g USING (row)"""
+
+
+@query("op4_secret_scan", _op4_sql())
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(spark, documents(spark, sf_dir))
 

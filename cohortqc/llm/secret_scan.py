@@ -29,7 +29,7 @@ BASE = [
     ("access", r"(AKIA[A-Z0-9]+)", 1, 18),
     ("hex", r"([0-9a-f]+)", 1, 16),
 ]
-LOOSE = r"([A-Za-z0-9+/_=-]{20,})"
+LOOSE, LOOSE_CHARS = r"([A-Za-z0-9+/_=-]{20,})", 20
 WIDE_OWNERS = 3
 MAX_REPOSITORIES = 20
 
@@ -69,7 +69,7 @@ def _scanned(docs: DataFrame, owner: str, repository: str) -> DataFrame:
         F.col(repository).cast("string").alias("repository"),
         F.array_sort(F.concat(*base), lambda a, b: F.when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1)
                      .otherwise(1)).otherwise(a["kind"] - b["kind"])).alias("base"),
-        F.when(F.regexp_like(text, F.lit(LOOSE)), _spans(text, len(BASE), LOOSE, 1, 20)).otherwise(none).alias("loose"))
+        F.when(F.regexp_like(text, F.lit(LOOSE)), _spans(text, len(BASE), LOOSE, 1, LOOSE_CHARS)).otherwise(none).alias("loose"))
     keep = lambda s: (
         F.regexp_like(s["value"], F.lit("[A-Za-z]")) & F.regexp_like(s["value"], F.lit("[0-9][^0-9]*[0-9][^0-9]*[0-9]"))
         & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))

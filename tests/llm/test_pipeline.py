@@ -16,7 +16,7 @@ def test_queries_are_registered():
     assert set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op10_pfair_mixing"])
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_secret_scan", "op10_pfair_mixing"])
 def test_sql(spark, name):
     con = connect(SF)
     columns, got = spark_rows(entry.queries()[name](spark, SF))
