@@ -172,9 +172,9 @@ def mean_abs_shap(long: DataFrame) -> DataFrame:
     return means.withColumn("rank", F.rank().over(W.orderBy(F.desc("mean_abs_shap"), "feature")))
 
 
-def importance(long: DataFrame) -> DataFrame:
+def importance(long: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
     """Importance of the features for the outliers, with display labels."""
-    labels = F.create_map(*[F.lit(v) for pair in schemas.FEATURE_LABELS.items() for v in pair])
+    labels = F.create_map(*[F.lit(v) for pair in (names or schemas.FEATURE_LABELS).items() for v in pair])
     return (mean_abs_shap(long.where("is_outlier"))
             .withColumn("label", F.try_element_at(labels, F.col("feature"))))
 
@@ -196,11 +196,16 @@ def standard_scores(features: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def project(scaled: DataFrame, columns: list[str], k: int = 2) -> DataFrame:
-    """First principal components of standard scores as columns PC1, PC2, …"""
+    """First principal components of standard scores as columns PC1, PC2, …; other columns, labels among them, stay.
+
+    A component has no sign of its own: the first of its largest loadings is taken as positive.
+    """
     from pyspark.ml.feature import PCA, VectorAssembler
     from pyspark.ml.functions import vector_to_array
     assembled = VectorAssembler(inputCols=columns, outputCol="_x").transform(scaled)
     model = PCA(k=k, inputCol="_x", outputCol="_pc").fit(assembled)
     pcs = vector_to_array(F.col("_pc"))
+    loadings = model.pc.toArray().T
+    signs = [next(1.0 if v > 0 else -1.0 for v in row if abs(v) >= abs(row).max() * (1 - 1e-6)) for row in loadings]
     return model.transform(assembled).select(
-        *[c for c in scaled.columns if c not in columns], *[pcs[i].alias(f"PC{i + 1}") for i in range(k)])
+        *[c for c in scaled.columns if c not in columns], *[(pcs[i] * signs[i]).alias(f"PC{i + 1}") for i in range(k)])

@@ -1,6 +1,8 @@
 """Session defaults, the shared work folder, file checks."""
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cohortqc-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from cohortqc import schemas, sinks
 from cohortqc.operators import features as X
 from cohortqc.operators import store as S
-from cohortqc.session import shared_folder
+from cohortqc.plans import jobs
+from cohortqc.session import empty, shared_folder
 from cohortqc.sources import tables
-from cohortqc.streaming.ingest import stream_stage
+from cohortqc.streaming.ingest import stream_all, stream_stage
 from cohortqc.workload.registry import query, rounded
 from cohortqc.workload.views import ctes, load
 
@@ -202,3 +203,32 @@ def stage_stream(spark, sf):
         stream_stage(spark, "atropos", f"{root}/atropos", f"{root}/done", f"{root}/atropos.parquet",
                      f"{root}/checkpoint").awaitTermination()
     return tables.read_store(spark, f"{root}/atropos.parquet", "atropos")
+
+
+# ---- whole jobs through files: stage folders, stores, the feature matrix ---------------------------------------------
+
+def _stage_folders(spark, sf, name: str) -> str:
+    root = shared_folder(spark, name)
+    for stage, rows in stages(spark, sf).items():
+        typed = empty(spark, schemas.STAGES[stage]).unionByName(rows, allowMissingColumns=True)
+        sinks.write_stage(typed, f"{root}/{stage}", stage)
+    sinks.mark_done(load(spark, sf, "done_v"), f"{root}/done")
+    return root
+
+
+@query("features_job", _feature_sql(group=True))
+def features_job(spark, sf):
+    """Stores and matrix as the batch job builds them."""
+    root = _stage_folders(spark, sf, "features-job")
+    done = tables.read_done(spark, f"{root}/done")
+    jobs.build_feature_store(spark, done, root)
+    return rounded(jobs.build_features(spark, load(spark, sf, "manifest_v"), done, root))
+
+
+@query("features_stream_job", _feature_sql(group=False))
+def features_stream_job(spark, sf):
+    """The same from stores that ten streams fill, by run."""
+    root = _stage_folders(spark, sf, "features-stream")
+    stream_all(spark, root, f"{root}/done", f"{root}/checkpoints")
+    done = tables.read_done(spark, f"{root}/done")
+    return rounded(jobs.build_features(spark, load(spark, sf, "manifest_v"), done, root, by_experiment=False))

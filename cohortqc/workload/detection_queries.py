@@ -156,6 +156,17 @@ def shap_of_inliers(spark, sf):
     return rounded(E.mean_abs_shap(_shap(spark, sf)[0].where("is_inlier")))
 
 
+_LABELS = {"balance": "Balance of the account", "nation": "Nation"}
+
+
+@query("importance_fixed", f"""{_SHAP} SELECT feature, round(avg(abs(phi)), 6) AS mean_abs_shap,
+    rank() OVER (ORDER BY avg(abs(phi)) DESC, feature)::INTEGER AS rank,
+    CASE feature WHEN 'balance' THEN '{_LABELS["balance"]}' ELSE '{_LABELS["nation"]}' END AS label
+    FROM long WHERE is_outlier GROUP BY feature""")
+def importance_fixed(spark, sf):
+    return rounded(E.importance(_shap(spark, sf)[0], _LABELS))
+
+
 @query("expected_value", f"""{_SHAP} SELECT round(avg(xx), 6) AS expected_value FROM (
     SELECT {_path('zb', 'zn')} AS xx FROM bg) t""")
 def expected_value(spark, sf):
@@ -171,6 +182,17 @@ def standard_scores(spark, sf):
     return rounded(E.standard_scores(_customers(spark, sf), _COLUMNS))
 
 
+# of two standard scores the components are their sum and difference over the root of two, the larger variance first
+@query("projection_fixed", f"""{_SCORED}, s AS (SELECT avg(balance) AS mb, stddev_pop(balance) AS sb, avg(nation) AS mn,
+      stddev_pop(nation) AS sn, corr(balance, nation) AS r FROM marked),
+    z AS (SELECT srr, is_outlier, r, (balance - mb) / sb AS x, (nation - mn) / sn AS y FROM marked, s)
+    SELECT srr, CASE WHEN is_outlier THEN 'Outlier' ELSE 'Inliers' END AS labels,
+      round((x + sign(r) * y) / sqrt(2), 6) + 0.0 AS "PC1", round((x - sign(r) * y) / sqrt(2), 6) + 0.0 AS "PC2" FROM z""")
+def projection_fixed(spark, sf):
+    labelled = M.label(_scored(spark, sf)).select("srr", *_COLUMNS, "labels")
+    return rounded(E.project(E.standard_scores(labelled, _COLUMNS), _COLUMNS))
+
+
 # ---- the whole chain on the feature matrix; a fitted forest has no SQL twin, tests check its invariants --------------
 
 def _matrix(spark, sf):
@@ -197,5 +219,5 @@ def shap_long(spark, sf):
 
 @query("pca_projection")
 def pca_projection(spark, sf):
-    complete = Q.X.drop_incomplete(_matrix(spark, sf))
-    return E.project(E.standard_scores(complete, schemas.FEATURES), schemas.FEATURES)
+    labelled = jobs.detect(_matrix(spark, sf), "srr", nulls="drop").result
+    return E.project(E.standard_scores(labelled, schemas.FEATURES), schemas.FEATURES)
