@@ -1,4 +1,4 @@
-"""The jobs a user runs. Everything stays lazy up to the writes."""
+"""The jobs a user runs. Work starts at the writes, and where a fit or a check needs numbers first."""
 from __future__ import annotations
 
 from dataclasses import dataclass
@@ -24,7 +24,8 @@ def _known_runs(spark: SparkSession, path: str) -> DataFrame:
 
 def qc_reads(spark: SparkSession, fastq_dir: str, manifest: DataFrame, out: str,
              min_library: int = reads.MIN_LIBRARY, empty_bytes: int = reads.EMPTY_BYTES) -> DataFrame:
-    """FASTQ folder to clean reads (``<out>/reads``) and library statistics (``<out>/libraries``), which it returns.
+    """FASTQ folder to clean reads (``<out>/reads``), library statistics (``<out>/libraries``), which it returns, and the
+    ``layout`` stage (``<out>/Features/layout``). Files whose names tell no run are named in ``<out>/unfit_files``.
 
     Only runs without a row in ``<out>/libraries`` are processed; runs of the manifest without files get a
     ``download_bad`` row. The raw reads are written to parquet first: they are used twice, and compressed FASTQ can only
@@ -39,14 +40,18 @@ def qc_reads(spark: SparkSession, fastq_dir: str, manifest: DataFrame, out: str,
     stats = reads.library_stats(raw, roles, min_library, empty_bytes).unionByName(
         fastq.missing_runs(todo, roles).select("srr", F.lit("download_bad").alias("status")), allowMissingColumns=True)
     stats.write.mode("append").parquet(f"{out}/libraries")
+    fastq.unfit_files(spark, fastq_dir).write.mode("overwrite").parquet(f"{out}/unfit_files")
     libraries = spark.read.parquet(f"{out}/libraries")
     reads.clean_reads(raw, libraries).write.mode("append").partitionBy("mate").parquet(f"{out}/reads")
+    layouts = libraries.where("layout IS NOT NULL").join(_known_runs(spark, f"{out}/Features/layout"), "srr", "left_anti")
+    writers.write_stage(layouts, f"{out}/Features/layout", "layout")
     return libraries
 
 
 def ingest_reports(report: DataFrame, stage: str, second: DataFrame | None = None) -> DataFrame:
     """Stage rows from one kind of report. ``second`` is the other report where a stage needs two (bamtools for
-    ``aln_stats``, the second-strand summary for ``strand``)."""
+    ``aln_stats``, the second-strand summary for ``strand``). ``count_summary`` takes gene counts and junction counts as
+    ``read_counts`` gives them."""
     if stage == "fastq_screen":
         return reports.screen_summary(reports.screen_metrics(report))
     if stage == "atropos":
@@ -63,9 +68,33 @@ def ingest_reports(report: DataFrame, stage: str, second: DataFrame | None = Non
         return reports.coverage_histogram(report)
     if stage == "markduplicates":
         return reports.duplicate_metrics(report)
+    if stage == "count_summary":
+        return A.count_table_summary(report).join(A.junction_summary(second), "srr", "left")
     raise ValueError(f"no report parser for stage {stage!r}")
 
 
+def report_failures(logs: DataFrame) -> DataFrame:
+    """srr, stage, status of every log that tells of a failure: its phrases are missing, it cannot be read, or its
+    numbers are below the gate."""
+    phrases = reports.completion(logs).select("srr", "stage", "status")
+    trimmed = reports.trim_log(logs.where("stage = 'atropos'")).select("srr", F.lit("atropos").alias("stage"), "status")
+    aligned = reports.alignment_gate(reports.aligner_log(logs.where("stage = 'hisat2'"))).select(
+        "srr", F.lit("hisat2").alias("stage"), "status")
+    return phrases.unionByName(trimmed).unionByName(aligned).where("status <> 'ok'").distinct()
+
+
+def finish_runs(spark: SparkSession, runs: DataFrame, logs: DataFrame, out: str) -> DataFrame:
+    """Marks the runs without a failure as done (``<out>/Features/done``) and appends the others' failures to
+    ``<out>/Features/failed``, which it returns: a failed run never looks like a good one."""
+    root = f"{out}/Features"
+    report_failures(logs).join(runs.select("srr").distinct(), "srr", "left_semi").write.mode("append").parquet(f"{root}/failed")
+    failed = spark.read.parquet(f"{root}/failed")
+    good = runs.select("srr").distinct().join(failed, "srr", "left_anti").join(
+        tables.read_done(spark, f"{root}/done"), "srr", "left_anti")
+    writers.mark_done(good, f"{root}/done")
+    return failed
+
+
 def alignment_features(alignments: DataFrame, exons: DataFrame, transcripts: DataFrame,
                        layout: DataFrame, min_mapq: int = 20) -> dict[str, DataFrame]:
     """The stage tables that external programs would report, computed from the alignments themselves."""

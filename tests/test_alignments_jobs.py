@@ -138,6 +138,35 @@ def test_qc_reads_job(spark, tmp_path):
     assert {r.srr: r["count"] for r in clean} == {"SRR1": 80, "SRR2": 30}
     again = jobs.qc_reads(spark, str(folder), manifest, out, min_library=20, empty_bytes=10)
     assert again.count() == 4 and spark.read.parquet(f"{out}/reads").count() == 110
+    layouts = spark.read.parquet(f"{out}/Features/layout").collect()
+    assert sorted((r.srr, r.layout) for r in layouts) == [("SRR1", "PE"), ("SRR2", "SE"), ("SRR3", "SE")]
+    assert spark.read.parquet(f"{out}/unfit_files").count() == 0
+
+
+def test_failed_runs_are_not_done(spark, tmp_path):
+    trim = "Total reads processed: 5,000\nReads that were too short: 10\nReads written (passing filters): 4,990\n"
+    good = "5000 reads; of these:\n  5000 (100.00%) were unpaired; of these:\n    4000 (80.00%) aligned exactly 1 time\n80.00% overall alignment rate\n"
+    logs = spark.createDataFrame(
+        [("a", "atropos", trim), ("a", "hisat2", good), ("a", "fastq_screen", "Processing complete"),
+         ("b", "atropos", "ERROR"), ("c", "hisat2", good.replace("80.00% overall", "0.10% overall")),
+         ("d", "markduplicates", "stopped"), ("e", "atropos", trim.replace("4,990", "900"))], schemas.REPORTS)
+    runs = spark.createDataFrame([(s,) for s in "abcdef"], "srr string")
+    for _ in range(2):  # a second call adds nothing to the done table
+        failed = jobs.finish_runs(spark, runs, logs, str(tmp_path))
+    assert {(r.srr, r.stage, r.status) for r in failed.collect()} == {
+        ("b", "atropos", "parse_error"), ("c", "hisat2", "poor_alignment"), ("d", "markduplicates", "failed"),
+        ("e", "atropos", "too_few_reads")}
+    assert sorted(r.srr for r in tables.read_done(spark, f"{tmp_path}/Features/done").collect()) == ["a", "f"]
+
+
+def test_count_summary_from_tables(spark, tmp_path):
+    for kind, lines in {"genes": "g1\t10\t3\ng2\t20\t0\n", "junctions": "g1\tx\t4\ng1\ty\t0\n"}.items():
+        (tmp_path / kind).mkdir()
+        (tmp_path / kind / "SRR1.counts").write_text("# cmd\nGeneid\tLength\tSRR1.bam\n" + lines)
+    genes, junctions = (tables.read_counts(spark, str(tmp_path / k)) for k in ("genes", "junctions"))
+    row = jobs.ingest_reports(genes, "count_summary", junctions).first()
+    assert (row.srr, row.number_genic_reads, row.percent_genes_on) == ("SRR1", 3, 50.0)
+    assert (row.number_junction_reads, row.number_junctions_on) == (4, 2)
 
 
 def test_run_all(spark, tmp_path):
