@@ -44,19 +44,22 @@ def pair_verdicts(reads: DataFrame, strict_header: bool = False) -> DataFrame:
     """Per position: which mates exist, the verdict on each and on the pair, lengths and the colour-space test.
 
     Each read is judged where it lies; only verdict, length and header are shuffled to meet the mate, no sequence and
-    no quality string.
+    no quality string. One scan and one exchange bring both mates together. A read number that a mate holds twice is an
+    error: pairs would multiply.
     """
     judged = read_validity(reads, strict_header).select(
         "srr", "read_no", "mate", F.struct("h1", F.length("seq").alias("len"), R.is_abi(F.col("seq")).alias("abi"),
                                            F.col("reject_reason").alias("reason")).alias("r"))
 
-    def side(mate: int) -> DataFrame:
-        return judged.where(F.col("mate") == mate).select("srr", "read_no", F.col("r").alias(f"r{mate}"))
-
+    met = judged.groupBy("srr", "read_no").agg(
+        *[F.max(F.when(F.col("mate") == m, F.col("r"))).alias(f"r{m}") for m in (1, 2)],
+        *[F.count_if(F.col("mate") == m).alias(f"_n{m}") for m in (1, 2)])
+    twice = F.raise_error(F.concat(F.lit("read number held twice in run "), "srr"))
+    met = met.select("srr", "read_no", *[F.when(F.col(f"_n{m}") <= 1, F.col(f"r{m}")).otherwise(twice).alias(f"r{m}")
+                                         for m in (1, 2)])
     both = F.col("r1").isNotNull() & F.col("r2").isNotNull()
     pair = R.pair_reject_reason(F.col("r1.reason"), F.col("r2.reason"), F.col("r1.h1"), F.col("r2.h1"))
-    return (side(1).join(side(2), ["srr", "read_no"], "full")
-            .select("srr", "read_no", "r1", "r2", both.alias("complete"), F.when(both, pair).alias("reject_reason")))
+    return met.select("srr", "read_no", "r1", "r2", both.alias("complete"), F.when(both, pair).alias("reject_reason"))
 
 
 def pair_validity(reads: DataFrame, strict_header: bool = False) -> DataFrame:

@@ -234,3 +234,9 @@ def test_only_fitting_names_are_read(spark, tmp_path):
     assert {r.srr for r in fastq.read_fastq(spark, str(tmp_path)).collect()} == {"SRR1"}
     unfit = {r.path.rsplit("/", 1)[1] for r in fastq.unfit_files(spark, str(tmp_path)).collect()}
     assert unfit == {"SRR1_R1.fastq", "SRR2_3.fq", "S_A_1.fq"}
+
+
+def test_a_read_number_held_twice_is_an_error(spark):
+    rows = [read("p", 1, 0), read("p", 1, 0), read("p", 2, 0)]
+    with pytest.raises(Exception, match="held twice in run p"):
+        O.pair_verdicts(spark.createDataFrame(rows, schemas.READS)).collect()
