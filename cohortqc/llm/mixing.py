@@ -47,10 +47,10 @@ def given_targets(spark: SparkSession, weights: dict[str | None, float]) -> Data
 
 def shares(targets: DataFrame) -> DataFrame:
     """mix_source, q, cycle: whole shares of a cycle, at least one each."""
-    total = targets.agg(F.sum("weight").alias("total"))
-    q = targets.join(F.broadcast(total)).select("mix_source", F.greatest(
-        F.lit(1), F.round(F.col("weight") / F.col("total") * RESOLUTION)).cast("int").alias("q"))
-    return q.join(F.broadcast(q.agg(F.sum("q").cast("int").alias("cycle"))))
+    total = targets.agg(F.sum("weight").alias("total")).scalar()
+    q = targets.select("mix_source", F.greatest(
+        F.lit(1), F.round(F.col("weight") / total * RESOLUTION)).cast("int").alias("q"))
+    return q.select("mix_source", "q", q.agg(F.sum("q").cast("int").alias("cycle")).scalar().alias("cycle"))
 
 
 def cycle_slots(shares_: DataFrame) -> DataFrame:
@@ -97,21 +97,20 @@ def mixed(spark: SparkSession, docs: DataFrame, targets: DataFrame, carry: list
     last = last.select("mix_source", "cycle", F.floor(F.col("k") / F.col("q")).alias("lap"),
                        (F.col("k") % F.col("q")).alias("turn"))
     horizon = last.join(slots, ["mix_source", "turn"]).agg(
-        F.min(F.col("lap") * F.col("cycle") + F.col("turn_slot")).alias("horizon"))
+        F.min(F.col("lap") * F.col("cycle") + F.col("turn_slot")).alias("horizon")).scalar()
 
     rank = F.row_number().over(Window.partitionBy("mix_source", "mix_range").orderBy("mix_order", "doc_id"))
     ranked = keyed.join(first.drop("n"), ["mix_source", "mix_range"]).withColumn(
         "source_rank", F.col("first_rank") + rank - 1)
     k = F.floor(F.col("source_rank") / BLOCK_DOCS)
     placed = (ranked.withColumn("block", k).join(plan, "mix_source", "left")
-              .withColumn("turn", F.col("block") % F.col("q")).join(slots, ["mix_source", "turn"], "left")
-              .join(F.broadcast(horizon)))
+              .withColumn("turn", F.col("block") % F.col("q")).join(slots, ["mix_source", "turn"], "left"))
     slot = F.floor(F.col("block") / F.col("q")) * F.col("cycle") + F.col("turn_slot")
     return placed.select(
         "doc_id", "source", *([c for c in ("mix_doc",) if c in placed.columns]), "source_rank", "block",
         F.floor(F.col("block") * F.col("cycle") / F.col("q")).alias("release"),
         F.ceil((F.col("block") + 1) * F.col("cycle") / F.col("q")).alias("deadline"), slot.alias("slot"),
-        (F.col("source_rank") % BLOCK_DOCS).alias("place"), (slot <= F.col("horizon")).alias("on_target"))
+        (F.col("source_rank") % BLOCK_DOCS).alias("place"), (slot <= horizon).alias("on_target"))
 
 
 def mix_rows(spark: SparkSession, docs: DataFrame, targets: DataFrame) -> DataFrame:
