@@ -170,7 +170,8 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     single = rows.where("NOT suspect").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "n_cp")
-    groups = verified(docs, rows).join(_best(rows.where("suspect")), "digest")
+    # written, so that the join with the members stands alone and a group with many members can be split
+    groups = written(spark, verified(docs, rows).join(_best(rows.where("suspect")), "digest"), "dedup-groups")
     members = rows.where("suspect").select("doc_id", "n_cp", "digest").join(groups, "digest").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"), "n_cp")
