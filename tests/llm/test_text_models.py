@@ -144,20 +144,28 @@ def test_token_probabilities_sum_to_one():
     weights = LM.start_weights() + rnd.normal(0, .1, LM.start_weights().shape)
     refined = np.tile(LM.squash(np.linspace(-11, 11, LM.REFINE_STEPS)), (LM.GATES, 1))
     first = [bytes([b]) for b in range(256)]
-    scores = LM.token_scores([b""], 2, tables, weights, refined)[0]
+    odds_of = LM.lookups(tables, 0)
+    scores = LM.token_scores([b""], 2, odds_of, weights, refined)[0]
     # the chance of each first byte: of the token cut after it, by adding the byte's bits alone
     chance = np.zeros((2, 256))
     for k in range(2):
         joined_, owner, found = LM.contexts(first, np.full(256, k))
         bits, at = LM.slots(joined_, found)
-        odds, gate = LM.inputs(tables, bits, at, 0)
-        mixed = np.einsum("ek,ke->e", weights[gate], odds)
+        odds, gate = LM.inputs(odds_of, bits, at, 0)
+        mixed = LM.mix(weights, odds, gate)
         low, far = LM.refine_place(mixed)
         p = (LM.squash(mixed) + refined[gate, low] * (1 - far) + refined[gate, low + 1] * far) / 2
-        chosen = np.where(bits.ravel() == 1, p, 1 - p).reshape(bits.shape).prod(axis=1)
+        chosen = np.where(bits == 1, p, 1 - p).reshape(-1, 8).prod(axis=1)
         chance[k] = chosen[::2]  # the byte; the closing mark follows each
-    assert chance.sum(axis=1) == pytest.approx([1.0, 1.0])
-    assert 10 ** scores == pytest.approx(chance[:, LM.CLOSE])
+    assert chance.sum(axis=1) == pytest.approx([1.0, 1.0], rel=1e-5)
+    assert 10 ** scores == pytest.approx(chance[:, LM.CLOSE], rel=1e-5)
+
+
+def test_counts_without_the_occurrence_at_hand():
+    zero, one = np.array([0.0, 3.0]), np.array([2.0, 0.0])
+    odds, sure = LM.lookups([np.stack([zero, one])], 1)[0]
+    want = lambda z, o: np.log((o + 0.3) / (z + 0.3))
+    assert odds == pytest.approx([want(0, 2), want(2, 0), want(0, 1), want(3, 0)], rel=1e-6) and sure.tolist() == [1, 1, 1, 2]
 
 
 def test_model_learns(spark):
@@ -174,7 +182,7 @@ def test_steps_keep_all_tokens():
     assert [t for p, *_ in parts for t in p] == tokens and np.concatenate([d for _, d, _ in parts]).tolist() == list(range(5))
 
 
-def test_tokens_held_more_often_than_a_posting_counts(spark):
+def test_a_token_held_very_often(spark):
     many = "a " * 70_000
     got = LM.lm_scores(spark, small(spark, [(1, many), (3, "b")]), F.lit(False)).where("doc_id = 1").first()
     assert got.n_tokens == 70_001 and got.n_known == 70_001 and got.train_tokens == 70_003
