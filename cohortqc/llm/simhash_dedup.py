@@ -36,18 +36,25 @@ CHUNK = 1024
 ROWS_PER_PART = 500_000
 
 
-def simhash(text: str, words: int = SHINGLE) -> int:
-    """A bit is 1 if set in over half the hashes of the shingles, repeats included."""
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """Hashes of the shingles, repeats included; a text with fewer words is one shingle, an empty one has none."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     starts = np.cumsum([0] + [len(t) + 1 for t in tokens])
     n = max(1, len(tokens) - words + 1)
     ends = (starts[min(words, len(tokens)):] - 1)[:n]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends.tolist())], np.uint64)
-    ones = np.zeros(64, np.int64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends.tolist())], np.uint64)
+
+
+def simhash(text: str, words: int = SHINGLE) -> int:
+    """A bit is 1 if set in over half the hashes of the shingles, repeats included."""
+    hashes = shingle_hashes(text, words)
+    n, ones = len(hashes), np.zeros(64, np.int64)
+    if not n:
+        return 0
     for low in range(0, n, 65_536):
         bits = np.unpackbits(hashes[low:low + 65_536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         ones += bits.sum(axis=0, dtype=np.int64)
@@ -189,12 +196,12 @@ def near_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return rows.join(named, "print").select("doc_id", "digest", "print", "component_id", "component")
 
 
-def drop_near(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Of each group the row with the smallest doc_id (null last, then by the text's digest), all columns unchanged; of
+def drop_near(spark: SparkSession, docs: DataFrame, groups=near_groups) -> DataFrame:
+    """Of each group (by ``groups``, see ``near_groups``) the row with the smallest doc_id (null last, then by the text's digest), all columns unchanged; of
     rows that repeat it, one."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("digest").alias("digest"),
                      F.col("n").alias("n"))
-    by_row = near_groups(spark, docs).groupBy("component", "doc_id", "digest").agg(F.count("*").alias("n"))
+    by_row = groups(spark, docs).groupBy("component", "doc_id", "digest").agg(F.count("*").alias("n"))
     keep = written(spark, by_row.groupBy("component").agg(F.min(order).alias("k")).select(
         F.col("k.id").alias("k_id"), F.col("k.digest").alias("k_digest"), F.col("k.n").alias("n")), "simhash-kept")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
