@@ -2,7 +2,8 @@
 
 Documents are tokenised where they lie; only piece records travel. Pieces are dealt by a hash of their row number into
 groups of about ``PIECES_PER_GROUP``; a group is packed in one task, and large groups lose next to nothing against one
-packing of everything (the README has the figures).
+packing of everything (the README has the figures). ``pack_mixed`` deals pieces by their document's mixed place instead:
+groups are consecutive ranges of slots, and sequences are numbered in the order of their first pieces.
 
 Defined results: a null or empty text is the end token alone. Texts beyond the capacity become one short first piece
 and full pieces; a full piece is a sequence of its own. Rows that repeat are packed once each. An empty table gives an
@@ -18,13 +19,16 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortqc.llm import mixing
 from cohortqc.llm.common import whole, written
 
 CAPACITY, END = 2048, 0
 PIECES_PER_GROUP = 8192
+# ranges of slots whose pieces are counted, for each group
+STEPS_PER_GROUP = 8
 CACHE_ENTRIES, CACHE_CHARS, TEXTS_AT_ONCE = 800_000, 48, 64
 
 # White space of the byte-level pre-tokenizer's pattern.
@@ -83,12 +87,13 @@ def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
-def _pieces(path: str, capacity: int, with_ids: bool):
+def _pieces(path: str, capacity: int, with_ids: bool, carry: list[str]):
     def run(batches):
         tokenizer = byte_bpe(path)
         for batch in batches:
             texts, doc_ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             rows = batch.column("row").to_pylist()
+            carried = [batch.column(c).to_pylist() for c in carry]
             for low in range(0, len(texts), TEXTS_AT_ONCE):
                 out = []
                 for k, ids in enumerate(tokenizer.ids(texts[low:low + TEXTS_AT_ONCE]), low):
@@ -96,7 +101,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
                     start = 0
                     for piece, length in enumerate(cut_lengths(len(ids) // 4, capacity)):
                         part = ids[4 * start:4 * (start + length)]
-                        out.append((doc_ids[k], rows[k], piece, start, length, zlib.crc32(part), part))
+                        out.append((doc_ids[k], rows[k], piece, start, length, zlib.crc32(part), part, *[c[k] for c in carried]))
                         start += length
                 columns = list(zip(*out))
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
@@ -105,16 +110,20 @@ def _pieces(path: str, capacity: int, with_ids: bool):
                 if with_ids:
                     arrays.append(pa.array([np.frombuffer(b, "<i4") for b in columns[6]], pa.list_(pa.int32())))
                     names.append("ids")
+                for c, values in zip(carry, columns[7:]):
+                    arrays.append(pa.array(values, batch.schema.field(c).type))
+                    names.append(c)
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
     return run
 
 
 def tokenised_pieces(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY,
-                     with_ids: bool = False) -> DataFrame:
-    """doc_id, row, piece, start, length, ids_crc32 (and ids) of every piece, written once."""
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), whole("text").alias("text"))
-    schema = PIECES + (", ids array<int>" if with_ids else "")
-    return written(spark, rows.mapInArrow(_pieces(path, capacity, with_ids), schema), "packing-pieces")
+                     with_ids: bool = False, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, row, piece, start, length, ids_crc32 (and ids, and the columns ``carry``) of every piece, written once."""
+    carry = carry or []
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), whole("text").alias("text"), *carry)
+    schema = PIECES + (", ids array<int>" if with_ids else "") + "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return written(spark, rows.mapInArrow(_pieces(path, capacity, with_ids, carry), schema), "packing-pieces")
 
 
 class CapacityTree:
@@ -201,6 +210,49 @@ def sequences(packed_pieces: DataFrame) -> DataFrame:
     return packed_pieces.groupBy("sequence_id").agg(F.flatten(F.transform(parts_, lambda p: p["ids"])).alias("ids"))
 
 
+def mixed_places(spark: SparkSession, docs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """The pieces with the slot and the place that mixing gives their document. Mixing keeps all rows, so the targets of
+    its result are those it was made with; only ids and sources travel."""
+    first = pieces.where("piece = 0").select("doc_id", "source", F.struct("row").alias("mix_doc"))
+    placed = mixing.mixed(spark, first, mixing.root_targets(docs), ["mix_doc"])
+    return pieces.join(placed.select(F.col("mix_doc.row").alias("row"), "slot", "place"), "row")
+
+
+def _pack_range(capacity: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("slot", "place", "row", "piece")])
+        placed = best_fit(table.column("length").to_pylist(), capacity)
+        number: dict[int, int] = {}
+        for b, _ in placed:
+            number.setdefault(b, len(number))
+        first = key[0].as_py() << 32
+        return (table.append_column("sequence_id", pa.array([first + number[b] for b, _ in placed], pa.int64()))
+                .append_column("offset", pa.array([o for _, o in placed], pa.int64())).drop_columns(["grp"]))
+    return run
+
+
+def packed_in_order(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The pieces with sequence_id and offset, from pieces with slot and place; sequence ids follow the slots."""
+    about = pieces.agg(F.count("*").alias("n"), F.max("slot").alias("last")).first()
+    steps = max(1, round(about["n"] / PIECES_PER_GROUP)) * STEPS_PER_GROUP
+    width = max(1, -(-((about["last"] or 0) + 1) // steps))
+    stepped = pieces.withColumn("step", F.floor(F.col("slot") / width))
+    counts = stepped.groupBy("step").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("step")) - F.col("n")
+    groups = counts.select("step", F.floor(before / PIECES_PER_GROUP).alias("grp"))
+    names = [f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields]
+    return stepped.join(groups, "step").drop("step").select(*pieces.columns, "grp").groupBy("grp").applyInArrow(
+        _pack_range(capacity), ", ".join([*names, "sequence_id long", "offset long"]))
+
+
+def pack_mixed(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
+    """As ``pack_documents``, for documents that ``mixing.mix_rows`` has mixed to their root targets: sequences, read by
+    number, hold the sources in the mixed order."""
+    pieces = tokenised_pieces(spark, docs, path, carry=["source"])
+    placed = written(spark, mixed_places(spark, docs, pieces), "packing-places")
+    return packed_in_order(spark, placed).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every row of ``docs``."""
     return packed(spark, tokenised_pieces(spark, docs, path)).drop("row")
