@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortqc.llm import (
-    exact_dedup, language_id, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_counts, toxicity,
+    exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, spelling,
+    token_counts, toxicity, whitening,
 )
 from cohortqc.llm.common import documents
 from cohortqc.session import shared_folder
@@ -158,3 +159,78 @@ FROM p"""
 def op10_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return mixing.mixed(spark, docs, mixing.root_targets(docs))
+
+
+OP11_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+k AS (
+  SELECT row, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (
+  SELECT key FROM k WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key
+  HAVING count(DISTINCT row) >= {line_dedup.MIN_DOCS}),
+m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f USING (key)),
+t AS (
+  SELECT row, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+  FROM m GROUP BY row)
+SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM d JOIN t USING (row)"""
+
+
+@query("op11_line_dedup", OP11_SQL)
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(spark, documents(spark, sf_dir)).drop("words")
+
+
+# crc32 byte by byte; near words by deletion: one is the other without a letter, or both without the same one are equal
+SLIP_ONE_IN = 31
+OP12_SQL = f"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+    xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), b)) AS crc),
+r AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+t AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM r
+  WHERE length(run) >= {spelling.MIN_CHARS}),
+g AS (SELECT doc_id, run, count(*) AS n, hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS x FROM t GROUP BY doc_id, run),
+h AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT)),
+    lambda c, b: xor(crc[xor(c & 255, b) + 1], c >> 8), 4294967295), 4294967295) AS h FROM g, tab),
+w AS (
+  SELECT CASE WHEN h % {SLIP_ONE_IN} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    n FROM h),
+v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= {spelling.MIN_CHARS} GROUP BY word
+  HAVING sum(n) >= {spelling.MIN_COUNT}),
+x AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v) s),
+o AS (
+  SELECT a.word AS word, v.word AS near FROM x a JOIN v ON a.rest = v.word
+  UNION SELECT a.word, b.word FROM x a JOIN x b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word),
+b AS (SELECT word, near FROM o UNION SELECT near, word FROM o),
+s AS (
+  SELECT b.word, count(*) AS n_near, first(b.near ORDER BY v.n DESC, b.near) AS form, max(v.n) AS form_n
+  FROM b JOIN v ON v.word = b.near GROUP BY b.word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= {spelling.FORM_RATIO} * v.n THEN form END AS form,
+    CASE WHEN form_n >= {spelling.FORM_RATIO} * v.n THEN form_n END AS form_n
+  FROM v LEFT JOIN s USING (word)),
+c AS (
+  SELECT word, word AS root FROM f WHERE form IS NULL
+  UNION ALL SELECT f.word, c.root FROM c JOIN f ON f.form = c.word)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.root FROM f JOIN c USING (word)"""
+
+
+@query("op12_spelling_variants", OP12_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spark, documents(spark, sf_dir), slip_one_in=SLIP_ONE_IN)
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.select("vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened",
+                       "explained", "identity_error")
