@@ -28,6 +28,8 @@ MIN_CHARS = 7
 MIN_COUNT = 2
 FORM_RATIO = 10
 QUARTERS = 4
+# longer words are compared by arrays of letters: the edit distance walks a word once for each of its letters
+LONG_WORD = 256
 
 
 def runs(docs: DataFrame, least: int) -> DataFrame:
@@ -71,6 +73,18 @@ def _keys(word: Column, length: Column, long: Column) -> Column:
         for q in range(QUARTERS)])
 
 
+def one_edit(word: Column, near: Column) -> Column:
+    """Whether two different words, the first as long as the other or one longer, are one edit apart."""
+    letters = lambda w: F.split(w, "")
+    differs = F.zip_with(letters(word), letters(near), lambda x, y: ~x.eqNullSafe(y))
+    # behind the first letter that differs both must go on alike
+    at = F.array_position(differs, F.lit(True)).cast("int")
+    behind = F.length(near) - F.length(word) + at + 1
+    whole_length = F.length(word)
+    linear = (at > 0) & (F.substring(word, at + 1, whole_length) == F.substring(near, behind, whole_length))
+    return F.when(F.length(word) > LONG_WORD, linear).otherwise(F.levenshtein(word, near, 1) == 1)
+
+
 def near_pairs(vocab: DataFrame) -> DataFrame:
     """word, n, near, near_n: every pair of words one inserted, deleted or replaced code point apart, once, the chunk
     side first."""
@@ -81,8 +95,7 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
         F.inline(F.concat(_keys(F.col("word"), F.col("length"), F.col("length")),
                           _keys(F.col("word"), F.col("length"), F.col("length") + 1))))
     ordered = (F.col("length") > F.col("near_length")) | (F.col("word") > F.col("near"))
-    met = chunks.join(grams, ["long", "quarter", "rest"]).where(
-        ordered & (F.levenshtein("word", "near", 1) == 1))
+    met = chunks.join(grams, ["long", "quarter", "rest"]).where(ordered & one_edit(F.col("word"), F.col("near")))
     return met.select("word", "n", "near", "near_n").distinct()
 
 
