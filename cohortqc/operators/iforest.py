@@ -1,12 +1,14 @@
 """Isolation forest: split, fit, score, label, check.
 
 Fitting looks at a few hundred rows per tree whatever the size of the table; scoring is one map over all rows with the
-trees (a bounded table) sent along.
+trees (a bounded table) sent along. All that is random comes from MD5 digests of seed, key, tree and place in the tree,
+so a forest can be grown again by anything that has MD5 and 64-bit integers.
 """
 from __future__ import annotations
 
+import hashlib
 import math
-import zlib
+from collections import deque
 
 import numpy as np
 import pandas as pd
@@ -21,6 +23,9 @@ SEED = 42
 # ---- Fixed values: the labels of the result. ----------------------------------------------------------------------
 INLIER_LABEL, OUTLIER_LABEL = "Inliers", "Outlier"
 
+# the largest prime below 2**48: draws are taken modulo it
+DRAWS = 281_474_976_710_597
+
 TREES_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, left int, right int, n bigint, depth int, "
                 "psi int")
 
@@ -52,29 +57,36 @@ def split_rows(rows: DataFrame, key: str, seed: int = SEED) -> DataFrame:
 
 # ---- fit ----------------------------------------------------------------------------------------------------------
 
+def _hex_number(text: Column, start: int, digits: int) -> Column:
+    """Digits of a text's MD5 as a number; 13 digits are 52 bits, which a double holds exactly."""
+    return F.conv(F.substring(F.md5(text), start, digits), 16, 10).cast("bigint")
+
+
 def tree_samples(rows: DataFrame, key: str, columns: list[str], n_trees: int = N_TREES, subsample: int = SUBSAMPLE,
                  seed: int = SEED) -> tuple[DataFrame, int]:
     """``subsample`` rows per tree, drawn without replacement by hash order; returns the sample and its size per tree.
 
-    A row's draw for a tree is a hash of (seed, tree, key). Only rows whose draw lies under a threshold just large
-    enough are expanded, so the table is never multiplied by the number of trees. Should a tree get too few that way,
-    the threshold is raised and the pass repeated: the result is exactly the lowest draws of each tree.
+    One digest of (seed, key) gives two numbers a and b, and a row's draw for a tree is (a + tree b) modulo a prime: for
+    any two trees the draws are independent. Only rows whose draw lies under a threshold just large enough are expanded,
+    so the table is never multiplied by the number of trees. Should a tree get too few that way, the threshold is raised
+    and the pass repeated: the result is exactly the lowest draws of each tree.
     """
     n = rows.count()
     psi = min(subsample, n)
     if psi < 2:
         raise ValueError("a forest needs at least two rows")
     share = min(1.0, 4.0 * psi / n + 64.0 / n)
-    top = float(2 ** 62)
     key_text = F.col(key).cast("string")
+    name = F.concat(F.lit(f"{seed}|"), key_text)
+    numbered = rows.select(key_text.alias("_key"), *columns, _hex_number(name, 1, 12).alias("_a"),
+                           _hex_number(name, 13, 12).alias("_b"))
     while True:
-        limit = F.lit(int(min(share * top, top - 1))).cast("bigint")
+        limit = F.lit(int(share * DRAWS)).cast("bigint")
         draws = F.filter(
             F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(
-                t.alias("tree_id"),
-                F.xxhash64(F.lit(seed), t, key_text).bitwiseAND(2 ** 62 - 1).alias("draw"))),
+                t.alias("tree_id"), ((F.col("_a") + t * F.col("_b")) % DRAWS).alias("draw"))),
             lambda d: d["draw"] <= limit)
-        drawn = rows.select(key_text.alias("_key"), *columns, F.inline(draws))
+        drawn = numbered.select("_key", *columns, F.inline(draws))
         rank = F.row_number().over(W.partitionBy("tree_id").orderBy("draw", "_key"))
         sample = drawn.withColumn("_rn", rank).where(F.col("_rn") <= psi).drop("_rn", "draw")
         if share >= 1.0:
@@ -85,36 +97,35 @@ def tree_samples(rows: DataFrame, key: str, columns: list[str], n_trees: int = N
         share = min(1.0, share * 4)
 
 
-def _node_rng(seed: int, tree_id: int, path: str) -> np.random.Generator:
-    return np.random.default_rng([seed, tree_id, zlib.crc32(path.encode())])
-
-
 def grow_tree(x: np.ndarray, tree_id: int, seed: int, max_depth: int) -> list[tuple]:
-    """Nodes of one isolation tree: split a random feature at a uniform point of its range until a node has one row,
-    no spread, or the depth cap. The random state of a node depends on its place in the tree only."""
-    nodes: list[tuple] = []
+    """Nodes of one isolation tree, level by level: split a random feature at a uniform point of its range until a node
+    has one row, no spread, or the depth cap.
 
-    def grow(rows: np.ndarray, depth: int, path: str) -> int:
-        at = len(nodes)
-        nodes.append(None)
-        lo, hi = rows.min(axis=0), rows.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
+    Feature and threshold come from the MD5 of (seed, tree, node), nodes being numbered as in a heap (root 1, children
+    2k and 2k + 1), so they depend on the place in the tree and on the rows only. The ids that come out count the nodes
+    in the order they are made.
+    """
+    nodes: list[tuple] = []
+    todo = deque([(1, 0, np.arange(len(x)))])
+    made = 1
+    while todo:
+        place, depth, rows = todo.popleft()
+        part = x[rows]
+        low, high = part.min(axis=0), part.max(axis=0)
+        usable = np.flatnonzero(high > low)
         if depth >= max_depth or len(rows) <= 1 or not len(usable):
-            nodes[at] = (at, -1, np.nan, -1, -1, len(rows), depth)
-            return at
-        rng = _node_rng(seed, tree_id, path)
-        feature = int(usable[rng.integers(len(usable))])
-        threshold = float(rng.uniform(lo[feature], hi[feature]))
-        goes_left = rows[:, feature] <= threshold
-        if goes_left.all():  # the draw hit the upper end
-            threshold = float(lo[feature])
-            goes_left = rows[:, feature] <= threshold
-        left = grow(rows[goes_left], depth + 1, path + "l")
-        right = grow(rows[~goes_left], depth + 1, path + "r")
-        nodes[at] = (at, feature, threshold, left, right, len(rows), depth)
-        return at
-
-    grow(x, 0, "")
+            nodes.append((len(nodes), -1, np.nan, -1, -1, len(rows), depth))
+            continue
+        digest = hashlib.md5(f"{seed}|{tree_id}|{place}".encode()).hexdigest()
+        feature = int(usable[int(digest[:12], 16) % len(usable)])
+        lo, hi = float(low[feature]), float(high[feature])
+        # 13 digits are 52 bits, which a double holds; a draw that rounds to the upper end would leave the right side empty
+        drawn = lo + int(digest[12:25], 16) / 2.0 ** 52 * (hi - lo)
+        threshold = drawn if drawn < hi else lo
+        right = part[:, feature] > threshold
+        nodes.append((len(nodes), feature, threshold, made, made + 1, len(rows), depth))
+        made += 2
+        todo += [(2 * place, depth + 1, rows[~right]), (2 * place + 1, depth + 1, rows[right])]
     return nodes
 
 
@@ -125,7 +136,6 @@ def fit(rows: DataFrame, key: str, columns: list[str], n_trees: int = N_TREES, s
     max_depth = max(1, math.ceil(math.log2(psi)))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_key", kind="stable")
         tree_id = int(pdf["tree_id"].iloc[0])
         nodes = grow_tree(pdf[columns].to_numpy(dtype=float), tree_id, seed, max_depth)
         out = pd.DataFrame(nodes, columns=["node_id", "feature", "threshold", "left", "right", "n", "depth"])

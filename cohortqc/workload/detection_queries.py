@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import math
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from cohortqc.operators import iforest as M
 from cohortqc.plans import jobs
 from cohortqc.session import shared_folder
 from cohortqc.workload import cohort_queries as Q
+from cohortqc.workload.cohort_queries import _feature_sql
 from cohortqc.workload.registry import query, rounded
 from cohortqc.workload.views import ctes, load
 
@@ -193,31 +195,177 @@ def projection_fixed(spark, sf):
     return rounded(E.project(E.standard_scores(labelled, _COLUMNS), _COLUMNS))
 
 
-# ---- the whole chain on the feature matrix; a fitted forest has no SQL twin, tests check its invariants --------------
+# ---- the whole chain on the feature matrix --------------------------------------------------------------------------
+# SQL grows the same forest level by level from the same digests: a sample per tree, then per level the spread of every
+# node, its split, and the rows of the next level. Nodes are numbered as in a heap.
+
+_MATRIX = _feature_sql(group=False)
+_FEATURES = schemas.FEATURES
+_DEPTH = round(math.log2(M.SUBSAMPLE))
+
+
+def _hex(text: str, start: int, digits: int) -> str:
+    return f"CAST('0x' || substr(md5({text}), {start}, {digits}) AS BIGINT)"
+
+
+def _C(n: str) -> str:
+    """Mean depth of an unsuccessful search among n rows."""
+    return (f"(CASE WHEN {n} <= 1 THEN 0 WHEN {n} = 2 THEN 1 ELSE 2 * (ln(greatest({n}, 2) - 1) + 0.57721566490153286) "
+            f"- 2 * ({n} - 1) / CAST({n} AS DOUBLE) END)")
+
+
+@cache
+def _forest_sql(nulls: str) -> str:
+    """CTEs: ``f`` the matrix, ``nodes`` the forest, ``marked`` the rows with path length, score, split and mask."""
+    filled = [f"coalesce({c}, (SELECT median({c}) FROM matrix)) AS {c}" if nulls == "median" else c for c in _FEATURES]
+    whole = "" if nulls == "median" else " WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _FEATURES)
+    place = f"'{M.SEED}|' || tree || '|' || node"
+    out = [f"""matrix AS MATERIALIZED ({_MATRIX}),
+    f AS MATERIALIZED (SELECT *, [{', '.join(_FEATURES)}] AS x,
+        CASE WHEN substr(md5(srr || '{M.SEED}'), 1, 2) < 'c0' THEN 'train' ELSE 'test' END AS split
+      FROM (SELECT srr, {', '.join(filled)} FROM matrix{whole}) m),
+    size AS (SELECT least({M.SUBSAMPLE}, count(*)) AS psi FROM f WHERE split = 'train'),
+    drawn AS (SELECT srr, tree, row_number() OVER (PARTITION BY tree ORDER BY (a + tree * b) % {M.DRAWS}, srr) AS rn
+      FROM (SELECT srr, {_hex(f"'{M.SEED}|' || srr", 1, 12)} AS a, {_hex(f"'{M.SEED}|' || srr", 13, 12)} AS b
+            FROM f WHERE split = 'train') d CROSS JOIN (SELECT unnest(range({M.N_TREES})) AS tree) t),
+    long AS MATERIALIZED (SELECT srr, unnest(x) AS v, unnest(range({len(_FEATURES)})) AS j FROM f),
+    rows0 AS MATERIALIZED (SELECT srr, tree, CAST(1 AS BIGINT) AS node FROM drawn, size WHERE rn <= psi)"""]
+    for d in range(_DEPTH + 1):
+        splits = f"n > 1 AND len(us) > 0 AND {d} < ceil(log2(psi))"
+        out.append(f"""
+    nodes{d} AS MATERIALIZED (
+      SELECT tree, node, n, depth, feature, CASE WHEN drawn < hi THEN drawn ELSE lo END AS threshold FROM (
+        SELECT *, lo + CAST({_hex(place, 13, 13)} AS DOUBLE) / {2 ** 52}.0::DOUBLE * (hi - lo) AS drawn FROM (
+          SELECT *, lows[feature + 1] AS lo, highs[feature + 1] AS hi FROM (
+            SELECT *, CASE WHEN {splits} THEN us[{_hex(place, 1, 12)} % greatest(len(us), 1) + 1] ELSE -1 END AS feature
+            FROM (SELECT tree, node, max(n) AS n, {d} AS depth, list(lo ORDER BY j) AS lows, list(hi ORDER BY j) AS highs,
+                    coalesce(list(j ORDER BY j) FILTER (hi > lo), []) AS us
+                  FROM (SELECT tree, node, j, min(v) AS lo, max(v) AS hi, count(*) AS n
+                        FROM rows{d} JOIN long USING (srr) GROUP BY tree, node, j) s GROUP BY tree, node) g, size) c) e) h),
+    rows{d + 1} AS MATERIALIZED (
+      SELECT r.srr, r.tree, r.node * 2 + CAST(f.x[n.feature + 1] > n.threshold AS BIGINT) AS node
+      FROM rows{d} r JOIN nodes{d} n ON r.tree = n.tree AND r.node = n.node JOIN f ON f.srr = r.srr WHERE n.feature >= 0)""")
+    out.append(f"""
+    nodes AS MATERIALIZED ({' UNION ALL '.join(f'SELECT * FROM nodes{d}' for d in range(_DEPTH + 1))}),
+    walk AS (SELECT srr, tree, CAST(1 AS BIGINT) AS node FROM f CROSS JOIN (SELECT unnest(range({M.N_TREES})) AS tree) t
+      UNION ALL SELECT w.srr, w.tree, w.node * 2 + CAST(f.x[n.feature + 1] > n.threshold AS BIGINT)
+      FROM walk w JOIN nodes n ON w.tree = n.tree AND w.node = n.node JOIN f ON f.srr = w.srr WHERE n.feature >= 0),
+    leafs AS MATERIALIZED (SELECT *, depth + {_C('n')} AS value FROM nodes WHERE feature < 0),
+    marked AS MATERIALIZED (SELECT f.*, path_length, pow(2, -path_length / {_C('psi')}) > 0.5 AS is_outlier
+      FROM f, size, (SELECT srr, sum(value) / {M.N_TREES} AS path_length
+                     FROM walk JOIN leafs USING (tree, node) GROUP BY srr) p WHERE p.srr = f.srr)""")
+    return "WITH RECURSIVE " + ",".join(out)
+
+
+def _shap_sql() -> str:
+    """Exact attribution of the test rows. A leaf is a box of one interval per feature on its path; which of them a row
+    meets is a bit mask, and only pairs of masks that occur at a leaf are worked out."""
+    full = "(1 << u) - 1"
+    return _forest_sql("drop") + f""",
+    steps AS (SELECT l.tree, l.node, a.feature, a.threshold, (l.node >> (i - 1)) & 1 = 1 AS goes_right
+      FROM (SELECT *, unnest(range(1, {_DEPTH + 1})) AS i FROM leafs) l JOIN nodes a ON a.tree = l.tree AND a.node = l.node >> i),
+    boxes AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY feature) - 1 AS bit,
+        count(*) OVER (PARTITION BY tree, node) AS u
+      FROM (SELECT tree, node, feature, coalesce(max(threshold) FILTER (goes_right), '-inf'::DOUBLE) AS lo,
+              coalesce(min(threshold) FILTER (NOT goes_right), 'inf'::DOUBLE) AS hi FROM steps GROUP BY tree, node, feature) b),
+    masks AS MATERIALIZED (SELECT srr, is_outlier, tree, node, max(u) AS u,
+        CAST(sum(CASE WHEN x[feature + 1] > lo AND x[feature + 1] <= hi THEN 1 << bit ELSE 0 END) AS BIGINT) AS mask
+      FROM marked CROSS JOIN boxes WHERE split = 'test' GROUP BY srr, is_outlier, tree, node),
+    ground AS (SELECT tree, node, mask AS zm, count(*) / (SELECT count(*) FROM marked WHERE split = 'test' AND NOT is_outlier)
+        AS share FROM masks WHERE NOT is_outlier GROUP BY tree, node, mask),
+    pairs AS (SELECT o.tree, o.node, o.mask, zm, share, bit_count(({full}) - zm) AS a, bit_count(({full}) - mask) AS b
+      FROM (SELECT DISTINCT tree, node, mask, u FROM masks) o JOIN ground g ON g.tree = o.tree AND g.node = o.node
+      WHERE mask | zm = {full}),
+    gains AS MATERIALIZED (SELECT tree, node, mask, feature, sum(share * CASE
+        WHEN (zm >> bit) & 1 = 0 THEN factorial(a - 1) * factorial(b) / factorial(a + b)::DOUBLE
+        WHEN (mask >> bit) & 1 = 0 THEN -factorial(a) * factorial(b - 1) / factorial(a + b)::DOUBLE ELSE 0 END) AS gain
+      FROM pairs JOIN boxes USING (tree, node) WHERE ((zm & mask) >> bit) & 1 = 0 GROUP BY tree, node, mask, feature),
+    found AS (SELECT srr, gains.feature, sum(gain * value) / {M.N_TREES} AS phi
+      FROM masks JOIN gains USING (tree, node, mask) JOIN leafs USING (tree, node) GROUP BY srr, gains.feature),
+    phis AS MATERIALIZED (SELECT m.srr, m.is_outlier, j, [{', '.join(f"'{c}'" for c in _FEATURES)}][j + 1] AS name,
+        coalesce(phi, 0) AS phi
+      FROM (SELECT *, unnest(range({len(_FEATURES)})) AS j FROM marked WHERE split = 'test') m
+      LEFT JOIN found p ON p.srr = m.srr AND p.feature = j)"""
+
+
+def _projection_sql() -> str:
+    """The two first components: the covariance of the standard scores squared again and again leaves the first one; with
+    that taken out, the second."""
+    out = [_forest_sql("drop") + f""",
+    z AS MATERIALIZED (SELECT srr, j, (v - avg(v) OVER w) / CASE WHEN stddev_pop(v) OVER w = 0 THEN 1 ELSE stddev_pop(v) OVER w END AS z
+      FROM long WINDOW w AS (PARTITION BY j)),
+    a0 AS MATERIALIZED (SELECT a.j AS i, b.j AS j, avg(a.z * b.z) AS v FROM z a JOIN z b USING (srr) GROUP BY a.j, b.j)"""]
+    for k in (1, 2):
+        start = f"a{k - 1}"
+        for step in range(1, 15):
+            last = start if step == 1 else f"s{k}_{step - 1}"
+            out.append(f"""
+    s{k}_{step} AS MATERIALIZED (SELECT i, j, v / max(abs(v)) OVER () AS v FROM (
+      SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY a.i, b.j) p)""")
+        out.append(f"""
+    c{k} AS MATERIALIZED (SELECT i, v / sqrt(sum(v * v) OVER ()) AS v FROM s{k}_14
+      WHERE j = (SELECT i FROM s{k}_14 WHERE i = j ORDER BY v DESC, i LIMIT 1)),
+    w{k} AS MATERIALIZED (SELECT i, v * (SELECT sign(c.v) FROM c{k} c WHERE abs(c.v) >= (SELECT max(abs(v)) FROM c{k}) * (1 - 1e-6)
+      ORDER BY c.i LIMIT 1) AS v FROM c{k}),
+    e{k} AS MATERIALIZED (SELECT sum(a.v * x.v * y.v) AS e FROM a{k - 1} a JOIN w{k} x ON x.i = a.i JOIN w{k} y ON y.i = a.j),
+    a{k} AS MATERIALIZED (SELECT a.i, a.j, a.v - e * x.v * y.v AS v FROM a{k - 1} a JOIN w{k} x ON x.i = a.i JOIN w{k} y ON y.i = a.j, e{k})""")
+    return ",".join(out)
+
 
 def _matrix(spark, sf):
-    """Run features, written once: fitting and scoring read them several times."""
+    """Run features to six digits, so that two engines grow the forest on the same numbers; written once: fitting and
+    scoring read them several times."""
     path = shared_folder(spark, "features")
-    Q.X.run_features(Q.workflow(spark, sf)).write.parquet(path)
+    rounded(Q.X.run_features(Q.workflow(spark, sf))).write.parquet(path)
     return spark.read.parquet(path)
 
 
-@query("forest_labels")
+@query("forest_labels", f"""{_forest_sql('median')} SELECT srr, {', '.join(f'round({c}, 6) AS {c}' for c in _FEATURES)},
+    CASE WHEN is_outlier THEN '{M.OUTLIER_LABEL}' ELSE '{M.INLIER_LABEL}' END AS labels FROM marked""")
 def forest_labels(spark, sf):
-    return jobs.detect(_matrix(spark, sf), "srr", nulls="median").result
+    return rounded(jobs.detect(_matrix(spark, sf), "srr", nulls="median").result)
+
+
+@query("forest_nodes", f"""{_forest_sql('median')} SELECT CAST(tree AS INTEGER) AS tree_id,
+    CAST(row_number() OVER w - 1 AS INTEGER) AS node_id, CAST(feature AS INTEGER) AS feature, round(threshold, 6) AS threshold,
+    CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * sum((feature >= 0)::INT) OVER w - 1 END AS INTEGER) AS "left",
+    CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * sum((feature >= 0)::INT) OVER w END AS INTEGER) AS "right", n, depth,
+    CAST((SELECT psi FROM size) AS INTEGER) AS psi FROM nodes WINDOW w AS (PARTITION BY tree ORDER BY node)""")
+def forest_nodes(spark, sf):
+    """The fitted forest itself."""
+    columns = list(_FEATURES)
+    rows = M.split_rows(M.handle_nulls(_matrix(spark, sf), columns, "median"), "srr")
+    return rounded(M.fit(rows.where("split = 'train'"), "srr", columns))
+
 
+_LABEL_CASES = " ".join("WHEN '{}' THEN '{}'".format(c, label.replace("'", "''")) for c, label in schemas.FEATURE_LABELS.items())
 
-@query("importance")
+
+@query("importance", f"""{_shap_sql()} SELECT name AS feature, round(avg(abs(phi)), 6) AS mean_abs_shap,
+    CAST(rank() OVER (ORDER BY avg(abs(phi)) DESC, name) AS INTEGER) AS rank,
+    CASE name {_LABEL_CASES} END AS label
+    FROM phis WHERE is_outlier GROUP BY name""")
 def importance(spark, sf):
-    return jobs.detect(_matrix(spark, sf), "srr", nulls="drop").importance
+    return rounded(jobs.detect(_matrix(spark, sf), "srr", nulls="drop").importance)
 
 
-@query("shap_long")
+@query("shap_long", f"{_shap_sql()} SELECT srr, NOT is_outlier AS is_inlier, is_outlier, name AS feature, round(phi, 6) + 0.0 AS phi FROM phis")
 def shap_long(spark, sf):
-    return jobs.detect(_matrix(spark, sf), "srr", nulls="drop").shap
+    return rounded(jobs.detect(_matrix(spark, sf), "srr", nulls="drop").shap)
+
+
+@query("forest_expected_value", f"""{_forest_sql('drop')} SELECT round(avg(path_length), 6) AS expected_value FROM marked
+    WHERE split = 'test' AND NOT is_outlier""")
+def forest_expected_value(spark, sf):
+    """The explainer's own mean over its summarised background."""
+    value = jobs.detect(_matrix(spark, sf), "srr", nulls="drop").expected_value
+    return rounded(spark.range(1).select(F.lit(value).alias("expected_value")))
 
 
-@query("pca_projection")
+@query("pca_projection", f"""{_projection_sql()} SELECT m.srr,
+    CASE WHEN is_outlier THEN '{M.OUTLIER_LABEL}' ELSE '{M.INLIER_LABEL}' END AS labels,
+    round(sum(z * w1.v), 6) + 0.0 AS "PC1", round(sum(z * w2.v), 6) + 0.0 AS "PC2"
+    FROM z JOIN marked m ON m.srr = z.srr JOIN w1 ON w1.i = z.j JOIN w2 ON w2.i = z.j GROUP BY m.srr, is_outlier""")
 def pca_projection(spark, sf):
     labelled = jobs.detect(_matrix(spark, sf), "srr", nulls="drop").result
-    return E.project(E.standard_scores(labelled, schemas.FEATURES), schemas.FEATURES)
+    return rounded(E.project(E.standard_scores(labelled, schemas.FEATURES), schemas.FEATURES))

@@ -1,4 +1,5 @@
 """Forest invariants and attribution against brute force."""
+import hashlib
 import itertools
 import math
 
@@ -51,9 +52,11 @@ def test_fit_does_not_depend_on_partitions(cloud, trees):
 def test_sample_is_the_lowest_draws(cloud):
     sample, psi = M.tree_samples(cloud, "key", COLUMNS, n_trees=5, subsample=50)
     got = {(r.tree_id, r._key) for r in sample.select("tree_id", "_key").collect()}
-    draws = [(t, r[0], r[t + 1]) for r in cloud.select("key", *[
-        F.xxhash64(F.lit(M.SEED), F.lit(t), F.col("key")).bitwiseAND(2 ** 62 - 1) for t in range(5)]).collect()
-        for t in range(5)]
+    draws = []
+    for (k,) in cloud.select("key").collect():
+        digest = hashlib.md5(f"{M.SEED}|{k}".encode()).hexdigest()
+        a, b = int(digest[:12], 16), int(digest[12:24], 16)
+        draws += [(t, k, (a + t * b) % M.DRAWS) for t in range(5)]
     want = {(t, k) for i in range(5) for t, k, _ in sorted((d for d in draws if d[0] == i), key=lambda d: d[2])[:50]}
     assert psi == 50 and got == want
 
@@ -133,11 +136,13 @@ def test_standard_scores_without_spread(spark):
 def test_detect(spark, tmp_path):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame(rng.normal(size=(300, 21)), columns=schemas.FEATURES)
-    pdf.iloc[0] += 30
     pdf.insert(0, "srx", [f"e{i}" for i in range(300)])
+    # one row far off on each side of the split
+    tested = next(k for k in pdf["srx"] if hashlib.md5(f"{k}{M.SEED}".encode()).hexdigest()[:2] >= "c0")
+    pdf.loc[pdf["srx"].isin(["e0", tested]), schemas.FEATURES] += 30
     found = jobs.detect(spark.createDataFrame(pdf), "srx", str(tmp_path), n_trees=25)
     labels = {r.srx: r.labels for r in found.result.collect()}
-    assert labels["e0"] == "Outlier" and set(labels.values()) <= {"Inliers", "Outlier"} and len(labels) == 300
+    assert labels["e0"] == labels[tested] == "Outlier" and set(labels.values()) <= {"Inliers", "Outlier"} and len(labels) == 300
     csv = spark.read.option("header", True).csv(str(tmp_path / "result.csv"))
     assert csv.columns == ["srx", *schemas.FEATURES, "labels"] and csv.count() == 300
     sums = {r.srx: r.total for r in found.shap.groupBy("srx").agg(F.sum("phi").alias("total")).collect()}
