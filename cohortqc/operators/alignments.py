@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortqc.functions import cigar as C
 from cohortqc.functions.quality import quality_sum
 from cohortqc.operators.intervals import BIN_WIDTH, overlap_join
-from cohortqc.session import BROADCAST_ROWS
+from cohortqc.session import BROADCAST_ROWS, written
 
 # ---- Fixed values: bits of the alignment flag. --------------------------------------------------------------------
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED = 1, 2, 4, 8
@@ -40,31 +40,36 @@ def coordinate_sort(alignments: DataFrame, partitions: int | None = None) -> Dat
     return ranged.sortWithinPartitions(*keys)
 
 
-def alignment_stats(alignments: DataFrame, min_mapq: int | None = 20) -> DataFrame:
-    """Per run: the ``aln_stats`` stage row, computed from the alignments.
-
-    By default the mapping-quality filter comes first, so ``reads_MQ0`` is 0; pass ``min_mapq=None`` for all reads.
-    Insert sizes and orientation are read from the leftmost mate of a pair on one chromosome.
-    """
-    rows = mapq_filter(alignments, min_mapq) if min_mapq is not None else alignments
-    rows = rows.where(primary() & ~has(UNMAPPED)).withColumn("_quality", quality_sum(F.col("qual")))
-    pair = has(PAIRED) & ~has(MATE_UNMAPPED)
+def _stats_columns(within: Column) -> list[Column]:
+    """Aggregates of the ``aln_stats`` stage over the rows that ``within`` names. Insert sizes and orientation are read
+    from the leftmost mate of a pair on one chromosome."""
+    quality = quality_sum(F.when(within, F.col("qual")))
+    pair = within & has(PAIRED) & ~has(MATE_UNMAPPED)
     same_ref = (F.col("rnext") == "=") | (F.col("rnext") == F.col("ref"))
     leftmost = pair & same_ref & (F.col("tlen") > 0)
     reverse, mate_reverse = has(REVERSE), has(MATE_REVERSE)
     size = F.when(leftmost, F.col("tlen").cast("double"))
-    n = F.count(F.lit(1))
-    return rows.groupBy("srr").agg(
-        F.count_if(F.col("mapq") == 0).alias("reads_MQ0"),
-        F.try_divide(F.sum("_quality"), F.sum(F.length("qual"))).alias("average_quality"),
+    n = F.count_if(within)
+    return [
+        F.count_if(within & (F.col("mapq") == 0)).alias("reads_MQ0"),
+        F.try_divide(F.sum(quality), F.sum(F.when(within, F.length("qual")))).alias("average_quality"),
         F.coalesce(F.avg(size), F.lit(0.0)).alias("insert_size_average"),
         F.coalesce(F.stddev_pop(size), F.lit(0.0)).alias("insert_size_standard_deviation"),
         F.count_if(leftmost & ~reverse & mate_reverse).alias("inward_oriented_pairs"),
         F.count_if(leftmost & reverse & ~mate_reverse).alias("outward_oriented_pairs"),
         F.count_if(leftmost & (reverse == mate_reverse)).alias("pairs_with_other_orientation"),
         F.count_if(pair & ~same_ref & has(FIRST)).alias("pairs_on_different_chromosomes"),
-        (F.count_if(~reverse) * 100 / n).alias("Percent Forward"),
-        (F.count_if(reverse) * 100 / n).alias("Percent Reverse"))
+        F.try_divide(F.count_if(within & ~reverse) * 100, n).alias("Percent Forward"),
+        F.try_divide(F.count_if(within & reverse) * 100, n).alias("Percent Reverse")]
+
+
+def alignment_stats(alignments: DataFrame, min_mapq: int | None = 20) -> DataFrame:
+    """Per run: the ``aln_stats`` stage row, computed from the alignments.
+
+    By default the mapping-quality filter comes first, so ``reads_MQ0`` is 0; pass ``min_mapq=None`` for all reads.
+    """
+    rows = mapq_filter(alignments, min_mapq) if min_mapq is not None else alignments
+    return rows.where(primary() & ~has(UNMAPPED)).groupBy("srr").agg(*_stats_columns(F.lit(True)))
 
 
 def aligner_counts(alignments: DataFrame) -> DataFrame:
@@ -84,14 +89,8 @@ def aligner_counts(alignments: DataFrame) -> DataFrame:
         ((n - n_unaligned) * 100 / n).alias("per_alignment"))
 
 
-def aligner_stage(alignments: DataFrame) -> DataFrame:
-    """The ``hisat2`` stage row from the flags, with the aligner's own bookkeeping.
-
-    A pair counts once and is concordant when flagged proper; it is discordant when both mates are uniquely aligned but
-    not proper. The mates of all other pairs are counted one by one, together with unpaired reads.
-    """
-    rows = alignments.where(primary())
-    nh = F.col("nh") if "nh" in alignments.columns else F.lit(None).cast("int")
+def _stage_columns(within: Column, nh: Column) -> list[Column]:
+    """Aggregates of the ``hisat2`` stage over the rows that ``within`` names."""
     mapped_read = ~has(UNMAPPED)
     multi = mapped_read & F.when(nh.isNotNull(), nh > 1).otherwise(F.col("mapq") <= 1)
     unique = mapped_read & ~multi
@@ -99,42 +98,125 @@ def aligner_stage(alignments: DataFrame) -> DataFrame:
     proper = paired & has(PROPER) & mapped_read & ~has(MATE_UNMAPPED)
     discordant = paired & ~proper & unique & ~has(MATE_UNMAPPED)
     alone = ~proper & ~discordant
-    n = F.count(F.lit(1))
 
     def count(condition: Column, name: str) -> Column:
-        return F.count_if(condition).cast("double").alias(name)
+        return F.count_if(within & condition).cast("double").alias(name)
 
-    return rows.groupBy("srr").agg(
+    return [
         count(~paired | first, "num_reads"), count(paired & first, "num_reads_paired"),
         count(~paired, "num_reads_unpaired"), count(first & paired & ~proper, "num_concordant_reads_unaligned"),
         count(first & proper & unique, "num_concordant_reads_uniquely_aligned"),
         count(first & proper & multi, "num_concordant_multimappers"),
         count(first & discordant, "num_discordant_reads_aligned"), count(alone & ~mapped_read, "num_unaligned"),
         count(alone & unique, "num_uniquely_aligned"), count(alone & multi, "num_multimappers"),
-        (F.count_if(mapped_read) * 100 / n).alias("per_alignment"))
+        F.try_divide(F.count_if(within & mapped_read) * 100, F.count_if(within)).alias("per_alignment")]
+
+
+def _hits_column(alignments: DataFrame) -> Column:
+    return F.col("nh") if "nh" in alignments.columns else F.lit(None).cast("int")
+
+
+def aligner_stage(alignments: DataFrame) -> DataFrame:
+    """The ``hisat2`` stage row from the flags, with the aligner's own bookkeeping.
+
+    A pair counts once and is concordant when flagged proper; it is discordant when both mates are uniquely aligned but
+    not proper. The mates of all other pairs are counted one by one, together with unpaired reads.
+    """
+    return alignments.where(primary()).groupBy("srr").agg(*_stage_columns(F.lit(True), _hits_column(alignments)))
+
+
+def flag_summary(alignments: DataFrame, min_mapq: int | None = 20) -> DataFrame:
+    """What the flags of every run say, in one pass: ``n_primary`` with the columns of ``aligner_stage`` over primary
+    alignments, and ``n_good`` with those of ``alignment_stats`` over the mapped ones that pass the quality filter."""
+    within = primary()
+    good = within & ~has(UNMAPPED)
+    if min_mapq is not None:
+        good = good & (F.col("mapq") >= min_mapq)
+    return alignments.groupBy("srr").agg(
+        F.count_if(within).alias("n_primary"), *_stage_columns(within, _hits_column(alignments)),
+        F.count_if(good).alias("n_good"), *_stats_columns(good))
+
+
+# ---- equal alignments and pairs as single rows --------------------------------------------------------------------
+
+def collapse(alignments: DataFrame) -> DataFrame:
+    """Mapped primary alignments of a run that agree in place, CIGAR and strand as one row with a count ``n``.
+
+    ``reverse`` is the strand as aligned, ``second`` marks second mates, ``alone`` reads that are templates as they
+    stand: single, or with an unmapped mate. A pile-up costs one row, and whatever only adds up alignments (depth, classes,
+    junctions, genes of single reads) reads these rows instead of the alignments.
+    """
+    return alignments.where(primary() & ~has(UNMAPPED)).groupBy(
+        "srr", "ref", "pos", "cigar", has(REVERSE).alias("reverse"), (has(PAIRED) & has(SECOND)).alias("second"),
+        (~(has(PAIRED) & ~has(MATE_UNMAPPED))).alias("alone")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def is_collapsed(rows: DataFrame) -> bool:
+    """Whether rows come from ``collapse``."""
+    return "n" in rows.columns and "flag" not in rows.columns
+
+
+ENDS = ("ref_low", "ref_high", "end_low", "end_high", "mix")
+
+
+def _end(reverse: Column) -> tuple[Column, Column]:
+    """An alignment's 5' end as two numbers: its reference by a 64-bit hash, its place and strand exactly."""
+    place = C.unclipped_five_prime(F.col("pos"), F.col("cigar"), reverse)
+    return F.xxhash64("ref"), place * 2 + reverse.cast("bigint")
+
+
+def _lone_ends(reverse: Column) -> list[Column]:
+    ref, place = _end(reverse)
+    return [c.alias(name) for c, name in zip((ref, ref, place, place, F.lit(0).cast("bigint")), ENDS)]
+
+
+def _pair_ends() -> list[Column]:
+    """Both ends of a name in a fixed order, from combining aggregates of numbers. Where the references differ, ``mix``
+    tells which end lies on which."""
+    ref, place = _end(has(REVERSE))
+    return [c.alias(name) for c, name in zip(
+        (F.min(ref), F.max(ref), F.min(place), F.max(place), F.bit_xor(F.xxhash64(ref, place))), ENDS)]
+
+
+def pair_rows(alignments: DataFrame) -> DataFrame:
+    """One row per name of the mapped reads whose mate is mapped too: ``n_ends``, both ends, and both places and CIGARs
+    with the strand of mate 1, for duplicates and for counting."""
+    second = has(SECOND)
+
+    def of(mate: Column, value: str) -> Column:
+        return F.max(F.when(mate, F.col(value)))
+
+    last = F.col("pos") + C.reference_length(F.col("cigar")) - 1
+    return alignments.where(primary() & ~has(UNMAPPED) & has(PAIRED) & ~has(MATE_UNMAPPED)).groupBy("srr", "qname").agg(
+        F.count(F.lit(1)).alias("n_ends"), *_pair_ends(), F.min("ref").alias("ref"), F.max("ref").alias("ref2"),
+        F.count_if(~second).alias("n_first"), F.count_if(second).alias("n_second"), F.min("pos").alias("from"),
+        F.max(last).alias("to"), F.bool_or(~second & (has(REVERSE) != second)).alias("reverse"),
+        of(~second, "pos").alias("pos"), of(~second, "cigar").alias("cigar"),
+        of(second, "pos").alias("pos2"), of(second, "cigar").alias("cigar2"))
 
 
 # ---- duplicates ---------------------------------------------------------------------------------------------------
 
-def _ends(alignments: DataFrame) -> DataFrame:
-    """One row per template: its one or two ends in a fixed order and its summed base quality.
+def _as_templates(pairs: DataFrame, *carry: str) -> DataFrame:
+    """Rows per name as templates; an end whose mate is not there stands alone."""
+    pair = F.col("n_ends") > 1
+    return pairs.select("srr", *carry, pair.alias("is_pair"), *ENDS[:-1],
+                        F.when(pair, F.col("mix")).otherwise(0).alias("mix"))
+
+
+def _templates(alignments: DataFrame) -> DataFrame:
+    """srr, qname, is_pair, the ends and the summed base quality of each template.
 
     A single read, or a read whose mate is unmapped or not among the alignments, is a template as it stands; only true
-    pairs are brought together.
+    pairs are brought together, by an aggregate of numbers.
     """
-    reverse = has(REVERSE)
-    end = F.struct("ref", C.unclipped_five_prime(F.col("pos"), F.col("cigar"), reverse).alias("five_prime"),
-                   reverse.alias("reverse"))
-    score = (F.col("score") if "score" in alignments.columns else quality_sum(F.col("qual"), at_least=15))
-    rows = alignments.where(primary() & ~has(UNMAPPED))
+    score = F.col("score") if "score" in alignments.columns else quality_sum(F.col("qual"), at_least=15)
+    rows = alignments.where(primary() & ~has(UNMAPPED)).withColumn("score", score.cast("bigint"))
     both = has(PAIRED) & ~has(MATE_UNMAPPED)
-    singles = rows.where(~both).select("srr", "qname", F.array(end).alias("ends"), score.cast("bigint").alias("score"))
-    pairs = (rows.where(both).select("srr", "qname", end.alias("_end"), score.cast("bigint").alias("_score"))
-             .groupBy("srr", "qname").agg(F.min("_end").alias("_lo"), F.max("_end").alias("_hi"),
-                                          F.sum("_score").alias("score"), F.count(F.lit(1)).alias("_n"))
-             .select("srr", "qname", F.when(F.col("_n") > 1, F.array("_lo", "_hi")).otherwise(F.array("_lo")).alias("ends"),
-                     "score"))
-    return singles.unionByName(pairs)
+    singles = rows.where(~both).select("srr", "qname", F.lit(False).alias("is_pair"), *_lone_ends(has(REVERSE)), "score")
+    pairs = rows.where(both).groupBy("srr", "qname").agg(
+        F.count(F.lit(1)).alias("n_ends"), *_pair_ends(), F.sum("score").alias("score"))
+    return singles.unionByName(_as_templates(pairs, "qname", "score"))
 
 
 def repeated_names(alignments: DataFrame) -> DataFrame:
@@ -143,31 +225,33 @@ def repeated_names(alignments: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
 
 
-def _best(templates: DataFrame) -> DataFrame:
-    """The template each group of copies keeps: highest score, then first name. A combining aggregate, so a group
-    that holds a third of the data never meets in one task."""
-    order = F.struct((-F.col("score")).alias("s"), F.col("qname").alias("q"))
-    return templates.groupBy("srr", "ends").agg(F.min(order).alias("_best"), F.count(F.lit(1)).alias("copies"))
+TEMPLATE = ("srr", "is_pair", *ENDS)
 
 
 def mark_duplicates(alignments: DataFrame) -> DataFrame:
-    """Per template (srr, qname): is it a copy of a better one at the same place?
+    """Per template (srr, qname): is it a copy of a better one at the same place? The highest score stays, then the
+    first name.
 
-    No window over the copies: the kept names come from an aggregate and are joined back on a key that contains the
-    name, which spreads evenly.
+    The templates are written: their names are needed only where copies were found. Copies and best score come from a
+    hash aggregate of numbers; the first name is sought among the copies that share the best score. No window over the
+    copies: a group that holds a third of the data is combined before it is shuffled, and its rows meet the one row of
+    their group in a join that can be split.
     """
-    templates = _ends(alignments)
-    kept = _best(templates).select("srr", "ends", F.col("_best.q").alias("qname"), F.lit(True).alias("_kept"))
-    return (templates.join(kept, ["srr", "qname", "ends"], "left")
-            .select("srr", "qname", (F.size("ends") > 1).alias("is_pair"),
-                    F.col("_kept").isNull().alias("is_duplicate")))
-
-
-def duplication_rate(alignments: DataFrame) -> DataFrame:
-    """The ``markduplicates`` stage row. Only group sizes matter, so nothing is joined back."""
-    groups = (_ends(alignments).groupBy("srr", "ends").agg(F.count(F.lit(1)).alias("copies"))
-              .withColumn("pair", F.size("ends") > 1))
-    one, two = F.when(~F.col("pair"), F.col("copies")), F.when(F.col("pair"), F.col("copies"))
+    key = list(TEMPLATE)
+    templates = written(_templates(alignments), "templates")
+    groups = templates.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.max("score").alias("best"))
+    rated = templates.join(groups, key)
+    first = rated.where((F.col("copies") > 1) & (F.col("score") == F.col("best"))).groupBy(*key).agg(
+        F.min("qname").alias("kept"))
+    return rated.join(first, key, "left").select(
+        "srr", "qname", "is_pair", (F.col("kept").isNotNull() & (F.col("qname") != F.col("kept"))).alias("is_duplicate"))
+
+
+def _duplication(templates: DataFrame) -> DataFrame:
+    """The ``markduplicates`` stage row of templates with a count ``n``. Only group sizes matter, so nothing is joined
+    back."""
+    groups = templates.groupBy(*TEMPLATE).agg(F.sum("n").alias("copies"))
+    one, two = F.when(~F.col("is_pair"), F.col("copies")), F.when(F.col("is_pair"), F.col("copies"))
 
     def total(c: Column) -> Column:
         return F.coalesce(F.sum(c), F.lit(0))
@@ -181,6 +265,22 @@ def duplication_rate(alignments: DataFrame) -> DataFrame:
                          F.lit(None).cast("bigint").alias("estimated_library_size"))
 
 
+def duplication_rate(alignments: DataFrame) -> DataFrame:
+    """The ``markduplicates`` stage row of alignments."""
+    rows = alignments.where(primary() & ~has(UNMAPPED))
+    both = has(PAIRED) & ~has(MATE_UNMAPPED)
+    one = F.lit(1).cast("bigint").alias("n")
+    singles = rows.where(~both).select("srr", F.lit(False).alias("is_pair"), *_lone_ends(has(REVERSE)), one)
+    pairs = rows.where(both).groupBy("srr", "qname").agg(F.count(F.lit(1)).alias("n_ends"), *_pair_ends())
+    return _duplication(singles.unionByName(_as_templates(pairs).select("*", one)))
+
+
+def duplication_of(collapsed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The same from ``collapse`` and ``pair_rows``."""
+    singles = collapsed.where("alone").select("srr", F.lit(False).alias("is_pair"), *_lone_ends(F.col("reverse")), "n")
+    return _duplication(singles.unionByName(_as_templates(pairs).select("*", F.lit(1).cast("bigint").alias("n"))))
+
+
 # ---- fragments, genes, junctions ----------------------------------------------------------------------------------
 
 def count_modes(layout: DataFrame, strand: DataFrame) -> DataFrame:
@@ -201,31 +301,21 @@ def shape_key(shapes: DataFrame) -> list[str]:
 def fragments(alignments: DataFrame, paired: bool = False, min_size: int = 50, max_size: int = 600) -> DataFrame:
     """Countable fragments, collapsed to distinct shapes with a count ``n``.
 
-    Single reads are their own fragment; taken one by one, the second mate of a pair counts on the other strand. Of pairs, both ends must be mapped to one chromosome and span 50 to 600
-    bases; the strand is that of mate 1. Copies of one shape become one row before any CIGAR is expanded and before
-    anything is joined, so a pile-up costs one row per run and shape.
+    Single reads are their own fragment; taken one by one, the second mate of a pair counts on the other strand. Of
+    pairs, both ends must be mapped to one chromosome and span 50 to 600 bases; the strand is that of mate 1. Copies of
+    one shape become one row before any CIGAR is expanded and before anything is joined, so a pile-up costs one row per
+    run and shape. Rows of ``collapse`` (for single reads) and of ``pair_rows`` (for pairs) are taken too.
     """
-    rows = alignments.where(primary() & ~has(UNMAPPED))
-    if not paired:
-        flipped = has(PAIRED) & has(SECOND)
-        shapes = rows.select("srr", "ref", (has(REVERSE) != flipped).alias("reverse"), "pos", "cigar")
-    else:
-        second = has(SECOND)
-
-        def of(mate, value: str) -> Column:
-            return F.max(F.when(mate, F.col(value)))
-
-        pairs = rows.where(has(PAIRED) & ~has(MATE_UNMAPPED)).select(
-            "srr", "qname", "ref", "pos", "cigar", second.alias("second"), (has(REVERSE) != second).alias("reverse"),
-            (F.col("pos") + C.reference_length(F.col("cigar")) - 1).alias("last")).groupBy("srr", "qname").agg(
-            F.min("ref").alias("ref"), F.max("ref").alias("_ref2"), F.count_if(~F.col("second")).alias("_n1"),
-            F.count_if(F.col("second")).alias("_n2"), F.min("pos").alias("_first"), F.max("last").alias("_last"),
-            F.bool_or(~F.col("second") & F.col("reverse")).alias("reverse"),
-            of(~F.col("second"), "pos").alias("pos"), of(~F.col("second"), "cigar").alias("cigar"),
-            of(F.col("second"), "pos").alias("pos2"), of(F.col("second"), "cigar").alias("cigar2"))
-        size = F.col("_last") - F.col("_first") + 1
-        shapes = pairs.where((F.col("_n1") == 1) & (F.col("_n2") == 1) & (F.col("ref") == F.col("_ref2"))
-                             & size.between(min_size, max_size))
+    if paired:
+        pairs = alignments if "n_ends" in alignments.columns else pair_rows(alignments)
+        shapes = pairs.where((F.col("n_first") == 1) & (F.col("n_second") == 1) & (F.col("ref") == F.col("ref2"))
+                             & (F.col("to") - F.col("from") + 1).between(min_size, max_size))
+        return shapes.groupBy(*SHAPE).agg(F.count(F.lit(1)).alias("n"))
+    if is_collapsed(alignments):
+        shapes = alignments.withColumn("reverse", F.col("reverse") != F.col("second"))
+        return shapes.groupBy(*shape_key(shapes)).agg(F.sum("n").alias("n"))
+    shapes = alignments.where(primary() & ~has(UNMAPPED)).select(
+        "srr", "ref", (has(REVERSE) != (has(PAIRED) & has(SECOND))).alias("reverse"), "pos", "cigar")
     return shapes.groupBy(*shape_key(shapes)).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -269,19 +359,18 @@ def gene_counts(alignments: DataFrame, exons: DataFrame, paired: bool = False, s
 
 
 def gene_counts_by_mode(alignments: DataFrame, exons: DataFrame, modes: DataFrame, width: int = BIN_WIDTH,
-                        max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                        max_rows: int = BROADCAST_ROWS, pairs: DataFrame | None = None) -> DataFrame:
     """Gene counts of a whole cohort, each run counted in its own mode (``count_modes``).
 
-    Single reads and pairs are collapsed separately and then counted together. The run table joins without a hint: AQE
-    broadcasts it when it measures it as small and splits a dominant run otherwise.
+    Single reads and pairs are collapsed separately and then counted together; ``pairs`` takes ``pair_rows`` where they
+    are at hand. The run table joins without a hint: AQE broadcasts it when it measures it as small and splits a dominant
+    run otherwise.
     """
-    mode = modes.select("srr", "strand_mode")
-    shapes = None
-    for paired in (False, True):
-        runs = modes.where(F.col("paired") == paired).select("srr")
-        part = fragments(alignments.join(runs, "srr", "left_semi"), paired)
-        shapes = part if shapes is None else shapes.unionByName(part, allowMissingColumns=True)
-    hits = gene_hits(shapes.join(mode, "srr"), exons, "strand_mode", width, max_rows)
+    def of(rows: DataFrame, paired: bool) -> DataFrame:
+        return fragments(rows.join(modes.where(F.col("paired") == paired).select("srr"), "srr", "left_semi"), paired)
+
+    shapes = of(alignments, False).unionByName(of(alignments if pairs is None else pairs, True), allowMissingColumns=True)
+    hits = gene_hits(shapes.join(modes.select("srr", "strand_mode"), "srr"), exons, "strand_mode", width, max_rows)
     return hits.groupBy("srr", "gene_id").agg(F.sum("n").alias("count"))
 
 
@@ -309,10 +398,12 @@ def count_table_summary(counts: DataFrame) -> DataFrame:
 
 
 def junction_counts(alignments: DataFrame) -> DataFrame:
-    """Reads per run and intron (the gaps of the alignment). The first aggregate collapses equal alignments before
-    their gaps are expanded."""
-    shapes = (alignments.where(primary() & ~has(UNMAPPED) & F.col("cigar").contains("N"))
-              .groupBy("srr", "ref", "pos", "cigar").agg(F.count(F.lit(1)).alias("n")))
+    """Reads per run and intron (the gaps of the alignment). Equal alignments are collapsed before their gaps are
+    expanded; rows of ``collapse`` are taken as they are."""
+    shapes = alignments.where(F.col("cigar").contains("N"))
+    if not is_collapsed(alignments):
+        shapes = shapes.where(primary() & ~has(UNMAPPED)).groupBy("srr", "ref", "pos", "cigar").agg(
+            F.count(F.lit(1)).alias("n"))
     gaps = shapes.select("srr", "ref", F.explode(C.junctions(F.col("pos"), F.col("cigar"))).alias("_j"), "n")
     return (gaps.groupBy("srr", "ref", F.col("_j.start").alias("start"), F.col("_j.end").alias("end"))
             .agg(F.sum("n").alias("count")))

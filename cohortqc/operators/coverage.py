@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from cohortqc import schemas
 from cohortqc.functions import cigar as C
-from cohortqc.operators.alignments import UNMAPPED, block_rows, fragments, has, primary, shape_key
-from cohortqc.operators.intervals import BIN_WIDTH, binned_rows, clip_to_bins, equi_join, overlap_join
-from cohortqc.session import BROADCAST_ROWS
+from cohortqc.operators.alignments import UNMAPPED, block_rows, fragments, has, is_collapsed, primary, shape_key
+from cohortqc.operators.intervals import BIN_WIDTH, FACTOR, clip_to_bins, overlap_join
+from cohortqc.session import BROADCAST_ROWS, written
 
 CLASSES = ("coding", "utr", "intronic")
 END_BASES = 100
@@ -50,19 +50,25 @@ def transcript_regions(transcripts: DataFrame) -> DataFrame:
 
 
 def class_segments(regions: DataFrame, width: int = BIN_WIDTH) -> DataFrame:
-    """Disjoint stretches ``(ref, bin, seg_start, seg_end, cls)``; where classes overlap, coding beats UTR beats
-    intronic. Each bin of the genome is flattened on its own."""
-    pieces = clip_to_bins(regions, width)
+    """Disjoint stretches ``(ref, start, end, cls)``; where classes overlap, coding beats UTR beats intronic.
+
+    The genome is flattened in wide slices, each on its own; a region is cut at their borders only, and neighbouring
+    stretches of one class inside a slice are one row, so an intron stays one row.
+    """
+    pieces = clip_to_bins(regions, width * FACTOR ** 2)
     edges = F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")),
                     F.struct((F.col("end") + 1).alias("at"), F.lit(-1).alias("d")))
     change = (pieces.select("ref", "bin", "cls", F.inline(edges)).groupBy("ref", "bin", "at")
               .agg(*[F.sum(F.when(F.col("cls") == c, F.col("d")).otherwise(0)).alias(c) for c in CLASSES]))
     order = W.partitionBy("ref", "bin").orderBy("at")
     running = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    depth = change.select("ref", "bin", F.col("at").alias("seg_start"), (F.lead("at").over(order) - 1).alias("seg_end"),
-                          *[F.sum(c).over(running).alias(c) for c in CLASSES])
+    depth = change.select("ref", "bin", "at", *[F.sum(c).over(running).alias(c) for c in CLASSES])
     cls = F.when(F.col("coding") > 0, "coding").when(F.col("utr") > 0, "utr").when(F.col("intronic") > 0, "intronic")
-    return depth.select("ref", "bin", "seg_start", "seg_end", cls.alias("cls")).where("cls IS NOT NULL")
+    # a class holds until the next change of class
+    marked = depth.select("ref", "bin", "at", cls.alias("cls")).withColumn("before", F.lag("cls").over(order))
+    turns = marked.where(~F.col("cls").eqNullSafe(F.col("before")))
+    return turns.select("ref", F.col("at").alias("start"), (F.lead("at").over(order) - 1).alias("end"), "cls").where(
+        "cls IS NOT NULL")
 
 
 def transcript_exons(transcripts: DataFrame, min_length: int) -> DataFrame:
@@ -84,7 +90,10 @@ def transcript_exons(transcripts: DataFrame, min_length: int) -> DataFrame:
 # ---- alignments ---------------------------------------------------------------------------------------------------
 
 def aligned_shapes(alignments: DataFrame) -> DataFrame:
-    """Equal alignments of a run collapsed to one row with a count, before anything is expanded or joined."""
+    """Equal alignments of a run collapsed to one row with a count, before anything is expanded or joined; rows of
+    ``collapse`` are taken as they are."""
+    if is_collapsed(alignments):
+        return alignments.select("srr", "ref", "pos", "cigar", "n")
     return (alignments.where(primary() & ~has(UNMAPPED)).groupBy("srr", "ref", "pos", "cigar")
             .agg(F.count(F.lit(1)).alias("n")))
 
@@ -99,15 +108,11 @@ def base_classes(alignments: DataFrame, transcripts: DataFrame, width: int = BIN
     shapes = aligned_shapes(alignments)
     length = C.aligned_length(F.col("cigar"))
     total = shapes.groupBy("srr").agg(F.sum(F.col("n") * length).alias("aligned"))
-    pieces = clip_to_bins(aligned_blocks(shapes), width)
-    regions = transcript_regions(transcripts)
-    # flattening gives at most two stretches per piece of a region
-    met = equi_join(pieces, class_segments(regions, width), ["ref", "bin"], 2 * binned_rows(regions, width),
-                    ["srr", "start", "end"], max_rows)
-    overlap = (F.least("end", "seg_end") - F.greatest("start", "seg_start") + 1) * F.col("n")
-    found = (met.where((F.col("start") <= F.col("seg_end")) & (F.col("seg_start") <= F.col("end")))
-             .groupBy("srr").agg(*[F.coalesce(F.sum(F.when(F.col("cls") == c, overlap)), F.lit(0)).alias(f"{c}_bases")
-                                   for c in CLASSES]))
+    segments = written(class_segments(transcript_regions(transcripts), width), "class-segments")
+    met = overlap_join(aligned_blocks(shapes), segments, width, max_rows)
+    overlap = (F.least("end", "s_end") - F.greatest("start", "s_start") + 1) * F.col("n")
+    found = met.groupBy("srr").agg(*[F.coalesce(F.sum(F.when(F.col("s_cls") == c, overlap)), F.lit(0)).alias(f"{c}_bases")
+                                     for c in CLASSES])
     counts = total.join(found, "srr", "left").na.fill(0).withColumn(
         "intergenic_bases", F.col("aligned") - F.col("coding_bases") - F.col("utr_bases") - F.col("intronic_bases"))
 

@@ -1,8 +1,10 @@
-"""Overlap join on binned coordinates.
+"""Overlap join on hierarchical bins.
 
-A range predicate alone makes Spark compare every pair of rows. Cutting the axis into bins turns it into an equality on
-(ref, bin) plus a cheap test. Each overlapping pair is produced once, in the one bin that holds the larger start, so no
-distinct is needed.
+A range predicate alone makes Spark compare every pair of rows. Five levels of bins, each sixteen times as wide as the
+one below and the last as wide as any axis, turn it into an equality on (ref, level, bin) plus a cheap test. A row of the
+annotation lives on the level whose bins are just wide enough for it, so it touches one bin or two, whether it is an exon
+or an intron of a million bases. A block asks for its bins on every level that the annotation uses. Each overlapping pair
+is produced once, in the one bin that holds the larger start, so no distinct is needed.
 """
 from __future__ import annotations
 
@@ -12,17 +14,58 @@ from pyspark.sql import functions as F
 from cohortqc.session import BROADCAST_ROWS
 
 BIN_WIDTH = 1_000
+LEVELS, FACTOR = 5, 16
 SALTS = 16
 
 
+def level_widths(width: int = BIN_WIDTH) -> list[int]:
+    """Bin widths of the levels; one bin of the last holds any axis."""
+    return [width * FACTOR ** level for level in range(LEVELS - 1)] + [2 ** 62]
+
+
 def bin_range(start: Column, end: Column, width: int) -> Column:
     return F.sequence(F.floor(start / width), F.floor(end / width))
 
 
-def binned_rows(rows: DataFrame, width: int, start: str = "start", end: str = "end") -> int:
-    """How many rows cutting into bins will give; adds up numbers, expands nothing."""
-    n = F.floor(F.col(end) / width) - F.floor(F.col(start) / width) + 1
-    return rows.agg(F.sum(n).alias("n")).first()["n"] or 0
+def row_level(start: Column, end: Column, width: int = BIN_WIDTH) -> Column:
+    """The lowest level whose bins are at least as wide as the row is long."""
+    level = F.lit(LEVELS - 1)
+    for number, w in reversed(list(enumerate(level_widths(width)[:-1]))):
+        level = F.when(end - start < w, number).otherwise(level)
+    return level
+
+
+def _at_level(level: Column, width: int, value) -> Column:
+    """``value(bin width)`` of the row's level."""
+    chosen = value(level_widths(width)[-1])
+    for number, w in reversed(list(enumerate(level_widths(width)[:-1]))):
+        chosen = F.when(level == number, value(w)).otherwise(chosen)
+    return chosen
+
+
+def level_rows(rows: DataFrame, width: int = BIN_WIDTH, start: str = "start", end: str = "end") -> dict[int, int]:
+    """How many binned rows each level will hold, for the levels in use: one aggregate, nothing is expanded."""
+    s, e = F.col(start), F.col(end)
+    level = row_level(s, e, width)
+    bins = _at_level(level, width, lambda w: F.floor(e / w) - F.floor(s / w) + 1)
+    found = rows.select(level.alias("level"), bins.alias("n")).groupBy("level").agg(F.sum("n").alias("n")).collect()
+    return {r["level"]: r["n"] for r in found}
+
+
+def in_bins(rows: DataFrame, width: int = BIN_WIDTH, start: str = "start", end: str = "end") -> DataFrame:
+    """Add ``_level`` and ``_bin``: a row for the one or two bins of its level that it touches."""
+    s, e = F.col(start), F.col(end)
+    leveled = rows.withColumn("_level", row_level(s, e, width))
+    return leveled.withColumn("_bin", F.explode(_at_level(F.col("_level"), width, lambda w: bin_range(s, e, w))))
+
+
+def probes(rows: DataFrame, levels: list[int], width: int = BIN_WIDTH) -> DataFrame:
+    """Add ``_level`` and ``_bin``: a row for each bin of the given levels that [start, end] touches."""
+    def of_level(level: int) -> Column:
+        bins = bin_range(F.col("start"), F.col("end"), level_widths(width)[level])
+        return F.transform(bins, lambda b: F.struct(F.lit(level).alias("_level"), b.alias("_bin")))
+
+    return rows.select("*", F.inline(F.concat(*[of_level(level) for level in levels])))
 
 
 def equi_join(big: DataFrame, small: DataFrame, on: list[str], small_rows: int, salt_by: list[str],
@@ -45,16 +88,17 @@ def overlap_join(big: DataFrame, small: DataFrame, width: int = BIN_WIDTH, max_r
                  salts: int = SALTS) -> DataFrame:
     """All pairs of rows with equal ``ref`` whose inclusive [start, end] share a base.
 
-    ``big`` keeps its names; the columns of ``small`` come out with the prefix ``s_``.
+    ``big`` keeps its names; the columns of ``small`` come out with the prefix ``s_``. ``small`` is read twice: to count
+    its rows by level and to join.
     """
-    right = small.select(*[F.col(c).alias(c if c == "ref" else f"s_{c}") for c in small.columns]).withColumn(
-        "_bin", F.explode(bin_range(F.col("s_start"), F.col("s_end"), width)))
-    left = big.withColumn("_bin", F.explode(bin_range(F.col("start"), F.col("end"), width)))
-    pairs = equi_join(left, right, ["ref", "_bin"], binned_rows(small, width),
+    right = small.select(*[F.col(c).alias(c if c == "ref" else f"s_{c}") for c in small.columns])
+    rows = level_rows(right, width, "s_start", "s_end")
+    left = probes(big, sorted(rows) or [0], width)
+    pairs = equi_join(left, in_bins(right, width, "s_start", "s_end"), ["ref", "_level", "_bin"], sum(rows.values()),
                       [c for c in big.columns if c != "ref"], max_rows, salts)
-    return (pairs.where((F.col("start") <= F.col("s_end")) & (F.col("s_start") <= F.col("end"))
-                        & (F.col("_bin") == F.floor(F.greatest("start", "s_start") / width)))
-            .drop("_bin"))
+    home = _at_level(F.col("_level"), width, lambda w: F.floor(F.greatest("start", "s_start") / w))
+    return (pairs.where((F.col("start") <= F.col("s_end")) & (F.col("s_start") <= F.col("end")) & (F.col("_bin") == home))
+            .drop("_level", "_bin"))
 
 
 def clip_to_bins(rows: DataFrame, width: int) -> DataFrame:

@@ -12,7 +12,7 @@ from cohortqc import schemas
 from cohortqc.operators import alignments as A
 from cohortqc.operators import coverage as V
 from cohortqc.operators import explain, features, iforest, reads, reports, store
-from cohortqc.session import empty, path_exists
+from cohortqc.session import empty, path_exists, written
 from cohortqc.sinks import writers
 from cohortqc.sources import fastq, tables
 
@@ -97,25 +97,33 @@ def finish_runs(spark: SparkSession, runs: DataFrame, logs: DataFrame, out: str)
 
 def alignment_features(alignments: DataFrame, exons: DataFrame, transcripts: DataFrame,
                        layout: DataFrame, min_mapq: int = 20) -> dict[str, DataFrame]:
-    """The stage tables that external programs would report, computed from the alignments themselves."""
-    filtered = A.mapq_filter(alignments, min_mapq).where(~A.has(A.UNMAPPED))
-    strand = V.strand_from_agreement(V.strand_agreement(filtered, exons))
+    """The stage tables that external programs would report, computed from the alignments themselves.
+
+    The alignments are read three times: for what their flags say (a row per run), for the collapsed store, and for the
+    pairs, and only pairs are brought together by name. The three results are written; every stage table is worked out
+    from them.
+    """
+    flags = written(A.flag_summary(alignments, min_mapq), "alignment-flags")
+    filtered = A.mapq_filter(alignments, min_mapq)
+    equal = written(A.collapse(filtered), "alignment-store")
+    pairs = written(A.pair_rows(filtered).drop("qname"), "alignment-pairs")
+    strand = written(V.strand_from_agreement(V.strand_agreement(equal, exons)), "alignment-strand")
     modes = A.count_modes(layout, strand)
-    genes = A.gene_counts_by_mode(filtered, exons, modes)
-    junctions = A.junction_summary(A.junction_counts(filtered))
-    stretches = V.depth_stretches(filtered, transcripts)
-    runs = alignments.select("srr").distinct()
+    genes = A.gene_counts_by_mode(equal, exons, modes, pairs=pairs)
+    junctions = A.junction_summary(A.junction_counts(equal))
+    stretches = V.depth_stretches(equal, transcripts)
+    columns = lambda stage: [F.col(f"`{f.name}`") for f in schemas.STAGES[stage].fields]
     return {
-        "hisat2": A.aligner_stage(alignments),
-        "aln_stats": A.alignment_stats(alignments, min_mapq),
-        "markduplicates": A.duplication_rate(filtered),
+        "hisat2": flags.where("n_primary > 0").select(*columns("hisat2")),
+        "aln_stats": flags.where("n_good > 0").select(*columns("aln_stats")),
+        "markduplicates": A.duplication_of(equal, pairs),
         "strand": strand,
-        "rnaseqmetrics": V.base_classes(filtered, transcripts).select(
+        "rnaseqmetrics": V.base_classes(equal, transcripts).select(
             "srr", "percent_coding_bases", "percent_utr_bases", "percent_intronic_bases", "percent_intergenic_bases",
             "percent_mrna_bases").join(V.coverage_evenness(stretches), "srr", "left"),
         "genebody_coverage": V.gene_body_coverage(stretches),
-        "count_summary": A.gene_count_summary(genes, runs, exons, modes).join(junctions, "srr", "left").na.fill(
-            0, ["number_junction_reads", "number_junctions_on"]),
+        "count_summary": A.gene_count_summary(genes, flags.select("srr"), exons, modes).join(
+            junctions, "srr", "left").na.fill(0, ["number_junction_reads", "number_junctions_on"]),
     }
 
 

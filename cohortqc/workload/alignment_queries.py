@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from cohortqc.functions import cigar as C
 from cohortqc.operators import alignments as A
 from cohortqc.operators import coverage as V
+from cohortqc.operators import features as X
 from cohortqc.operators import intervals as I
-from cohortqc.workload.registry import query, rounded
+from cohortqc.plans import jobs
+from cohortqc.workload.registry import ORACLES, query, rounded
 from cohortqc.workload.views import ctes, load
 
 
@@ -371,3 +373,92 @@ def strand_agreement(spark, sf):
     WHEN 1 - share >= 0.5 THEN 'opposite_strand' ELSE 'unstranded' END AS strand FROM agree""")
 def strand_from_alignments(spark, sf):
     return V.strand_from_agreement(V.strand_agreement(good(spark, sf), load(spark, sf, "exons_v")), threshold=0.5)
+
+
+# ---- a cohort of single-end and paired runs together ------------------------------------------------------------------
+
+# the names that the single-end statements start from, over both kinds of runs
+_MIX = f"""{ctes('alignments_v', 'paired_v')}, {_SHAPES},
+    mixed AS (SELECT * FROM alignments_v UNION ALL SELECT 'PE' || srr, * EXCLUDE (srr) FROM paired_v),
+    good AS (SELECT *, row_number() OVER () AS rid, (flag & 16 > 0) <> (flag & 129 = 129) AS rev
+             FROM mixed WHERE mapq >= 20 AND flag & 4 = 0),
+    pieces AS (SELECT g.rid, g.srr, g.ref, g.rev, g.pos + b.a AS a, g.pos + b.b AS b
+               FROM good g JOIN blocks b ON g.cigar = b.cigar)"""
+
+
+def _mixed(spark, sf):
+    pairs = load(spark, sf, "paired_v")
+    return reads(spark, sf).unionByName(pairs.withColumn("srr", F.concat(F.lit("PE"), "srr")))
+
+
+def _mixed_layout(rows):
+    paired = F.col("srr").startswith("PE")
+    return rows.select("srr").distinct().withColumn("layout", F.when(paired, "PE").otherwise("SE"))
+
+
+def _over_mix(name: str) -> str:
+    return f"({ORACLES[name].replace(_ALN, _MIX)})"
+
+
+# a unit is what counts once: a read of a single-end run, or a pair of a paired one with the strand of its first mate
+def _mixed_genes(rule: str) -> str:
+    return f"""spans_of AS (SELECT g.*, g.pos + s.len - 1 AS last, flag & 128 > 0 AS second FROM good g JOIN spans s ON g.cigar = s.cigar),
+    frags AS (SELECT srr, qname, bool_or(flag & 64 > 0 AND flag & 16 > 0) AS rev FROM spans_of
+              WHERE srr LIKE 'PE%' AND flag & 9 = 1 GROUP BY srr, qname
+              HAVING count(*) FILTER (second) = 1 AND count(*) FILTER (NOT second) = 1 AND count(DISTINCT ref) = 1
+                 AND max(last) - min(pos) + 1 BETWEEN 50 AND 600),
+    units AS (SELECT 'r' || rid AS unit, srr, ref, rev, a, b FROM pieces WHERE srr NOT LIKE 'PE%'
+      UNION ALL SELECT t.srr || '/' || t.qname, t.srr, p.ref, t.rev, p.a, p.b
+      FROM frags t JOIN good g ON g.srr = t.srr AND g.qname = t.qname AND g.flag & 9 = 1 JOIN pieces p ON p.rid = g.rid),
+    hits AS (SELECT u.unit, any_value(u.srr) AS srr, min(e.gene_id) AS gene_id
+      FROM units u JOIN exons_v e ON u.ref = e.ref AND u.a <= e."end" AND e.start <= u.b AND {rule}
+      GROUP BY u.unit HAVING count(DISTINCT e.gene_id) = 1),
+    counts AS (SELECT srr, gene_id, count(*) AS "count" FROM hits GROUP BY srr, gene_id)"""
+
+
+@query("gene_counts_mixed", f"""WITH {_MIX}, {ctes('exons_v')}, strands AS (SELECT srr, count(*) % 3 AS s FROM mixed GROUP BY srr),
+    {_mixed_genes("""CASE (SELECT s FROM strands x WHERE x.srr = u.srr) WHEN 0 THEN u.rev = (e.strand = '-')
+      WHEN 1 THEN u.rev <> (e.strand = '-') ELSE true END""")}
+    SELECT * FROM counts""")
+def gene_counts_mixed(spark, sf):
+    """Single reads and pairs counted together, some runs stranded."""
+    rows = _mixed(spark, sf)
+    modes = A.count_modes(_mixed_layout(rows), _layouts(rows))
+    return A.gene_counts_by_mode(A.mapq_filter(rows), load(spark, sf, "exons_v"), modes)
+
+
+@query("alignment_features", f"""WITH {_MIX}, {ctes('exons_v')}, {_mixed_genes('true')},
+    ends AS (SELECT srr, qname, flag & 9 = 1 AS mated, struct_pack(ref := ref, p := {_FIVE_PRIME}, r := flag & 16) AS e
+             FROM good JOIN spans USING (cigar)),
+    templates AS (SELECT srr, CAST([e] AS VARCHAR) AS k, false AS is_pair FROM ends WHERE NOT mated
+      UNION ALL SELECT srr, CAST(CASE WHEN count(*) > 1 THEN [min(e), max(e)] ELSE [min(e)] END AS VARCHAR), count(*) > 1
+      FROM ends WHERE mated GROUP BY srr, qname),
+    copies AS (SELECT srr, is_pair, k, count(*) AS n FROM templates GROUP BY ALL),
+    dups AS (SELECT srr, sum(n - 1) FILTER (is_pair) AS pd, sum((n - 1) * CASE WHEN is_pair THEN 2 ELSE 1 END)
+        / sum(n * CASE WHEN is_pair THEN 2 ELSE 1 END) * 100 AS percent_duplication FROM copies GROUP BY srr),
+    genic AS (SELECT srr, sum("count")::BIGINT AS number_genic_reads,
+        count(*) * 100 / (SELECT count(DISTINCT gene_id) FROM exons_v) AS percent_genes_on FROM counts GROUP BY srr)
+    SELECT h.srr, h.num_reads, h.num_multimappers, h.num_discordant_reads_aligned, h.per_alignment, a."reads_MQ0",
+      a.average_quality, a.inward_oriented_pairs, a."Percent Reverse", coalesce(d.pd, 0)::BIGINT AS read_pair_duplicates,
+      round(d.percent_duplication, 6) AS percent_duplication,
+      CASE WHEN s.correct_strand_share >= 0.75 THEN 'same_strand' WHEN 1 - s.correct_strand_share >= 0.75 THEN 'opposite_strand'
+           ELSE 'unstranded' END AS strand,
+      b.percent_coding_bases, b.percent_intronic_bases, c.median_cv_coverage, c.median_5prime_to_3prime_bias,
+      coalesce(g.number_genic_reads, 0) AS number_genic_reads, round(coalesce(g.percent_genes_on, 0), 6) AS percent_genes_on,
+      coalesce(j.number_junction_reads, 0) AS number_junction_reads, coalesce(j.number_junctions_on, 0) AS number_junctions_on
+    FROM ({_stage_sql('paired_v').replace('FROM paired_v)', 'FROM mixed)').replace(ctes('paired_v'), _MIX)}) h
+    LEFT JOIN {_over_mix('aln_stats')} a ON a.srr = h.srr LEFT JOIN dups d ON d.srr = h.srr
+    LEFT JOIN {_over_mix('strand_agreement')} s ON s.srr = h.srr LEFT JOIN {_over_mix('base_classes')} b ON b.srr = h.srr
+    LEFT JOIN {_over_mix('coverage_evenness')} c ON c.srr = h.srr LEFT JOIN genic g ON g.srr = h.srr
+    LEFT JOIN {_over_mix('junction_summary')} j ON j.srr = h.srr""")
+def alignment_features(spark, sf):
+    """The job from alignments to stage tables, its tables side by side."""
+    rows = _mixed(spark, sf)
+    out = jobs.alignment_features(rows, load(spark, sf, "exons_v"), load(spark, sf, "transcripts_v"), _mixed_layout(rows))
+    wanted = {"hisat2": ["num_reads", "num_multimappers", "num_discordant_reads_aligned", "per_alignment"],
+              "aln_stats": ["reads_MQ0", "average_quality", "inward_oriented_pairs", "Percent Reverse"],
+              "markduplicates": ["read_pair_duplicates", "percent_duplication"], "strand": ["strand"],
+              "rnaseqmetrics": ["percent_coding_bases", "percent_intronic_bases", "median_cv_coverage",
+                                "median_5prime_to_3prime_bias"],
+              "count_summary": ["number_genic_reads", "percent_genes_on", "number_junction_reads", "number_junctions_on"]}
+    return rounded(X.align({stage: out[stage].select("srr", *columns) for stage, columns in wanted.items()}))

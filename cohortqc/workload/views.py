@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortqc.session import shared_folder
+from cohortqc.session import written
 
 # Views that stand for tables a pipeline has on disk: raw reads, alignments and stage stores. They are written once per
 # session to the shared folder, so queries scan, prune and filter a table as they would in production.
@@ -229,9 +229,8 @@ _PLANS: dict[tuple, DataFrame] = {}
 
 
 def _written(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    path = shared_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """The view as a table of as many files as the session has partitions, whatever its size."""
+    return written(df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), name)
 
 
 def _view(spark: SparkSession, name: str) -> DataFrame:

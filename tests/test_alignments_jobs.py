@@ -10,6 +10,7 @@ from cohortqc.operators import alignments as A
 from cohortqc.operators import coverage as V
 from cohortqc.operators import intervals as I
 from cohortqc.plans import jobs
+from cohortqc.session import written
 from cohortqc.sources import tables
 
 
@@ -46,6 +47,99 @@ def test_overlap_join_equals_the_raw_predicate(spark, max_rows, width):
     assert len(want) > 500 and sorted(map(tuple, got.collect())) == want
 
 
+def test_long_rows_touch_two_bins_at_most(spark):
+    """Whatever its length a row is put into one bin or two, and is found from every base of it."""
+    rows = spark.createDataFrame([("c", 10 ** k + 7 * k, 2 * 10 ** k + 13, k) for k in range(1, 10)],
+                                 "ref string, start long, end long, k int")
+    binned = I.in_bins(rows)
+    assert max(r["count"] for r in binned.groupBy("k").count().collect()) <= 2
+    counted = I.level_rows(rows)
+    assert sum(counted.values()) == binned.count() and len(counted) == 5
+    points = rows.selectExpr("ref", "inline(array(struct(start, start AS end), struct(end AS start, end), "
+                             "struct(cast((start + end) / 2 AS long) AS start, cast((start + end) / 2 AS long) AS end)))")
+    got = I.overlap_join(points, rows).select("start", "s_k").distinct().count()
+    want = points.alias("a").join(rows.alias("b"), F.expr("a.start <= b.end AND b.start <= a.end")).select(
+        "a.start", "k").distinct().count()
+    assert got == want
+
+
+def annotation(spark, introns=(300, 5_000, 400_000)):
+    """Transcripts with introns of all sizes, two of each."""
+    rows = []
+    for i, gap in enumerate(introns):
+        at = 1_000_000 * i + 500
+        for j in range(2):
+            starts, ends = [at + 20 * j, at + 200 + gap], [at + 200, at + 400 + gap]
+            rows.append((f"g{i}", f"t{i}.{j}", "c", "+", starts[0], ends[1], starts[0] + 30, ends[1] - 30, starts, ends))
+    return spark.createDataFrame(rows, schemas.TRANSCRIPTS)
+
+
+def aligned(spark, n=400):
+    rows = [("r" if i % 3 else "hot", f"q{i}", 16 if i % 4 == 0 else 0, "c",
+             1_000_000 * (i % 3) + 450 + 13 * i % 800 + (i % 7) * 40_000 * (i % 2), 60,
+             "30M5000N20M" if i % 5 == 0 else "50M", "*", 0, 0, "*", "I" * 50, None) for i in range(n)]
+    return spark.createDataFrame(rows, schemas.ALIGNMENTS)
+
+
+def test_an_intron_is_one_row(spark):
+    regions = V.transcript_regions(annotation(spark))
+    segments = V.class_segments(regions)
+    assert segments.where("cls = 'intronic'").count() <= 2 * 3
+    assert sum(I.level_rows(segments).values()) <= 2 * regions.count()
+
+
+def test_classes_and_depth_are_the_same_without_broadcast(spark):
+    reads, transcripts = aligned(spark), annotation(spark)
+    for operator in (V.base_classes, V.depth_stretches):
+        fast, slow = (operator(reads, transcripts, max_rows=m).collect() for m in (10 ** 6, 0))
+        assert sorted(fast) == sorted(slow) and fast
+    assert all(r.intronic_bases > 0 and r.coding_bases > 0 for r in V.base_classes(reads, transcripts).collect())
+
+
+def test_alignment_features_reads_the_alignments_three_times(spark, tmp_path, monkeypatch):
+    """Every stage table comes from the three tables that are written; the alignments may be gone by then."""
+    path = f"{tmp_path}/alignments"
+    aligned(spark).unionByName(spark.createDataFrame(paired_reads(40, 99, 147), schemas.ALIGNMENTS)).write.parquet(path)
+    source = spark.read.schema(schemas.ALIGNMENTS).parquet(path)
+    scans = []
+
+    def counted(df, name):
+        scans.append(sum(path in f for f in df.inputFiles()) > 0)
+        return written(df, name)
+
+    monkeypatch.setattr(jobs, "written", counted)
+    exons = spark.createDataFrame([("g0", "t", "c", 500, 900, "+")], schemas.EXONS)
+    layout = spark.createDataFrame([("r", "SE"), ("hot", "SE"), ("p", "PE")], "srr string, layout string")
+    out = jobs.alignment_features(source, exons, annotation(spark), layout)
+    assert sum(scans) == 3
+    for rows in out.values():
+        assert not any(path in f for f in rows.inputFiles())
+    alone = {"hisat2": A.aligner_stage(source), "aln_stats": A.alignment_stats(source),
+             "markduplicates": A.duplication_rate(A.mapq_filter(source)),
+             "genebody_coverage": V.gene_body_coverage(V.depth_stretches(A.mapq_filter(source), annotation(spark)))}
+    for stage, rows in alone.items():
+        columns = [f"`{f.name}`" for f in schemas.STAGES[stage].fields]
+        got, want = (sorted(map(repr, df.select(*columns).collect())) for df in (out[stage], rows))
+        assert got == want, stage
+
+
+def test_ends_on_two_references(spark):
+    """Pairs across chromosomes are copies only if each end lies on the same one."""
+    def pair(name, ref1, pos1, ref2, pos2):
+        return [("p", name, 65, ref1, pos1, 60, "5M", ref2, pos2, 0, "*", "IIIII", 1),
+                ("p", name, 129, ref2, pos2, 60, "5M", ref1, pos1, 0, "*", "IIIII", 1)]
+
+    reads = spark.createDataFrame(pair("a", "c", 10, "d", 20) + pair("b", "c", 20, "d", 10) + pair("e", "d", 20, "c", 10),
+                                  schemas.ALIGNMENTS)
+    assert {r.qname for r in A.mark_duplicates(reads).where("is_duplicate").collect()} == {"e"}
+    assert A.duplication_rate(reads).first().read_pair_duplicates == 1
+
+
+def test_groups_of_copies_are_combined_by_hash(spark):
+    plan = A.duplication_rate(aligned(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
 def test_counting_is_the_same_without_broadcast(spark):
     reads = spark.createDataFrame(
         [("r", f"q{i}", 0, "c", 100 + i % 50, 60, "30M", "*", 0, 0, "*", "I" * 30, None) for i in range(300)],
@@ -75,7 +169,7 @@ def test_region_precedence(spark):
         [("g", "t1", "c", "+", 1, 100, 21, 80, [1, 61], [40, 100]), ("g", "t2", "c", "+", 31, 70, 71, 70, [31], [70])],
         schemas.TRANSCRIPTS)
     segments = V.class_segments(V.transcript_regions(transcripts), width=16)
-    bases = {p: r.cls for r in segments.collect() for p in range(r.seg_start, r.seg_end + 1)}
+    bases = {p: r.cls for r in segments.collect() for p in range(r.start, r.end + 1)}
     def expected(p):
         if (p <= 40 or 61 <= p) and 21 <= p <= 80:
             return "coding"
