@@ -141,14 +141,15 @@ def screen_wide(summary: DataFrame, references: list[str]) -> DataFrame:
 
 # ---- trimming -----------------------------------------------------------------------------------------------------
 
-def trim_log(reports: DataFrame, min_written: int = 1_000) -> DataFrame:
-    """Counts of the trim log (first match wins) and a status; nothing is lost when a log cannot be read."""
+def trim_log(reports: DataFrame, min_written: int = 1_000, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Counts of the trim log (first match wins) and a status; nothing is lost when a log cannot be read. ``carry``
+    names columns that come along."""
     body = F.translate("body", ",", "")
 
     def first(pattern: str) -> Column:
         return F.nullif(F.regexp_extract(body, pattern, 1), F.lit("")).try_cast("bigint")
 
-    row = reports.select("srr", first(TRIM_PROCESSED).alias("total_processed"),
+    row = reports.select("srr", *carry, first(TRIM_PROCESSED).alias("total_processed"),
                          first(TRIM_WRITTEN).alias("total_written"), first(TRIM_SHORT).alias("too_short"))
     missing = F.col("total_processed").isNull() | F.col("total_written").isNull() | F.col("too_short").isNull()
     return row.withColumn("status", F.when(missing, "parse_error")
@@ -157,15 +158,16 @@ def trim_log(reports: DataFrame, min_written: int = 1_000) -> DataFrame:
 
 # ---- alignment ----------------------------------------------------------------------------------------------------
 
-def aligner_log(reports: DataFrame) -> DataFrame:
-    """Eleven numbers of the aligner's summary; the last line with a phrase wins, absent ones are null."""
+def aligner_log(reports: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Eleven numbers of the aligner's summary; the last line with a phrase wins, absent ones are null. ``carry`` names
+    columns that come along."""
     rows = F.transform(X.lines(F.col("body")), lambda r: F.regexp_replace(r, r"^\s+|\s+$", ""))
     kept = F.filter(rows, lambda r: ~(r.startswith("Warning") | r.startswith("---")) & r.rlike(ALIGNER_LINE))
     pairs = F.transform(kept, lambda r: F.struct(
         F.regexp_extract(r, ALIGNER_LINE, 3).alias("name"), F.regexp_extract(r, ALIGNER_LINE, 1).alias("value")))
-    return reports.select("srr", pairs.alias("_pairs")).select(
-        "srr", *[X.last_value(F.col("_pairs"), phrase).try_cast("double").alias(name)
-                 for phrase, name in ALIGNER_PHRASES.items()])
+    return reports.select("srr", *carry, pairs.alias("_pairs")).select(
+        "srr", *carry, *[X.last_value(F.col("_pairs"), phrase).try_cast("double").alias(name)
+                         for phrase, name in ALIGNER_PHRASES.items()])
 
 
 def alignment_gate(rows: DataFrame, min_unique: int = 1_000, min_percent: float = 1.0) -> DataFrame:
@@ -249,13 +251,15 @@ def coverage_histogram(reports: DataFrame) -> DataFrame:
 
 
 def strand_call(first: DataFrame, second: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """Strandedness from the summaries under first- and second-strand assumption; a missing share is no evidence."""
+    """Strandedness from the summaries under first- and second-strand assumption; a missing share is no evidence. A run
+    that lacks one of its two summaries has no strand (null), and stays visible."""
     def share(summary: DataFrame, name: str) -> DataFrame:
         return summary.select("srr", F.coalesce(F.col("PCT_CORRECT_STRAND_READS") >= threshold, F.lit(False)).alias(name))
 
-    return (share(first, "_first").join(share(second, "_second"), "srr")
-            .select("srr", F.when(F.col("_first"), "same_strand").when(F.col("_second"), "opposite_strand")
-                    .otherwise("unstranded").alias("strand")))
+    strand = F.when(F.col("_first"), "same_strand").when(F.col("_second"), "opposite_strand").otherwise("unstranded")
+    complete = F.col("_first").isNotNull() & F.col("_second").isNotNull()
+    return share(first, "_first").join(share(second, "_second"), "srr", "full").select(
+        "srr", F.when(complete, strand).alias("strand"))
 
 
 # ---- duplicates ---------------------------------------------------------------------------------------------------

@@ -5,8 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortqc import schemas
-from cohortqc.session import path_exists
-from cohortqc.sinks.writers import write_stage
+from cohortqc.sinks.writers import write_batch
 from cohortqc.sources.tables import read_stage_folder, read_store
 
 
@@ -39,14 +38,23 @@ def union_rows(store: DataFrame, new: DataFrame) -> DataFrame:
     return store.unionByName(new, allowMissingColumns=True)
 
 
+def batch_id(rows: DataFrame) -> str | None:
+    """A name for a batch that depends on its runs alone, whatever their order; None for no runs."""
+    runs = rows.select("srr").distinct().agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("srr")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), "srr")).alias("b")).first()
+    return f"{runs['n']}-{runs['a'] & (2 ** 64 - 1):016x}{runs['b'] & (2 ** 64 - 1):016x}" if runs["n"] else None
+
+
 def append_new(spark: SparkSession, done: DataFrame, folder_path: str, store_path: str, stage: str) -> None:
-    """Add the new rows of one stage to its store. Files already in the store are never rewritten.
+    """Add the new rows of one stage to its store, as one batch named after its runs. Other batches are never rewritten;
+    the same batch again, from a job that is repeated or runs at the same time, replaces its own files.
 
     No store is created when there is nothing to put into it.
     """
     new = new_samples(read_stage_folder(spark, folder_path, stage), done, read_store(spark, store_path, stage))
-    if path_exists(spark, store_path) or not new.isEmpty():
-        write_stage(new, store_path, stage)
+    batch = batch_id(new)
+    if batch is not None:
+        write_batch(new, store_path, stage, batch)
 
 
 def append_all(spark: SparkSession, done: DataFrame, root: str) -> None:

@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortqc import schemas
 from cohortqc.operators import alignments as A
 from cohortqc.operators import coverage as V
-from cohortqc.operators import explain, features, iforest, reads, reports, store
+from cohortqc.operators import explain, features, iforest, reads, reports, status, store
 from cohortqc.session import empty, path_exists, written
 from cohortqc.sinks import writers
 from cohortqc.sources import fastq, tables
@@ -73,26 +73,69 @@ def ingest_reports(report: DataFrame, stage: str, second: DataFrame | None = Non
     raise ValueError(f"no report parser for stage {stage!r}")
 
 
-def report_failures(logs: DataFrame) -> DataFrame:
-    """srr, stage, status of every log that tells of a failure: its phrases are missing, it cannot be read, or its
-    numbers are below the gate."""
-    phrases = reports.completion(logs).select("srr", "stage", "status")
-    trimmed = reports.trim_log(logs.where("stage = 'atropos'")).select("srr", F.lit("atropos").alias("stage"), "status")
-    aligned = reports.alignment_gate(reports.aligner_log(logs.where("stage = 'hisat2'"))).select(
-        "srr", F.lit("hisat2").alias("stage"), "status")
-    return phrases.unionByName(trimmed).unionByName(aligned).where("status <> 'ok'").distinct()
+def log_status(logs: DataFrame, attempt: int = 1) -> DataFrame:
+    """srr, stage, attempt, status of every log: its phrases are missing, it cannot be read, its numbers are below the
+    gate, or it is ok. Logs with a column ``attempt`` tell theirs; the others are of the given attempt."""
+    told = logs if "attempt" in logs.columns else logs.withColumn("attempt", F.lit(attempt).cast("bigint"))
+    carry = ("attempt",)
+    parts = [reports.completion(told),
+             reports.trim_log(told.where("stage = 'atropos'"), carry=carry).withColumn("stage", F.lit("atropos")),
+             reports.alignment_gate(reports.aligner_log(told.where("stage = 'hisat2'"), carry)).withColumn(
+                 "stage", F.lit("hisat2"))]
+    columns = [f.name for f in schemas.STATUS.fields]
+    return status.merged(reduce(DataFrame.unionByName, [p.select(*columns) for p in parts]))
 
 
-def finish_runs(spark: SparkSession, runs: DataFrame, logs: DataFrame, out: str) -> DataFrame:
-    """Marks the runs without a failure as done (``<out>/Features/done``) and appends the others' failures to
-    ``<out>/Features/failed``, which it returns: a failed run never looks like a good one."""
+def finish_runs(spark: SparkSession, runs: DataFrame, logs: DataFrame, out: str, attempt: int = 1,
+                required: tuple[str, ...] = status.REQUIRED) -> DataFrame:
+    """Records what the logs say in ``<out>/Features/status``, marks the runs that are now complete as done
+    (``<out>/Features/done``) and returns the state of every run (srr, state, failed, missing).
+
+    The newest attempt at a stage decides, so a repeated run can become done. A stage without a log counts as ok once
+    its row is in ``<out>/Features/<stage>``. A run that reported nothing is waiting. A repeated call records and marks
+    nothing again.
+    """
     root = f"{out}/Features"
-    report_failures(logs).join(runs.select("srr").distinct(), "srr", "left_semi").write.mode("append").parquet(f"{root}/failed")
-    failed = spark.read.parquet(f"{root}/failed")
-    good = runs.select("srr").distinct().join(failed, "srr", "left_anti").join(
-        tables.read_done(spark, f"{root}/done"), "srr", "left_anti")
-    writers.mark_done(good, f"{root}/done")
-    return failed
+    wanted = runs.select("srr").distinct()
+    known = tables.read_status(spark, f"{root}/status")
+    new = status.unrecorded(log_status(logs, attempt).join(wanted, "srr", "left_semi"), known)
+    writers.write_status(new, f"{root}/status")
+    stages = {name: tables.read_stage_folder(spark, f"{root}/{name}", name) for name in required}
+    reported = tables.read_status(spark, f"{root}/status").unionByName(status.present(stages))
+    states = written(status.run_states(wanted, reported, required), "run-states")
+    finished = states.where(F.col("state") == status.DONE).join(tables.read_done(spark, f"{root}/done"), "srr", "left_anti")
+    writers.mark_done(finished, f"{root}/done")
+    return states
+
+
+# what the stage tables are made of: the kinds of reports a stage takes
+STAGE_REPORTS = {
+    "fastq_screen": ("fastq_screen",), "atropos": ("atropos",), "hisat2": ("hisat2",), "aln_stats": ("aln_stats", "bam_stats"),
+    "strand": ("strand_first", "strand_second"), "rnaseqmetrics": ("rnaseqmetrics",), "genebody_coverage": ("rnaseqmetrics",),
+    "markduplicates": ("markduplicates",),
+}
+
+
+def ingest_logs(spark: SparkSession, runs: DataFrame, logs: DataFrame, out: str, attempt: int = 1,
+                required: tuple[str, ...] = status.REQUIRED) -> DataFrame:
+    """Reports of all kinds (srr, stage, body, attempt where they differ) to the stage tables under ``<out>/Features``,
+    the status table and the done table; returns the state of every run.
+
+    Only the newest log of a run and kind is read, and only if it is ok; a run that a stage table holds already is left
+    as it is.
+    """
+    told = logs if "attempt" in logs.columns else logs.withColumn("attempt", F.lit(attempt).cast("bigint"))
+    good = status.latest(log_status(told)).where(F.col("status") == status.OK).select("srr", "stage", "attempt")
+    told = written(told.join(good, ["srr", "stage", "attempt"], "left_semi").select("srr", "stage", "body"), "good-logs")
+    for stage, kinds in STAGE_REPORTS.items():
+        parts = [told.where(F.col("stage") == kind) for kind in kinds]
+        rows = ingest_reports(parts[0], stage, *parts[1:])
+        # a stage that takes two reports has no row before both are there
+        for part in parts[1:]:
+            rows = rows.join(part.select("srr"), "srr", "left_semi").join(parts[0].select("srr"), "srr", "left_semi")
+        path = f"{out}/Features/{stage}"
+        writers.write_stage(rows.join(_known_runs(spark, path).distinct(), "srr", "left_anti"), path, stage)
+    return finish_runs(spark, runs, logs, out, attempt, required)
 
 
 def alignment_features(alignments: DataFrame, exons: DataFrame, transcripts: DataFrame,
@@ -215,9 +258,16 @@ def detect(matrix: DataFrame, key: str, out: str | None = None, nulls: str = "er
     return found
 
 
-def run_all(spark: SparkSession, manifest: DataFrame, done: DataFrame, out: str, **detect_options) -> Detection:
-    """Stores, features, detection; Features live under ``<out>/Features``, the result at ``<out>/result.csv``."""
+def run_all(spark: SparkSession, manifest: DataFrame, done: DataFrame | None, out: str, logs: DataFrame | None = None,
+            required: tuple[str, ...] = status.REQUIRED, **detect_options) -> Detection:
+    """Stores, features, detection; Features live under ``<out>/Features``, the result at ``<out>/result.csv``.
+
+    With ``logs`` the runs they complete are marked first, and the done table is read again; ``done`` may then be None.
+    """
     root = f"{out}/Features"
+    if logs is not None:
+        finish_runs(spark, manifest, logs, out, required=required)
+        done = tables.read_done(spark, f"{root}/done")
     build_feature_store(spark, done, root)
     matrix = build_features(spark, manifest, done, root)
     return detect(matrix, matrix.columns[0], out, **detect_options)

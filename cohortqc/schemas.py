@@ -16,6 +16,7 @@ MANIFEST = _schema(("srx", _S), ("srr", _S))
 READS = _schema(("srr", _S), ("mate", _I), ("read_no", _L), ("h1", _S), ("seq", _S), ("h2", _S), ("qual", _S))
 REPORTS = _schema(("srr", _S), ("stage", _S), ("body", _S))
 DONE = _schema(("srr", _S), ("finished_at", T.TimestampType()))
+STATUS = _schema(("srr", _S), ("stage", _S), ("attempt", _L), ("status", _S))
 ALIGNMENTS = _schema(
     ("srr", _S), ("qname", _S), ("flag", _I), ("ref", _S), ("pos", _L), ("mapq", _I), ("cigar", _S),
     ("rnext", _S), ("pnext", _L), ("tlen", _L), ("seq", _S), ("qual", _S), ("nh", _I),

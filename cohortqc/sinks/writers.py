@@ -2,15 +2,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortqc import schemas
+from cohortqc.operators.alignments import coordinate_sort
+
+
+def _typed(rows: DataFrame, stage: str) -> DataFrame:
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schemas.STAGES[stage].fields])
 
 
 def write_stage(rows: DataFrame, path: str, stage: str) -> None:
     """Append the rows of many runs to a stage table, cast to the stage's schema."""
-    rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schemas.STAGES[stage].fields]) \
-        .write.mode("append").parquet(path)
+    _typed(rows, stage).write.mode("append").parquet(path)
+
+
+def write_batch(rows: DataFrame, path: str, stage: str, batch: str) -> None:
+    """Put the rows of one batch into a stage store. A batch has a folder of its own, and writing it replaces that
+    folder only: the same batch written twice, or by two jobs at once, is there once."""
+    (_typed(rows, stage).withColumn("batch", F.lit(batch)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+
+
+def write_status(rows: DataFrame, path: str) -> None:
+    """Append to the status table."""
+    rows.write.mode("append").parquet(path)
 
 
 def write_features(features: DataFrame, path: str) -> None:
@@ -42,6 +59,28 @@ def mark_done(runs: DataFrame, path: str) -> None:
     runs.select("srr", F.current_timestamp().alias("finished_at")).write.mode("append").parquet(path)
 
 
+def write_sorted(alignments: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Alignments in coordinate order: file by file in ranges, sorted inside each file, so a reader of one region skips
+    all other files and row groups by their statistics."""
+    coordinate_sort(alignments, partitions).write.mode("overwrite").parquet(path)
+
+
+def order_breaks(spark, path: str, keys: list[str]) -> DataFrame:
+    """How a written table departs from the order of ``keys``: ``inside``, rows that come before their predecessor in
+    the same file, and ``between``, files that begin before the file in front of them ends; files count in the order of
+    their names. Nothing is sorted: places in the files are compared."""
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"),
+                                           F.col("_metadata.row_index").alias("at"), F.struct(*keys).alias("key"))
+    in_file = W.partitionBy("file").orderBy("at")
+    inside = F.count_if(F.col("key") < F.col("before"))
+    files = rows.withColumn("before", F.lag("key").over(in_file)).groupBy("file").agg(
+        inside.alias("inside"), F.min("key").alias("low"), F.max("key").alias("high"))
+    # one row per file
+    order = W.orderBy("file")
+    return files.withColumn("last", F.max("high").over(order.rowsBetween(W.unboundedPreceding, -1))).agg(
+        F.sum("inside").alias("inside"), F.count_if(F.col("low") < F.col("last")).alias("between"))
+
+
 def write_done_list(done: DataFrame, path: str) -> None:
     """The done list as TSV with a leading unnamed number column."""
     (done.select("srr").distinct().select(F.monotonically_increasing_id().alias(" "), "srr")

@@ -94,27 +94,35 @@ def read_stage_folder(spark: SparkSession, path: str, stage: str) -> DataFrame:
 
 
 def read_store(spark: SparkSession, path: str, stage: str) -> DataFrame:
-    """A stage store, or an empty typed table when there is none yet."""
+    """A stage store, or an empty typed table when there is none yet. Which batch a row came with is not shown."""
     schema = schemas.STAGES[stage]
-    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else empty(spark, schema)
+    if not path_exists(spark, path):
+        return empty(spark, schema)
+    return spark.read.schema(schema).parquet(path).select(*[F.col(f"`{name}`") for name in schema.names])
 
 
 def read_done(spark: SparkSession, path: str) -> DataFrame:
     """The done table as it is; what reads it treats runs as a set."""
     if not path_exists(spark, path):
         return empty(spark, schemas.DONE)
-    return spark.read.schema(schemas.DONE).parquet(path)
+    return spark.read.schema(schemas.DONE).parquet(path).select(*schemas.DONE.names)
+
+
+def read_status(spark: SparkSession, path: str) -> DataFrame:
+    """The status table, or an empty one."""
+    return spark.read.schema(schemas.STATUS).parquet(path) if path_exists(spark, path) else empty(spark, schemas.STATUS)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_reports(spark: SparkSession, path: str, stage: str) -> DataFrame:
-    """Whole-text reports, one row per file; the run is the file name up to the first dot or ``_screen``.
+def read_reports(spark: SparkSession, path: str, stage: str, pattern: str = r"([^/._]+)[^/]*$") -> DataFrame:
+    """Whole-text reports, one row per file; the run is what ``pattern`` finds in the path, by default the file name up
+    to the first dot or ``_screen``.
 
     One report is one small text file; a report never spans files, and every file is read whole.
     """
-    name = F.regexp_extract("_metadata.file_name", r"^([^._]+)", 1)
-    return (spark.read.text(path, wholetext=True)
+    name = F.regexp_extract("_metadata.file_path", pattern, 1)
+    return (spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
             .select(name.alias("srr"), F.lit(stage).alias("stage"), F.col("value").alias("body")))

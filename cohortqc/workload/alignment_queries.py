@@ -3,12 +3,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortqc import sinks
 from cohortqc.functions import cigar as C
 from cohortqc.operators import alignments as A
 from cohortqc.operators import coverage as V
 from cohortqc.operators import features as X
 from cohortqc.operators import intervals as I
 from cohortqc.plans import jobs
+from cohortqc.session import shared_folder
 from cohortqc.workload.registry import ORACLES, query, rounded
 from cohortqc.workload.views import ctes, load
 
@@ -43,11 +45,17 @@ def mapq_filter(spark, sf):
 
 
 @query("coordinate_sort", f"""WITH {ctes('alignments_v')}
-    SELECT ref, pos, count(*) AS n, min(qname) AS first_name FROM alignments_v GROUP BY ref, pos""")
+    SELECT ref, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos, 0 AS inside, 0 AS between FROM alignments_v
+    GROUP BY ref""")
 def coordinate_sort(spark, sf):
-    """Runs of equal coordinates in the sorted output; a run broken by bad order would show up as extra rows."""
-    ordered = A.coordinate_sort(reads(spark, sf).select("ref", "pos", "qname"))
-    return ordered.groupBy("ref", "pos").agg(F.count(F.lit(1)).alias("n"), F.min("qname").alias("first_name"))
+    """The sorted sink, and how often its files depart from the order: rows are compared by their places in the files."""
+    path = shared_folder(spark, "sorted")
+    sinks.write_sorted(reads(spark, sf), path, 12)
+    breaks = sinks.order_breaks(spark, path, ["ref", "pos", "qname"]).select(
+        F.col("inside").cast("int").alias("inside"), F.col("between").cast("int").alias("between"))
+    by_ref = spark.read.parquet(path).groupBy("ref").agg(
+        F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    return by_ref.select("*", breaks.select("inside").scalar().alias("inside"), breaks.select("between").scalar().alias("between"))
 
 
 def _stats_sql(rows: str) -> str:

@@ -77,6 +77,29 @@ def run_features(spark, sf):
     return rounded(X.run_features(workflow(spark, sf)))
 
 
+@query("features_sink", f"""WITH {_WORKFLOW} SELECT count(DISTINCT srx) AS n, min(srx) AS first_key, max(srx) AS last_key,
+    0 AS inside, 0 AS between FROM workflow""")
+def features_sink(spark, sf):
+    """The written feature matrix, and how often its files depart from the order of its key."""
+    path = shared_folder(spark, "features-sink")
+    sinks.write_features(X.experiment_features(workflow(spark, sf)), path)
+    breaks = sinks.order_breaks(spark, path, ["srx"])
+    return spark.read.parquet(path).agg(
+        F.count("srx").alias("n"), F.min("srx").alias("first_key"), F.max("srx").alias("last_key")).select(
+        "*", *[breaks.select(c).scalar().cast("int").alias(c) for c in ("inside", "between")])
+
+
+@query("result_csv", f"""WITH {_WORKFLOW} SELECT srx, CASE WHEN sum(number_reads) > 20000 THEN 'Outlier' ELSE 'Inliers' END AS labels
+    FROM workflow WHERE srx IS NOT NULL GROUP BY srx""")
+def result_csv(spark, sf):
+    """A labelled matrix through the CSV sink: header, key first, labels last."""
+    path = shared_folder(spark, "result")
+    matrix = X.experiment_features(workflow(spark, sf))
+    sinks.write_result_csv(matrix.withColumn("labels", F.when(F.col("number_reads") > 20000, "Outlier").otherwise("Inliers")), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select(back.columns[0], back.columns[-1])
+
+
 @query("complete_features", _feature_sql(group=False) + " WHERE " + " AND ".join(
     f"{n} IS NOT NULL" for n in schemas.FEATURES))
 def complete_features(spark, sf):

@@ -1,20 +1,29 @@
 """Report parsers. The texts are built in Spark from per-run numbers; the SQL computes on the numbers alone."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortqc.operators import reports as P
-from cohortqc.session import shared_folder
+from cohortqc.operators.status import REQUIRED
+from cohortqc.operators.status import run_states as run_state_table
+from cohortqc.plans import jobs
+from cohortqc.session import shared_folder, written
 from cohortqc.sources import tables
+from cohortqc.streaming.completion import CHANGES, latest_states, stream_states
 from cohortqc.workload.registry import query, rounded
 from cohortqc.workload.views import ctes, load, stored
 
 N = ctes("numbers_v")
 
 
-def _reports(spark, sf, stage: str, body: Column, variant: str = "") -> DataFrame:
-    """The reports as a pipeline has them: texts on disk, written once per session."""
+def _reports(spark, sf, stage: str, body: Column, variant: str = "", rows: DataFrame | None = None) -> DataFrame:
+    """The reports as a pipeline has them: texts on disk, written once per session. With ``rows`` the texts of other
+    runs, not written."""
+    if rows is not None:
+        return rows.select("*", F.lit(stage).alias("stage"), body.alias("body"))
     return stored(spark, sf, f"report-{stage}{variant}", lambda: load(spark, sf, "numbers_v").select(
         "srr", F.lit(stage).alias("stage"), body.alias("body")))
 
@@ -33,13 +42,13 @@ def c(text: str) -> Column:
 
 # ---- screen -------------------------------------------------------------------------------------------------------
 
-def _screen(spark, sf):
+def _screen(spark, sf, rows=None):
     def genome(name, one, multi):
         return (f"{name}\t", c("n * 1000"), "\t", c(f"n * 1000 - {one} - {multi}"), "\t-", c("nf"), ".25\t", c(one),
                 "\t1.5\t", c(multi), "\t0.5\t", c("no"), "\t0\t", c("np"), "\t0.75")
     return _reports(spark, sf, "fastq_screen", _text(
         "#Fastq_screen version: 0.14.0", "Genome\t#Reads_processed\t#Unmapped", genome("rRNA", "nf * 10", "no"),
-        genome("dm6", "no * 20", "np"), genome("ecoli", "np * 5", "nf"), "", "%Hit_no_genomes: 3.25"))
+        genome("dm6", "no * 20", "np"), genome("ecoli", "np * 5", "nf"), "", "%Hit_no_genomes: 3.25"), rows=rows)
 
 
 _SCREEN = f"""WITH {N}, metrics AS (
@@ -85,7 +94,7 @@ def _share(part: str, of: str):
     return F.format_string("%.1f%%", c(part) * 100 / F.greatest(c(of), F.lit(1)))
 
 
-def _trim(spark, sf):
+def _trim(spark, sf, rows=None):
     written = "n * 1000 - np * 900"
     single = _text("Reads                     records  fraction", ("Total reads processed:      ", _comma("n * 1100")),
                    ("Reads that were too short:     ", _comma("nf * 7"), "      ", _share("nf * 7", "n * 1100")),
@@ -96,7 +105,7 @@ def _trim(spark, sf):
                   ("Pairs written (passing filters):       ", _comma(written), "     ", _share(written, "n * 1100")))
     broken = F.lit("ERROR: cannot open file")
     body = F.when(c("no = 0"), broken).when(c("nf > no"), pairs).otherwise(single)
-    return _reports(spark, sf, "atropos", body)
+    return _reports(spark, sf, "atropos", body, rows=rows)
 
 
 @query("trim_log", f"""WITH {N} SELECT srr, CASE WHEN no > 0 THEN n * 1100 END AS total_processed,
@@ -107,7 +116,7 @@ def trim_log(spark, sf):
     return P.trim_log(_trim(spark, sf))
 
 
-def _aligner(spark, sf):
+def _aligner(spark, sf, rows=None):
     def line(indent: int, count: str, of: str, text: str):
         return " " * indent, c(count), " (", _share(count, of), f") {text}"
 
@@ -125,7 +134,7 @@ def _aligner(spark, sf):
                   ("      ", c("nf * 18"), " mates make up the pairs; of these:"),
                   line(8, "nf * 5", "nf * 18", "aligned 0 times"), line(8, "nf * 7", "nf * 18", "aligned exactly 1 time"),
                   line(8, "nf * 6", "nf * 18", "aligned >1 times"), (c("n * 5"), ".25% overall alignment rate"))
-    return _reports(spark, sf, "hisat2", F.when(c("nf > no"), pairs).otherwise(single))
+    return _reports(spark, sf, "hisat2", F.when(c("nf > no"), pairs).otherwise(single), rows=rows)
 
 
 _ALIGNER = f"""WITH {N}, parsed AS (
@@ -156,14 +165,14 @@ def alignment_gate(spark, sf):
     return P.alignment_gate(P.aligner_log(_aligner(spark, sf))).select("srr", "num_concordant_multimappers", "status")
 
 
-def _samtools(spark, sf):
+def _samtools(spark, sf, rows=None):
     return _reports(spark, sf, "aln_stats", _text(
         "# This file was produced by samtools stats", "CHK\t1\t2\t3", ("SN\traw total sequences:\t", c("n * 1000")),
         ("SN\treads MQ0:\t", c("np * 3"), "\t# mapped and MQ=0"), ("SN\taverage quality:\t", c("n + 20"), ".5"),
         ("SN\tinsert size average:\t", c("no * 10"), ".0"), "SN\tinsert size standard deviation:\t12.5",
         ("SN\tinward oriented pairs:\t", c("nf")), ("SN\toutward oriented pairs:\t", c("no")),
         ("SN\tpairs with other orientation:\t", c("np")), ("SN\tpairs on different chromosomes:\t", c("n")),
-        "FFQ\t1\t0"))
+        "FFQ\t1\t0"), rows=rows)
 
 
 @query("samtools_stats", f"""WITH {N} SELECT srr, np * 3 AS "reads_MQ0", n + 20.5::DOUBLE AS average_quality,
@@ -174,13 +183,13 @@ def samtools_stats(spark, sf):
     return P.samtools_stats(_samtools(spark, sf))
 
 
-def _bamtools(spark, sf):
+def _bamtools(spark, sf, rows=None):
     return _reports(spark, sf, "bam_stats", _text(
         "**********************************************", "Stats for BAM file(s): ", "",
         ("Total reads:       ", c("n * 1000")), ("Mapped reads:      ", c("n * 1000 - nf"), "\t(99%)"),
         ("Forward strand:    ", c("no * 10"), "\t(50%)"), ("Reverse strand:    ", c("n * 1000 - no * 10"), "\t(50%)"),
         ("Failed QC:         ", c("0 * n"), "\t(0%)"), ("Duplicates:        ", c("np * 2"), "\t(0%)"),
-        ("Paired-end reads:  ", c("nf * 2"), "\t(0%)"), ("'Proper-pairs':    ", c("nf"))))
+        ("Paired-end reads:  ", c("nf * 2"), "\t(0%)"), ("'Proper-pairs':    ", c("nf"))), rows=rows)
 
 
 @query("bamtools_stats", f"""WITH {N} SELECT srr, round((n * 1000 - nf) / (n * 1000) * 100, 6) AS "Percent Mapped",
@@ -209,7 +218,7 @@ _RNA_COLUMNS = ["PF_BASES", "PF_ALIGNED_BASES", "RIBOSOMAL_BASES", "CODING_BASES
                 "MEDIAN_5PRIME_TO_3PRIME_BIAS", "SAMPLE", "LIBRARY", "READ_GROUP"]
 
 
-def _rna(spark, sf, correct: str = "nf"):
+def _rna(spark, sf, correct: str = "nf", rows=None):
     def fraction(part):
         return F.format_string("%d.%02d", c(f"{part} * 100 div n div 100").cast("int"),
                                c(f"{part} * 100 div n % 100").cast("int"))
@@ -225,18 +234,28 @@ def _rna(spark, sf, correct: str = "nf"):
     return _reports(spark, sf, "rnaseqmetrics", _text(
         "## htsjdk.samtools.metrics.StringHeader", "# CollectRnaSeqMetrics", "## METRICS CLASS\tRnaSeqMetrics",
         "\t".join(_RNA_COLUMNS), tuple(row), "", "## HISTOGRAM\tjava.lang.Integer",
-        "normalized_position\tAll_Reads.normalized_coverage", (histogram,)), f"-{correct}")
+        "normalized_position\tAll_Reads.normalized_coverage", (histogram,)), f"-{correct}", rows)
+
+
+_RNA_VALUES = {
+    "PF_BASES": "n * 5000", "PF_ALIGNED_BASES": "n * 4000", "CODING_BASES": "nf * 100", "UTR_BASES": "no * 100",
+    "INTRONIC_BASES": "np * 100", "INTERGENIC_BASES": "n * 7", "IGNORED_READS": "0", "CORRECT_STRAND_READS": "nf",
+    "INCORRECT_STRAND_READS": "no", "PCT_CODING_BASES": "(nf * 100 // n) / 100", "PCT_UTR_BASES": "(no * 100 // n) / 100",
+    "PCT_INTRONIC_BASES": "(np * 100 // n) / 100", "PCT_INTERGENIC_BASES": "0.25",
+    "PCT_MRNA_BASES": "((nf + no) * 100 // n) / 100",
+    "PCT_CORRECT_STRAND_READS": "CASE WHEN np > 0 THEN (nf * 100 // n) / 100 END", "MEDIAN_CV_COVERAGE": "0.5",
+    "MEDIAN_3PRIME_BIAS": "1.25", "MEDIAN_5PRIME_TO_3PRIME_BIAS": "0.75"}
+
+
+def _rna_column(name: str) -> str:
+    value = _RNA_VALUES.get(name, "NULL")  # what the report leaves out or marks with a question mark
+    return f'({value})::BIGINT AS "{name}"' if name in P.RNA_LONGS else f'round(({value})::DOUBLE, 6) AS "{name}"'
 
 
-@query("picard_summary", f"""WITH {N} SELECT srr, n * 5000 AS "PF_BASES", n * 4000 AS "PF_ALIGNED_BASES",
-    nf * 100 AS "CODING_BASES", n * 7 AS "INTERGENIC_BASES", NULL::DOUBLE AS "RIBOSOMAL_BASES",
-    round((nf * 100 // n) / 100, 6) AS "PCT_CODING_BASES",
-    CASE WHEN np > 0 THEN round((nf * 100 // n) / 100, 6) END AS "PCT_CORRECT_STRAND_READS",
-    NULL::DOUBLE AS "MEDIAN_5PRIME_BIAS", 1.25::DOUBLE AS "MEDIAN_3PRIME_BIAS", NULL::DOUBLE AS "SAMPLE" FROM numbers_v""")
+@query("picard_summary", f"""WITH {N} SELECT srr, {', '.join(map(_rna_column, [*P.RNA_LONGS, *P.RNA_DOUBLES]))}
+    FROM numbers_v""")
 def picard_summary(spark, sf):
-    return rounded(P.rna_summary(_rna(spark, sf)).select(
-        "srr", "PF_BASES", "PF_ALIGNED_BASES", "CODING_BASES", "INTERGENIC_BASES", "RIBOSOMAL_BASES",
-        "PCT_CODING_BASES", "PCT_CORRECT_STRAND_READS", "MEDIAN_5PRIME_BIAS", "MEDIAN_3PRIME_BIAS", "SAMPLE"))
+    return rounded(P.rna_summary(_rna(spark, sf)))
 
 
 @query("picard_projection", f"""WITH {N} SELECT srr, (nf * 100 // n)::DOUBLE AS percent_coding_bases,
@@ -260,10 +279,7 @@ def strand_call(spark, sf):
     return P.strand_call(P.rna_summary(_rna(spark, sf, "nf")), P.rna_summary(_rna(spark, sf, "no")))
 
 
-@query("markdup_metrics", f"""WITH {N} SELECT srr, n * 10 AS unpaired_reads_examined, nf * 10 AS read_pairs_examined,
-    n AS unpaired_read_duplicates, nf AS read_pair_duplicates, (nf * 100 // n)::DOUBLE AS percent_duplication,
-    CASE WHEN np = 0 THEN 0 ELSE np * 1000 END AS estimated_library_size FROM numbers_v""")
-def markdup_metrics(spark, sf):
+def _markdup(spark, sf, rows=None):
     names = ["LIBRARY", "UNPAIRED_READS_EXAMINED", "READ_PAIRS_EXAMINED", "SECONDARY_OR_SUPPLEMENTARY_RDS",
              "UNMAPPED_READS", "UNPAIRED_READ_DUPLICATES", "READ_PAIR_DUPLICATES", "READ_PAIR_OPTICAL_DUPLICATES",
              "PERCENT_DUPLICATION", "ESTIMATED_LIBRARY_SIZE"]
@@ -273,7 +289,14 @@ def markdup_metrics(spark, sf):
                  "## METRICS CLASS\tpicard.sam.DuplicationMetrics", "\t".join(names),
                  ("Unknown\t", c("n * 10"), "\t", c("nf * 10"), "\t0\t3\t", c("n"), "\t", c("nf"), "\t0\t", share, "\t",
                   size), "", "## HISTOGRAM\tjava.lang.Double")
-    return rounded(P.duplicate_metrics(_reports(spark, sf, "markduplicates", body)))
+    return _reports(spark, sf, "markduplicates", body, rows=rows)
+
+
+@query("markdup_metrics", f"""WITH {N} SELECT srr, n * 10 AS unpaired_reads_examined, nf * 10 AS read_pairs_examined,
+    n AS unpaired_read_duplicates, nf AS read_pair_duplicates, (nf * 100 // n)::DOUBLE AS percent_duplication,
+    CASE WHEN np = 0 THEN 0 ELSE np * 1000 END AS estimated_library_size FROM numbers_v""")
+def markdup_metrics(spark, sf):
+    return rounded(P.duplicate_metrics(_markdup(spark, sf)))
 
 
 @query("completion_markers", f"""WITH {N} SELECT srr, CASE WHEN nf > no THEN 'markduplicates' WHEN np > no THEN 'aln_stats'
@@ -289,13 +312,13 @@ def completion_markers(spark, sf):
     return P.completion(rows.select("srr", stage.alias("stage"), body.alias("body"))).select("srr", "stage", "status")
 
 
-@query("report_scan", f"WITH {ctes('orders_v')} SELECT srr, count(*) AS n_lines FROM orders_v GROUP BY srr")
+@query("report_scan", f"""WITH {N} SELECT srr, 16 AS n_lines, n * 500 AS first_number FROM numbers_v WHERE nf > no
+    UNION ALL SELECT srr, 7, n * 1000 FROM numbers_v WHERE nf <= no""")
 def report_scan(spark, sf):
-    """Line-oriented scan of reports that list a run's orders, one per line."""
-    body = load(spark, sf, "orders_v").groupBy("srr").agg(
-        F.concat_ws("\n", F.sort_array(F.collect_list(F.concat_ws("\t", "o_orderpriority", "o_orderstatus")))).alias("body"))
-    return (P.report_lines(body.withColumn("stage", F.lit("orders"))).groupBy("srr")
-            .agg(F.count(F.lit(1)).alias("n_lines")))
+    """Line-oriented scan of the aligner's reports: how many lines, and the number before ``reads; of these``."""
+    number = F.regexp_extract("line", r"^(\d+) reads; of these:", 1)
+    return P.report_lines(_aligner(spark, sf)).groupBy("srr").agg(
+        F.count(F.lit(1)).cast("int").alias("n_lines"), F.max(F.nullif(number, F.lit("")).cast("bigint")).alias("first_number"))
 
 
 @query("count_table_scan", f"""WITH {ctes('orders_v')} SELECT count(*) AS n_rows,
@@ -312,3 +335,112 @@ def count_table_scan(spark, sf):
     (rows.unionByName(heads).repartition("run").sortWithinPartitions("run", "place").select("run", "value")
      .write.partitionBy("run").text(path))
     return tables.read_counts(spark, path).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("count").alias("total"))
+
+
+# ---- whole ingest of logs: report files of two attempts to stage tables, states and done marks ------------------------
+
+_STAGES = ("aln_stats", "atropos", "fastq_screen", "genebody_coverage", "hisat2", "markduplicates", "rnaseqmetrics", "strand")
+_SITES = """sites AS (SELECT 'N' || CAST(o_custkey % 20 AS VARCHAR) AS srr, count(*) AS n,
+    count(*) FILTER (o_orderstatus = 'F') AS nf, count(*) FILTER (o_orderstatus = 'O') AS no,
+    count(*) FILTER (o_orderstatus = 'P') AS np FROM orders GROUP BY ALL)"""
+
+
+def _sites(spark, sf) -> DataFrame:
+    """Few runs with many orders each: report files are one per run, kind and attempt."""
+    status = F.col("o_orderstatus")
+    return spark.read.parquet(f"{sf}/orders.parquet").groupBy(
+        F.concat(F.lit("N"), (F.col("o_custkey") % 20).cast("string")).alias("srr")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(status == "F").alias("nf"), F.count_if(status == "O").alias("no"),
+        F.count_if(status == "P").alias("np"))
+
+
+def _site_logs(spark, sf) -> DataFrame:
+    """srr, stage, attempt, body: a third of the runs have a broken trim log first, half of those again the second time;
+    a fifth never get a duplicate report."""
+    rows = written(_sites(spark, sf), "sites")
+    finished = lambda df, line: df.withColumn("body", F.concat(F.lit(f"# {line}\n"), "body"))
+    renamed = lambda df, stage: df.withColumn("stage", F.lit(stage))
+    rna = finished(_rna(spark, sf, "nf", rows), "CollectRnaSeqMetrics done")
+    first = [finished(_screen(spark, sf, rows), "Processing complete"), _aligner(spark, sf, rows), _samtools(spark, sf, rows),
+             _bamtools(spark, sf, rows), rna, renamed(rna, "strand_first"),
+             renamed(finished(_rna(spark, sf, "no", rows), "CollectRnaSeqMetrics done"), "strand_second"),
+             finished(_markdup(spark, sf, rows.where("n % 5 <> 0")), "MarkDuplicates done")]
+    one = F.lit(1).cast("bigint")
+    trim = _trim(spark, sf, rows).withColumn("attempt", F.explode(F.array(one, one + 1))).where("attempt = 1 OR n % 3 = 0")
+    broken = F.expr("n % 3 = 0 AND (attempt = 1 OR n % 2 = 1)")
+    trim = trim.withColumn("body", F.when(broken, "ERROR: killed").otherwise(F.col("body")))
+    logs = reduce(DataFrame.unionByName, [df.withColumn("attempt", one) for df in first] + [trim])
+    return logs.select("srr", "stage", "attempt", "body")
+
+
+@query("ingest_job", f"""WITH {_SITES}, judged AS (SELECT *,
+      no = 0 OR n * 1000 - np * 900 < 1000 OR (n % 3 = 0 AND n % 2 = 1) AS bad_trim,
+      CASE WHEN nf > no THEN n * 5 + 0.25 < 1 OR no * 90 + nf * 7 < 1000 ELSE no * 3 + 0.5 < 1 OR no * 200 < 1000 END AS bad_aln
+    FROM sites)
+    SELECT srr, CASE WHEN bad_trim OR bad_aln THEN 'failed' WHEN n % 5 = 0 THEN 'waiting' ELSE 'done' END AS state,
+      concat_ws(',', CASE WHEN bad_trim THEN 'atropos' END, CASE WHEN bad_aln THEN 'hisat2' END) AS failed,
+      CASE WHEN n % 5 = 0 THEN 'markduplicates' ELSE '' END AS missing,
+      CASE WHEN bad_trim THEN NULL ELSE nf * 7 END AS too_short, CASE WHEN n % 5 = 0 THEN NULL ELSE n * 10 END AS examined,
+      CASE WHEN np > 0 AND nf * 100 // n >= 75 THEN 'same_strand' WHEN np > 0 AND no * 100 // n >= 75 THEN 'opposite_strand'
+           ELSE 'unstranded' END AS strand,
+      CASE WHEN bad_trim OR bad_aln OR n % 5 = 0 THEN false ELSE true END AS marked FROM judged""")
+def ingest_job(spark, sf):
+    """Report files of two attempts, read back by their paths, through the job that fills the stage tables."""
+    root = shared_folder(spark, "ingest")
+    _site_logs(spark, sf).repartition(1).write.partitionBy("attempt", "stage", "srr").option("lineSep", "\n").text(f"{root}/reports")
+    runs = _sites(spark, sf).select("srr")
+    pattern = r"/srr=([^/]+)/"
+    kinds = sorted({kind for kinds in jobs.STAGE_REPORTS.values() for kind in kinds})
+    for attempt in (1, 2):
+        logs = [tables.read_reports(spark, f"{root}/reports/attempt={attempt}/stage={kind}", kind, pattern)
+                for kind in (kinds if attempt == 1 else ("atropos",))]
+        states = jobs.ingest_logs(spark, runs, reduce(DataFrame.unionByName, logs), f"{root}/out", attempt, _STAGES)
+    at = f"{root}/out/Features"
+    table = lambda stage: tables.read_stage_folder(spark, f"{at}/{stage}", stage)
+    done = tables.read_done(spark, f"{at}/done").groupBy("srr").agg((F.count(F.lit(1)) == 1).alias("marked"))
+    return (states.join(table("atropos").select("srr", "too_short"), "srr", "left")
+            .join(table("markduplicates").select("srr", F.col("unpaired_reads_examined").alias("examined")), "srr", "left")
+            .join(table("strand"), "srr", "left").join(done, "srr", "left")
+            .select("srr", "state", F.concat_ws(",", "failed").alias("failed"), F.concat_ws(",", "missing").alias("missing"),
+                    "too_short", "examined", "strand", F.coalesce("marked", F.lit(False)).alias("marked")))
+
+
+# ---- status rows in any order -----------------------------------------------------------------------------------------
+
+_EVENTS = f"""events AS (SELECT 'E' || CAST(o_custkey % 60 AS VARCHAR) AS srr,
+      {list(REQUIRED)}[CAST(floor(o_totalprice) AS BIGINT) % {len(REQUIRED)} + 1] AS stage, o_orderkey AS attempt,
+      CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'failed' ELSE 'ok' END AS status FROM orders),
+    newest AS (SELECT srr, stage, arg_max(status, attempt) AS status FROM events GROUP BY srr, stage),
+    states AS (SELECT srr, list_sort(coalesce(list(stage) FILTER (status <> 'ok'), [])) AS failed,
+      list_sort(list_filter({list(REQUIRED)}, lambda s: NOT list_contains(list(stage), s))) AS missing FROM newest GROUP BY srr)"""
+_STATE = "CASE WHEN len(failed) > 0 THEN 'failed' WHEN len(missing) = 0 THEN 'done' ELSE 'waiting' END"
+
+
+def _events(spark, sf) -> DataFrame:
+    """Every order reports a stage; the newest attempts come mixed with old ones."""
+    stage = F.get(F.array(*[F.lit(s) for s in REQUIRED]), (F.floor("o_totalprice") % len(REQUIRED)).cast("int"))
+    return spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.concat(F.lit("E"), (F.col("o_custkey") % 60).cast("string")).alias("srr"), stage.alias("stage"),
+        F.col("o_orderkey").alias("attempt"), F.expr("CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'failed' ELSE 'ok' END AS status"),
+        F.col("o_orderpriority").alias("wave"))
+
+
+@query("run_states", f"""WITH {_EVENTS} SELECT srr, {_STATE} AS state, array_to_string(failed, ',') AS failed,
+    array_to_string(missing, ',') AS missing FROM states""")
+def run_states(spark, sf):
+    events = _events(spark, sf)
+    states = run_state_table(events.select("srr").distinct(), events.drop("wave"))
+    return states.select("srr", "state", F.concat_ws(",", "failed").alias("failed"), F.concat_ws(",", "missing").alias("missing"))
+
+
+@query("run_states_stream", f"""WITH {_EVENTS} SELECT srr, {_STATE} AS state, array_to_string(failed, ',') AS failed
+    FROM states WHERE len(failed) > 0 OR len(missing) = 0""")
+def run_states_stream(spark, sf):
+    """The same as a stream that is stopped and started again; every start finds new files, old attempts among them."""
+    root = shared_folder(spark, "states")
+    events = written(_events(spark, sf), "status-events")
+    for wave in ("wave < '3'", "wave >= '3'"):
+        events.where(wave).drop("wave").write.mode("append").parquet(f"{root}/status")
+        stream_states(spark, f"{root}/status", f"{root}/changes", f"{root}/checkpoint", max_files=4).awaitTermination()
+    found = latest_states(spark.read.schema(CHANGES).parquet(f"{root}/changes")).where("state <> 'waiting'")
+    return found.select("srr", "state", F.concat_ws(",", "failed").alias("failed"))

@@ -177,6 +177,18 @@ def test_region_precedence(spark):
     assert bases == {p: expected(p) for p in range(1, 101)}
 
 
+def test_order_breaks_are_found(spark, tmp_path):
+    rows = spark.range(300).select(F.lit("c").alias("ref"), (F.col("id") * 7919 % 97).alias("pos"), F.col("id").cast("string").alias("qname"))
+    keys = ["ref", "pos", "qname"]
+    sinks.write_sorted(rows, f"{tmp_path}/sorted", 4)
+    assert tuple(sinks.order_breaks(spark, f"{tmp_path}/sorted", keys).first()) == (0, 0)
+    rows.repartition(3).sortWithinPartitions(*keys).write.parquet(f"{tmp_path}/loose")  # sorted files that overlap
+    inside, between = sinks.order_breaks(spark, f"{tmp_path}/loose", keys).first()
+    assert inside == 0 and between == 2
+    rows.coalesce(1).write.parquet(f"{tmp_path}/raw")
+    assert sinks.order_breaks(spark, f"{tmp_path}/raw", keys).first()[0] > 50
+
+
 def test_coordinate_sort(spark):
     rows = spark.range(500).select(F.lit("c").alias("ref"), (F.col("id") * 7919 % 50).alias("pos"),
                                    F.col("id").cast("string").alias("qname"))
@@ -237,20 +249,58 @@ def test_qc_reads_job(spark, tmp_path):
     assert spark.read.parquet(f"{out}/unfit_files").count() == 0
 
 
-def test_failed_runs_are_not_done(spark, tmp_path):
-    trim = "Total reads processed: 5,000\nReads that were too short: 10\nReads written (passing filters): 4,990\n"
-    good = "5000 reads; of these:\n  5000 (100.00%) were unpaired; of these:\n    4000 (80.00%) aligned exactly 1 time\n80.00% overall alignment rate\n"
+TRIM = "Total reads processed: 5,000\nReads that were too short: 10\nReads written (passing filters): 4,990\n"
+ALIGNED = ("5000 reads; of these:\n  5000 (100.00%) were unpaired; of these:\n    4000 (80.00%) aligned exactly 1 time\n"
+           "80.00% overall alignment rate\n")
+NEEDED = ("atropos", "fastq_screen", "hisat2")
+
+
+def states(df):
+    return {r.srr: (r.state, r.failed, r.missing) for r in df.collect()}
+
+
+def test_failed_and_silent_runs_are_not_done(spark, tmp_path):
     logs = spark.createDataFrame(
-        [("a", "atropos", trim), ("a", "hisat2", good), ("a", "fastq_screen", "Processing complete"),
-         ("b", "atropos", "ERROR"), ("c", "hisat2", good.replace("80.00% overall", "0.10% overall")),
-         ("d", "markduplicates", "stopped"), ("e", "atropos", trim.replace("4,990", "900"))], schemas.REPORTS)
+        [(s, stage, body) for s in "abce" for stage, body in (
+            ("atropos", TRIM), ("hisat2", ALIGNED), ("fastq_screen", "Processing complete"))
+         if (s, stage) not in {("b", "atropos"), ("c", "hisat2")}]
+        + [("b", "atropos", "ERROR"), ("c", "hisat2", ALIGNED.replace("80.00% overall", "0.10% overall")),
+           ("d", "atropos", TRIM), ("e", "markduplicates", "stopped")], schemas.REPORTS)
     runs = spark.createDataFrame([(s,) for s in "abcdef"], "srr string")
-    for _ in range(2):  # a second call adds nothing to the done table
-        failed = jobs.finish_runs(spark, runs, logs, str(tmp_path))
-    assert {(r.srr, r.stage, r.status) for r in failed.collect()} == {
-        ("b", "atropos", "parse_error"), ("c", "hisat2", "poor_alignment"), ("d", "markduplicates", "failed"),
-        ("e", "atropos", "too_few_reads")}
-    assert sorted(r.srr for r in tables.read_done(spark, f"{tmp_path}/Features/done").collect()) == ["a", "f"]
+    for _ in range(2):  # a second call adds nothing to any table
+        found = jobs.finish_runs(spark, runs, logs, str(tmp_path), required=NEEDED)
+    assert states(found) == {
+        "a": ("done", [], []), "b": ("failed", ["atropos"], []), "c": ("failed", ["hisat2"], []),
+        "d": ("waiting", [], ["fastq_screen", "hisat2"]), "e": ("done", [], []),
+        "f": ("waiting", [], ["atropos", "fastq_screen", "hisat2"])}
+    assert sorted(r.srr for r in tables.read_done(spark, f"{tmp_path}/Features/done").collect()) == ["a", "e"]
+    assert tables.read_status(spark, f"{tmp_path}/Features/status").count() == logs.count()
+
+
+def test_a_repeated_run_becomes_done(spark, tmp_path):
+    runs = spark.createDataFrame([("a",), ("b",)], "srr string")
+
+    def finish(attempt, *logs):
+        return states(jobs.finish_runs(spark, runs, spark.createDataFrame(list(logs), schemas.REPORTS), str(tmp_path), attempt, NEEDED))
+
+    first = finish(1, ("a", "atropos", "ERROR"), ("a", "hisat2", ALIGNED), ("a", "fastq_screen", "Processing complete"))
+    assert first["a"][0] == "failed"
+    assert finish(2, ("a", "atropos", TRIM))["a"] == ("done", [], [])
+    # an old report that comes late changes nothing, a newer one does
+    assert finish(1, ("a", "hisat2", "nothing"))["a"][0] == "failed"  # same attempt: the failure decides
+    assert finish(3, ("a", "hisat2", ALIGNED))["a"][0] == "done"
+    assert finish(2, ("a", "hisat2", "nothing"))["a"][0] == "done"
+    assert [r.srr for r in tables.read_done(spark, f"{tmp_path}/Features/done").collect()] == ["a"]
+
+
+def test_rows_in_stage_tables_count_until_a_report_speaks(spark, tmp_path):
+    runs = spark.createDataFrame([("a",), ("b",)], "srr string")
+    rows = spark.createDataFrame([("a", "same_strand"), ("b", "unstranded")], schemas.STAGES["strand"])
+    sinks.write_stage(rows, f"{tmp_path}/Features/strand", "strand")
+    logs = spark.createDataFrame([("a", "atropos", TRIM), ("b", "atropos", TRIM), ("b", "strand", "x")], schemas.REPORTS)
+    found = jobs.finish_runs(spark, runs, logs.where("stage = 'atropos'"), str(tmp_path), required=("atropos", "strand"))
+    assert {k: v[0] for k, v in states(found).items()} == {"a": "done", "b": "done"}
+    assert tables.read_done(spark, f"{tmp_path}/Features/done").count() == 2
 
 
 def test_count_summary_from_tables(spark, tmp_path):

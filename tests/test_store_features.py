@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from cohortqc import schemas, sinks
 from cohortqc.operators import features as X
+from cohortqc.operators import status as ST
 from cohortqc.operators import store as S
 from cohortqc.session import path_exists
 from cohortqc.sources import tables
+from cohortqc.streaming.completion import CHANGES, latest_states, stream_states
 from cohortqc.streaming.ingest import stream_all, stream_stage
 
 
@@ -73,6 +75,52 @@ def test_stream_and_batch_share_one_store(spark, tmp_path):
     assert keys(spark, store) == ["a", "b", "c"]
 
 
+def test_the_same_batch_twice_is_there_once(spark, tmp_path):
+    """Two jobs that saw the same store before either wrote, and a batch that is written again."""
+    store = str(tmp_path / "atropos.parquet")
+    rows = trim_rows(spark, "a", "b")
+    for _ in range(2):
+        sinks.write_batch(rows, store, "atropos", S.batch_id(rows))
+    sinks.write_batch(trim_rows(spark, "c"), store, "atropos", S.batch_id(trim_rows(spark, "c")))
+    assert keys(spark, store) == ["a", "b", "c"]
+    assert tables.read_store(spark, store, "atropos").columns == schemas.STAGES["atropos"].names
+    assert S.batch_id(trim_rows(spark, "b", "a")) == S.batch_id(rows) != S.batch_id(trim_rows(spark, "a"))
+    assert S.batch_id(rows.where("false")) is None
+
+
+def status_rows(spark, *rows):
+    return spark.createDataFrame(rows, schemas.STATUS)
+
+
+def test_newest_attempt_decides(spark):
+    runs_ = runs(spark, "a", "b", "c", "d")
+    status = status_rows(spark, ("a", "x", 1, "failed"), ("a", "x", 2, "ok"), ("a", "y", 1, "ok"), ("b", "x", 3, "bad"),
+                         ("b", "x", 2, "ok"), ("b", "y", 1, "ok"), ("c", "x", 1, "ok"), ("c", "x", 1, "late failure"),
+                         ("c", "y", 1, "ok"), ("c", "unknown", 1, "failed"))
+    got = {r.srr: (r.state, r.failed, r.missing) for r in ST.run_states(runs_, status, ("x", "y")).collect()}
+    assert got == {"a": ("done", [], []), "b": ("failed", ["x"], []), "c": ("failed", ["x"], []), "d": ("waiting", [], ["x", "y"])}
+
+
+def test_states_as_a_stream(spark, tmp_path):
+    """Rows out of order over three starts of one stream; what it said last is what the batch says."""
+    root, waves = str(tmp_path), [
+        [("a", "x", 2, "ok"), ("b", "x", 1, "failed"), ("c", "x", 1, "ok")],
+        [("a", "x", 1, "failed"), ("a", "y", 1, "ok"), ("b", "y", 4, "ok"), ("b", "x", 2, "ok"), ("c", "z", 1, "failed")],
+        [("c", "y", 1, "failed"), ("b", "x", 3, "failed"), ("a", "y", 1, "ok")]]
+    heard = []
+    for wave in waves:
+        status_rows(spark, *wave).repartition(2).write.mode("append").parquet(f"{root}/status")
+        stream_states(spark, f"{root}/status", f"{root}/changes", f"{root}/checkpoint", ("x", "y"), 1).awaitTermination()
+        changes = spark.read.schema(CHANGES).parquet(f"{root}/changes")
+        heard.append({r.srr: r.state for r in latest_states(changes).collect()})
+    assert heard[1]["a"] == "done" and heard[1]["b"] == "done" and heard[2]["b"] == "failed" and heard[2]["c"] == "failed"
+    everything = status_rows(spark, *[r for w in waves for r in w])
+    batch = {r.srr: r.state for r in ST.run_states(runs(spark, "a", "b", "c"), everything, ("x", "y")).collect()}
+    assert heard[2] == batch
+    numbers = changes.groupBy("srr").agg(F.max("n").alias("m"), F.count("*").alias("k")).collect()
+    assert all(r.m == r.k for r in numbers)
+
+
 def test_no_empty_store(spark, tmp_path):
     S.append_all(spark, runs(spark, "a"), str(tmp_path))
     assert not path_exists(spark, str(tmp_path / "atropos.parquet"))
