@@ -1,15 +1,19 @@
 """FASTQ input: a batch data source for compressed files and a splittable reader for plain ones.
 
 Folders are read by Spark's text source, so any file system Spark knows will do. A compressed file is one split, and its
-lines are put together to reads where they are read. Plain text is cut by Spark's own splits: ``read_plain`` numbers the
-lines exactly, so one huge file is read by many tasks. ``format("fastq")`` reads single files and literal text.
+lines are put together to reads where they are read. Plain text is cut by Spark's own splits, so one huge file is read by
+many tasks: a first pass counts the lines of every split and keeps the few at its borders, and the second puts the reads
+together inside each split, knowing the number of its first line. Only the lines of reads that straddle a border are
+exchanged. ``format("fastq")`` reads single files and literal text.
 """
 from __future__ import annotations
 
 import gzip
 import re
+from functools import reduce
 from itertools import zip_longest
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -19,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from cohortqc import schemas
 from cohortqc.functions.reads import decode
+from cohortqc.session import BROADCAST_ROWS, written
 
 # ---- Fixed values: accepted names, <run>.fastq.gz for single files, <run>_1 and <run>_2 for mates. ----------------
 FILE_NAME = r"(?:^|/)([^/_]+)(?:_([12]))?\.f(?:ast)?q(?:\.gz)?$"
@@ -197,44 +202,156 @@ def _named(records: DataFrame, pattern: str) -> DataFrame:
             .select("path", srr, F.coalesce(mate, F.lit(1)).alias("mate"), "read_no", "h1", "seq", "h2", "qual"))
 
 
+# glob patterns for names that end in .gz, and for all others
+ZIPPED, PLAIN = "*.gz", "{*[!z],*[!g]z,*[!.]gz}"
+# lines of a read that a split border can leave on either side
+BORDER_LINES = 3
+
+
+def _text_lines(spark: SparkSession, paths, glob: str, pattern: str) -> DataFrame:
+    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(paths)
+            .where(F.col("_metadata.file_path").rlike(pattern)))
+
+
 def _zipped_records(spark: SparkSession, paths, pattern: str) -> DataFrame:
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").text(paths).select(F.col("_metadata.file_path").alias("path"), decode(F.col("value")).alias("value"))
-    return _named(lines.where(F.col("path").rlike(pattern)).mapInArrow(_assemble, RECORDS), pattern)
+    lines = _text_lines(spark, paths, ZIPPED, pattern).select(
+        F.col("_metadata.file_path").alias("path"), decode(F.col("value")).alias("value"))
+    return _named(lines.mapInArrow(_assemble, RECORDS), pattern)
 
 
-def _plain_records(spark: SparkSession, paths, pattern: str) -> DataFrame:
-    """A split knows its offset in the file, and lines keep their order inside it. Counting the lines of every split
-    (one row per split) gives each split the number of lines before it, and with that every line its exact number; four
-    consecutive numbers are one read. No guess about where a record starts is needed.
-    """
-    lines = (spark.read.option("recursiveFileLookup", "true").text(paths)
-             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("at"), "value")
-             .where(F.col("path").rlike(pattern) & ~F.col("path").endswith(".gz")))
-    blocks = (lines.groupBy("path", "block").agg(F.min("at").alias("first_at"), F.count(F.lit(1)).alias("n")))
-    before = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-               .select("path", "block", "first_at", "before"))
-    numbered = (lines.join(offsets, ["path", "block"])
-                .withColumn("line_no", F.col("before") + F.col("at") - F.col("first_at")))
+SPLIT = ("path", "block", "size")
+
+
+def _split_lines(spark: SparkSession, paths, pattern: str) -> DataFrame:
+    """Lines with the split they come from; a task reads the lines of a split in order."""
+    return _text_lines(spark, paths, PLAIN, pattern).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_length").alias("size"), "value")
+
+
+def _by_split(batches, columns=()):
+    """Runs of rows of one split: its key, further columns of its first row, and the values."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path = batch.column("path").dictionary_encode().indices.to_numpy()
+        block = batch.column("block").to_numpy()
+        values = batch.column("value").to_pylist()
+        starts = [0, *(np.flatnonzero((path[1:] != path[:-1]) | (block[1:] != block[:-1])) + 1).tolist()]
+        for at, end in zip(starts, [*starts[1:], len(values)]):
+            yield tuple(batch.column(c)[at].as_py() for c in (*SPLIT, *columns)), values[at:end]
+
+
+BORDERS = "path string, block long, size long, n long, head array<string>, tail array<string>"
+
+
+def _count_split(batches):
+    """One row per split: how many lines, the first three and the last three."""
+    def row(key, n, head, tail):
+        return pa.RecordBatch.from_pylist([dict(zip(SPLIT, key), n=n, head=head, tail=tail)], schema=pa.schema([
+            ("path", pa.string()), ("block", pa.int64()), ("size", pa.int64()), ("n", pa.int64()),
+            ("head", pa.list_(pa.string())), ("tail", pa.list_(pa.string()))]))
+
+    now, n, head, tail = None, 0, [], []
+    for key, values in _by_split(batches):
+        if key != now:
+            if now is not None:
+                yield row(now, n, head, tail)
+            now, n, head, tail = key, 0, [], []
+        n += len(values)
+        head = (head + values[:BORDER_LINES])[:BORDER_LINES]
+        tail = (tail + values[-BORDER_LINES:])[-BORDER_LINES:]
+    if now is not None:
+        yield row(now, n, head, tail)
+
+
+def _inside_split(batches):
+    """Reads that lie in one split whole. ``before`` tells how many lines of the file come before the split; the lines
+    in front of its first read and behind its last belong to the borders."""
+    now, skip, line_no, lines = None, 0, 0, []
+    for (path, block, size, before), values in _by_split(batches, ("before",)):
+        if (path, block, size) != now:
+            now, skip, lines = (path, block, size), -before % 4, []
+            line_no = before + skip
+        lines += values[skip:]
+        skip = max(0, skip - len(values))
+        n = len(lines) // 4
+        if n:
+            taken, lines = lines[:4 * n], lines[4 * n:]
+            first = line_no // 4
+            line_no += 4 * n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path] * n, pa.string()), pa.array(range(first, first + n), pa.int64()),
+                 *[pa.array(taken[i::4], pa.string()) for i in range(4)]],
+                names=["path", "read_no", "h1", "seq", "h2", "qual"])
+
+
+def _border_lines(borders: DataFrame) -> DataFrame:
+    """path, line_no, value: the lines of reads that no split holds whole, the last of a file among them if it lacks
+    lines. ``borders`` has ``before``, the number of lines in front of the split."""
+    before, n = F.col("before"), F.col("n")
+    begun = F.least(F.pmod(-before, F.lit(4)), n)
+    left = F.least(F.pmod(before + n, F.lit(4)), n - begun)
+    lines = F.concat(
+        F.transform(F.slice("head", F.lit(1), begun.cast("int")), lambda v, i: F.struct((before + i).alias("line_no"), v.alias("value"))),
+        F.transform(F.slice("tail", F.size("tail") - left.cast("int") + 1, left.cast("int")),
+                    lambda v, i: F.struct((before + n - left + i).alias("line_no"), v.alias("value"))))
+    return borders.select("path", F.inline(lines))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Numbered lines to records of four."""
     slot = F.col("line_no") % 4
-    record = numbered.groupBy("path", F.expr("line_no div 4").alias("read_no")).agg(
+    return lines.groupBy("path", F.expr("line_no div 4").alias("read_no")).agg(
         *[F.max(F.when(slot == i, decode(F.col("value")))).alias(c) for i, c in enumerate(("h1", "seq", "h2", "qual"))])
-    return _named(record, pattern)
 
 
-def _numbered(records: DataFrame) -> DataFrame:
-    """Read numbers over all part files of a run and mate, in the order of their names: one row per file is counted."""
-    files = records.groupBy("srr", "mate", "path").agg(F.count(F.lit(1)).alias("n"))
+def _plain_records(spark: SparkSession, paths, pattern: str, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Records of plain files, and the number of reads of every file (path, n).
+
+    The first pass leaves one row per split; a running sum of their counts gives every split the number of its first
+    line, so no guess about where a read starts is needed. These rows go to the lines of the second pass if they are few
+    enough (a million splits are 128 TB); else every line is numbered and reads are put together by a shuffle.
+    """
+    lines = _split_lines(spark, paths, pattern)
+    counted = written(lines.mapInArrow(_count_split, BORDERS), "fastq-splits")
+    ahead = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    borders = counted.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    # a last group of one line has neither sequence nor quality and is no read
+    total = F.sum("n")
+    reads = counted.groupBy("path").agg((F.floor(total / 4) + (total % 4 >= 2).cast("bigint")).alias("n"))
+    offsets = borders.select(*SPLIT, "before")
+    if counted.count() > max_rows:
+        numbered = lines.withColumn("at", F.monotonically_increasing_id())
+        first = numbered.groupBy(*SPLIT).agg(F.min("at").alias("first_at")).join(offsets, list(SPLIT))
+        numbered = numbered.join(first, list(SPLIT)).withColumn("line_no", F.col("before") + F.col("at") - F.col("first_at"))
+        return _named(_records(numbered), pattern), reads
+    # splits that the first pass did not see would be lost without a word
+    known = F.coalesce("before", F.raise_error(F.lit("the splits changed between two passes over the files")).cast("bigint"))
+    whole = lines.join(F.broadcast(offsets), list(SPLIT), "left").select(
+        *SPLIT, known.alias("before"), decode(F.col("value")).alias("value")).mapInArrow(_inside_split, RECORDS)
+    return _named(whole.unionByName(_records(_border_lines(borders))), pattern), reads
+
+
+def _numbered(records: DataFrame, counts: DataFrame, pattern: str) -> DataFrame:
+    """Read numbers over all part files of a run and mate, in the order of their names. ``counts`` has a row per file,
+    which goes to the records if the files are few enough."""
+    srr, mate = _run_and_mate(pattern)
+    files = written(counts.select("path", srr, F.coalesce(mate, F.lit(1)).alias("mate"), "n"), "fastq-files")
     before = W.partitionBy("srr", "mate").orderBy("path").rowsBetween(W.unboundedPreceding, -1)
     offsets = files.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return records.join(offsets, "path").select(
+    small = files.count() <= BROADCAST_ROWS
+    return records.join(F.broadcast(offsets) if small else offsets, "path").select(
         "srr", "mate", (F.col("read_no") + F.col("before")).alias("read_no"), "h1", "seq", "h2", "qual")
 
 
-def read_plain(spark: SparkSession, paths, pattern: str = FILE_NAME) -> DataFrame:
-    """Plain-text FASTQ, split inside files."""
-    return _numbered(_plain_records(spark, paths, pattern))
+def _file_counts(records: DataFrame) -> DataFrame:
+    return records.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+
+
+def read_plain(spark: SparkSession, paths, pattern: str = FILE_NAME, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Plain-text FASTQ, split inside files. More splits than ``max_rows`` are put together by a shuffle."""
+    return _numbered(*_plain_records(spark, paths, pattern, max_rows), pattern)
 
 
 def read_fastq(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
@@ -244,7 +361,11 @@ def read_fastq(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> Da
     kinds = {row.gz for row in files.collect()}  # two rows at most
     if not kinds:
         raise ValueError(f"no FASTQ files under {folder}")
-    parts = [_zipped_records(spark, folder, pattern)] if True in kinds else []
+    parts = []
+    if True in kinds:
+        zipped = _zipped_records(spark, folder, pattern)
+        parts.append((zipped, _file_counts(zipped)))
     if False in kinds:
         parts.append(_plain_records(spark, folder, pattern))
-    return _numbered(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
+    records, counts = (reduce(DataFrame.unionByName, kind) for kind in zip(*parts))
+    return _numbered(records, counts, pattern)

@@ -1,5 +1,6 @@
 """Read predicates, pairs, layout, trimming, subset, FASTQ input."""
 import gzip
+import re
 import random
 
 import pytest
@@ -188,6 +189,49 @@ def test_plain_fastq_is_split_exactly(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("size", [23, 61, 350, 100_000])
+@pytest.mark.parametrize("max_rows", [10 ** 6, 0])
+def test_reads_across_split_borders(spark, tmp_path, size, max_rows):
+    """Splits shorter than a line and longer than a file; part files of one run, the last one cut off inside a read."""
+    texts = {"SRR7_1": fastq_text(9, "SRR7"), "SRR8": fastq_text(3, "SRR8") + "@SRR8.3\nACGT", "SRR9": fastq_text(2, "SRR9") + "\n",
+             "SRR10": "@only\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.fastq").write_text(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = fastq.read_plain(spark, str(tmp_path), max_rows=max_rows).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = []
+    for name, text in texts.items():
+        lines = text.splitlines()
+        for i in range(0, len(lines), 4):
+            record = [*lines[i:i + 4], None, None, None][:4]
+            if record[1] is not None or record[3] is not None:
+                want.append((name.split("_")[0], 1, i // 4, *record))
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want))
+
+
+def test_whole_reads_of_plain_files_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "SRR2.fastq").write_text(fastq_text(50, "SRR2"))
+    (tmp_path / "SRR3.fastq.gz").write_bytes(b"no gzip at all")  # other files are not opened
+    reads = fastq.read_plain(spark, str(tmp_path))
+    assert reads.count() == 50
+    plan = reads._jdf.queryExecution().sparkPlan().toString().splitlines()
+    depth = lambda line: len(re.match(r"[ :+\-*]*", line).group())
+    at = next(i for i, line in enumerate(plan) if "MapInArrow" in line)
+    above, level = [], depth(plan[at])
+    for line in reversed(plan[:at]):
+        if depth(line) < level:
+            above.append(line)
+            level = depth(line)
+    assert not any("Aggregate" in line or "SortMerge" in line or "Exchange" in line for line in above)
+    assert any("BroadcastHashJoin" in line for line in above)
+
+
 def test_literal_text_source(spark):
     fastq.register(spark)
     rows = spark.read.format("fastq").option("text", fastq_text(2, "x")).option("srr", "x").load().collect()
