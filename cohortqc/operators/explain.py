@@ -93,7 +93,8 @@ def _leaf_table(leaf: Leaf, own: np.ndarray, patterns: np.ndarray, shares: np.nd
 
 
 def background_patterns(background: DataFrame, forest: Forest, columns: list[str]) -> DataFrame:
-    """``(tree, leaf, pattern, n)`` over all background rows: counted per partition, then added up."""
+    """``(tree, leaf, pattern, n)`` over all background rows. A task sends one row per leaf, its counts of all patterns
+    packed into one value (at most 256 numbers); the packed counts of a leaf are added up."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         boxes = leaves(forest)
         tables = [[np.zeros(1 << len(leaf.features), dtype=np.int64) for leaf in tree] for tree in boxes]
@@ -103,12 +104,17 @@ def background_patterns(background: DataFrame, forest: Forest, columns: list[str
                 for leaf, c in zip(tree, counts):
                     c += np.bincount(leaf.pattern(x), minlength=len(c))
         for i, counts in enumerate(tables):
-            rows = [(i, j, int(p), int(c[p])) for j, c in enumerate(counts) for p in np.flatnonzero(c)]
-            yield pd.DataFrame(rows, columns=["tree", "leaf", "pattern", "n"])
+            rows = [(i, j, c.tobytes()) for j, c in enumerate(counts) if c.any()]
+            yield pd.DataFrame(rows, columns=["tree", "leaf", "packed"])
+
+    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(packed, np.int64) for packed in pdf["packed"])
+        found = np.flatnonzero(total)
+        return pd.DataFrame({"tree": key[0], "leaf": key[1], "pattern": found, "n": total[found]})
 
     numbers = background.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return (numbers.mapInPandas(count, "tree int, leaf int, pattern int, n bigint")
-            .groupBy("tree", "leaf", "pattern").agg(F.sum("n").alias("n")))
+    return (numbers.mapInPandas(count, "tree int, leaf int, packed binary").groupBy("tree", "leaf")
+            .applyInPandas(add, "tree int, leaf int, pattern int, n bigint"))
 
 
 class Explainer:

@@ -43,13 +43,15 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
         .alias("count"))
 
 
-def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """SAM text to the alignments schema; header lines are dropped and the run is the file stem."""
+def read_sam(spark: SparkSession, path: str, pattern: str = r"([^/.]+)[^/]*$") -> DataFrame:
+    """SAM text to the alignments schema; header lines are dropped. The run is what ``pattern`` finds in the path, by
+    default the file name up to the first dot."""
     f = F.split("value", "\t")
     nh = F.regexp_extract("value", r"\tNH:i:(\d+)", 1)
-    return (spark.read.text(path).where(~F.col("value").startswith("@"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return (lines.where(~F.col("value").startswith("@"))
             .select(
-                F.regexp_extract("_metadata.file_name", r"^([^.]+)", 1).alias("srr"),
+                F.regexp_extract("_metadata.file_path", pattern, 1).alias("srr"),
                 f[0].alias("qname"), f[1].cast("int").alias("flag"), f[2].alias("ref"), f[3].cast("bigint").alias("pos"),
                 f[4].cast("int").alias("mapq"), f[5].alias("cigar"), f[6].alias("rnext"),
                 f[7].cast("bigint").alias("pnext"), f[8].cast("bigint").alias("tlen"), f[9].alias("seq"),

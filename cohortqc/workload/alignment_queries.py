@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortqc import sinks
+from cohortqc import schemas, sinks
 from cohortqc.functions import cigar as C
 from cohortqc.operators import alignments as A
 from cohortqc.operators import coverage as V
@@ -11,6 +11,7 @@ from cohortqc.operators import features as X
 from cohortqc.operators import intervals as I
 from cohortqc.plans import jobs
 from cohortqc.session import shared_folder
+from cohortqc.sources import tables
 from cohortqc.workload.registry import ORACLES, query, rounded
 from cohortqc.workload.views import ctes, load
 
@@ -173,6 +174,53 @@ def duplication_rate_paired(spark, sf):
     return rounded(A.duplication_rate(load(spark, sf, "paired_v")))
 
 
+# ---- alignments and annotation as files -------------------------------------------------------------------------------
+
+@query("sam_scan", f"""WITH {ctes('alignments_v')} SELECT srr, qname, flag, ref, pos, mapq, cigar, rnext, pnext, tlen, seq, qual,
+    CASE WHEN mapq > 30 THEN 1 + flag // 16 END AS nh FROM alignments_v""")
+def sam_scan(spark, sf):
+    """SAM text with headers and optional tags, a file per run, read back."""
+    path = shared_folder(spark, "sam")
+    fields = [F.col(c).cast("string") for c in schemas.ALIGNMENTS.names[1:12]]
+    tag = F.when(F.col("mapq") > 30, F.concat(F.lit("NH:i:"), (1 + F.floor(F.col("flag") / 16)).cast("string")))
+    rows = reads(spark, sf).select("srr", F.lit(1).alias("place"), F.concat_ws("\t", *fields, F.lit("AS:i:0"), tag).alias("value"))
+    heads = rows.select("srr").distinct().select("srr", F.lit(0).alias("place"), F.explode(F.array(
+        F.lit("@HD\tVN:1.6"), F.lit("@SQ\tSN:chr1\tLN:1000000"))).alias("value"))
+    (rows.unionByName(heads).repartition("srr").sortWithinPartitions("srr", "place").select("srr", "value")
+     .write.partitionBy("srr").text(path))
+    return tables.read_sam(spark, path, r"/srr=([^/]+)/")
+
+
+@query("gtf_scan", f"""WITH {ctes('exons_v')} SELECT gene_id, tx_id, ref, start, "end", strand FROM exons_v""")
+def gtf_scan(spark, sf):
+    """A GTF with comments and with lines of other kinds than exons."""
+    path = shared_folder(spark, "gtf")
+
+    def line(kind: str):
+        name = F.concat(F.lit('gene_id "'), "gene_id", F.lit('"; transcript_id "'), "tx_id", F.lit('"; level 2;'))
+        return F.concat_ws("\t", "ref", F.lit("own"), F.lit(kind), F.col("start").cast("string"), F.col("end").cast("string"),
+                           F.lit("."), "strand", F.lit("."), name)
+
+    rows = load(spark, sf, "exons_v").select(F.explode(F.array(F.lit("#!made of parts"), line("exon"), line("CDS"))).alias("value"))
+    rows.write.text(path)
+    return tables.read_gtf(spark, path)
+
+
+@query("refflat_scan", f"""WITH {ctes('transcripts_v')} SELECT gene, tx, ref, strand, tx_start, tx_end, cds_start, cds_end,
+    array_to_string(exon_starts, ',') AS exon_starts, array_to_string(exon_ends, ',') AS exon_ends FROM transcripts_v""")
+def refflat_scan(spark, sf):
+    """refFlat text, whose starts count from 0 and whose lists end in a comma."""
+    path = shared_folder(spark, "refflat")
+    ends = lambda c, shift: F.concat(F.concat_ws(",", F.transform(c, lambda x: (x - shift).cast("string"))), F.lit(","))
+    text = lambda c, shift=0: (F.col(c) - shift).cast("string")
+    load(spark, sf, "transcripts_v").select(F.concat_ws(
+        "\t", "gene", "tx", "ref", "strand", text("tx_start", 1), text("tx_end"), text("cds_start", 1), text("cds_end"),
+        F.size("exon_starts").cast("string"), ends("exon_starts", 1), ends("exon_ends", 0)).alias("value")).write.text(path)
+    return tables.read_refflat(spark, path).selectExpr(
+        "gene", "tx", "ref", "strand", "tx_start", "tx_end", "cds_start", "cds_end", "concat_ws(',', transform(exon_starts, x -> string(x))) AS exon_starts",
+        "concat_ws(',', transform(exon_ends, x -> string(x))) AS exon_ends")
+
+
 @query("repeated_names", f"""WITH {ctes('alignments_v')} SELECT srr, qname, false AS "second", count(*) AS n
     FROM alignments_v GROUP BY srr, qname HAVING count(*) > 1""")
 def repeated_names(spark, sf):
@@ -435,7 +483,12 @@ def gene_counts_mixed(spark, sf):
     return A.gene_counts_by_mode(A.mapq_filter(rows), load(spark, sf, "exons_v"), modes)
 
 
-@query("alignment_features", f"""WITH {_MIX}, {ctes('exons_v')}, {_mixed_genes('true')},
+_CALLED = """CASE WHEN (SELECT correct_strand_share FROM agreed x WHERE x.srr = u.srr) >= 0.75 THEN u.rev = (e.strand = '-')
+      WHEN (SELECT 1 - correct_strand_share FROM agreed x WHERE x.srr = u.srr) >= 0.75 THEN u.rev <> (e.strand = '-')
+      ELSE true END"""
+
+
+@query("alignment_features", f"""WITH {_MIX}, {ctes('exons_v')}, agreed AS {_over_mix('strand_agreement')}, {_mixed_genes(_CALLED)},
     ends AS (SELECT srr, qname, flag & 9 = 1 AS mated, struct_pack(ref := ref, p := {_FIVE_PRIME}, r := flag & 16) AS e
              FROM good JOIN spans USING (cigar)),
     templates AS (SELECT srr, CAST([e] AS VARCHAR) AS k, false AS is_pair FROM ends WHERE NOT mated
@@ -456,7 +509,7 @@ def gene_counts_mixed(spark, sf):
       coalesce(j.number_junction_reads, 0) AS number_junction_reads, coalesce(j.number_junctions_on, 0) AS number_junctions_on
     FROM ({_stage_sql('paired_v').replace('FROM paired_v)', 'FROM mixed)').replace(ctes('paired_v'), _MIX)}) h
     LEFT JOIN {_over_mix('aln_stats')} a ON a.srr = h.srr LEFT JOIN dups d ON d.srr = h.srr
-    LEFT JOIN {_over_mix('strand_agreement')} s ON s.srr = h.srr LEFT JOIN {_over_mix('base_classes')} b ON b.srr = h.srr
+    LEFT JOIN agreed s ON s.srr = h.srr LEFT JOIN {_over_mix('base_classes')} b ON b.srr = h.srr
     LEFT JOIN {_over_mix('coverage_evenness')} c ON c.srr = h.srr LEFT JOIN genic g ON g.srr = h.srr
     LEFT JOIN {_over_mix('junction_summary')} j ON j.srr = h.srr""")
 def alignment_features(spark, sf):

@@ -18,15 +18,24 @@ STAGE_VIEWS = ("layout_v", "fastq_screen_v", "atropos_v", "hisat2_v", "aln_stats
                "markduplicates_v", "count_summary_v")
 
 
-def stages(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    out = {name[:-2]: load(spark, sf, name) for name in STAGE_VIEWS}
+# the stages that lack runs in the views with gaps
+GAPS = ("atropos", "hisat2", "aln_stats", "rnaseqmetrics", "markduplicates", "count_summary", "genebody_coverage")
+
+
+def _view(stage: str, gaps: bool) -> str:
+    name = "coverage" if stage == "genebody_coverage" else stage
+    return f"{name}_gaps_v" if gaps and stage in GAPS else f"{name}_v"
+
+
+def stages(spark: SparkSession, sf: str, gaps: bool = False) -> dict[str, DataFrame]:
+    names = [*[name[:-2] for name in STAGE_VIEWS], "genebody_coverage"]
+    out = {name: load(spark, sf, _view(name, gaps)) for name in names}
     out["aln_stats"] = out["aln_stats"].withColumnRenamed("percent_reverse", "Percent Reverse")
-    out["genebody_coverage"] = load(spark, sf, "coverage_v")
     return out
 
 
-def workflow(spark: SparkSession, sf: str) -> DataFrame:
-    return X.workflow_table(stages(spark, sf), load(spark, sf, "done_v"), load(spark, sf, "manifest_v"))
+def workflow(spark: SparkSession, sf: str, gaps: bool = False) -> DataFrame:
+    return X.workflow_table(stages(spark, sf, gaps), load(spark, sf, "done_v"), load(spark, sf, "manifest_v"))
 
 
 _TERTILES = """tertiles AS (
@@ -35,7 +44,11 @@ _TERTILES = """tertiles AS (
            coalesce(list_sum(coverage[69:101]), 0) AS gene_body_three_prime
     FROM coverage_v)"""
 
-_WORKFLOW = ctes(*STAGE_VIEWS, "coverage_v", "manifest_v", "done_v") + ", " + _TERTILES + """, workflow AS (
+
+def _workflow_sql(gaps: bool = False) -> str:
+    v = lambda stage: _view(stage, gaps)
+    views = ctes(*[v(name[:-2]) for name in STAGE_VIEWS], v("genebody_coverage"), "manifest_v", "done_v")
+    return views + ", " + _TERTILES.replace("coverage_v", v("genebody_coverage")) + f""", workflow AS (
     SELECT d.srr, m.srx, f.pct_reads_mapped AS percent_rrna_reads, t.too_short AS number_reads_too_short,
            h.num_reads AS number_reads, h.num_multimappers AS number_multimapping_reads,
            h.per_alignment AS percent_alignment, a.reads_MQ0, a.average_quality, a.percent_reverse,
@@ -45,15 +58,18 @@ _WORKFLOW = ctes(*STAGE_VIEWS, "coverage_v", "manifest_v", "done_v") + ", " + _T
            coalesce(g.gene_body_middle, 0) AS gene_body_middle,
            coalesce(g.gene_body_three_prime, 0) AS gene_body_three_prime
     FROM done_v d LEFT JOIN fastq_screen_v f ON d.srr = f.srr AND f.reference = 'rRNA'
-    LEFT JOIN atropos_v t ON d.srr = t.srr LEFT JOIN hisat2_v h ON d.srr = h.srr
-    LEFT JOIN aln_stats_v a ON d.srr = a.srr LEFT JOIN rnaseqmetrics_v r ON d.srr = r.srr
-    LEFT JOIN markduplicates_v u ON d.srr = u.srr LEFT JOIN count_summary_v c ON d.srr = c.srr
+    LEFT JOIN {v("atropos")} t ON d.srr = t.srr LEFT JOIN {v("hisat2")} h ON d.srr = h.srr
+    LEFT JOIN {v("aln_stats")} a ON d.srr = a.srr LEFT JOIN {v("rnaseqmetrics")} r ON d.srr = r.srr
+    LEFT JOIN {v("markduplicates")} u ON d.srr = u.srr LEFT JOIN {v("count_summary")} c ON d.srr = c.srr
     LEFT JOIN tertiles g ON d.srr = g.srr LEFT JOIN manifest_v m ON d.srr = m.srr)"""
 
+
+_WORKFLOW = _workflow_sql()
+
 _SUMS = [schemas.FEATURE_RENAME.get(n, n) for n, how in schemas.FEATURE_AGG.items() if how == "sum"]
 
 
-def _feature_sql(group: bool) -> str:
+def _feature_sql(group: bool, gaps: bool = False) -> str:
     def column(name: str) -> str:
         if not group:
             return f"round(CAST({name} AS DOUBLE), 6) AS {name}"
@@ -63,8 +79,8 @@ def _feature_sql(group: bool) -> str:
 
     columns = ", ".join(column(n) for n in schemas.FEATURES)
     if group:
-        return f"WITH {_WORKFLOW} SELECT srx, {columns} FROM workflow WHERE srx IS NOT NULL GROUP BY srx"
-    return f"WITH {_WORKFLOW} SELECT srr, {columns} FROM workflow"
+        return f"WITH {_workflow_sql(gaps)} SELECT srx, {columns} FROM workflow WHERE srx IS NOT NULL GROUP BY srx"
+    return f"WITH {_workflow_sql(gaps)} SELECT srr, {columns} FROM workflow"
 
 
 @query("experiment_features", _feature_sql(group=True))
@@ -100,21 +116,27 @@ def result_csv(spark, sf):
     return back.select(back.columns[0], back.columns[-1])
 
 
-@query("complete_features", _feature_sql(group=False) + " WHERE " + " AND ".join(
+@query("experiment_features_gaps", _feature_sql(group=True, gaps=True))
+def experiment_features_gaps(spark, sf):
+    """Stages that lack runs: what is missing adds nothing to a sum and does not count in a mean."""
+    return rounded(X.experiment_features(workflow(spark, sf, gaps=True)))
+
+
+@query("complete_features", _feature_sql(group=False, gaps=True) + " WHERE " + " AND ".join(
     f"{n} IS NOT NULL" for n in schemas.FEATURES))
 def complete_features(spark, sf):
-    return rounded(X.drop_incomplete(X.run_features(workflow(spark, sf))))
+    return rounded(X.drop_incomplete(X.run_features(workflow(spark, sf, gaps=True))))
 
 
-@query("stage_alignment", f"""WITH {ctes('layout_v', 'atropos_v', 'hisat2_v', 'markduplicates_v')}
+@query("stage_alignment", f"""WITH {ctes('layout_v', 'atropos_gaps_v', 'hisat2_gaps_v', 'markduplicates_gaps_v')}
     SELECT coalesce(l.srr, t.srr, h.srr, u.srr) AS srr, l.layout, t.too_short, round(h.num_reads, 6) AS num_reads,
            round(u.percent_duplication, 6) AS percent_duplication
-    FROM layout_v l FULL JOIN atropos_v t ON l.srr = t.srr FULL JOIN hisat2_v h ON coalesce(l.srr, t.srr) = h.srr
-    FULL JOIN markduplicates_v u ON coalesce(l.srr, t.srr, h.srr) = u.srr""")
+    FROM layout_v l FULL JOIN atropos_gaps_v t ON l.srr = t.srr FULL JOIN hisat2_gaps_v h ON coalesce(l.srr, t.srr) = h.srr
+    FULL JOIN markduplicates_gaps_v u ON coalesce(l.srr, t.srr, h.srr) = u.srr""")
 def stage_alignment(spark, sf):
     wanted = {"layout": "layout", "atropos": "too_short", "hisat2": "num_reads",
               "markduplicates": "percent_duplication"}
-    return rounded(X.align({s: load(spark, sf, f"{s}_v").select("srr", c) for s, c in wanted.items()}))
+    return rounded(X.align({s: load(spark, sf, _view(s, gaps=True)).select("srr", c) for s, c in wanted.items()}))
 
 
 @query("gene_body_tertiles", f"""WITH {ctes('coverage_v')}, {_TERTILES}
@@ -159,10 +181,10 @@ def manifest_runs(spark, sf):
     return S.pending_runs(load(spark, sf, "manifest_v"), load(spark, sf, "done_v"))
 
 
-@query("stage_resume", f"""WITH {ctes('manifest_v', 'atropos_v')}
-    SELECT srx, srr FROM manifest_v WHERE srr NOT IN (SELECT srr FROM atropos_v)""")
+@query("stage_resume", f"""WITH {ctes('manifest_v', 'atropos_gaps_v')}
+    SELECT srx, srr FROM manifest_v WHERE srr NOT IN (SELECT srr FROM atropos_gaps_v)""")
 def stage_resume(spark, sf):
-    return S.resume(load(spark, sf, "manifest_v"), load(spark, sf, "atropos_v"))
+    return S.resume(load(spark, sf, "manifest_v"), load(spark, sf, "atropos_gaps_v"))
 
 
 _STORE = "old AS (SELECT * FROM atropos_v WHERE total_processed > 11000)"
@@ -230,8 +252,7 @@ def stage_stream(spark, sf):
 
 # ---- whole jobs through files: stage folders, stores, the feature matrix ---------------------------------------------
 
-def _stage_folders(spark, sf, name: str) -> str:
-    root = shared_folder(spark, name)
+def _stage_folders(spark, sf, root: str) -> str:
     for stage, rows in stages(spark, sf).items():
         typed = empty(spark, schemas.STAGES[stage]).unionByName(rows, allowMissingColumns=True)
         sinks.write_stage(typed, f"{root}/{stage}", stage)
@@ -242,7 +263,7 @@ def _stage_folders(spark, sf, name: str) -> str:
 @query("features_job", _feature_sql(group=True))
 def features_job(spark, sf):
     """Stores and matrix as the batch job builds them."""
-    root = _stage_folders(spark, sf, "features-job")
+    root = _stage_folders(spark, sf, shared_folder(spark, "features-job"))
     done = tables.read_done(spark, f"{root}/done")
     jobs.build_feature_store(spark, done, root)
     return rounded(jobs.build_features(spark, load(spark, sf, "manifest_v"), done, root))
@@ -251,7 +272,18 @@ def features_job(spark, sf):
 @query("features_stream_job", _feature_sql(group=False))
 def features_stream_job(spark, sf):
     """The same from stores that ten streams fill, by run."""
-    root = _stage_folders(spark, sf, "features-stream")
+    root = _stage_folders(spark, sf, shared_folder(spark, "features-stream"))
     stream_all(spark, root, f"{root}/done", f"{root}/checkpoints")
     done = tables.read_done(spark, f"{root}/done")
     return rounded(jobs.build_features(spark, load(spark, sf, "manifest_v"), done, root, by_experiment=False))
+
+
+@query("run_all_job", f"SELECT *, true AS labelled FROM ({_feature_sql(group=True)}) t")
+def run_all_job(spark, sf):
+    """Stage folders to the labelled result file, which is read back; the labels themselves are checked elsewhere."""
+    root = shared_folder(spark, "run-all")
+    done = tables.read_done(spark, f"{_stage_folders(spark, sf, f'{root}/Features')}/done")
+    jobs.run_all(spark, load(spark, sf, "manifest_v"), done, root, nulls="median")
+    result = spark.read.option("header", True).csv(f"{root}/result.csv")
+    return rounded(result.select("srx", *[F.col(c).cast("double").alias(c) for c in schemas.FEATURES],
+                                 F.col("labels").isin("Inliers", "Outlier").alias("labelled")))

@@ -199,7 +199,6 @@ def projection_fixed(spark, sf):
 # SQL grows the same forest level by level from the same digests: a sample per tree, then per level the spread of every
 # node, its split, and the rows of the next level. Nodes are numbered as in a heap.
 
-_MATRIX = _feature_sql(group=False)
 _FEATURES = schemas.FEATURES
 _DEPTH = round(math.log2(M.SUBSAMPLE))
 
@@ -216,11 +215,12 @@ def _C(n: str) -> str:
 
 @cache
 def _forest_sql(nulls: str) -> str:
-    """CTEs: ``f`` the matrix, ``nodes`` the forest, ``marked`` the rows with path length, score, split and mask."""
+    """CTEs: ``f`` the matrix, ``nodes`` the forest, ``marked`` the rows with path length, score, split and mask. Medians
+    are filled into the matrix with gaps."""
     filled = [f"coalesce({c}, (SELECT median({c}) FROM matrix)) AS {c}" if nulls == "median" else c for c in _FEATURES]
     whole = "" if nulls == "median" else " WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _FEATURES)
     place = f"'{M.SEED}|' || tree || '|' || node"
-    out = [f"""matrix AS MATERIALIZED ({_MATRIX}),
+    out = [f"""matrix AS MATERIALIZED ({_feature_sql(group=False, gaps=nulls == 'median')}),
     f AS MATERIALIZED (SELECT *, [{', '.join(_FEATURES)}] AS x,
         CASE WHEN substr(md5(srr || '{M.SEED}'), 1, 2) < 'c0' THEN 'train' ELSE 'test' END AS split
       FROM (SELECT srr, {', '.join(filled)} FROM matrix{whole}) m),
@@ -312,18 +312,18 @@ def _projection_sql() -> str:
     return ",".join(out)
 
 
-def _matrix(spark, sf):
+def _matrix(spark, sf, gaps: bool = False):
     """Run features to six digits, so that two engines grow the forest on the same numbers; written once: fitting and
     scoring read them several times."""
     path = shared_folder(spark, "features")
-    rounded(Q.X.run_features(Q.workflow(spark, sf))).write.parquet(path)
+    rounded(Q.X.run_features(Q.workflow(spark, sf, gaps))).write.parquet(path)
     return spark.read.parquet(path)
 
 
 @query("forest_labels", f"""{_forest_sql('median')} SELECT srr, {', '.join(f'round({c}, 6) AS {c}' for c in _FEATURES)},
     CASE WHEN is_outlier THEN '{M.OUTLIER_LABEL}' ELSE '{M.INLIER_LABEL}' END AS labels FROM marked""")
 def forest_labels(spark, sf):
-    return rounded(jobs.detect(_matrix(spark, sf), "srr", nulls="median").result)
+    return rounded(jobs.detect(_matrix(spark, sf, gaps=True), "srr", nulls="median").result)
 
 
 @query("forest_nodes", f"""{_forest_sql('median')} SELECT CAST(tree AS INTEGER) AS tree_id,
@@ -334,7 +334,7 @@ def forest_labels(spark, sf):
 def forest_nodes(spark, sf):
     """The fitted forest itself."""
     columns = list(_FEATURES)
-    rows = M.split_rows(M.handle_nulls(_matrix(spark, sf), columns, "median"), "srr")
+    rows = M.split_rows(M.handle_nulls(_matrix(spark, sf, gaps=True), columns, "median"), "srr")
     return rounded(M.fit(rows.where("split = 'train'"), "srr", columns))
 
 

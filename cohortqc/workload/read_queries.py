@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cohortqc import sinks
 from cohortqc.functions import reads as R
 from cohortqc.operators import reads as O
+from cohortqc.plans import jobs
 from cohortqc.session import shared_folder
 from cohortqc.sources import fastq
 from cohortqc.workload.registry import query, rounded
@@ -225,8 +226,46 @@ def fastq_plain_round_trip(spark, sf):
     return fastq.read_fastq(spark, path, SINK_FILE)
 
 
-@query("file_roles", f"""WITH {_VALID} SELECT srr, true AS paired FROM valid GROUP BY srr""")
+# runs with names of even length come as pairs of files, the others as single ones; names tell the mate only in the former
+ROLE_FILE = r"srr=([^/]+)(?:/mate=([12]))?/part-[^/]*\.txt$"
+_SIDES = "length(h1) + length(seq) + length(h2) + length(qual) + 4"
+
+
+@query("file_roles", f"""WITH {_VALID}, sized AS (SELECT srr, length(srr) % 2 = 0 AS pe, read_no % 2 AS side, {_SIDES} AS size FROM valid)
+    SELECT srr, pe AS paired, sum(size) FILTER (NOT pe OR side = 0)::BIGINT AS size1, sum(size) FILTER (pe AND side = 1)::BIGINT AS size2
+    FROM sized GROUP BY srr, pe""")
 def file_roles(spark, sf):
     path = shared_folder(spark, "fastq")
-    sinks.write_clean_fastq(O.valid_reads(single(spark, sf)), path)
-    return fastq.file_roles(fastq.list_files(spark, path, SINK_FILE)).select("srr", "paired")
+    rows = O.valid_reads(single(spark, sf)).withColumn("mate", (F.col("read_no") % 2 + 1).cast("int"))
+    pairs = F.length("srr") % 2 == 0
+    sinks.write_clean_fastq(rows.where(pairs), path, compression="none")
+    sinks.fastq_text(rows.where(~pairs)).select("srr", "value").write.mode("append").partitionBy("srr").text(path)
+    return fastq.file_roles(fastq.list_files(spark, path, ROLE_FILE)).select("srr", "paired", "size1", "size2")
+
+
+# ---- from a FASTQ folder to libraries and clean reads -----------------------------------------------------------------
+
+_RAW = _LIBRARIES.replace(_decoded("mates_v", "r"), f"""{_decoded("mates_v", "r0")},
+    r AS (SELECT * REPLACE (coalesce(qual, '') AS qual) FROM r0),
+    sizes AS (SELECT srr, max(mate) = 2 AS paired, sum({_SIDES}) FILTER (mate = 1) AS size1, sum({_SIDES}) FILTER (mate = 2) AS size2
+              FROM r GROUP BY srr)""").replace("JOIN mate_files_v f", "JOIN sizes f")
+
+
+@query("qc_reads_job", f"""WITH {_RAW} SELECT srr, layout, libsize,
+    round(CASE layout WHEN 'PE' THEN pa WHEN 'keep_R2' THEN sb ELSE sa END / nullif(CAST(libsize AS DOUBLE), 0), 6) AS "avgLen_R1",
+    status, CASE WHEN status = 'ok' THEN libsize * CASE layout WHEN 'PE' THEN 2 ELSE 1 END ELSE 0 END::BIGINT AS n_clean
+    FROM accepted UNION ALL SELECT 'SRRmissing', NULL, NULL, NULL, 'download_bad', 0""")
+def qc_reads_job(spark, sf):
+    """The job over a folder of single and paired files; a run of the manifest has none."""
+    root = shared_folder(spark, "qc-reads")
+    raw = mates(spark, sf).na.fill("", ["qual"])
+    pairs = raw.where("mate = 2").select("srr").distinct()
+    sinks.write_clean_fastq(raw.join(pairs, "srr", "left_semi"), f"{root}/fastq", compression="none")
+    (sinks.fastq_text(raw.join(pairs, "srr", "left_anti").repartition("srr").sortWithinPartitions("srr", "read_no"))
+     .select("srr", "value").write.mode("append").partitionBy("srr").text(f"{root}/fastq"))
+    manifest = raw.select("srr").distinct().unionByName(spark.range(1).select(F.lit("SRRmissing").alias("srr"))).select(
+        F.lit("SRX").alias("srx"), "srr")
+    libraries = jobs.qc_reads(spark, f"{root}/fastq", manifest, f"{root}/out", MIN_LIBRARY, EMPTY, ROLE_FILE)
+    clean = spark.read.parquet(f"{root}/out/reads").groupBy("srr").agg(F.count(F.lit(1)).alias("n_clean"))
+    return rounded(libraries.join(clean, "srr", "left").select(
+        "srr", "layout", "libsize", "avgLen_R1", "status", F.coalesce("n_clean", F.lit(0)).cast("bigint").alias("n_clean")))

@@ -43,6 +43,13 @@ _TO_QUALITY = "!#%+-/258;>ADGIJ4679BCEFHK"
 
 _RUN = "'SRR' || CAST(o_custkey AS STRING)"
 
+# which runs of a stage are there in its view with gaps
+_GAPS = {
+    "atropos": "min(o_orderpriority) = '1-URGENT'", "hisat2": "max(o_totalprice) > 300000",
+    "aln_stats": "min(o_totalprice) < 100000", "rnaseqmetrics": "max(o_orderpriority) = '5-LOW'",
+    "markduplicates": "max(o_totalprice) > 200000", "count_summary": "min(o_totalprice) < 200000",
+}
+
 VIEWS: dict[str, str] = {
     # ---- cohort: a customer is a run, a nation and market segment an experiment ----
     "manifest_v": """
@@ -59,7 +66,7 @@ VIEWS: dict[str, str] = {
         SELECT srr, count(*) AS n, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS nf,
                count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS no, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS np
         FROM orders_v GROUP BY srr""",
-    # ---- stage tables: aggregates of a run's orders; runs without the kind of order a stage asks for have no row ----
+    # ---- stage tables: aggregates of a run's orders ----
     "layout_v": """
         SELECT srr, CASE WHEN sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) * 2 > count(*) THEN 'SE' ELSE 'PE'
                END AS layout, count(*) * 100000 AS libsize, CAST(100 AS DOUBLE) AS avgLen_R1,
@@ -72,18 +79,18 @@ VIEWS: dict[str, str] = {
     "atropos_v": """
         SELECT srr, count(*) * 1100 AS total_processed, count(*) * 1000 AS total_written,
                CAST(sum(CASE WHEN o_orderpriority = '5-LOW' THEN 7 ELSE 1 END) AS BIGINT) AS too_short
-        FROM orders_v GROUP BY srr HAVING min(o_orderpriority) = '1-URGENT'""",
+        FROM orders_v GROUP BY srr""",
     "hisat2_v": """
         SELECT srr, CAST(count(*) * 1000 AS DOUBLE) AS num_reads,
                CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 0 END) AS DOUBLE) AS num_multimappers,
                CAST(100 AS DOUBLE) * sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) / count(*) AS per_alignment
-        FROM orders_v GROUP BY srr HAVING max(o_totalprice) > 300000""",
+        FROM orders_v GROUP BY srr""",
     "aln_stats_v": """
         SELECT srr, CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 0 END) AS BIGINT) AS reads_MQ0,
                CAST(20 AS DOUBLE) + CAST(count(*) AS DOUBLE) / 2 AS average_quality,
                CAST(100 AS DOUBLE) * sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) / count(*)
                    AS percent_reverse
-        FROM orders_v GROUP BY srr HAVING min(o_totalprice) < 100000""",
+        FROM orders_v GROUP BY srr""",
     "rnaseqmetrics_v": """
         SELECT srr,
                CAST(100 AS DOUBLE) * sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) / count(*)
@@ -95,26 +102,33 @@ VIEWS: dict[str, str] = {
                CAST(100 AS DOUBLE) * sum(CASE WHEN o_orderpriority < '3' THEN 1 ELSE 0 END) / count(*)
                    AS percent_mrna_bases,
                max(o_totalprice) / min(o_totalprice) AS median_cv_coverage
-        FROM orders_v GROUP BY srr HAVING max(o_orderpriority) = '5-LOW'""",
+        FROM orders_v GROUP BY srr""",
     "markduplicates_v": """
         SELECT srr, CAST(100 AS DOUBLE) * (count(*) - count(DISTINCT o_orderpriority)) / count(*) AS percent_duplication
-        FROM orders_v GROUP BY srr HAVING max(o_totalprice) > 200000""",
+        FROM orders_v GROUP BY srr""",
     "count_summary_v": """
         SELECT srr, CAST(sum(floor(o_totalprice)) AS BIGINT) AS number_genic_reads,
                CAST(count(DISTINCT o_orderpriority) AS DOUBLE) * 20 AS percent_genes_on,
                CAST(sum(floor(o_totalprice / 10)) AS BIGINT) AS number_junction_reads,
                count(*) * 3 AS number_junctions_on
-        FROM orders_v GROUP BY srr HAVING min(o_totalprice) < 200000""",
+        FROM orders_v GROUP BY srr""",
     "coverage_v": """
-        SELECT 'SRR' || CAST(c_custkey AS STRING) AS srr, {coverage_array} AS coverage
-        FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
+        SELECT 'SRR' || CAST(c_custkey AS STRING) AS srr, {coverage_array} AS coverage FROM customer""",
+    # ---- the same with gaps, for the queries that bring stages together: a stage lacks runs of some kind ----
+    **{f"{stage}_gaps_v": f"""
+        SELECT s.* FROM {stage}_v s JOIN (SELECT srr FROM orders_v GROUP BY srr HAVING {having}) k ON s.srr = k.srr"""
+       for stage, having in _GAPS.items()},
+    "coverage_gaps_v": """
+        SELECT s.* FROM coverage_v s JOIN customer c ON s.srr = 'SRR' || CAST(c_custkey AS STRING)
+        WHERE c_mktsegment <> 'MACHINERY'""",
     # ---- reads: every line of every document is a read, a source is a run ----
     "reads_v": f"""
         SELECT 'SRR_' || source AS srr, 1 AS mate, doc_id * 100000 + line_no AS read_no,
                '@R.' || CAST(doc_id AS STRING) || '.' || CAST(line_no AS STRING) || ' length='
-                   || CAST(length(line) AS STRING) AS h1,
+                   || CAST(length(line) AS STRING) || CASE WHEN line_no % 7 = 4 THEN chr(9) || 'x' ELSE '' END AS h1,
                translate(lower(line), '{_LETTERS} .,-()', '{_TO_BASES}') AS seq, '+' AS h2,
                CASE WHEN line_no > 0 AND right(line, 1) <> '.' THEN NULL
+                    WHEN (doc_id + line_no) % 11 = 3 THEN translate(lower(substr(line, 3)), '{_LETTERS} .,', '{_TO_QUALITY}')
                     ELSE translate(lower(line), '{_LETTERS} .,', '{_TO_QUALITY}') END AS qual
         FROM {{document_lines}} lines""",
     # ---- mate pairs: a conversation is a run, what the assistant says is mate 2, the rest mate 1 ----
@@ -123,7 +137,8 @@ VIEWS: dict[str, str] = {
                '@' || srr || '.' || CAST(read_no AS STRING) || '/' || CAST(mate AS STRING)
                    || CASE WHEN n_chars > 1200 THEN ' long' ELSE ' norm' END
                    || ' length=' || CAST(n_chars AS STRING) AS h1,
-               translate(lower(text), '{_LETTERS} .,-()' || chr(10), '{_TO_BASES}') AS seq, '+' AS h2,
+               CASE WHEN srr LIKE '%7' AND read_no = 0 THEN 'T0120.31' || CAST(n_chars AS STRING)
+                    ELSE translate(lower(text), '{_LETTERS} .,-()' || chr(10), '{_TO_BASES}') END AS seq, '+' AS h2,
                CASE WHEN right(text, 1) <> '.' THEN NULL
                     ELSE translate(lower(text), '{_LETTERS} .,' || chr(10), '{_TO_QUALITY}') END AS qual
         FROM (SELECT 'SRR' || CAST(conv_id AS STRING) AS srr, CASE WHEN role = 'assistant' THEN 2 ELSE 1 END AS mate,
