@@ -30,6 +30,8 @@ PIECES_PER_GROUP = 8192
 # ranges of slots whose pieces are counted, for each group
 STEPS_PER_GROUP = 8
 CACHE_ENTRIES, CACHE_CHARS, TEXTS_AT_ONCE = 800_000, 48, 64
+# unknown chunks that go to the tokenizer as one text
+CHUNKS_AT_ONCE = 4096
 
 # White space of the byte-level pre-tokenizer's pattern.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -37,6 +39,19 @@ BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 CHUNKS = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 
 
+# What keeps a text from the quick cut: white space other than blanks and line breaks, the sign it uses itself, and
+# white space beside white space.
+SLOW = [c for c in map(chr, range(0x3001)) if re.match(f"[\0{BLANK}]", c) and c not in " \n"] + ["  ", " \n", "\n ", "\n\n"]
+
+
+def chunks(text: str) -> list[str]:
+    """The text in chunks that no token spans. Where white space is single blanks and line breaks, each blank opens a
+    chunk and each line break is one: the pattern would find the same."""
+    if any(c in text for c in SLOW):
+        return CHUNKS.findall(text)
+    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+
+
 class ByteBpe:
     """Token ids by the tokenizers library. Texts repeat their words, so the ids of short chunks are remembered, up to
     a bound."""
@@ -47,19 +62,47 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        # a byte-level token has one sign for every byte it stands for
+        self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.sizes[list(vocab.values())] = [len(token) for token in vocab]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of chunks without inner white space, from one text: none of its tokens spans two of them, as each starts
+        with its blank or follows a line break. Tokens are told apart by the bytes they stand for; should one span a
+        border after all, every chunk is encoded by itself."""
+        apart = [w if w[0] == " " else "\n" + w for w in words]
+        borders = np.cumsum(list(map(len, map(str.encode, apart))))
+        [raw] = self._encode(["".join(apart)])
+        upto = np.cumsum(self.sizes[np.frombuffer(raw, np.uint32)])
+        ends = np.searchsorted(upto, borders) + 1
+        if ends[-1] != len(upto) or not np.array_equal(upto[ends - 1], borders):
+            return self._encode(words)
+        # the line break is a token of its own
+        starts = np.concatenate([[0], ends[:-1]]) + np.fromiter((w[0] != " " for w in words), bool, len(words))
+        return [raw[4 * s:4 * e] for s, e in zip(starts.tolist(), ends.tolist())]
+
+    def _learn(self, new: list[str]) -> None:
+        others = [c for c in new if c.isspace()]
+        words = [c for c in new if not c.isspace()] if others else new
+        for low in range(0, len(words), CHUNKS_AT_ONCE):
+            part = words[low:low + CHUNKS_AT_ONCE]
+            self.known.update(zip(part, self._encode_words(part)))
+        self.known.update(zip(others, self._encode(others)))
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         odd = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        cut = [[] if i in odd else CHUNKS.findall(t) for i, t in enumerate(texts)]
+        cut = [[] if i in odd else chunks(t) for i, t in enumerate(texts)]
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
+        self.known[""] = b""
         new = list(set(chain.from_iterable(cut)).difference(self.known))
-        self.known.update(zip(new, self._encode(new)))
+        self._learn(new)
         found = [b"".join(map(self.known.__getitem__, chunks)) for chunks in cut]
         for c in new:
             if len(c) > CACHE_CHARS:
