@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortqc.llm.common import SPACE_RUN, SPACES, whole, written
+from cohortqc.session import BROADCAST_ROWS
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -233,10 +234,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "distance")
 
 
+def _row_tag(text: Column, lang: Column, source: Column) -> Column:
+    """A number for what a verdict depends on."""
+    return F.xxhash64(text, text.isNull(), lang, lang.isNull(), source, source.isNull())
+
+
 def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, all their columns unchanged. The counts are computed a second time beside the
-    texts, which costs less than moving the texts to meet their verdicts."""
-    measured = written(spark, _measured(docs, [F.col("doc_id")]), "quality-counts")
-    factors = written(spark, fit(spark, measured), "quality-factors")
-    whole_rows = _measured(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_doc")])
-    return judged(whole_rows, factors).where("kept").select("q_doc.*")
+    """The rows of ``docs`` that pass, all their columns unchanged. The counts are computed and written once; verdicts
+    go back to the texts by id and a hash of text, language and source, so rows that agree in these share one."""
+    tag = _row_tag(F.col("text"), F.col("lang"), F.col("source")).alias("q_tag")
+    measured = written(spark, _measured(docs, [F.col("doc_id"), tag]), "quality-counts")
+    verdicts = judged(measured, fit(spark, measured)).where(~F.col("kept"))
+    bad = written(spark, verdicts.select(F.col("doc_id").alias("b_id"), F.col("q_tag").alias("b_tag")).distinct(), "quality-bad")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_doc")).withColumn(
+        "q_tag", _row_tag(F.col("q_doc.text"), F.col("q_doc.lang"), F.col("q_doc.source")))
+    return rows.join(F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad,
+                     (F.col("q_tag") == F.col("b_tag")) & F.col("q_doc.doc_id").eqNullSafe(F.col("b_id")), "left_anti").select("q_doc.*")
