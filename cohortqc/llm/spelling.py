@@ -128,7 +128,8 @@ def roots(spark: SparkSession, found: DataFrame) -> DataFrame:
 def group_variants(spark: SparkSession, vocab: DataFrame, ratio: int = FORM_RATIO) -> DataFrame:
     """word, n, n_near, form, form_n, root for every word of a vocabulary (word, n)."""
     vocab = written(spark, vocab, "spelling-words")
-    found = written(spark, forms(vocab, near_pairs(vocab), ratio), "spelling-forms")
+    pairs = written(spark, near_pairs(vocab), "spelling-pairs")  # read from both ends
+    found = written(spark, forms(vocab, pairs, ratio), "spelling-forms")
     return found.join(roots(spark, found), "word", "left").select(
         "word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
 
