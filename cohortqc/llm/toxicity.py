@@ -3,18 +3,21 @@ speech are composed over clauses, and matched clauses are scored, not isolated w
 
 Alphabet classes come from fixed small word lists (threat, target, negation, reporting verbs, in four languages) and
 from learned stems: beginnings of words, or whole words, that toxic training documents share and clean ones lack, with
-their log odds as weights. A clause is read once, left to right, by the composed machine: its state is (negated for how
-many words, reported or not, threat open or not, target seen or not); insult arcs emit their weight, damped by
-negation and reported speech; a threat arc emits only once a target follows or preceded it in the clause; a target
-raises what the clause's insults emit. A document's evidence is its strongest clause and the sum of all clauses, and a
-logistic curve over both, fitted on the sample's labels, gives the score.
+their log odds as weights. Each of the five transducers is a small state table whose arcs multiply two weights, one for
+insults and one for threats; ``compose`` builds the one machine whose states are tuples of theirs, once. It reads a
+sentence left to right, clause by clause. Insults and threats emit; negation damps the next words; reported speech damps
+from a reporting verb to the end of its sentence or quotation, a colon between them or not, and inside quotation marks, whose
+state outlasts sentences up to the end of the line; at the end of a clause the target's state says whether its threats
+count and its insults are raised. A document's evidence is its strongest clause and the sum of all clauses, and a logistic
+curve over both, fitted on the sample's labels, gives the score.
 
-Only clauses with an insult or threat word are read by the machine: an Aho-Corasick pass over the whole text finds
-them, so the cost of a clean text is one pass.
+Only sentences with an insult or threat word are read by the machine: an Aho-Corasick pass over the whole text finds
+them, so the cost of a clean text is one pass. Of the line before such a sentence only the quotation marks are read.
 
 Lexicon and curve are fitted on a bounded sample: at most ``SAMPLE`` labelled training documents of each class, those
 with the smallest hash; of documents that share their least shingle hash (copies) one counts, so that a
-much copied document does not make its own words look toxic.
+much copied document does not make its own words look toxic. The lexicon holds at most ``MAX_STEMS`` learned patterns, those
+of the most toxic documents of the sample.
 
 Defined results: a null or empty text has no clause and gets the curve's floor. Null labels and labels of null ids are
 not learned from; an id labelled twice takes the larger label. Without labels the fixed lists and fixed curve decide.
@@ -25,6 +28,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -56,8 +60,83 @@ NEGATED, REPORTED, TARGETED, NEGATION_REACH = 0.4, 0.5, 1.25, 3
 CURVE = (-4.0, 1.0, 0.5)
 
 WORD = re.compile(r"[^\W\d_]+")
-CLAUSE_END = re.compile(r"[.!?;:\n]")
-OPEN_QUOTE, CLOSE_QUOTE = "«“„", "»”"
+SENTENCE_ENDS = ".!?;\n"
+SENTENCE_END = re.compile(f"[{SENTENCE_ENDS}]")
+QUOTES = re.compile("[«„»”“\"]")
+TOKEN = re.compile("[^\\W\\d_]+|[«„»”“\":]")
+
+# Classes the machines read. A mark that opens in one language and closes in another turns the state over.
+CLASSES = "other insult threat target negation report opening closing turning colon sentence line".split()
+(OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, OPENING, CLOSING, TURNING, COLON, SENTENCE, LINE) = range(len(CLASSES))
+MARKS = {"«": OPENING, "„": OPENING, "»": CLOSING, "”": CLOSING, "“": TURNING, '"': TURNING, ":": COLON}
+WORDS, ENDS = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT), (COLON, SENTENCE, LINE)
+
+
+class Transducer(NamedTuple):
+    """arcs[state][class]: next state and the weights of insults and threats; finals[state]: what a clause that ends
+    there multiplies its insults and its threats by. The first state is the start."""
+    arcs: list[list[tuple[int, float, float]]]
+    finals: list[tuple[float, float]]
+
+
+def _emitter(of: int, channel: int) -> Transducer:
+    """Lets one channel through for one class only."""
+    arc = lambda c: (0, 1.0, float(c == of)) if channel else (0, float(c == of), 1.0)
+    return Transducer([[arc(c) for c in range(len(CLASSES))]], [(1.0, 1.0)])
+
+
+def target_machine() -> Transducer:
+    """Has the clause named somebody?"""
+    arcs = [[(0 if c in ENDS else int(seen or c == TARGET), 1.0, 1.0) for c in range(len(CLASSES))] for seen in (0, 1)]
+    return Transducer(arcs, [(1.0, 0.0), (TARGETED, 1.0)])
+
+
+def negation_machine() -> Transducer:
+    """The state is how many further words a negation reaches."""
+    def arc(left: int, c: int):
+        damp = NEGATED if left else 1.0
+        after = 0 if c in ENDS else NEGATION_REACH if c == NEGATION else max(0, left - 1) if c in WORDS else left
+        return after, damp, damp
+    states = range(NEGATION_REACH + 1)
+    return Transducer([[arc(n, c) for c in range(len(CLASSES))] for n in states], [(1.0, 1.0) for _ in states])
+
+
+def reported_machine() -> Transducer:
+    """States: plain, after a reporting verb, in quotation marks. The end of a quotation ends what the verb began."""
+    plain, said, quoted = range(3)
+
+    def arc(state: int, c: int):
+        damp = REPORTED if state else 1.0
+        if c == OPENING or (c == TURNING and state != quoted):
+            return quoted, damp, damp
+        if c == CLOSING or c == TURNING or c == LINE:
+            return plain, damp, damp
+        if state != quoted and c in (REPORT, SENTENCE):
+            return (said if c == REPORT else plain), damp, damp
+        return state, damp, damp
+    return Transducer([[arc(s, c) for c in range(len(CLASSES))] for s in (plain, said, quoted)], [(1.0, 1.0)] * 3)
+
+
+def machines() -> list[Transducer]:
+    return [_emitter(INSULT, 0), _emitter(THREAT, 1), target_machine(), negation_machine(), reported_machine()]
+
+
+def compose(parts: list[Transducer]) -> Transducer:
+    """The machine that runs all parts at once: states are tuples of theirs, those that can be reached, and weights
+    multiply along arcs and at the ends."""
+    states, numbers, arcs = [(0,) * len(parts)], {(0,) * len(parts): 0}, []
+    for state in states:  # grows while it is read
+        row = []
+        for c in range(len(CLASSES)):
+            steps = [p.arcs[s][c] for p, s in zip(parts, state)]
+            after = tuple(step[0] for step in steps)
+            if after not in numbers:
+                numbers[after] = len(states)
+                states.append(after)
+            row.append((numbers[after], math.prod(step[1] for step in steps), math.prod(step[2] for step in steps)))
+        arcs.append(row)
+    finals = [tuple(math.prod(p.finals[s][k] for p, s in zip(parts, state)) for k in (0, 1)) for state in states]
+    return Transducer(arcs, finals)
 
 
 def fixed_lexicon() -> dict[str, float]:
@@ -71,10 +150,11 @@ class Grammar:
         self.stems = {p: w for p, w in lexicon.items() if not p.endswith("$")}
         self.words = {p[:-1]: w for p, w in lexicon.items() if p.endswith("$")}
         self.lengths = sorted({len(s) for s in self.stems})
-        self.threats, self.targets = set(THREATS), set(TARGETS)
-        self.negations, self.reporting = set(NEGATIONS), set(REPORTING)
+        lists = ((TARGETS, TARGET), (THREATS, THREAT), (REPORTING, REPORT), (NEGATIONS, NEGATION))
+        self.classes = {**MARKS, **{w: kind for words, kind in lists for w in words}}
+        self.machine = compose(machines())
         self.finder = ahocorasick.Automaton()
-        for pattern in [*self.stems, *self.words, *self.threats]:
+        for pattern in [*self.stems, *self.words, *THREATS]:
             self.finder.add_word(pattern, len(pattern))
         self.finder.make_automaton()
 
@@ -87,44 +167,48 @@ class Grammar:
                 return self.stems[word[:n]]
         return 0.0
 
-    def clause(self, text: str) -> float:
-        """One run of the composed machine over a lower-cased clause."""
-        negated, reported, threat, target, insults, total = 0, False, 0.0, False, 0.0, 0.0
-        for match in re.finditer(r"[^\W\d_]+|[«“„»”\"]", text):
-            word = match.group()
-            if word in OPEN_QUOTE or word in CLOSE_QUOTE or word == '"':
-                reported = not reported if word == '"' else word in OPEN_QUOTE
-                continue
-            damp = (NEGATED if negated else 1.0) * (REPORTED if reported else 1.0)
-            negated = max(0, negated - 1)
-            if word in self.negations:
-                negated = NEGATION_REACH
-            elif word in self.reporting:
-                reported = True
-            elif word in self.threats:
-                threat += THREAT_WEIGHT * damp
-            elif word in self.targets:
-                target = True
+    def tokens(self, text: str):
+        """Class and weight of the words and marks of a lower-cased sentence."""
+        for match in TOKEN.finditer(text):
+            token = match.group()
+            kind = self.classes.get(token)
+            if kind is None:
+                weight = self.insult(token)
+                yield (INSULT if weight else OTHER), weight
             else:
-                insults += self.insult(word) * damp
-            if target and threat:
-                total, threat = total + threat, 0.0
-        return total + insults * (TARGETED if target else 1.0)
+                yield kind, THREAT_WEIGHT
+
+    def sentence(self, text: str, state: int = 0) -> list[float]:
+        """Scores of the clauses of a lower-cased sentence, read from a state of the composed machine."""
+        arcs, finals, scores, insults, threats = self.machine.arcs, self.machine.finals, [], 0.0, 0.0
+        for kind, weight in [*self.tokens(text), (SENTENCE, 0.0)]:
+            if kind in ENDS:
+                scores.append(insults * finals[state][0] + threats * finals[state][1])
+                insults = threats = 0.0
+            state, insult, threat = arcs[state][kind]
+            insults, threats = insults + weight * insult, threats + weight * threat
+        return scores
 
     def evidence(self, text: str) -> tuple[float, float]:
         """The strongest clause and the sum of all clauses of a whole text."""
         low = text.lower()
         best, total, done = 0.0, 0.0, -1
+        line, state, marked = 0, 0, 0  # the line's start, and the state after its marks up to a place
         for end, n in self.finder.iter(low):
             start = end - n + 1
             if start <= done or (start and low[start - 1].isalpha()):
                 continue
-            begin = max((low.rfind(c, done + 1, start) for c in ".!?;:\n"), default=-1)
-            begin = max(begin, done)
-            stop = CLAUSE_END.search(low, start)
+            begin = max(done, *(low.rfind(c, done + 1, start) for c in SENTENCE_ENDS)) + 1
+            broken = low.rfind("\n", marked, begin) + 1
+            if broken:
+                line, state, marked = broken, 0, broken
+            for match in QUOTES.finditer(low, max(line, marked), begin):
+                state = self.machine.arcs[state][MARKS[match.group()]][0]
+            marked = begin
+            stop = SENTENCE_END.search(low, start)
             done = stop.start() if stop else len(low)
-            score = self.clause(low[begin + 1:done])
-            best, total = max(best, score), total + score
+            scores = self.sentence(low[begin:done], state)
+            best, total = max(best, *scores), total + sum(scores)
         return best, total
 
     def score(self, best: float, total: float) -> float:
