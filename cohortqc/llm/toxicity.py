@@ -42,6 +42,7 @@ from cohortqc.llm.common import doc_crc, whole, written
 SAMPLE = 5000
 LEAST_DOCS, LEAST_SHARE, MAX_STEMS = 8, 0.9, 4000
 STEM_CHARS = (4, 12)
+PATTERNS_HELD = 100_000
 PREDICT_AT = 0.3
 
 # Words of the fixed transducers.
@@ -228,8 +229,16 @@ def _keyed(batches):
         yield batch.append_column("copy_key", pa.array(keys, pa.int64()))
 
 
+def _pattern_counts(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
+    patterns = list(counts[0].keys() | counts[1].keys())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(patterns, pa.string()), pa.array([counts[1][p] for p in patterns], pa.int64()),
+         pa.array([counts[0][p] for p in patterns], pa.int64())], names=["pattern", "n_toxic", "n_clean"])
+
+
 def _beginnings(batches):
-    """How many toxic and clean documents of a partition hold a word with each beginning; whole words end in $."""
+    """How many toxic and clean documents hold a word with each beginning; whole words end in $. Counts are partial: a
+    task sends what it holds whenever that is more than ``PATTERNS_HELD`` patterns."""
     counts = (Counter(), Counter())
     low, high = STEM_CHARS
     for batch in batches:
@@ -240,10 +249,10 @@ def _beginnings(batches):
                     seen.update(word[:n] for n in range(low, min(high, len(word)) + 1))
                     seen.add(word + "$")
             counts[1 if toxic else 0].update(seen)
-    patterns = list(counts[0].keys() | counts[1].keys())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(patterns, pa.string()), pa.array([counts[1][p] for p in patterns], pa.int64()),
-         pa.array([counts[0][p] for p in patterns], pa.int64())], names=["pattern", "n_toxic", "n_clean"])
+            if len(counts[0]) + len(counts[1]) > PATTERNS_HELD:
+                yield _pattern_counts(counts)
+                counts = (Counter(), Counter())
+    yield _pattern_counts(counts)
 
 
 def choose_stems(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
