@@ -31,6 +31,11 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_folder(spark: SparkSession, name: str) -> str:
+    """A folder of the shared place that stays the same from run to run."""
+    return f"{shared_folder(spark, name).rsplit('/', 1)[0]}/{name}"
+
+
 def doc_crc(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, unsigned; a null id counts as empty text, whose crc32 is 0."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

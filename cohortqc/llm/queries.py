@@ -9,8 +9,7 @@ from cohortqc.llm import (
     exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, spelling,
     token_counts, toxicity, whitening,
 )
-from cohortqc.llm.common import documents
-from cohortqc.session import shared_folder
+from cohortqc.llm.common import documents, kept_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -48,7 +47,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cache = shared_folder(spark, "token-counts")
+    cache = kept_folder(spark, "token-count-cache")
     return token_counts.token_counts(spark, documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), cache)
 
 

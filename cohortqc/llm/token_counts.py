@@ -6,7 +6,9 @@ tokenizer never reads old counts. Normalised content is the text with null as em
 further folding could change its tokens. Copies of a text are combined on the map side and encoded once.
 
 The cache is a plain Parquet table; appending is a write of new rows, and a row that two runs both append is the same
-row (reads take one per key). A run that dies before its append leaves the cache as it was.
+row (reads take one per key). A run that dies before its append leaves the cache as it was. Where counts are stored, digests
+alone meet them first, and only the texts of digests they lack are shuffled. The registered query keeps its cache in one
+folder below ``spark.checkpoint.dir``, so a second run encodes nothing.
 
 Defined results: a null text counts as empty (0 tokens). Repeated rows each get their count. An empty table gives an
 empty result and appends nothing.
@@ -85,8 +87,10 @@ def count_misses(spark: SparkSession, docs: DataFrame, path: str, cache: str) ->
     version = tokenizer_digest(path)
     text = whole("text")
     keyed = docs.select(F.unhex(F.sha2(text, 256)).alias("content"), text.alias("text"))
-    misses = keyed.join(cached_counts(spark, cache, version), "content", "left_anti")
-    distinct = misses.groupBy("content").agg(F.first("text").alias("text"))
+    if path_exists(spark, cache):
+        lacking = keyed.select("content").distinct().join(cached_counts(spark, cache, version), "content", "left_anti")
+        keyed = keyed.join(lacking, "content", "left_semi")
+    distinct = keyed.groupBy("content").agg(F.first("text").alias("text"))
     counted = distinct.mapInArrow(_encode(path), "content binary, n_tokens long")
     counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
 
