@@ -15,9 +15,9 @@ from cohortqc.llm import language_id as L
 from cohortqc.llm import lm_scoring as LM
 from cohortqc.llm import secret_scan as S
 from cohortqc.llm import token_counts as T
+from cohortqc.llm import queries
 from cohortqc.llm import toxicity as X
 from cohortqc.llm.common import kept_folder
-from cohortqc.llm.queries import QUERIES
 from tests.llm.fixture import counter, rows, small, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -43,17 +43,17 @@ def test_token_counts_and_cache(spark, tmp_path, monkeypatch):
     assert T.cached_counts(spark, cache, b"other").count() == 0
 
 
-def test_query_encodes_nothing_twice(spark, tmp_path):
+def test_query_encodes_nothing_twice(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "kept_folder", lambda s, name: f"{tmp_path}/{name}")
     table(spark).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
-    kept = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared")
-    try:
-        first, cache = (counter(QUERIES["op3_token_counts"](spark, str(tmp_path)).collect()), kept_folder(spark, "token-count-cache"))
-        stored = spark.read.parquet(cache).count()
-        assert counter(QUERIES["op3_token_counts"](spark, str(tmp_path)).collect()) == first
-        assert spark.read.parquet(cache).count() == stored == len({t or "" for _, t, *_ in rows()})
-    finally:
-        spark.conf.set("spark.checkpoint.dir", kept) if kept else spark.conf.unset("spark.checkpoint.dir")
+    first = counter(queries.op3_token_counts(spark, str(tmp_path)).collect())
+    stored = spark.read.parquet(f"{tmp_path}/token-count-cache").count()
+    assert counter(queries.op3_token_counts(spark, str(tmp_path)).collect()) == first
+    assert spark.read.parquet(f"{tmp_path}/token-count-cache").count() == stored == len({t or "" for _, t, *_ in rows()})
+
+
+def test_kept_folder_stays(spark):
+    assert kept_folder(spark, "a") == kept_folder(spark, "a") != kept_folder(spark, "b")
 
 
 def test_counts_of_the_other_library(spark, tmp_path):
