@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import shutil
 import tempfile
 import uuid
@@ -30,6 +31,14 @@ def with_defaults(builder):
     return builder
 
 
+@functools.cache
+def _local_root(application: str) -> str:
+    """One temporary folder for a local application; the setting itself cannot be changed in a running session."""
+    root = tempfile.mkdtemp(prefix="cohortqc-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for written intermediate tables.
 
@@ -40,9 +49,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="cohortqc-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
