@@ -1,11 +1,15 @@
 """Quality rules: minimum-covariance-determinant outliers per language and source, with DataFrame functions only.
 
 Each text gives a vector of four transformed statistics. Per group (language and source; the language alone where that
-has too few rows) concentration steps estimate the location and covariance of the three quarters of the rows that lie
-closest, and a row is rejected where its squared Mahalanobis distance exceeds a fixed quantile.
+has too few rows) the three quarters of the rows whose covariance has the least determinant are sought: from the medians
+and from ``STARTS`` small subsets drawn by hash, ``SCREEN_STEPS`` concentration steps each; the start of the least
+determinant then goes on until no step lowers it. A row is rejected where its squared Mahalanobis distance exceeds a fixed
+quantile.
 
-Every step is one aggregate over a written table of counts. Order statistics come from histograms on a fixed grid, so
-a group may hold any share of all rows: it reaches a reducer as one row per bin and task.
+Every step is one aggregate over a written table of features, for all groups and starts at once. Order statistics come
+from histograms on a fixed grid, rows of the bin on the border count by the share that is still wanted, so a group may hold
+any share of all rows: it reaches a reducer as one row per bin and task. Drawn rows are those below a hash threshold, about
+``DRAWN`` a group.
 
 Defined results: a null text counts as no words and fails the base rule. Null languages and sources are groups of
 their own. Groups without ``MIN_ROWS`` rows in source and language have no estimate: the base rule alone decides.
@@ -15,7 +19,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortqc.llm.common import SPACE_RUN, SPACES, whole, written
@@ -28,7 +32,10 @@ FEATURES = ["word_length", "symbols", "dup_lines", "repeats"]
 # No feature counts as less spread than this: most clean texts have no symbol, copied line or repeated window at all.
 FLOORS = {"word_length": 0.05, "symbols": 0.05, "dup_lines": 0.25, "repeats": 0.25}
 MIN_ROWS = 50
-CORE, STEPS = 0.75, 4
+CORE = 0.75
+STARTS, START_ROWS, SCREEN_STEPS, DRAWN = 8, 6, 2, 400
+# a step that lowers the log determinant by no more than this has settled
+SETTLED = 1e-4
 # Fixed values of the chi-square law with four degrees of freedom: CORE / P(chi2_6 <= its 0.75 quantile 5.385), and
 # the quantile of 1 - 1e-5.
 CONSISTENCY, CUTOFF = 1.486, 28.47
@@ -45,7 +52,7 @@ def _repeat_words(words: Column) -> Column:
     """Words covered by three-word windows that occur at least twice.
 
     Each window becomes one long: its hash above, its place below, with just as many low bits as places need. Sorted,
-    equal windows are neighbours. (At 600 words 54 bits of hash remain.)
+    equal windows are neighbours. (At 600 words 54 bits of hash remain.) Neighbours of one hash count once their words agree.
     """
     def covered(w):
         bits = F.length(F.bin(F.size(w))).cast("int")
@@ -58,10 +65,15 @@ def _repeat_words(words: Column) -> Column:
 
         def count(b):
             hashed = lambda x: F.call_function("shiftright", x, b)
-            found = _let(F.sort_array(keyed(b)), lambda s: F.filter(
-                s, lambda x, i: ((i > 0) & (hashed(x) == hashed(F.get(s, i - 1))))
-                | F.coalesce(hashed(x) == hashed(F.get(s, i + 1)), F.lit(False))))
             mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), b) - 1
+
+            def same(x, y):
+                word = lambda v, k: F.get(w, v.bitwiseAND(mask).cast("int") + k)
+                return ((hashed(x) == hashed(y)) & (word(x, 0) == word(y, 0)) & (word(x, 1) == word(y, 1))
+                        & (word(x, 2) == word(y, 2)))
+
+            found = _let(F.sort_array(keyed(b)), lambda s: F.filter(
+                s, lambda x, i: ((i > 0) & same(x, F.get(s, i - 1))) | F.coalesce(same(x, F.get(s, i + 1)), F.lit(False))))
             places = F.sort_array(F.transform(found, lambda x: x.bitwiseAND(mask)))
             start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).cast("bigint").alias("last"))
             return F.aggregate(places, start, lambda a, x: F.struct(
@@ -133,26 +145,16 @@ def _fitted_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
     by_lang = rows.join(wanted.where("g_lang_only"), (F.col("q_lang") == F.col("g_q_lang"))
                         & (F.col("q_lang_null") == F.col("g_q_lang_null")))
     xs = [f"x_{f}" for f in FEATURES]
-    return by_source.select("grp", *xs).unionByName(by_lang.select("grp", *xs))
-
-
-def _quantile_bins(rows: DataFrame, keys: list[str], at: Column) -> DataFrame:
-    """Per key the first bin at which the running count reaches ``at`` (of ``n``, all of the key's rows)."""
-    from pyspark.sql import Window
-    bins = rows.groupBy(*keys, "bin").agg(F.count("*").alias("rows"))
-    ordered = Window.partitionBy(*keys).orderBy("bin")
-    run = bins.select(*keys, "bin", F.sum("rows").over(ordered).alias("upto"),
-                      F.sum("rows").over(Window.partitionBy(*keys)).alias("n"))
-    return run.where(F.col("upto") >= at).groupBy(*keys).agg(F.min("bin").alias("bin"))
+    draw = F.xxhash64("doc_id", *xs).bitwiseAND(F.lit((1 << 63) - 1)).alias("draw")
+    return by_source.select("grp", *xs, draw).unionByName(by_lang.select("grp", *xs, draw))
 
 
 def _start(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Median and quartile range of every feature: the robust place the concentration starts from."""
+    """Start 0: median and quartile range of every feature."""
     long = rows.select("grp", F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.floor(F.col(f"x_{f}") / FEATURE_GRID).alias("bin"))
         for f in FEATURES])).alias("o")).select("grp", "o.feature", "o.bin")
     long = written(spark, long.groupBy("grp", "feature", "bin").agg(F.count("*").alias("rows")), "quality-bins")
-    from pyspark.sql import Window
     keys = Window.partitionBy("grp", "feature")
     run = long.select("grp", "feature", "bin", F.sum("rows").over(keys.orderBy("bin")).alias("upto"),
                       F.sum("rows").over(keys).alias("n"))
@@ -164,11 +166,25 @@ def _start(spark: SparkSession, rows: DataFrame) -> DataFrame:
     for i, f in enumerate(FEATURES):
         spread = picked(f, (F.col("q3") - F.col("q1")) / 1.349)
         cov += [(F.pow(spread, F.lit(2.0)) if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for j in range(i + 1)]
-    return each.groupBy("grp").agg(*[picked(f, F.col("q2")).alias(f"m_{i}") for i, f in enumerate(FEATURES)], *cov)
+    return each.groupBy("grp", F.lit(0).alias("start")).agg(*[picked(f, F.col("q2")).alias(f"m_{i}") for i, f in enumerate(FEATURES)], *cov)
+
+
+def _drawn_starts(rows: DataFrame) -> DataFrame:
+    """Starts from 1 on: location and covariance of a few rows each, those of the least hashes, dealt in turn."""
+    sizes = rows.groupBy("grp").agg(F.count("*").alias("n"))
+    few = rows.join(sizes, "grp").where(F.col("draw") / float(1 << 63) <= DRAWN / F.col("n"))
+    xs = [f"x_{f}" for f in FEATURES]
+    once = few.groupBy("grp", "draw").agg(*[F.min(x).alias(x) for x in xs])  # rows that agree in id and features are one
+    place = F.row_number().over(Window.partitionBy("grp").orderBy("draw")) - 1
+    start = (F.floor(place / START_ROWS) + 1).cast("int")
+    pairs = [(i, j) for i in range(len(xs)) for j in range(i + 1)]
+    return once.withColumn("start", start).where(F.col("start") <= STARTS).groupBy("grp", "start").agg(
+        *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(xs)],
+        *[F.covar_pop(xs[i], xs[j]).alias(f"c_{i}_{j}") for i, j in pairs])
 
 
 def _factored(estimate: DataFrame, scale: float) -> DataFrame:
-    """Location and the Cholesky factor of the covariance, with the floors on its diagonal."""
+    """Location, the Cholesky factor of the covariance, with the floors on its diagonal, and its log determinant."""
     p = len(FEATURES)
     a = {(i, j): F.col(f"c_{i}_{j}") * scale for i in range(p) for j in range(i + 1)}
     out = estimate
@@ -181,7 +197,9 @@ def _factored(estimate: DataFrame, scale: float) -> DataFrame:
             # raising the diagonal keeps the matrix positive definite; the small bound guards rounding alone
             out = out.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(value, F.lit(1e-12))) if i == j
                                  else value / F.col(f"l_{j}_{j}"))
-    return out.select("grp", *[f"m_{i}" for i in range(p)], *[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)])
+    logdet = reduce(lambda x, y: x + y, [2 * F.log(f"l_{i}_{i}") for i in range(p)])
+    return out.select("grp", "start", logdet.alias("logdet"), *[f"m_{i}" for i in range(p)],
+                      *[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)])
 
 
 def _distance() -> Column:
@@ -194,29 +212,57 @@ def _distance() -> Column:
 
 
 def _concentrate(spark: SparkSession, rows: DataFrame, factors: DataFrame) -> DataFrame:
-    """Mean and covariance of the CORE share of rows that lie closest under the last estimate."""
+    """Factors of the CORE share of rows that lie closest under the given ones, by group and start."""
+    keys, p = ["grp", "start"], len(FEATURES)
+    far = [(F.col(f"x_{f}") - F.col(f"m_{i}")).alias(f"d_{i}") for i, f in enumerate(FEATURES)]
     at = rows.join(factors, "grp").select(
-        "grp", *[f"x_{f}" for f in FEATURES],
+        *keys, *[f"m_{i}" for i in range(p)], *far,
         F.floor(F.log(_distance() + F.lit(1e-9)) / DISTANCE_GRID).alias("bin"))
-    core = written(spark, _quantile_bins(at.select("grp", "bin"), ["grp"], CORE * F.col("n"))
-                   .withColumnRenamed("bin", "core_bin"), "quality-core")
-    x = [F.col(f"x_{f}") for f in FEATURES]
-    pairs = [(i, j) for i in range(len(x)) for j in range(i + 1)]
-    sums = at.join(core, "grp").where("bin <= core_bin").groupBy("grp").agg(
-        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(x)],
-        *[F.covar_pop(x[i], x[j]).alias(f"c_{i}_{j}") for i, j in pairs])
-    return written(spark, sums, "quality-estimate")
+    bins = at.groupBy(*keys, "bin").agg(F.count("*").alias("rows"))
+    whole_ = Window.partitionBy(*keys)
+    run = bins.select(*keys, "bin", "rows", F.sum("rows").over(whole_.orderBy("bin")).alias("upto"),
+                      F.ceil(CORE * F.sum("rows").over(whole_)).alias("wanted"))
+    border = run.where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("rows") < F.col("wanted")))
+    core = written(spark, border.select(*keys, F.col("bin").alias("core_bin"), (
+        (F.col("wanted") - F.col("upto") + F.col("rows")) / F.col("rows")).alias("part")), "quality-core")
+    weight = F.when(F.col("bin") < F.col("core_bin"), 1.0).otherwise(F.col("part"))
+    pairs = [(i, j) for i in range(p) for j in range(i + 1)]
+    sums = at.join(core, keys).where("bin <= core_bin").withColumn("w", weight).groupBy(*keys).agg(
+        F.sum("w").alias("w"), *[F.max(f"m_{i}").alias(f"m_{i}") for i in range(p)],
+        *[F.sum(F.col("w") * F.col(f"d_{i}")).alias(f"s_{i}") for i in range(p)],
+        *[F.sum(F.col("w") * F.col(f"d_{i}") * F.col(f"d_{j}")).alias(f"s_{i}_{j}") for i, j in pairs])
+    mean = [F.col(f"s_{i}") / F.col("w") for i in range(p)]
+    estimate = sums.select(*keys, *[(F.col(f"m_{i}") + mean[i]).alias(f"m_{i}") for i in range(p)],
+                           *[(F.col(f"s_{i}_{j}") / F.col("w") - mean[i] * mean[j]).alias(f"c_{i}_{j}") for i, j in pairs])
+    return written(spark, _factored(estimate, CONSISTENCY), "quality-factors")
+
+
+def _settled(spark: SparkSession, rows: DataFrame, factors: DataFrame) -> DataFrame:
+    """Concentrates every group until a step no longer lowers its determinant. Each round lowers at least one by more
+    than ``SETTLED``, and the floors bound them from below, so the rounds end."""
+    best = written(spark, factors.withColumn("active", F.lit(True)), "quality-best")
+    columns = [c for c in best.columns if c not in ("grp", "active")]
+    while best.where("active").count():
+        after = _concentrate(spark, rows, best.where("active").drop("active"))
+        both = best.join(after.select("grp", F.struct(*columns).alias("after")), "grp", "left")
+        lower = F.coalesce(F.col("after.logdet") < F.col("logdet") - SETTLED, F.lit(False))
+        best = written(spark, both.select("grp", lower.alias("active"), *[
+            F.when(lower, F.col(f"after.{c}")).otherwise(F.col(c)).alias(c) for c in columns]), "quality-best")
+    return best.drop("active")
 
 
 def fit(spark: SparkSession, measured: DataFrame) -> DataFrame:
     """Per language and source the factors of its group's estimate; a table of as many rows as such pairs."""
     rows = measured.where(~F.col("base_failed"))
     groups = written(spark, _groups(rows), "quality-groups")
-    rows = _fitted_rows(rows, groups)
-    factors = written(spark, _factored(_start(spark, rows), 1.0), "quality-factors")
-    for _ in range(STEPS):
-        factors = written(spark, _factored(_concentrate(spark, rows, factors), CONSISTENCY), "quality-factors")
-    return groups.join(factors, "grp").drop("grp")
+    rows = written(spark, _fitted_rows(rows, groups), "quality-rows")
+    factors = written(spark, _factored(_start(spark, rows).unionByName(_drawn_starts(rows)), 1.0), "quality-factors")
+    for _ in range(SCREEN_STEPS):
+        factors = _concentrate(spark, rows, factors)
+    columns = [c for c in factors.columns if c != "grp"]
+    least = factors.groupBy("grp").agg(F.min_by(F.struct(*columns), F.struct("logdet", "start")).alias("f"))
+    best = _settled(spark, rows, least.select("grp", "f.*"))
+    return groups.join(best.drop("logdet", "start"), "grp").drop("grp")
 
 
 def judged(measured: DataFrame, factors: DataFrame) -> DataFrame:
