@@ -30,6 +30,8 @@ PIECES_PER_GROUP = 8192
 # ranges of slots whose pieces are counted, for each group
 STEPS_PER_GROUP = 8
 CACHE_ENTRIES, CACHE_CHARS, TEXTS_AT_ONCE = 800_000, 48, 64
+# in a chain of stages workers outlive their stage, and what they remember lies beside the other stages' memory
+CHAIN_CACHE_ENTRIES = 100_000
 # unknown chunks that go to the tokenizer as one text
 CHUNKS_AT_ONCE = 4096
 
@@ -62,6 +64,7 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.entries = CACHE_ENTRIES
         vocab = self.tokenizer.get_vocab()
         # a byte-level token has one sign for every byte it stands for
         self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -98,7 +101,7 @@ class ByteBpe:
         """Little-endian unsigned 32-bit ids of each text."""
         odd = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
         cut = [[] if i in odd else chunks(t) for i, t in enumerate(texts)]
-        if len(self.known) > CACHE_ENTRIES:
+        if len(self.known) > self.entries:
             self.known.clear()
         self.known[""] = b""
         new = list(set(chain.from_iterable(cut)).difference(self.known))
@@ -130,9 +133,10 @@ def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
-def _pieces(path: str, capacity: int, with_ids: bool, carry: list[str]):
+def _pieces(path: str, capacity: int, with_ids: bool, carry: list[str], entries: int):
     def run(batches):
         tokenizer = byte_bpe(path)
+        tokenizer.entries = entries
         for batch in batches:
             texts, doc_ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             rows = batch.column("row").to_pylist()
@@ -161,12 +165,12 @@ def _pieces(path: str, capacity: int, with_ids: bool, carry: list[str]):
 
 
 def tokenised_pieces(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY,
-                     with_ids: bool = False, carry: list[str] | None = None) -> DataFrame:
+                     with_ids: bool = False, carry: list[str] | None = None, entries: int = CACHE_ENTRIES) -> DataFrame:
     """doc_id, row, piece, start, length, ids_crc32 (and ids, and the columns ``carry``) of every piece, written once."""
     carry = carry or []
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), whole("text").alias("text"), *carry)
     schema = PIECES + (", ids array<int>" if with_ids else "") + "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return written(spark, rows.mapInArrow(_pieces(path, capacity, with_ids, carry), schema), "packing-pieces")
+    return written(spark, rows.mapInArrow(_pieces(path, capacity, with_ids, carry, entries), schema), "packing-pieces")
 
 
 class CapacityTree:
@@ -291,7 +295,7 @@ def packed_in_order(spark: SparkSession, pieces: DataFrame, capacity: int = CAPA
 def pack_mixed(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     """As ``pack_documents``, for documents that ``mixing.mix_rows`` has mixed to their root targets: sequences, read by
     number, hold the sources in the mixed order."""
-    pieces = tokenised_pieces(spark, docs, path, carry=["source"])
+    pieces = tokenised_pieces(spark, docs, path, carry=["source"], entries=CHAIN_CACHE_ENTRIES)
     placed = written(spark, mixed_places(spark, docs, pieces), "packing-places")
     return packed_in_order(spark, placed).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
