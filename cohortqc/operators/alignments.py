@@ -332,9 +332,27 @@ def block_rows(shapes: DataFrame, *carry: str) -> DataFrame:
     return shapes.select(*shape_key(shapes), "n", *carry, F.inline(blocks))
 
 
+# strands as numbers that sort as the texts do
+PLUS, MINUS = 1, 3
+
+
+def numbered_genes(exons: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exons as numbers (``gene_no``, ref, start, end, ``strand`` as ``PLUS`` or ``MINUS``) and the genes' names by number.
+
+    Aggregates of numbers are hash aggregates; the least and greatest of texts would sort all overlaps.
+    """
+    genes = written(exons.where("gene_id IS NOT NULL").select("gene_id").distinct().withColumn(
+        "gene_no", F.monotonically_increasing_id()), "genes")
+    s = F.col("strand")
+    strand = F.when(s < "+", 0).when(s == "+", PLUS).when(s < "-", 2).when(s == "-", MINUS).when(s > "-", 4)
+    numbered = exons.join(genes, "gene_id", "left").select("gene_no", "ref", "start", "end", strand.alias("strand"))
+    return written(numbered, "gene-exons"), genes
+
+
 def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int | str = 0, width: int = BIN_WIDTH,
               max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Shapes that touch exactly one gene: ``(srr, gene_id, n)`` per shape.
+    """Shapes that touch exactly one gene: ``(srr, gene_no, n)`` per shape, genes and strands as ``numbered_genes`` has
+    them.
 
     ``strand_mode`` 1 wants the gene on the fragment's strand, 2 on the other one, 0 does not care; a column name
     takes the mode from each shape. The shapes arrive partitioned by their key and keep that through the broadcast
@@ -342,20 +360,26 @@ def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int | str = 0, w
     """
     by_column = isinstance(strand_mode, str)
     mode = F.col(strand_mode) if by_column else F.lit(strand_mode)
-    pairs = overlap_join(block_rows(shapes, *([strand_mode] if by_column else [])),
-                         exons.select("gene_id", "ref", "start", "end", "strand"), width=width, max_rows=max_rows)
-    same = F.when(F.col("reverse"), "-").otherwise("+") == F.col("s_strand")
+    pairs = overlap_join(block_rows(shapes, *([strand_mode] if by_column else [])), exons, width=width, max_rows=max_rows)
+    same = F.when(F.col("reverse"), MINUS).otherwise(PLUS) == F.col("s_strand")
     return (pairs.where((mode == 0) | ((mode == 1) & same) | ((mode == 2) & ~same))
-            .groupBy(*shape_key(shapes)).agg(F.min("s_gene_id").alias("gene_id"), F.max("s_gene_id").alias("_other"),
+            .groupBy(*shape_key(shapes)).agg(F.min("s_gene_no").alias("gene_no"), F.max("s_gene_no").alias("_other"),
                                  F.max("n").alias("n"))
-            .where(F.col("gene_id") == F.col("_other")).select("srr", "gene_id", "n"))
+            .where(F.col("gene_no") == F.col("_other")).select("srr", "gene_no", "n"))
+
+
+def _hit_counts(shapes: DataFrame, exons: DataFrame, strand_mode: int | str, width: int, max_rows: int) -> DataFrame:
+    """Shapes per run and gene; names come back once the hits are counted."""
+    numbered, genes = numbered_genes(exons)
+    hits = gene_hits(shapes, numbered, strand_mode, width, max_rows)
+    return (hits.groupBy("srr", "gene_no").agg(F.sum("n").alias("count")).join(genes, "gene_no")
+            .select("srr", "gene_id", "count"))
 
 
 def gene_counts(alignments: DataFrame, exons: DataFrame, paired: bool = False, strand_mode: int = 0,
                 width: int = BIN_WIDTH, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Reads (or pairs) per run and gene, for genes that have any; see ``gene_count_summary`` for the zeros."""
-    hits = gene_hits(fragments(alignments, paired), exons, strand_mode, width, max_rows)
-    return hits.groupBy("srr", "gene_id").agg(F.sum("n").alias("count"))
+    return _hit_counts(fragments(alignments, paired), exons, strand_mode, width, max_rows)
 
 
 def gene_counts_by_mode(alignments: DataFrame, exons: DataFrame, modes: DataFrame, width: int = BIN_WIDTH,
@@ -370,8 +394,7 @@ def gene_counts_by_mode(alignments: DataFrame, exons: DataFrame, modes: DataFram
         return fragments(rows.join(modes.where(F.col("paired") == paired).select("srr"), "srr", "left_semi"), paired)
 
     shapes = of(alignments, False).unionByName(of(alignments if pairs is None else pairs, True), allowMissingColumns=True)
-    hits = gene_hits(shapes.join(modes.select("srr", "strand_mode"), "srr"), exons, "strand_mode", width, max_rows)
-    return hits.groupBy("srr", "gene_id").agg(F.sum("n").alias("count"))
+    return _hit_counts(shapes.join(modes.select("srr", "strand_mode"), "srr"), exons, "strand_mode", width, max_rows)
 
 
 def gene_count_summary(counts: DataFrame, runs: DataFrame, exons: DataFrame,

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from cohortqc import schemas
 from cohortqc.functions import cigar as C
-from cohortqc.operators.alignments import UNMAPPED, block_rows, fragments, has, is_collapsed, primary, shape_key
+from cohortqc.operators.alignments import (
+    MINUS, PLUS, UNMAPPED, block_rows, fragments, has, is_collapsed, numbered_genes, primary, shape_key,
+)
 from cohortqc.operators.intervals import BIN_WIDTH, FACTOR, clip_to_bins, overlap_join
 from cohortqc.session import BROADCAST_ROWS, written
 
@@ -141,8 +143,9 @@ def depth_stretches(alignments: DataFrame, transcripts: DataFrame, min_length: i
                         F.when(minus, last - b).otherwise(a).alias("a"), F.when(minus, last - a).otherwise(b).alias("b"))
     edges = F.array(F.struct(F.col("a").alias("at"), F.col("n").alias("d")),
                     F.struct((F.col("b") + 1).alias("at"), (-F.col("n")).alias("d")))
-    change = (placed.select("srr", "tx", "tx_len", F.inline(edges)).groupBy("srr", "tx", "tx_len", "at")
-              .agg(F.sum("d").alias("d")))
+    # dealt once, before a piece becomes two edges: sums and windows of a transcript find their rows in place
+    change = (placed.repartition("srr", "tx", "tx_len").select("srr", "tx", "tx_len", F.inline(edges))
+              .groupBy("srr", "tx", "tx_len", "at").agg(F.sum("d").alias("d")))
     order = W.partitionBy("srr", "tx", "tx_len").orderBy("at")
     return (change.select("srr", "tx", "tx_len", F.col("at").alias("a"), (F.lead("at").over(order) - 1).alias("b"),
                           F.sum("d").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("depth"))
@@ -205,12 +208,12 @@ def strand_agreement(alignments: DataFrame, exons: DataFrame, width: int = BIN_W
                      max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per run: reads on exactly one gene, and the share of them that lie on the gene's strand."""
     shapes = fragments(alignments)
-    key = shape_key(shapes)
-    pairs = overlap_join(block_rows(shapes), exons.select("gene_id", "ref", "start", "end", "strand"), width=width, max_rows=max_rows)
-    reads = (pairs.groupBy(*key).agg(F.min("s_gene_id").alias("g0"), F.max("s_gene_id").alias("g1"),
-                                     F.min("s_strand").alias("strand"), F.max("n").alias("n"))
+    numbered, _ = numbered_genes(exons)
+    pairs = overlap_join(block_rows(shapes), numbered, width=width, max_rows=max_rows)
+    reads = (pairs.groupBy(*shape_key(shapes)).agg(F.min("s_gene_no").alias("g0"), F.max("s_gene_no").alias("g1"),
+                                                   F.min("s_strand").alias("strand"), F.max("n").alias("n"))
              .where(F.col("g0") == F.col("g1")))
-    agrees = F.when(F.col("reverse"), "-").otherwise("+") == F.col("strand")
+    agrees = F.when(F.col("reverse"), MINUS).otherwise(PLUS) == F.col("strand")
     on = F.coalesce(F.sum(F.when(agrees, F.col("n"))), F.lit(0))
     return reads.groupBy("srr").agg(F.sum("n").alias("reads_on_genes"),
                                     (on / F.sum("n")).alias("correct_strand_share"))

@@ -15,7 +15,6 @@ from cohortqc.session import BROADCAST_ROWS
 
 BIN_WIDTH = 1_000
 LEVELS, FACTOR = 5, 16
-SALTS = 16
 
 
 def level_widths(width: int = BIN_WIDTH) -> list[int]:
@@ -68,24 +67,18 @@ def probes(rows: DataFrame, levels: list[int], width: int = BIN_WIDTH) -> DataFr
     return rows.select("*", F.inline(F.concat(*[of_level(level) for level in levels])))
 
 
-def equi_join(big: DataFrame, small: DataFrame, on: list[str], small_rows: int, salt_by: list[str],
-              max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
-    """Inner join that survives a hot key.
+def equi_join(big: DataFrame, small: DataFrame, on: list[str], small_rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join of many rows with fewer.
 
-    If ``small`` is known to be small (``small_rows`` was counted) it is broadcast and ``big`` does not move.
-    Otherwise both sides are shuffled with a salt in the key: the big side takes one of ``salts`` values from a hash of
-    ``salt_by``, the other side is repeated for each, so the rows of one key spread over ``salts`` tasks (and AQE
-    splits further what is still large).
+    If ``small`` is known to be small (``small_rows`` was counted) it is broadcast and ``big`` does not move. Otherwise
+    both sides are shuffled once, no row is repeated, and hash tables of ``small`` spare the sort of both sides; a hot
+    key of ``big`` is split by AQE. The hint also keeps Spark from broadcasting on its own: it estimates exploded rows by
+    the size of the file they come from.
     """
-    if small_rows <= max_rows:
-        return big.join(F.broadcast(small), on)
-    salt = F.pmod(F.hash(*[F.col(c) for c in salt_by]), F.lit(salts))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"]).drop("_salt")
+    return big.join(F.broadcast(small) if small_rows <= max_rows else small.hint("shuffle_hash"), on)
 
 
-def overlap_join(big: DataFrame, small: DataFrame, width: int = BIN_WIDTH, max_rows: int = BROADCAST_ROWS,
-                 salts: int = SALTS) -> DataFrame:
+def overlap_join(big: DataFrame, small: DataFrame, width: int = BIN_WIDTH, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """All pairs of rows with equal ``ref`` whose inclusive [start, end] share a base.
 
     ``big`` keeps its names; the columns of ``small`` come out with the prefix ``s_``. ``small`` is read twice: to count
@@ -95,7 +88,7 @@ def overlap_join(big: DataFrame, small: DataFrame, width: int = BIN_WIDTH, max_r
     rows = level_rows(right, width, "s_start", "s_end")
     left = probes(big, sorted(rows) or [0], width)
     pairs = equi_join(left, in_bins(right, width, "s_start", "s_end"), ["ref", "_level", "_bin"], sum(rows.values()),
-                      [c for c in big.columns if c != "ref"], max_rows, salts)
+                      max_rows)
     home = _at_level(F.col("_level"), width, lambda w: F.floor(F.greatest("start", "s_start") / w))
     return (pairs.where((F.col("start") <= F.col("s_end")) & (F.col("s_start") <= F.col("end")) & (F.col("_bin") == home))
             .drop("_level", "_bin"))
