@@ -59,6 +59,11 @@ def mark_done(runs: DataFrame, path: str) -> None:
     runs.select("srr", F.current_timestamp().alias("finished_at")).write.mode("append").parquet(path)
 
 
+def sorted_files(rows: int, per_file: int = 1_000_000, least: int = 12) -> int:
+    """How many files a sorted table of so many rows gets: a task sorts one file, whatever the size of the table."""
+    return max(least, -(-rows // per_file))
+
+
 def write_sorted(alignments: DataFrame, path: str, partitions: int | None = None) -> None:
     """Alignments in coordinate order: file by file in ranges, sorted inside each file, so a reader of one region skips
     all other files and row groups by their statistics."""

@@ -51,7 +51,8 @@ def mapq_filter(spark, sf):
 def coordinate_sort(spark, sf):
     """The sorted sink, and how often its files depart from the order: rows are compared by their places in the files."""
     path = shared_folder(spark, "sorted")
-    sinks.write_sorted(reads(spark, sf), path, 12)
+    rows = reads(spark, sf)
+    sinks.write_sorted(rows, path, sinks.sorted_files(rows.count()))
     breaks = sinks.order_breaks(spark, path, ["ref", "pos", "qname"]).select(
         F.col("inside").cast("int").alias("inside"), F.col("between").cast("int").alias("between"))
     by_ref = spark.read.parquet(path).groupBy("ref").agg(
