@@ -143,13 +143,13 @@ def depth_stretches(alignments: DataFrame, transcripts: DataFrame, min_length: i
                         F.when(minus, last - b).otherwise(a).alias("a"), F.when(minus, last - a).otherwise(b).alias("b"))
     edges = F.array(F.struct(F.col("a").alias("at"), F.col("n").alias("d")),
                     F.struct((F.col("b") + 1).alias("at"), (-F.col("n")).alias("d")))
-    # dealt once, before a piece becomes two edges: sums and windows of a transcript find their rows in place
-    change = (placed.repartition("srr", "tx", "tx_len").select("srr", "tx", "tx_len", F.inline(edges))
-              .groupBy("srr", "tx", "tx_len", "at").agg(F.sum("d").alias("d")))
+    # dealt once, before a piece becomes two edges, and sorted once: no aggregate holds the edges of a task. The last
+    # edge of a place knows the depth up to the next one
+    change = placed.repartition("srr", "tx", "tx_len").select("srr", "tx", "tx_len", F.inline(edges))
     order = W.partitionBy("srr", "tx", "tx_len").orderBy("at")
     return (change.select("srr", "tx", "tx_len", F.col("at").alias("a"), (F.lead("at").over(order) - 1).alias("b"),
-                          F.sum("d").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("depth"))
-            .where("depth > 0"))
+                          F.sum("d").over(order.rangeBetween(W.unboundedPreceding, W.currentRow)).alias("depth"))
+            .where("depth > 0 AND b >= a"))
 
 
 def _overlap(a: Column, b: Column) -> Column:
