@@ -49,9 +49,8 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     return np.array([digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends.tolist())], np.uint64)
 
 
-def simhash(text: str, words: int = SHINGLE) -> int:
-    """A bit is 1 if set in over half the hashes of the shingles, repeats included."""
-    hashes = shingle_hashes(text, words)
+def print_of(hashes: np.ndarray) -> int:
+    """A bit is 1 if set in over half the hashes; zero if there are none."""
     n, ones = len(hashes), np.zeros(64, np.int64)
     if not n:
         return 0
@@ -61,6 +60,11 @@ def simhash(text: str, words: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def simhash(text: str, words: int = SHINGLE) -> int:
+    """The fingerprint of a text's shingles, repeats included."""
+    return print_of(shingle_hashes(text, words))
+
+
 def _signed(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
