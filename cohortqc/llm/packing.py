@@ -32,8 +32,8 @@ STEPS_PER_GROUP = 8
 CACHE_ENTRIES, CACHE_CHARS, TEXTS_AT_ONCE = 800_000, 48, 64
 # in a chain of stages workers outlive their stage, and what they remember lies beside the other stages' memory
 CHAIN_CACHE_ENTRIES = 100_000
-# unknown chunks that go to the tokenizer as one text
-CHUNKS_AT_ONCE = 4096
+# unknown chunks that go to the tokenizer as one text; its time a chunk grows with the text
+CHUNKS_AT_ONCE = 1024
 
 # White space of the byte-level pre-tokenizer's pattern.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"

@@ -152,3 +152,14 @@ def test_sequences_hold_the_ids(spark):
     for r in pieces.collect():
         part = ids[r.sequence_id][r.offset:r.offset + r.length]
         assert zlib.crc32(np.array(part, "<u4").tobytes()) == r.ids_crc32
+
+
+def test_unknown_chunks_reach_the_tokenizer_in_short_runs(monkeypatch):
+    """Its time a chunk grows with the length of the run."""
+    tokenizer, lengths = P.ByteBpe(BPE), []
+    encode = tokenizer._encode
+    monkeypatch.setattr(tokenizer, "_encode", lambda texts: lengths.extend(len(t) for t in texts) or encode(texts))
+    text = " ".join(f"word{k:05}x" for k in range(6000))
+    [got] = tokenizer.ids([text])
+    assert max(lengths) <= 16_384
+    assert np.frombuffer(got, "<u4").tolist() == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
