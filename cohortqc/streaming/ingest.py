@@ -1,6 +1,7 @@
 """Incremental ingest as streams; batch and stream share one store, a plain Parquet table."""
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortqc import schemas
@@ -39,8 +40,15 @@ def stream_stage(spark: SparkSession, stage: str, folder_path: str, done_path: s
 
 
 def stream_all(spark: SparkSession, root: str, done_path: str, checkpoint_root: str, timeout: int | None = None) -> None:
-    """One pass over all ten stages."""
-    for stage in schemas.STAGES:
-        query = stream_stage(spark, stage, f"{root}/{stage}", done_path, f"{root}/{stage}.parquet",
-                             f"{checkpoint_root}/{stage}")
-        query.awaitTermination(timeout)
+    """One pass over all ten stages. Their streams run side by side, each with a store and a checkpoint of its own; a
+    stream that fails stops the call once the others were waited for."""
+    queries = [stream_stage(spark, stage, f"{root}/{stage}", done_path, f"{root}/{stage}.parquet",
+                            f"{checkpoint_root}/{stage}") for stage in schemas.STAGES]
+    failed = []
+    for query in queries:
+        try:
+            query.awaitTermination(timeout)
+        except StreamingQueryException as error:
+            failed.append(error)
+    if failed:
+        raise failed[0]

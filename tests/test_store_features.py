@@ -184,3 +184,37 @@ def test_roll_up_of_nothing(spark):
     [row] = X.experiment_features(rows).collect()
     assert row.srx == "e1" and row.number_reads == 0.0 and row.percent_alignment is None
     assert X.experiment_features(rows).columns == ["srx", *schemas.FEATURES]
+
+
+def test_streams_of_all_stages_run_side_by_side(spark, tmp_path, monkeypatch):
+    from cohortqc.streaming import ingest
+    told = []
+
+    class Started:
+        def __init__(self, stage):
+            told.append(("start", stage))
+            self.stage = stage
+
+        def awaitTermination(self, timeout=None):
+            told.append(("wait", self.stage))
+
+    monkeypatch.setattr(ingest, "stream_stage", lambda spark, stage, *paths: Started(stage))
+    ingest.stream_all(spark, str(tmp_path), f"{tmp_path}/done", f"{tmp_path}/checkpoints")
+    assert told == [(what, stage) for what in ("start", "wait") for stage in schemas.STAGES]
+
+
+def test_stage_views_from_shared_aggregates_are_those_of_the_sql(spark):
+    from cohortqc.workload import views
+    orders = [(1, "F", "5-LOW", 10.5), (1, "P", "1-URGENT", 7.25), (1, "P", "1-URGENT", 7.25), (2, None, None, None),
+              (None, "O", "2-HIGH", 3.0), (None, "F", None, 400000.75), (3, "O", "3-MEDIUM", 0.5), (3, None, "4-NOT", -2.5)]
+    spark.createDataFrame(orders, "o_custkey long, o_orderstatus string, o_orderpriority string, o_totalprice double"
+                          ).createOrReplaceTempView("few_orders")
+
+    def rows(text, among):
+        above = ", ".join(f"{v} AS ({among[v].replace('FROM orders', 'FROM few_orders', 1) if v == 'orders_v' else among[v]})"
+                          for v in views.needed((text,), among))
+        return sorted(map(tuple, spark.sql(f"WITH {above} SELECT * FROM {text}").collect()), key=str)
+
+    for name in set(views._FROM_RUNS) & set(views.VIEWS):
+        assert rows(name, views.SPARK_VIEWS) == rows(name, views.VIEWS), name
+    assert "run_sums_v" in views.needed(("hisat2_v",), views.SPARK_VIEWS)
