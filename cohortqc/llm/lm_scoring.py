@@ -3,7 +3,7 @@ refinement, total bits.
 
 A text is coded as its tokens, each byte by byte and bit by bit, with a closing mark; the end of a text is the empty
 token. Five predictors look up counts of the coming bit under hashed contexts: the last one, two, three and four bytes
-of the token, and all of it so far. Their log odds are mixed by weights that a gate picks, here the confidence (counts
+of the text, whichever tokens they belong to (a blank stands between two), and all of the token so far. Their log odds are mixed by weights that a gate picks, here the confidence (counts
 seen) of the two longest contexts; a refinement table then corrects the mixed probability by what really followed it.
 Bit probabilities multiply to a probability of the text that sums to one over all texts.
 
@@ -12,10 +12,13 @@ its own. A text's domain is hidden: its probability is the mixture over domains,
 documents, so the first words of a text decide by which domain the rest is coded. The text's own language is never
 looked at.
 
-Contexts stop at the token's start, so a token's bits depend on the token alone: the corpus is coded once per distinct
-token and not once per occurrence, which is what makes a bit-level model affordable here. Texts are read once. Each
-block of texts (``BLOCK_BYTES`` at most) sends its distinct tokens with the documents that hold them; the vocabulary
-meets its counts and its code length, and the numbers return to the block. A frequent token is one row per block.
+Four bytes of context reach past a token's start only from its first ``HEAD`` bytes (the closing mark counts as one). Such
+a byte is coded once per distinct window of five bytes, the others depend on their token alone and are coded once per
+distinct token: the score is that of the whole text, byte by byte, and no occurrence is coded twice. Each block of texts
+(``BLOCK_BYTES`` at most) sends its windows with their training counts and its distinct tokens with the documents that
+hold them; the vocabulary meets its counts and its code length, and the numbers return to the block. A frequent token is
+one row per block. Windows are scored where the texts lie, in a second reading, each once a task; their sums return to the
+rows by the texts' digests.
 
 Learning is distributed and online: counts add up over tasks; each task runs through its training tokens in small
 steps, predicting every bit from counts without the occurrence at hand and correcting the weights of the gate in use
@@ -28,6 +31,7 @@ count as often as they occur. An empty table gives an empty result.
 """
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 
@@ -46,10 +50,82 @@ COUNT_TASKS, STEP_BYTES, ROUNDS, RIDGE = 12, 16_384, 2, 5.0
 DOMAINS = 7
 GATES, REFINE_STEPS = 64, 33
 CLOSE = 0x20
+# bytes of a token whose last four bytes of context reach past its start
+HEAD = 3
 PRIOR = 0.1
+BASE, APART = 0x9E3779B97F4A7C15, 0xA24BAED4963EE407
+SLICE_BYTES, HEADS_KEPT = 4 << 20, 2_000_000
 
 SENT = ("block long, token binary, n_train array<bigint>, docs binary, doc_ids array<bigint>, "
-        "held_out array<boolean>, n_tokens array<bigint>, n_bytes array<bigint>")
+        "held_out array<boolean>, n_tokens array<bigint>, n_bytes array<bigint>, digests array<binary>, head long, n long")
+
+
+# windows: a byte of a token's head, below the four bytes before it
+
+def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts as their model reads them, each behind ``HEAD`` + 1 blanks: tokens closed by blanks, one more for the end.
+    The bytes, and the number of each one's text."""
+    words = [b" ".join(t.lower().split()) for t in texts]
+    coded = [b"    " + w + (b"  " if w else b" ") for w in words]
+    return np.frombuffer(b"".join(coded), np.uint8), np.repeat(np.arange(len(texts)), [len(c) for c in coded])
+
+
+def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of all heads, as numbers, and the text of each."""
+    joined, owner = streams(texts)
+    blank = joined == CLOSE
+    head = np.zeros(len(joined), bool)
+    for back in range(1, HEAD + 1):
+        head[back:] |= blank[:-back]
+    lead = np.flatnonzero(np.diff(owner, prepend=-1))
+    for k in range(HEAD + 1):
+        head[lead + k] = False
+    at = np.flatnonzero(head)
+    found = joined[at].astype(np.int64)
+    for back in range(1, HEAD + 2):
+        found |= joined[at - back].astype(np.int64) << (8 * back)
+    return found, owner[at]
+
+
+def slices(texts: list[bytes]):
+    """Bounds of runs of texts of about ``SLICE_BYTES``."""
+    low, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= SLICE_BYTES or i == len(texts) - 1:
+            yield low, i + 1
+            low, size = i + 1, 0
+
+
+def counted_heads(texts: list[bytes], domain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows with the domain of their text (the last eighth of the number), and how often they occur."""
+    kinds, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for low, high in slices(texts):
+        found, owner = windows(texts[low:high])
+        new, n = np.unique(found * (DOMAINS + 1) + domain[low:high][owner], return_counts=True)
+        kinds, place = np.unique(np.concatenate([kinds, new]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([counts, n]), len(kinds)).astype(np.int64)
+    return kinds, counts
+
+
+def head_contexts(window: np.ndarray, domain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The coded byte of each window, and the hash of its context under each predictor, as ``contexts`` gives them for the
+    other bytes."""
+    before = [(window >> (8 * k)) & 255 for k in range(HEAD + 2)]
+    wide = [b.astype(np.uint64) + np.uint64(1) for b in before]
+    found = np.zeros((len(TABLE_BITS), len(window)), np.uint64)
+    history = np.zeros(len(window), np.uint64)
+    for order in range(1, len(TABLE_BITS)):
+        history = history | (wide[order] << np.uint64(9 * (order - 1)))
+        found[order - 1] = history
+    base = np.uint64(BASE)
+    one, two = wide[1] * base + np.uint64(1), (wide[2] + wide[1] * base) * base + np.uint64(2)
+    found[-1] = np.where(before[1] == CLOSE, np.uint64(0), np.where(before[2] == CLOSE, one, two))
+    return before[0].astype(np.uint8), found + (domain.astype(np.uint64) + np.uint64(1)) * np.uint64(APART)
+
+
+def digest_of(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16).digest()
 
 
 # texts to distinct tokens with postings
@@ -68,9 +144,17 @@ def _block(number: int, texts: list[str], doc_ids: list, held: list[bool], domai
     cuts = np.searchsorted(token, np.arange(n_tokens + 1))
     learned = np.bincount(token * n_domains + domains[doc], weights=train[doc], minlength=n_tokens * n_domains).astype(np.int64)
     ends = np.bincount(domains[train], minlength=n_domains)
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     yield pa.RecordBatch.from_pylist([{
         "block": number, "doc_ids": doc_ids, "held_out": held, "n_tokens": (n_words + 1).tolist(),
-        "n_bytes": [len(t.encode("utf-8", "surrogatepass")) for t in texts]}], schema=schema)
+        "n_bytes": [len(t) for t in raw], "digests": [digest_of(t) for t in raw]}], schema=schema)
+    heads, n_heads = counted_heads([t for t, learn in zip(raw, train) if learn], domains[train])
+    del raw
+    for low in range(0, len(heads), 100_000):
+        n = len(heads[low:low + 100_000])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, number)), *[pa.nulls(n, f.type) for f in list(schema)[1:9]],
+             pa.array(heads[low:low + n]), pa.array(n_heads[low:low + n])], schema=schema)
     yield pa.RecordBatch.from_pylist([{
         "block": number, "token": b"", "n_train": ends.tolist(),
         "docs": np.arange(len(texts), dtype="<u2").tobytes()}], schema=schema)
@@ -83,7 +167,7 @@ def _block(number: int, texts: list[str], doc_ids: list, held: list[bool], domai
             [pa.array(np.full(n, number)), coded.dictionary.slice(low, n).cast(pa.large_binary()).cast(pa.binary()),
              pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * n_domains, pa.int32()),
                                       pa.array(learned[low * n_domains:(low + n) * n_domains])), postings,
-             *[pa.nulls(n, schema.field(c).type) for c in range(4, 8)]], schema=schema)
+             *[pa.nulls(n, f.type) for f in list(schema)[4:]]], schema=schema)
 
 
 def _blocks(n_domains: int, schema: pa.Schema):
@@ -116,7 +200,8 @@ def domains_of(docs: DataFrame, held_out: Column) -> tuple[list[str], np.ndarray
 def sent_tokens(spark: SparkSession, docs: DataFrame, held_out: Column, langs: list[str], n_domains: int) -> DataFrame:
     schema = pa.schema([("block", pa.int64()), ("token", pa.binary()), ("n_train", pa.list_(pa.int64())), ("docs", pa.binary()),
                         ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
-                        ("n_tokens", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64()))])
+                        ("n_tokens", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())),
+                        ("digests", pa.list_(pa.binary())), ("head", pa.int64()), ("n", pa.int64())])
     domain = F.lit(n_domains - 1)
     for k, lang in enumerate(langs):
         domain = F.when(F.col("lang") == lang, k).otherwise(domain)
@@ -127,9 +212,10 @@ def sent_tokens(spark: SparkSession, docs: DataFrame, held_out: Column, langs: l
 
 # the model
 
-def contexts(tokens: list[bytes], domain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of every byte of the closed tokens: the byte, the number of its token, and the hash of its context, in the
-    token's domain, under each predictor."""
+def contexts(tokens: list[bytes], domain: np.ndarray, skip: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every byte of the closed tokens, but for the first ``skip`` of each: the byte, the number of its token, and the
+    hash of its context, in the token's domain, under each predictor. What stands before a token is not known here:
+    bytes whose context reaches there (``HEAD`` of them) are for ``head_contexts``."""
     joined = np.frombuffer(b"".join(t + bytes([CLOSE]) for t in tokens), np.uint8)
     sizes = np.array([len(t) + 1 for t in tokens])
     starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -144,7 +230,7 @@ def contexts(tokens: list[bytes], domain: np.ndarray) -> tuple[np.ndarray, np.nd
         history = history | (before << np.uint64(9 * (order - 1)))
         found[order - 1] = history
     # hash of the token so far: a running polynomial, cut at the token's start by the inverse of its base there
-    base = 0x9E3779B97F4A7C15
+    base = BASE
     inverse = pow(base, -1, 1 << 64)
     powers = np.ones(len(joined) + 1, np.uint64)
     powers[1:] = np.uint64(base)
@@ -155,7 +241,9 @@ def contexts(tokens: list[bytes], domain: np.ndarray) -> tuple[np.ndarray, np.nd
     running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(wide * powers[:-1], dtype=np.uint64)])
     found[-1] = (running[:-1] - running[starts]) * backs[starts] * np.uint64(base) + place.astype(np.uint64)
     owner = np.repeat(np.arange(len(tokens)), sizes)
-    return joined, owner, found + (domain[owner].astype(np.uint64) + np.uint64(1)) * np.uint64(0xA24BAED4963EE407)
+    if skip:
+        joined, owner, found = joined[place >= skip], owner[place >= skip], found[:, place >= skip]
+    return joined, owner, found + (domain[owner].astype(np.uint64) + np.uint64(1)) * np.uint64(APART)
 
 
 def slots(joined: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -185,13 +273,24 @@ def steps_of(tokens: list[bytes], domain: np.ndarray, weights: np.ndarray):
 
 
 def _training_steps(batches):
-    """Runs of tokens with their domain and count, one for each domain that has the token."""
+    """Bytes to learn from, in small steps: the byte, its contexts and its count. Tokens past their heads and windows, each
+    once for every domain that has it."""
     for batch in batches:
-        if batch.num_rows:
-            tokens = batch.column("token").to_pylist()
-            counts = np.array(batch.column("c").to_pylist(), np.float64)
+        kept = batch.filter(pc.is_valid(batch.column("token")))
+        if kept.num_rows:
+            tokens = kept.column("token").to_pylist()
+            counts = np.array(kept.column("c").to_pylist(), np.float64)
             at, domain = np.nonzero(counts)
-            yield from steps_of([tokens[i] for i in at], domain, counts[at, domain])
+            long = [i for i in range(len(at)) if len(tokens[at[i]]) >= HEAD]
+            at, domain = at[long], domain[long]
+            for part, where, c in steps_of([tokens[i] for i in at], domain, counts[at, domain]):
+                joined, owner, found = contexts(part, where, HEAD)
+                yield joined, found, c[owner]
+        kept = batch.filter(pc.is_valid(batch.column("head")))
+        heads, n = (kept.column(c).to_numpy(zero_copy_only=False) for c in ("head", "n"))
+        for low in range(0, len(heads), STEP_BYTES):
+            window, domain = np.divmod(heads[low:low + STEP_BYTES], DOMAINS + 1)
+            yield *head_contexts(window, domain), n[low:low + STEP_BYTES].astype(np.float64)
 
 
 def empty_tables() -> list[np.ndarray]:
@@ -200,8 +299,12 @@ def empty_tables() -> list[np.ndarray]:
 
 def add_counts(tables: list[np.ndarray], tokens: list[bytes], domain: np.ndarray, weights: np.ndarray) -> None:
     joined, owner, found = contexts(tokens, domain)
+    add_bits(tables, joined, found, weights[owner])
+
+
+def add_bits(tables: list[np.ndarray], joined: np.ndarray, found: np.ndarray, weights: np.ndarray) -> None:
     bits, at = slots(joined, found)
-    c = np.repeat(weights[owner], 8)
+    c = np.repeat(weights, 8)
     for k, table in enumerate(tables):
         np.add.at(table.reshape(-1), bits * table.shape[1] + at[k], c)
 
@@ -210,7 +313,7 @@ def _count_tables(batches):
     """Bit counts of one task, in chunks of table slots."""
     tables = empty_tables()
     for step in _training_steps(batches):
-        add_counts(tables, *step)
+        add_bits(tables, *step)
     width = 1 << CHUNK_BITS
     for k, table in enumerate(tables):
         for low in range(0, table.shape[1], width):
@@ -290,12 +393,11 @@ def _learn(tables, start: np.ndarray):
     def run(batches):
         weights, used, found_odds = start.copy(), np.zeros(GATES), None
         curved = np.zeros((GATES, start.shape[1], start.shape[1]))
-        for tokens, domain, c in _training_steps(batches):
+        for joined, found, c in _training_steps(batches):
             found_odds = found_odds or lookups(tables.value, 1)
-            joined, owner, found = contexts(tokens, domain)
             bits, at = slots(joined, found)
             odds, gate = inputs(found_odds, bits, at, 1)
-            each = np.repeat(c[owner], 8)
+            each = np.repeat(c, 8)
             learn_step(weights, curved, odds, gate, bits, each)
             used += np.bincount(gate, each, GATES)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(GATES)), pa.array(used),
@@ -314,13 +416,12 @@ def _refine(tables, weights: np.ndarray):
     """What followed each mixed probability, by gate."""
     def run(batches):
         total, ones, found_odds = np.zeros((GATES, REFINE_STEPS)), np.zeros((GATES, REFINE_STEPS)), None
-        for tokens, domain, c in _training_steps(batches):
-            joined, owner, found = contexts(tokens, domain)
+        for joined, found, c in _training_steps(batches):
             bits, at = slots(joined, found)
             found_odds = found_odds or lookups(tables.value, 1)
             odds, gate = inputs(found_odds, bits, at, 1)
             low, far = refine_place(mix(weights, odds, gate))
-            w = np.repeat(c[owner], 8)
+            w = np.repeat(c, 8)
             for step, share in ((low, 1 - far), (low + 1, far)):
                 total += np.bincount(gate * REFINE_STEPS + step, w * share, GATES * REFINE_STEPS).reshape(total.shape)
                 ones += np.bincount(gate * REFINE_STEPS + step, w * share * bits, GATES * REFINE_STEPS).reshape(total.shape)
@@ -329,34 +430,79 @@ def _refine(tables, weights: np.ndarray):
     return run
 
 
-def token_scores(tokens: list[bytes], n_domains: int, found_odds: list, weights: np.ndarray, refined: np.ndarray) -> np.ndarray:
-    """log10 probability of each token in each domain."""
+def byte_scores(joined: np.ndarray, found: np.ndarray, found_odds: list, weights: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """log10 probability of each byte in its context."""
+    bits, at = slots(joined, found)
+    odds, gate = inputs(found_odds, bits, at, 0)
+    mixed = mix(weights, odds, gate)
+    place, far = refine_place(mixed)
+    place += gate * REFINE_STEPS
+    p = (squash(mixed) + flat[place] * (1 - far) + flat[place + 1] * far) / 2
+    chosen = np.where(bits == 1, p, 1 - p).reshape(-1, 8)
+    return np.log10(chosen.prod(axis=1, dtype=np.float64))
+
+
+def token_scores(tokens: list[bytes], n_domains: int, found_odds: list, weights: np.ndarray, refined: np.ndarray,
+                 skip: int = 0) -> np.ndarray:
+    """log10 probability of each token past its first ``skip`` bytes, in each domain."""
     out = np.zeros((n_domains, len(tokens)))
     flat = refined.astype(np.float32).ravel()
+    long = np.flatnonzero(np.array([len(t) >= skip for t in tokens], bool))
+    coded = [tokens[i] for i in long]
     for k in range(n_domains):
         low = 0
-        for part, domain, _ in steps_of(tokens, np.full(len(tokens), k), np.ones(len(tokens))):
-            joined, owner, found = contexts(part, domain)
-            bits, at = slots(joined, found)
-            odds, gate = inputs(found_odds, bits, at, 0)
-            mixed = mix(weights, odds, gate)
-            place, far = refine_place(mixed)
-            place += gate * REFINE_STEPS
-            p = (squash(mixed) + flat[place] * (1 - far) + flat[place + 1] * far) / 2
-            chosen = np.where(bits == 1, p, 1 - p).reshape(-1, 8)
-            by_byte = np.log10(chosen.prod(axis=1, dtype=np.float64))
-            out[k, low:low + len(part)] = np.bincount(owner, weights=by_byte, minlength=len(part))
+        for part, domain, _ in steps_of(coded, np.full(len(coded), k), np.ones(len(coded))):
+            joined, owner, found = contexts(part, domain, skip)
+            by_byte = byte_scores(joined, found, found_odds, weights, flat)
+            out[k, long[low:low + len(part)]] = np.bincount(owner, weights=by_byte, minlength=len(part))
             low += len(part)
     return out.T
 
 
+def head_scores(window: np.ndarray, n_domains: int, found_odds: list, weights: np.ndarray, refined: np.ndarray) -> np.ndarray:
+    """log10 probability of the byte of each window, in each domain."""
+    out = np.zeros((len(window), n_domains), np.float32)
+    flat = refined.astype(np.float32).ravel()
+    for k in range(n_domains):
+        for low in range(0, len(window), STEP_BYTES):
+            part = window[low:low + STEP_BYTES]
+            out[low:low + STEP_BYTES, k] = byte_scores(*head_contexts(part, np.full(len(part), k)), found_odds, weights, flat)
+    return out
+
+
+def _score_heads(n_domains: int, tables, weights: np.ndarray, refined: np.ndarray):
+    """The heads of each text, in each domain. A task scores each window once, until it holds ``HEADS_KEPT``."""
+    def run(batches):
+        found_odds, known, scores = None, np.zeros(0, np.int64), np.zeros((0, n_domains), np.float32)
+        for batch in batches:
+            texts = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+            for low, high in slices(texts):
+                found_odds = found_odds or lookups(tables.value, 0)
+                part = texts[low:high]
+                found, owner = windows(part)
+                kinds, place = np.unique(found, return_inverse=True)
+                new = np.setdiff1d(kinds, known, assume_unique=True)
+                if len(known) + len(new) > HEADS_KEPT:
+                    known, scores, new = known[:0], scores[:0], kinds
+                known = np.concatenate([known, new])
+                order = np.argsort(known)
+                scores = np.concatenate([scores, head_scores(new, n_domains, found_odds, weights, refined)])[order]
+                known = known[order]
+                at = np.searchsorted(known, kinds)[place]
+                sums = np.stack([np.bincount(owner, scores[at, k], len(part)) for k in range(n_domains)], axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([digest_of(t) for t in part], pa.binary()), pa.array(list(sums), pa.list_(pa.float64()))],
+                    names=["digest", "heads"])
+    return run
+
+
 def _score_vocabulary(n_domains: int, tables, weights: np.ndarray, refined: np.ndarray):
     def run(batches):
         found_odds = None
         for batch in batches:
             if batch.num_rows:
                 found_odds = found_odds or lookups(tables.value, 0)
-                scores = token_scores(batch.column("token").to_pylist(), n_domains, found_odds, weights, refined)
+                scores = token_scores(batch.column("token").to_pylist(), n_domains, found_odds, weights, refined, HEAD)
                 c = np.array(batch.column("c").to_pylist(), np.int64).sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("token"), pa.array(c), pa.array([row.tobytes() for row in scores.astype("<f4")], pa.binary())],
@@ -364,9 +510,10 @@ def _score_vocabulary(n_domains: int, tables, weights: np.ndarray, refined: np.n
     return run
 
 
-def train(spark: SparkSession, vocabulary: DataFrame):
+def train(spark: SparkSession, vocabulary: DataFrame, heads: DataFrame):
     """Count tables (broadcast; their size is fixed), weights by gate, refinement by gate."""
-    learned = vocabulary.where(F.exists("c", lambda n: n > 0)).coalesce(COUNT_TASKS)
+    known = vocabulary.where(F.exists("c", lambda n: n > 0))
+    learned = known.unionByName(heads, allowMissingColumns=True).coalesce(COUNT_TASKS)
     chunks = (learned.mapInArrow(_count_tables, "k int, low long, counts binary").groupBy("k", "low")
               .applyInArrow(_sum_chunks, "k int, low long, counts binary").toArrow())
     tables = [np.zeros((2, 1 << b), np.float32) for b in TABLE_BITS]
@@ -392,11 +539,12 @@ def train(spark: SparkSession, vocabulary: DataFrame):
 
 # back to the documents
 
-OUT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-       "score double, bits_per_byte double")
+OUT = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+GATHERED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+            "n_bytes long, digest binary, tails array<double>")
 
 
-def _gather(n_train: int, kinds: int, shares: np.ndarray):
+def _gather(n_train: int, kinds: int, n_domains: int):
     scale = math.log10(n_train + PRIOR * (kinds + 1))
 
     def run(key: tuple[pa.Scalar, ...], postings: pa.Table, about: pa.Table) -> pa.Table:
@@ -406,23 +554,31 @@ def _gather(n_train: int, kinds: int, shares: np.ndarray):
         sizes = [len(b) // 2 for b in packed]
         docs = np.frombuffer(b"".join(packed), "<u2").astype(np.int64)
         c = np.repeat(postings.column("c").to_numpy().astype(np.float64), sizes)
-        by_token = np.frombuffer(b"".join(postings.column("scores").to_pylist()), "<f4").astype(np.float64).reshape(-1, len(shares))
-        by_domain = np.stack([np.bincount(docs, np.repeat(by_token[:, k], sizes), n)
-                              for k in range(len(shares))]) + np.log10(shares)[:, None]
-        best = by_domain.max(axis=0)
-        total = best + np.log10((10.0 ** (by_domain - best)).sum(axis=0))
+        by_token = np.frombuffer(b"".join(postings.column("scores").to_pylist()), "<f4").astype(np.float64).reshape(-1, n_domains)
+        tails = np.stack([np.bincount(docs, np.repeat(by_token[:, k], sizes), n) for k in range(n_domains)], axis=1)
         n_tokens = np.array(row["n_tokens"], np.int64)
-        n_bytes = np.maximum(np.array(row["n_bytes"]), 1)
         return pa.table({
             "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held_out"]), "n_tokens": n_tokens,
             "n_known": np.bincount(docs, c > 0, n).astype(np.int64), "train_tokens": np.full(n, n_train),
-            "base_score": np.bincount(docs, np.log10(c + PRIOR), n) - n_tokens * scale, "score": total,
-            "bits_per_byte": -total / math.log10(2) / n_bytes})
+            "base_score": np.bincount(docs, np.log10(c + PRIOR), n) - n_tokens * scale,
+            "n_bytes": pa.array(row["n_bytes"], pa.int64()), "digest": pa.array(row["digests"], pa.binary()),
+            "tails": pa.array(list(tails), pa.list_(pa.float64()))})
     return run
 
 
+def mixed_domains(rows: DataFrame, shares: np.ndarray) -> DataFrame:
+    """``OUT``: the probability of a text is the mixture of its domains' ones."""
+    logs = F.array(*[F.lit(float(x)) for x in np.log10(shares)])
+    added = F.zip_with(F.zip_with("tails", "heads", lambda a, b: a + b), logs, lambda a, b: a + b)
+    best = rows.withColumn("by_domain", added).withColumn("best", F.array_max("by_domain"))
+    powers = F.transform("by_domain", lambda x: F.pow(F.lit(10.0), x - F.col("best")))
+    total = F.col("best") + F.log10(F.aggregate(powers, F.lit(0.0), lambda a, x: a + x))
+    return best.withColumn("score", total).withColumn(
+        "bits_per_byte", -F.col("score") / math.log10(2) / F.greatest("n_bytes", F.lit(1))).select(*OUT)
+
+
 def lm_scores(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
-    """One row (``OUT``) for each row of ``docs``; rows marked held out are scored, not learned."""
+    """One row (columns ``OUT``) for each row of ``docs``; rows marked held out are scored, not learned."""
     langs, shares = domains_of(docs, held_out)
     sent = sent_tokens(spark, docs, held_out, langs, len(shares))
     tokens = sent.where("token IS NOT NULL")
@@ -430,12 +586,18 @@ def lm_scores(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFra
     vocabulary = written(spark, tokens.groupBy("token").agg(sums.alias("c")), "lm-vocabulary")
     count = F.aggregate("c", F.lit(0).cast("bigint"), lambda a, n: a + n)
     known = vocabulary.select(count.alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    scored = written(spark, vocabulary.mapInArrow(_score_vocabulary(len(shares), *train(spark, vocabulary)),
-                                                  "token binary, c long, scores binary"), "lm-scored")
+    heads = written(spark, sent.where("head IS NOT NULL").groupBy("head").agg(F.sum("n").alias("n")), "lm-heads")
+    model = train(spark, vocabulary, heads)
+    scored = written(spark, vocabulary.mapInArrow(_score_vocabulary(len(shares), *model), "token binary, c long, scores binary"),
+                     "lm-scored")
     back = tokens.select("block", "token", "docs").join(scored, "token").select("block", "docs", "c", "scores")
     about = sent.where("doc_ids IS NOT NULL").select(
-        F.col("block").alias("about_block"), "doc_ids", "held_out", "n_tokens", "n_bytes")
-    return back.groupBy("block").cogroup(about.groupBy("about_block")).applyInArrow(_gather(known["n"], known["v"], shares), OUT)
+        F.col("block").alias("about_block"), "doc_ids", "held_out", "n_tokens", "n_bytes", "digests")
+    rows = back.groupBy("block").cogroup(about.groupBy("about_block")).applyInArrow(
+        _gather(known["n"], known["v"], len(shares)), GATHERED)
+    texts = docs.select(whole("text").alias("text")).mapInArrow(
+        _score_heads(len(shares), *model), "digest binary, heads array<double>")
+    return mixed_domains(rows.join(written(spark, texts, "lm-texts").dropDuplicates(["digest"]), "digest"), shares)
 
 
 def contract_fold() -> Column:

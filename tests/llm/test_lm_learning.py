@@ -1,5 +1,6 @@
 """Learning of the language-model scores sees every bit."""
 import numpy as np
+from pyspark.sql import functions as F
 
 from cohortqc.llm import lm_scoring as LM
 
@@ -24,3 +25,35 @@ def test_a_predictor_sees_four_bytes():
     assert len(found) == 5 and LM.ROUNDS == 2
     assert found[2][last[0]] == found[2][last[1]] and found[3][last[0]] != found[3][last[1]]
     assert found[3][last[2]] == found[3][last[3]] and found[4][last[2]] != found[4][last[3]]
+
+
+TEXTS = [b"The cat  sat\ton a mat", b"a mat on sat cat the", b"", b" x ", "no été abcdefgh\n".encode()]
+
+
+def test_every_byte_is_coded_once_with_four_bytes_of_the_text_before_it():
+    stream = {t: b"    " + b"".join(w + b" " for w in t.lower().split()) + b" " for t in TEXTS}
+    found, owner = LM.windows(TEXTS)
+    for k, text in enumerate(TEXTS):
+        s = stream[text]
+        heads = [p for p in range(4, len(s)) if b" " in s[p - 3:p]]
+        assert [int.from_bytes(s[p - 4:p + 1]) for p in heads] == found[owner == k].tolist()
+        tokens = s[4:-1].split(b" ")[:-1] + [b""]
+        tails = LM.contexts(tokens, np.zeros(len(tokens), int), LM.HEAD)[0]
+        rest = bytes(s[p] for p in range(4, len(s)) if p not in heads)
+        assert bytes(tails[:len(rest)]) == rest and len(rest) == sum(max(0, len(t) + 1 - LM.HEAD) for t in tokens)
+
+
+def test_heads_and_tails_share_the_contexts_within_a_token():
+    [one] = [w for w in LM.windows([b"abcd"])[0] if w & 0xFFFF == int.from_bytes(b"bc")]
+    coded, found = LM.head_contexts(np.array([one]), np.array([2]))
+    joined, _, whole = LM.contexts([b"abcd"], np.array([2]))
+    assert coded[0] == joined[2] and found[[0, 1, 4], 0].tolist() == whole[[0, 1, 4], 2].tolist()
+    first = [LM.head_contexts(np.array([LM.windows([text])[0][2]]), np.array([2])) for text in (b"y abcd", b"z abcd")]
+    assert [c[0] for c, _ in first] == [ord("a")] * 2 and (first[0][1] != first[1][1]).ravel().tolist() == [False, True, True, True, False]
+
+
+def test_the_order_of_words_changes_the_score(spark):
+    docs = [(i, "the cat sat on the mat", "en") for i in range(30)] + [(100, "mat the on sat cat the", "en"), (101, None, None)]
+    rows = LM.lm_scores(spark, spark.createDataFrame(docs, "doc_id long, text string, lang string"), F.col("doc_id") >= 100).collect()
+    score = {r.doc_id: r.score for r in rows}
+    assert len(rows) == 32 and len({score[i] for i in range(30)}) == 1 and score[0] > score[100] + 1
