@@ -31,6 +31,12 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished queries. Its cleaner acts once the driver's JVM has collected what
+    refers to them, and a driver that only plans may put that off until they fill the disk."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def kept_folder(spark: SparkSession, name: str) -> str:
     """A folder of the shared place that stays the same from run to run."""
     return f"{shared_folder(spark, name).rsplit('/', 1)[0]}/{name}"
