@@ -45,6 +45,16 @@ CHUNKS = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 # white space beside white space.
 SLOW = [c for c in map(chr, range(0x3001)) if re.match(f"[\0{BLANK}]", c) and c not in " \n"] + ["  ", " \n", "\n ", "\n\n"]
 
+# Signs that close a chunk. After a letter they are a word of their own for the pre-tokenizer's pattern; letters that all
+# versions of Unicode know lie below LETTERS_BELOW.
+SIGNS, LETTERS_BELOW = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "\u0250"
+
+
+def stem_of(chunk: str) -> str:
+    """The chunk without its closing signs, where no token spans the place between; else all of it."""
+    stem = chunk.rstrip(SIGNS)
+    return stem if stem and stem[-1] < LETTERS_BELOW and stem[-1].isalpha() else chunk
+
 
 def chunks(text: str) -> list[str]:
     """The text in chunks that no token spans. Where white space is single blanks and line breaks, each blank opens a
@@ -89,13 +99,21 @@ class ByteBpe:
         starts = np.concatenate([[0], ends[:-1]]) + np.fromiter((w[0] != " " for w in words), bool, len(words))
         return [raw[4 * s:4 * e] for s, e in zip(starts.tolist(), ends.tolist())]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> list[str]:
+        """Looks up the ids of new chunks; gives those too long to be remembered. Chunks that end in signs are put together
+        from their stem, which other chunks share, and the signs."""
         others = [c for c in new if c.isspace()]
         words = [c for c in new if not c.isspace()] if others else new
-        for low in range(0, len(words), CHUNKS_AT_ONCE):
-            part = words[low:low + CHUNKS_AT_ONCE]
+        stems = list(map(stem_of, words))
+        ended = [(c, s, c[len(s):]) for c, s in zip(words, stems) if s != c]
+        lacking = list({*stems, *[tail for _, _, tail in ended]}.difference(self.known))
+        for low in range(0, len(lacking), CHUNKS_AT_ONCE):
+            part = lacking[low:low + CHUNKS_AT_ONCE]
             self.known.update(zip(part, self._encode_words(part)))
+        for c, stem, tail in ended:
+            self.known[c] = self.known[stem] + self.known[tail]
         self.known.update(zip(others, self._encode(others)))
+        return [c for c in chain(new, lacking) if len(c) > CACHE_CHARS]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -105,11 +123,10 @@ class ByteBpe:
             self.known.clear()
         self.known[""] = b""
         new = list(set(chain.from_iterable(cut)).difference(self.known))
-        self._learn(new)
+        long = self._learn(new)
         found = [b"".join(map(self.known.__getitem__, chunks)) for chunks in cut]
-        for c in new:
-            if len(c) > CACHE_CHARS:
-                del self.known[c]
+        for c in long:
+            self.known.pop(c, None)
         for i in odd:  # a special string splits its text before white space is looked at
             found[i] = self._encode([texts[i]])[0]
         return found

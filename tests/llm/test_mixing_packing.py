@@ -163,3 +163,19 @@ def test_unknown_chunks_reach_the_tokenizer_in_short_runs(monkeypatch):
     [got] = tokenizer.ids([text])
     assert max(lengths) <= 16_384
     assert np.frombuffer(got, "<u4").tolist() == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
+
+
+def test_chunks_that_end_in_signs_share_their_stem(monkeypatch):
+    """The tokenizer meets a word once, whatever signs close it; ids are those of the whole text all the same."""
+    tokenizer, plain, met = P.ByteBpe(BPE), Tokenizer.from_file(BPE), []
+    monkeypatch.setattr(tokenizer, "_encode_words", lambda words, f=tokenizer._encode_words: (met.extend(words), f(words))[1])
+    text = "alpha alpha, alpha. alpha.*** alpha beta, it's 's ' , a1, \u00e9t\u00e9! \u0416\u0436. \U0001F600! x\u00b2, don't' \"q\" ..a.. \n,\nb,"
+    long = "w" * 60
+    for t in (text, f"{long}, {long}. {long}", f" {long},"):
+        assert tokenizer.ids([t])[0] == np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert met.count(" alpha") == 1 and not [w for w in met if w.startswith(" alpha") and w != " alpha"]
+    assert not [c for c in tokenizer.known if len(c) > P.CACHE_CHARS]
+    letters = random.Random(5)
+    for _ in range(300):
+        t = "".join(letters.choices("aZ\u00e9\u00aa\u0250\u02b0 '.,!*#\n1\u00b2s\u0301\u4e2d", k=40))
+        assert tokenizer.ids([t])[0] == np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
