@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from cohortqc.llm import exact_dedup as E
 from cohortqc.llm import simhash_dedup as S
+from cohortqc.llm import components as C
 from cohortqc.llm.components import components
 from tests.llm.fixture import WORD, counter, lower, prose, rows, small, table
 
@@ -157,6 +158,17 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{i: 0 for i in range(101)}, **{i: 500 for i in range(500, 560)}}
 
 
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    """A round more only to see that nothing changes costs as much as any other."""
+    rounds = []
+    monkeypatch.setattr(C, "written", lambda s, df, name, f=C.written: (rounds.append(name), f(s, df, name))[1])
+    stars = [(k, 0) for k in range(1, 40)] + [(k, 50) for k in range(51, 60)] + [(50, 51), (70, 70)]
+    got = {r.node: r.root for r in C.components(spark, spark.createDataFrame(stars, "hi long, lo long")).collect()}
+    assert got == {**{k: 0 for k in range(40)}, **{k: 50 for k in range(50, 60)}} and len(rounds) == 1
+    chain = [(3, 1), (3, 2), (4, 2)]
+    assert {r.root for r in C.components(spark, spark.createDataFrame(chain, "hi long, lo long")).collect()} == {1}
+
+
 def test_very_long_text(spark):
     long = prose(9, 60_000)
     got = {r.doc_id: r for r in S.near_groups(spark, small(spark, [(1, long), (2, long + " end")])).collect()}
