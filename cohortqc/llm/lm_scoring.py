@@ -130,25 +130,50 @@ def digest_of(text: bytes) -> bytes:
 
 # texts to distinct tokens with postings
 
-def _block(number: int, texts: list[str], doc_ids: list, held: list[bool], domain: list[int], n_domains: int, schema: pa.Schema):
-    """One row of documents, then one row for each distinct token (the empty one is the end of a text): how often
-    training documents of each domain hold it, and the documents that hold it, once for each time."""
+def _postings(texts: list[str], train: np.ndarray, domains: np.ndarray, n_domains: int):
+    """The distinct tokens, where each one's documents begin and end, the documents, and how often training documents of
+    each domain hold it. A block's texts are millions of words: each array over them goes as soon as the next is made."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
-    words, owner = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    words, owner = lists.flatten(), pc.list_parent_indices(lists).to_numpy().astype("<u2")
+    del lists
     full = pc.greater(pc.binary_length(words), 0)
-    owner, coded = owner[full.to_numpy(zero_copy_only=False)], words.filter(full).dictionary_encode()
+    owner, words = owner[full.to_numpy(zero_copy_only=False)], words.filter(full)
+    coded = words.dictionary_encode()
+    del words, full
+    key = coded.indices.to_numpy().astype(np.int64)
+    dictionary = coded.dictionary
+    del coded
+    key *= len(texts)
+    key += owner
+    del owner
+    key.sort()
+    doc = (key % len(texts)).astype("<u2")
+    key //= len(texts)
+    cuts = np.searchsorted(key, np.arange(len(dictionary) + 1))
+    learns = train[doc]
+    key = key[learns]
+    key *= n_domains
+    key += domains[doc[learns]]
+    return dictionary, cuts, doc, np.bincount(key, minlength=len(dictionary) * n_domains)
+
+
+def _block(number: int, columns: list[list], n_domains: int, schema: pa.Schema):
+    """One row of documents, then one row for each distinct token (the empty one is the end of a text): how often
+    training documents of each domain hold it, and the documents that hold it, once for each time."""
+    texts, doc_ids, held, domain = columns
+    columns.clear()
     train, domains = ~np.array(held, bool), np.array(domain)
-    n_words = np.bincount(owner, minlength=len(texts))
-    token, doc = np.divmod(np.sort(coded.indices.to_numpy().astype(np.int64) * len(texts) + owner), len(texts))
-    n_tokens = len(coded.dictionary)
-    cuts = np.searchsorted(token, np.arange(n_tokens + 1))
-    learned = np.bincount(token * n_domains + domains[doc], weights=train[doc], minlength=n_tokens * n_domains).astype(np.int64)
+    dictionary, cuts, doc, learned = _postings(texts, train, domains, n_domains)
+    n_tokens, n_words = len(dictionary), np.bincount(doc, minlength=len(texts))
     ends = np.bincount(domains[train], minlength=n_domains)
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    n_texts, raw = len(texts), [t.encode("utf-8", "surrogatepass") for t in texts]
+    del texts
     yield pa.RecordBatch.from_pylist([{
         "block": number, "doc_ids": doc_ids, "held_out": held, "n_tokens": (n_words + 1).tolist(),
         "n_bytes": [len(t) for t in raw], "digests": [digest_of(t) for t in raw]}], schema=schema)
-    heads, n_heads = counted_heads([t for t, learn in zip(raw, train) if learn], domains[train])
+    raw = [t for t, learn in zip(raw, train) if learn]
+    pa.default_memory_pool().release_unused()
+    heads, n_heads = counted_heads(raw, domains[train])
     del raw
     for low in range(0, len(heads), 100_000):
         n = len(heads[low:low + 100_000])
@@ -157,14 +182,14 @@ def _block(number: int, texts: list[str], doc_ids: list, held: list[bool], domai
              pa.array(heads[low:low + n]), pa.array(n_heads[low:low + n])], schema=schema)
     yield pa.RecordBatch.from_pylist([{
         "block": number, "token": b"", "n_train": ends.tolist(),
-        "docs": np.arange(len(texts), dtype="<u2").tobytes()}], schema=schema)
-    packed = pa.py_buffer(doc.astype("<u2").tobytes())
+        "docs": np.arange(n_texts, dtype="<u2").tobytes()}], schema=schema)
+    packed = pa.py_buffer(doc)
     offsets = pa.py_buffer((2 * cuts).astype("<i4").tobytes())
     for low in range(0, n_tokens, 20_000):
         n = min(20_000, n_tokens - low)
         postings = pa.Array.from_buffers(pa.binary(), n, [None, offsets, packed], offset=low)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, number)), coded.dictionary.slice(low, n).cast(pa.large_binary()).cast(pa.binary()),
+            [pa.array(np.full(n, number)), dictionary.slice(low, n).cast(pa.large_binary()).cast(pa.binary()),
              pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * n_domains, pa.int32()),
                                       pa.array(learned[low * n_domains:(low + n) * n_domains])), postings,
              *[pa.nulls(n, f.type) for f in list(schema)[4:]]], schema=schema)
@@ -174,15 +199,19 @@ def _blocks(n_domains: int, schema: pa.Schema):
     def run(batches):
         number, rows, size = None, [], 0
         for batch in batches:
-            for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "text", "doc_id", "held_out", "domain"))):
-                number = part << 32 if number is None else number
-                rows.append(row)
-                size += len(row[0])
+            parts_, doc_ids, held, domain = (batch.column(c).to_pylist() for c in ("part", "doc_id", "held_out", "domain"))
+            for i, text in enumerate(batch.column("text")):
+                number = parts_[i] << 32 if number is None else number
+                rows.append((text.as_py(), doc_ids[i], held[i], domain[i]))
+                size += len(rows[-1][0])
                 if size >= BLOCK_BYTES or len(rows) >= BLOCK_DOCS:
-                    yield from _block(number, *map(list, zip(*rows)), n_domains, schema)
-                    number, rows, size = number + 1, [], 0
+                    columns, rows, size = list(map(list, zip(*rows))), [], 0
+                    yield from _block(number, columns, n_domains, schema)
+                    number += 1
+            batch = text = None
         if rows:
-            yield from _block(number, *map(list, zip(*rows)), n_domains, schema)
+            columns, rows = list(map(list, zip(*rows))), []
+            yield from _block(number, columns, n_domains, schema)
     return run
 
 

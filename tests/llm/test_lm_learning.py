@@ -57,3 +57,29 @@ def test_the_order_of_words_changes_the_score(spark):
     rows = LM.lm_scores(spark, spark.createDataFrame(docs, "doc_id long, text string, lang string"), F.col("doc_id") >= 100).collect()
     score = {r.doc_id: r.score for r in rows}
     assert len(rows) == 32 and len({score[i] for i in range(30)}) == 1 and score[0] > score[100] + 1
+
+
+def test_a_block_lets_its_words_go():
+    """Once the first rows of a block leave, its words are no longer held: only distinct tokens and places of documents are."""
+    import pyarrow as pa
+    texts = [" ".join(f"w{(i * j) % 97} Other\tword  ä" for j in range(400)) for i in range(600)]
+    n, size = len(texts), sum(len(t.encode()) for t in texts)
+    rows = pa.table({"part": pa.array([2] * n), "text": texts, "doc_id": pa.array(range(n)), "held_out": [i % 4 == 0 for i in range(n)],
+                     "domain": [i % 2 for i in range(n)]})
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("block", pa.int64()), ("token", pa.binary()), ("n_train", longs), ("docs", pa.binary()), ("doc_ids", longs),
+                        ("held_out", pa.list_(pa.bool_())), ("n_tokens", longs), ("n_bytes", longs),
+                        ("digests", pa.list_(pa.binary())), ("head", pa.int64()), ("n", pa.int64())])
+    batches = rows.to_batches()
+    before = pa.total_allocated_bytes()
+    found = LM._blocks(2, schema)(batches)
+    out = [next(found)]
+    assert pa.total_allocated_bytes() - before < size / 2
+    out += found
+    got = {t: (c, np.frombuffer(d, "<u2").tolist()) for b in out for t, c, d in zip(*(b.column(c).to_pylist() for c in ("token", "n_train", "docs"))) if t}
+    split = [t.encode().lower().split() for t in texts]
+    assert set(got) == {w for t in split for w in t}
+    for word in (b"w5", b"other", "ä".encode()):
+        assert got[word][1] == [i for i, t in enumerate(split) for w in t if w == word]
+        assert got[word][0] == [sum(t.count(word) for i, t in enumerate(split) if i % 4 and i % 2 == k) for k in range(2)]
+
