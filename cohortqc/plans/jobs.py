@@ -33,14 +33,15 @@ def qc_reads(spark: SparkSession, fastq_dir: str, manifest: DataFrame, out: str,
     """
     known = _known_runs(spark, f"{out}/libraries")
     todo = manifest.select("srr").distinct().join(known, "srr", "left_anti")
-    roles = fastq.file_roles(fastq.list_files(spark, fastq_dir, pattern)).join(todo, "srr", "left_semi")
-    (fastq.read_fastq(spark, fastq_dir, pattern).join(todo, "srr", "left_semi")
+    files = fastq.folder_of(spark, fastq_dir)
+    roles = fastq.file_roles(fastq.list_files(spark, files, pattern)).join(todo, "srr", "left_semi")
+    (fastq.read_fastq(spark, files, pattern).join(todo, "srr", "left_semi")
      .write.mode("overwrite").partitionBy("mate").parquet(f"{out}/raw"))
     raw = spark.read.schema(schemas.READS).parquet(f"{out}/raw")
     stats = reads.library_stats(raw, roles, min_library, empty_bytes).unionByName(
         fastq.missing_runs(todo, roles).select("srr", F.lit("download_bad").alias("status")), allowMissingColumns=True)
     stats.write.mode("append").parquet(f"{out}/libraries")
-    fastq.unfit_files(spark, fastq_dir, pattern).write.mode("overwrite").parquet(f"{out}/unfit_files")
+    fastq.unfit_files(spark, files, pattern).write.mode("overwrite").parquet(f"{out}/unfit_files")
     libraries = spark.read.parquet(f"{out}/libraries")
     reads.clean_reads(raw, libraries).write.mode("append").partitionBy("mate").parquet(f"{out}/reads")
     layouts = libraries.where("layout IS NOT NULL").join(_known_runs(spark, f"{out}/Features/layout"), "srr", "left_anti")

@@ -45,12 +45,15 @@ def fastq_text(reads: DataFrame) -> DataFrame:
     return reads.select("srr", "mate", F.concat_ws("\n", "h1", "seq", "h2", "qual").alias("value"))
 
 
-def write_clean_fastq(reads: DataFrame, path: str, compression: str = "gzip") -> None:
+def write_clean_fastq(reads: DataFrame, path: str, compression: str = "gzip", partitions: int | None = None) -> None:
     """FASTQ text in ``srr=…/mate=…`` folders. Mates stay aligned by sorting on the read number inside each file.
 
-    Range-partitioning on (run, mate, read number) spreads a large run over many files instead of one task.
+    Range-partitioning on (run, mate, read number) spreads a large run over many files instead of one task. AQE goes by bytes
+    and leaves very many small runs to a few tasks; ``partitions`` gives a number.
     """
-    ordered = reads.repartitionByRange("srr", "mate", "read_no").sortWithinPartitions("srr", "mate", "read_no")
+    keys = ["srr", "mate", "read_no"]
+    ranged = reads.repartitionByRange(partitions, *keys) if partitions else reads.repartitionByRange(*keys)
+    ordered = ranged.sortWithinPartitions(*keys)
     fastq_text(ordered).write.mode("overwrite").partitionBy("srr", "mate").text(path, compression=compression)
 
 

@@ -4,12 +4,15 @@ Folders are read by Spark's text source, so any file system Spark knows will do.
 lines are put together to reads where they are read. Plain text is cut by Spark's own splits, so one huge file is read by
 many tasks: a first pass counts the lines of every split and keeps the few at its borders, and the second puts the reads
 together inside each split, knowing the number of its first line. Only the lines of reads that straddle a border are
-exchanged. ``format("fastq")`` reads single files and literal text.
+exchanged. Small plain files, of which a cohort has very many, come whole from Spark's binary source: opening one as text
+costs more than reading it. A folder is listed once. ``format("fastq")`` reads single files and literal text.
 """
 from __future__ import annotations
 
+import codecs
 import gzip
 import re
+from dataclasses import dataclass
 from functools import reduce
 from itertools import zip_longest
 
@@ -22,13 +25,19 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputP
 from pyspark.sql.types import StructType
 
 from cohortqc import schemas
-from cohortqc.functions.reads import decode
+from cohortqc.functions.reads import BLANKS, decode
 from cohortqc.session import BROADCAST_ROWS, written
 
 # ---- Fixed values: accepted names, <run>.fastq.gz for single files, <run>_1 and <run>_2 for mates. ----------------
 FILE_NAME = r"(?:^|/)([^/_]+)(?:_([12]))?\.f(?:ast)?q(?:\.gz)?$"
 ANY_FASTQ = r"\.f(?:ast)?q(?:\.gz)?$"
 BATCH_READS = 16_384
+# plain files up to this size (bytes) are read whole
+SMALL_FILE = 1 << 20
+# tasks for each core that list folders; Spark would take one for each folder
+LISTING_TASKS = 8
+# small files of a task, and their bytes: Spark alone would give a task 32 files
+TASK_FILES, TASK_BYTES = 1_000, 32 << 20
 
 
 class FastqFile(InputPartition):
@@ -127,19 +136,40 @@ def _run_and_mate(pattern: str):
     return F.regexp_extract("path", pattern, 1).alias("srr"), mate
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
+@dataclass
+class Folder:
+    """The files of a folder, listed once: ``names`` (path, size) as a written table, ``content`` as Spark's binary source
+    gives it."""
+
+    path: str
+    content: DataFrame
+    names: DataFrame
+
+
+def folder_of(spark: SparkSession, folder: str | Folder) -> Folder:
+    if isinstance(folder, Folder):
+        return folder
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, tasks = spark.conf.get(setting), LISTING_TASKS * spark.sparkContext.defaultParallelism
+    spark.conf.set(setting, str(tasks))
+    try:
+        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    finally:
+        spark.conf.set(setting, before)
+    names = content.select("path", F.col("length").alias("size")).coalesce(tasks)
+    return Folder(folder, content, written(names, "fastq-names"))
+
+
+def list_files(spark: SparkSession, folder: str | Folder, pattern: str = FILE_NAME) -> DataFrame:
     """Names and sizes of the FASTQ files of a folder; the content is not read."""
     srr, mate = _run_and_mate(pattern)
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-            .select("path", F.col("length").alias("size")).where(F.col("path").rlike(pattern))
+    return (folder_of(spark, folder).names.where(F.col("path").rlike(pattern))
             .select("path", "size", srr, mate.alias("mate")))
 
 
-def unfit_files(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
+def unfit_files(spark: SparkSession, folder: str | Folder, pattern: str = FILE_NAME) -> DataFrame:
     """FASTQ files of a folder whose names tell no run; they are read by nothing."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-            .select("path", F.col("length").alias("size"))
-            .where(F.col("path").rlike(ANY_FASTQ) & ~F.col("path").rlike(pattern)))
+    return folder_of(spark, folder).names.where(F.col("path").rlike(ANY_FASTQ) & ~F.col("path").rlike(pattern))
 
 
 def file_roles(files: DataFrame) -> DataFrame:
@@ -219,12 +249,62 @@ def _zipped_records(spark: SparkSession, paths, pattern: str) -> DataFrame:
     return _named(lines.mapInArrow(_assemble, RECORDS), pattern)
 
 
+NOT_ASCII, BLANK_BYTES = bytes(range(128, 256)), BLANKS.encode()
+
+
+def _lines_of(content: bytes) -> list[bytes]:
+    """Lines as Spark's text source cuts them, as ``decode`` leaves them."""
+    text = content.removeprefix(codecs.BOM_UTF8).translate(None, NOT_ASCII)
+    return [line.strip(BLANK_BYTES) for line in text.splitlines()]
+
+
+def _whole_files(batches):
+    """Small files to records of four lines; a file's last record may lack lines."""
+    columns = [[] for _ in range(6)]
+
+    def taken():
+        types = [pa.string(), pa.int64(), *[pa.string()] * 4]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                           names=["path", "read_no", "h1", "seq", "h2", "qual"])
+        for c in columns:
+            c.clear()
+        return batch
+
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content")):
+            lines = _lines_of(content.as_py())
+            n = -(-len(lines) // 4)
+            lines += [None] * (4 * n - len(lines))
+            for c, values in zip(columns, ([path.as_py()] * n, range(n), *[lines[i::4] for i in range(4)])):
+                c.extend(values)
+            if len(columns[0]) >= BATCH_READS:
+                yield taken()
+    if columns[0]:
+        yield taken()
+
+
+def _count_files(batches):
+    """The number of reads of small files: a last group of one line has neither sequence nor quality and is no read."""
+    for batch in batches:
+        lines = [len(content.as_py().splitlines()) for content in batch.column("content")]
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array([(n + 2) // 4 for n in lines], pa.int64())], names=["path", "n"])
+
+
+def _whole_records(files: Folder, pattern: str, n_tasks: int) -> tuple[DataFrame, DataFrame]:
+    """Records of small plain files, and the number of reads of every file (path, n). Names and sizes are seen before a
+    file is opened."""
+    name = F.col("_metadata.file_path")
+    small = files.content.where((F.col("length") <= SMALL_FILE) & ~name.endswith(".gz") & name.rlike(pattern)).select(
+        name.alias("path"), "content").coalesce(n_tasks)
+    return _named(small.mapInArrow(_whole_files, RECORDS), pattern), small.mapInArrow(_count_files, "path string, n long")
+
+
 SPLIT = ("path", "block", "size")
 
 
-def _split_lines(spark: SparkSession, paths, pattern: str) -> DataFrame:
-    """Lines with the split they come from; a task reads the lines of a split in order."""
-    return _text_lines(spark, paths, PLAIN, pattern).select(
+def _split_lines(spark: SparkSession, paths, pattern: str, above: int = -1) -> DataFrame:
+    """Lines of files larger than ``above`` with the split they come from; a task reads the lines of a split in order."""
+    return _text_lines(spark, paths, PLAIN, pattern).where(F.col("_metadata.file_size") > above).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.file_block_length").alias("size"), "value")
 
@@ -306,14 +386,15 @@ def _records(lines: DataFrame) -> DataFrame:
         *[F.max(F.when(slot == i, decode(F.col("value")))).alias(c) for i, c in enumerate(("h1", "seq", "h2", "qual"))])
 
 
-def _plain_records(spark: SparkSession, paths, pattern: str, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def _plain_records(spark: SparkSession, paths, pattern: str, max_rows: int = BROADCAST_ROWS,
+                   above: int = -1) -> tuple[DataFrame, DataFrame]:
     """Records of plain files, and the number of reads of every file (path, n).
 
     The first pass leaves one row per split; a running sum of their counts gives every split the number of its first
     line, so no guess about where a read starts is needed. These rows go to the lines of the second pass if they are few
     enough (a million splits are 128 TB); else every line is numbered and reads are put together by a shuffle.
     """
-    lines = _split_lines(spark, paths, pattern)
+    lines = _split_lines(spark, paths, pattern, above)
     counted = written(lines.mapInArrow(_count_split, BORDERS), "fastq-splits")
     ahead = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     borders = counted.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
@@ -354,18 +435,24 @@ def read_plain(spark: SparkSession, paths, pattern: str = FILE_NAME, max_rows: i
     return _numbered(*_plain_records(spark, paths, pattern, max_rows), pattern)
 
 
-def read_fastq(spark: SparkSession, folder: str, pattern: str = FILE_NAME) -> DataFrame:
+def read_fastq(spark: SparkSession, folder: str | Folder, pattern: str = FILE_NAME) -> DataFrame:
     """Reads of all FASTQ files of a folder, compressed or plain; files whose names do not fit are left out
     (``unfit_files`` names them). Spark lists the files."""
-    files = list_files(spark, folder, pattern).select(F.col("path").endswith(".gz").alias("gz")).distinct()
-    kinds = {row.gz for row in files.collect()}  # two rows at most
+    files = folder_of(spark, folder)
+    kind = F.when(F.col("path").endswith(".gz"), "zipped").when(F.col("size") <= SMALL_FILE, "whole").otherwise("split")
+    found = list_files(spark, files, pattern).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    kinds = {row.kind: row for row in found.collect()}  # three rows at most
     if not kinds:
-        raise ValueError(f"no FASTQ files under {folder}")
+        raise ValueError(f"no FASTQ files under {files.path}")
     parts = []
-    if True in kinds:
-        zipped = _zipped_records(spark, folder, pattern)
+    if "zipped" in kinds:
+        zipped = _zipped_records(spark, files.path, pattern)
         parts.append((zipped, _file_counts(zipped)))
-    if False in kinds:
-        parts.append(_plain_records(spark, folder, pattern))
+    if "whole" in kinds:
+        small = kinds["whole"]
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts.append(_whole_records(files, pattern, max(least, small["n"] // TASK_FILES, small["size"] // TASK_BYTES)))
+    if "split" in kinds:
+        parts.append(_plain_records(spark, files.path, pattern, above=SMALL_FILE))
     records, counts = (reduce(DataFrame.unionByName, kind) for kind in zip(*parts))
     return _numbered(records, counts, pattern)

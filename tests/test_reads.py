@@ -11,6 +11,7 @@ from cohortqc.functions import reads as R
 from cohortqc.functions.quality import quality_cut, quality_sum
 from cohortqc.operators import reads as O
 from cohortqc.sinks import write_clean_fastq
+from cohortqc.plans import jobs
 from cohortqc.sources import fastq
 
 
@@ -284,3 +285,37 @@ def test_a_read_number_held_twice_is_an_error(spark):
     rows = [read("p", 1, 0), read("p", 1, 0), read("p", 2, 0)]
     with pytest.raises(Exception, match="held twice in run p"):
         O.pair_verdicts(spark.createDataFrame(rows, schemas.READS)).collect()
+
+
+def test_small_files_are_read_whole(spark, tmp_path):
+    """Lines end and odd bytes go as in Spark's text source, which reads larger files; a folder of small ones opens none as text."""
+    bodies = {"A_1": b"@1\nACGT\n+\nIIII\n@2\n AC\tGT \n+\nII\x0bII", "A_2": b"@1\r\nACGT\r\n+\r\nIIII\r\n@2\r\nAC\r\n",
+              "B": b"@1\rACGT\r+\rIIII\r@2", "C": b"\xef\xbb\xbf@1\nA\xc3\xbcC\n+\n\xe2\x82\xacII\n\n\n\n\n", "D": b"", "E": b"@1\nACGT\n+\n"}
+    for name, body in bodies.items():
+        (tmp_path / f"{name}.fastq").write_bytes(body)
+    found = fastq.read_fastq(spark, str(tmp_path))
+    rows = sorted(map(tuple, found.collect()), key=str)
+    assert rows == sorted(map(tuple, fastq.read_plain(spark, str(tmp_path)).collect()), key=str) and len(rows) == 8
+    assert "FileScan text" not in found._jdf.queryExecution().toString()
+
+
+def test_small_and_large_files_of_a_run_go_on_counting(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fastq, "SMALL_FILE", 100)
+    for part, n in (("a", 3), ("b", 40), ("c", 2)):
+        folder = tmp_path / f"srr=R/mate=1"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"part-{part}.txt").write_text("".join(f"@{part}{i}\nAC\n+\nII\n" for i in range(n)))
+    rows = fastq.read_fastq(spark, str(tmp_path), r"srr=([^/]+)/mate=([12])/part-[^/]*\.txt$").orderBy("read_no").collect()
+    assert [(r.read_no, r.h1) for r in rows] == list(enumerate([f"@{p}{i}" for p, n in (("a", 3), ("b", 40), ("c", 2)) for i in range(n)]))
+
+
+def test_a_folder_is_listed_once(spark, tmp_path, monkeypatch):
+    listed = []
+    monkeypatch.setattr(fastq, "folder_of", lambda s, f, real=fastq.folder_of: (listed.append(f) if isinstance(f, str) else None, real(s, f))[1])
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "R1.fastq").write_text("@1\nACGT\n+\nIIII\n")
+    manifest = spark.createDataFrame([("X", "R1")], "srx string, srr string")
+    jobs.qc_reads(spark, str(tmp_path / "in"), manifest, str(tmp_path / "out"), 1, 0)
+    assert listed == [str(tmp_path / "in")] and spark.conf.get(setting) == before
