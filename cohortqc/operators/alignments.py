@@ -319,12 +319,38 @@ def fragments(alignments: DataFrame, paired: bool = False, min_size: int = 50, m
     return shapes.groupBy(*shape_key(shapes)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def block_rows(shapes: DataFrame, *carry: str) -> DataFrame:
-    """One row per aligned block of a shape, both ends of a pair included.
+def parsed_cigars(rows: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """cigar, ``parts`` (its aligned blocks, counted from 0) and ``aligned`` (their length) of all CIGARs of some rows, each
+    parsed once. Many rows share few CIGARs, so the table is broadcast where it is counted as small."""
+    cigar = F.col("cigar")
+    found = written(rows.select("cigar").where(cigar.isNotNull()).distinct().select(
+        "cigar", C.blocks(F.lit(0).cast("bigint"), cigar).alias("parts"), C.aligned_length(cigar).alias("aligned")), "cigars")
+    return F.broadcast(found) if found.count() <= max_rows else found
+
+
+def placed_blocks(rows: DataFrame, cigars: DataFrame, *columns: str) -> DataFrame:
+    """The given columns with start and end of every aligned block, from a table of parsed CIGARs that holds all of ``rows``."""
+    parts, at = F.col("parts"), rows.join(cigars.select("cigar", "parts"), "cigar")
+    if "cigar2" in rows.columns:
+        shift = (F.col("pos2") - F.col("pos")).cast("bigint")
+        moved = F.transform("parts2", lambda b: F.struct((b["start"] + shift).alias("start"), (b["end"] + shift).alias("end")))
+        at = at.join(cigars.select(F.col("cigar").alias("cigar2"), F.col("parts").alias("parts2")), "cigar2", "left")
+        parts = F.when(F.col("cigar2").isNull(), parts).otherwise(F.concat(parts, moved))
+    kept = list(dict.fromkeys(columns))
+    pos = F.col("pos").cast("bigint")
+    blocks = at.select(*kept, pos.alias("_pos"), F.inline(parts))
+    return blocks.select(*kept, (F.col("_pos") + F.col("start")).alias("start"), (F.col("_pos") + F.col("end")).alias("end"))
+
+
+def block_rows(shapes: DataFrame, *carry: str, cigars: DataFrame | None = None) -> DataFrame:
+    """One row per aligned block of a shape, both ends of a pair included; ``cigars`` takes ``parsed_cigars`` where they are
+    at hand.
 
     The blocks are computed inside the generator: Spark would turn an array column into a "not empty" filter, push it
     below the aggregate and so parse every CIGAR of the input.
     """
+    if cigars is not None:
+        return placed_blocks(shapes, cigars, *shape_key(shapes), "n", *carry)
     blocks = C.blocks(F.col("pos"), F.col("cigar"))
     if "cigar2" in shapes.columns:
         blocks = F.concat(blocks, F.when(F.col("cigar2").isNotNull(), C.blocks(F.col("pos2"), F.col("cigar2")))
@@ -350,7 +376,7 @@ def numbered_genes(exons: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int | str = 0, width: int = BIN_WIDTH,
-              max_rows: int = BROADCAST_ROWS) -> DataFrame:
+              max_rows: int = BROADCAST_ROWS, cigars: DataFrame | None = None) -> DataFrame:
     """Shapes that touch exactly one gene: ``(srr, gene_no, n)`` per shape, genes and strands as ``numbered_genes`` has
     them.
 
@@ -360,7 +386,8 @@ def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int | str = 0, w
     """
     by_column = isinstance(strand_mode, str)
     mode = F.col(strand_mode) if by_column else F.lit(strand_mode)
-    pairs = overlap_join(block_rows(shapes, *([strand_mode] if by_column else [])), exons, width=width, max_rows=max_rows)
+    blocks = block_rows(shapes, *([strand_mode] if by_column else []), cigars=cigars)
+    pairs = overlap_join(blocks, exons, width=width, max_rows=max_rows)
     same = F.when(F.col("reverse"), MINUS).otherwise(PLUS) == F.col("s_strand")
     return (pairs.where((mode == 0) | ((mode == 1) & same) | ((mode == 2) & ~same))
             .groupBy(*shape_key(shapes)).agg(F.min("s_gene_no").alias("gene_no"), F.max("s_gene_no").alias("_other"),
@@ -368,10 +395,11 @@ def gene_hits(shapes: DataFrame, exons: DataFrame, strand_mode: int | str = 0, w
             .where(F.col("gene_no") == F.col("_other")).select("srr", "gene_no", "n"))
 
 
-def _hit_counts(shapes: DataFrame, exons: DataFrame, strand_mode: int | str, width: int, max_rows: int) -> DataFrame:
+def _hit_counts(shapes: DataFrame, exons: DataFrame, strand_mode: int | str, width: int, max_rows: int,
+                cigars: DataFrame | None = None) -> DataFrame:
     """Shapes per run and gene; names come back once the hits are counted."""
     numbered, genes = numbered_genes(exons)
-    hits = gene_hits(shapes, numbered, strand_mode, width, max_rows)
+    hits = gene_hits(shapes, numbered, strand_mode, width, max_rows, cigars)
     return (hits.groupBy("srr", "gene_no").agg(F.sum("n").alias("count")).join(genes, "gene_no")
             .select("srr", "gene_id", "count"))
 
@@ -383,7 +411,8 @@ def gene_counts(alignments: DataFrame, exons: DataFrame, paired: bool = False, s
 
 
 def gene_counts_by_mode(alignments: DataFrame, exons: DataFrame, modes: DataFrame, width: int = BIN_WIDTH,
-                        max_rows: int = BROADCAST_ROWS, pairs: DataFrame | None = None) -> DataFrame:
+                        max_rows: int = BROADCAST_ROWS, pairs: DataFrame | None = None,
+                        cigars: DataFrame | None = None) -> DataFrame:
     """Gene counts of a whole cohort, each run counted in its own mode (``count_modes``).
 
     Single reads and pairs are collapsed separately and then counted together; ``pairs`` takes ``pair_rows`` where they
@@ -394,7 +423,7 @@ def gene_counts_by_mode(alignments: DataFrame, exons: DataFrame, modes: DataFram
         return fragments(rows.join(modes.where(F.col("paired") == paired).select("srr"), "srr", "left_semi"), paired)
 
     shapes = of(alignments, False).unionByName(of(alignments if pairs is None else pairs, True), allowMissingColumns=True)
-    return _hit_counts(shapes.join(modes.select("srr", "strand_mode"), "srr"), exons, "strand_mode", width, max_rows)
+    return _hit_counts(shapes.join(modes.select("srr", "strand_mode"), "srr"), exons, "strand_mode", width, max_rows, cigars)
 
 
 def gene_count_summary(counts: DataFrame, runs: DataFrame, exons: DataFrame,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cohortqc import schemas
 from cohortqc.functions import cigar as C
 from cohortqc.operators.alignments import (
-    MINUS, PLUS, UNMAPPED, block_rows, fragments, has, is_collapsed, numbered_genes, primary, shape_key,
+    MINUS, PLUS, UNMAPPED, block_rows, fragments, has, is_collapsed, numbered_genes, placed_blocks, primary, shape_key,
 )
 from cohortqc.operators.intervals import BIN_WIDTH, FACTOR, clip_to_bins, overlap_join
 from cohortqc.session import BROADCAST_ROWS, written
@@ -100,18 +100,22 @@ def aligned_shapes(alignments: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def aligned_blocks(shapes: DataFrame) -> DataFrame:
+def aligned_blocks(shapes: DataFrame, cigars: DataFrame | None = None) -> DataFrame:
+    """Aligned blocks with run and count; ``cigars`` takes ``parsed_cigars`` where they are at hand."""
+    if cigars is not None:
+        return placed_blocks(shapes, cigars, "srr", "ref", "n")
     return shapes.select("srr", "ref", "n", F.inline(C.blocks(F.col("pos"), F.col("cigar"))))
 
 
 def base_classes(alignments: DataFrame, transcripts: DataFrame, width: int = BIN_WIDTH,
-                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                 max_rows: int = BROADCAST_ROWS, cigars: DataFrame | None = None) -> DataFrame:
     """Per run: aligned bases by class, and the percentages of the ``rnaseqmetrics`` stage."""
     shapes = aligned_shapes(alignments)
-    length = C.aligned_length(F.col("cigar"))
-    total = shapes.groupBy("srr").agg(F.sum(F.col("n") * length).alias("aligned"))
+    length = C.aligned_length(F.col("cigar")) if cigars is None else F.col("aligned")
+    sized = shapes if cigars is None else shapes.join(cigars.select("cigar", "aligned"), "cigar", "left")
+    total = sized.groupBy("srr").agg(F.sum(F.col("n") * length).alias("aligned"))
     segments = written(class_segments(transcript_regions(transcripts), width), "class-segments")
-    met = overlap_join(aligned_blocks(shapes), segments, width, max_rows)
+    met = overlap_join(aligned_blocks(shapes, cigars), segments, width, max_rows)
     overlap = (F.least("end", "s_end") - F.greatest("start", "s_start") + 1) * F.col("n")
     found = met.groupBy("srr").agg(*[F.coalesce(F.sum(F.when(F.col("s_cls") == c, overlap)), F.lit(0)).alias(f"{c}_bases")
                                      for c in CLASSES])
@@ -129,11 +133,11 @@ def base_classes(alignments: DataFrame, transcripts: DataFrame, width: int = BIN
 
 
 def depth_stretches(alignments: DataFrame, transcripts: DataFrame, min_length: int = schemas.N_COVERAGE,
-                    width: int = BIN_WIDTH, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                    width: int = BIN_WIDTH, max_rows: int = BROADCAST_ROWS, cigars: DataFrame | None = None) -> DataFrame:
     """Per run and transcript: stretches ``[a, b]`` of equal, positive depth, in transcript coordinates from the 5'
     end."""
     exons = transcript_exons(transcripts, min_length)
-    met = overlap_join(aligned_blocks(aligned_shapes(alignments)), exons, width=width, max_rows=max_rows)
+    met = overlap_join(aligned_blocks(aligned_shapes(alignments), cigars), exons, width=width, max_rows=max_rows)
     lo, hi = F.greatest("start", "s_start"), F.least("end", "s_end")
     a = F.col("s_offset") + lo - F.col("s_start")
     b = F.col("s_offset") + hi - F.col("s_start")
@@ -144,9 +148,9 @@ def depth_stretches(alignments: DataFrame, transcripts: DataFrame, min_length: i
     edges = F.array(F.struct(F.col("a").alias("at"), F.col("n").alias("d")),
                     F.struct((F.col("b") + 1).alias("at"), (-F.col("n")).alias("d")))
     # dealt once, before a piece becomes two edges, and sorted once: no aggregate holds the edges of a task. The last
-    # edge of a place knows the depth up to the next one
+    # edge of a place knows the depth up to the next one. The transcript leads the sort: names of runs are much alike
     change = placed.repartition("srr", "tx", "tx_len").select("srr", "tx", "tx_len", F.inline(edges))
-    order = W.partitionBy("srr", "tx", "tx_len").orderBy("at")
+    order = W.partitionBy("tx", "srr", "tx_len").orderBy("at")
     return (change.select("srr", "tx", "tx_len", F.col("at").alias("a"), (F.lead("at").over(order) - 1).alias("b"),
                           F.sum("d").over(order.rangeBetween(W.unboundedPreceding, W.currentRow)).alias("depth"))
             .where("depth > 0 AND b >= a"))
@@ -205,11 +209,11 @@ def coverage_evenness(stretches: DataFrame) -> DataFrame:
 
 
 def strand_agreement(alignments: DataFrame, exons: DataFrame, width: int = BIN_WIDTH,
-                     max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                     max_rows: int = BROADCAST_ROWS, cigars: DataFrame | None = None) -> DataFrame:
     """Per run: reads on exactly one gene, and the share of them that lie on the gene's strand."""
     shapes = fragments(alignments)
     numbered, _ = numbered_genes(exons)
-    pairs = overlap_join(block_rows(shapes), numbered, width=width, max_rows=max_rows)
+    pairs = overlap_join(block_rows(shapes, cigars=cigars), numbered, width=width, max_rows=max_rows)
     reads = (pairs.groupBy(*shape_key(shapes)).agg(F.min("s_gene_no").alias("g0"), F.max("s_gene_no").alias("g1"),
                                                    F.min("s_strand").alias("strand"), F.max("n").alias("n"))
              .where(F.col("g0") == F.col("g1")))

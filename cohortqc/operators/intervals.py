@@ -59,12 +59,19 @@ def in_bins(rows: DataFrame, width: int = BIN_WIDTH, start: str = "start", end:
 
 
 def probes(rows: DataFrame, levels: list[int], width: int = BIN_WIDTH) -> DataFrame:
-    """Add ``_level`` and ``_bin``: a row for each bin of the given levels that [start, end] touches."""
-    def of_level(level: int) -> Column:
-        bins = bin_range(F.col("start"), F.col("end"), level_widths(width)[level])
-        return F.transform(bins, lambda b: F.struct(F.lit(level).alias("_level"), b.alias("_bin")))
-
-    return rows.select("*", F.inline(F.concat(*[of_level(level) for level in levels])))
+    """Add ``_level`` and ``_bin``: a row for each bin of the given levels that [start, end] touches. The bins of all levels
+    are numbered through, so one plain sequence is exploded and no array of structs is built for a row."""
+    first = {level: F.floor(F.col("start") / level_widths(width)[level]) for level in levels}
+    upto, total = {}, F.lit(0).cast("bigint")
+    for level in levels:
+        upto[level] = total
+        total = total + F.floor(F.col("end") / level_widths(width)[level]) - first[level] + 1
+    numbered = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), total - 1)).alias("_k"))
+    level, at = F.lit(levels[0]), first[levels[0]] + F.col("_k")
+    for higher in levels[1:]:
+        level = F.when(F.col("_k") >= upto[higher], higher).otherwise(level)
+        at = F.when(F.col("_k") >= upto[higher], first[higher] + F.col("_k") - upto[higher]).otherwise(at)
+    return numbered.select(*[F.col(f"`{c}`") for c in rows.columns], level.alias("_level"), at.alias("_bin"))
 
 
 def equi_join(big: DataFrame, small: DataFrame, on: list[str], small_rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:

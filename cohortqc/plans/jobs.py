@@ -151,18 +151,19 @@ def alignment_features(alignments: DataFrame, exons: DataFrame, transcripts: Dat
     filtered = A.mapq_filter(alignments, min_mapq)
     equal = written(A.collapse(filtered), "alignment-store")
     pairs = written(A.pair_rows(filtered).drop("qname"), "alignment-pairs")
-    strand = written(V.strand_from_agreement(V.strand_agreement(equal, exons)), "alignment-strand")
+    cigars = A.parsed_cigars(equal)  # those of the pairs among them
+    strand = written(V.strand_from_agreement(V.strand_agreement(equal, exons, cigars=cigars)), "alignment-strand")
     modes = A.count_modes(layout, strand)
-    genes = A.gene_counts_by_mode(equal, exons, modes, pairs=pairs)
+    genes = A.gene_counts_by_mode(equal, exons, modes, pairs=pairs, cigars=cigars)
     junctions = A.junction_summary(A.junction_counts(equal))
-    stretches = V.depth_stretches(equal, transcripts)
+    stretches = V.depth_stretches(equal, transcripts, cigars=cigars)
     columns = lambda stage: [F.col(f"`{f.name}`") for f in schemas.STAGES[stage].fields]
     return {
         "hisat2": flags.where("n_primary > 0").select(*columns("hisat2")),
         "aln_stats": flags.where("n_good > 0").select(*columns("aln_stats")),
         "markduplicates": A.duplication_of(equal, pairs),
         "strand": strand,
-        "rnaseqmetrics": V.base_classes(equal, transcripts).select(
+        "rnaseqmetrics": V.base_classes(equal, transcripts, cigars=cigars).select(
             "srr", "percent_coding_bases", "percent_utr_bases", "percent_intronic_bases", "percent_intergenic_bases",
             "percent_mrna_bases").join(V.coverage_evenness(stretches), "srr", "left"),
         "genebody_coverage": V.gene_body_coverage(stretches),

@@ -23,6 +23,32 @@ def reads(spark):
         schemas.ALIGNMENTS)
 
 
+def test_blocks_of_parsed_cigars_are_those_of_every_row(spark):
+    """The job parses each CIGAR once; no row's pattern is matched again, and pairs keep the blocks of both ends."""
+    cigars = ["50M", "5S45M", "20M300N30M", "25M2I10M3D13M", "10M120N20M200N20M", "3=2X", "10S", "*", "", "7M2P3M", None]
+    rows = spark.createDataFrame([(f"r{i % 3}", "c", False, 10 * i, a, 10 * i + 7 * j, b, 1 + j) for i, a in enumerate(cigars)
+                                  for j, b in enumerate(cigars)], "srr string, ref string, reverse boolean, pos long, cigar string, "
+                                 "pos2 long, cigar2 string, n long")
+    lone, parsed = rows.drop("pos2", "cigar2"), A.parsed_cigars(rows)
+    assert parsed.count() == len(cigars) - 1
+    for shapes in (rows, lone):
+        found = A.block_rows(shapes, cigars=parsed)
+        assert "regexp" not in plan(found)
+        assert sorted(map(str, found.collect())) == sorted(map(str, A.block_rows(shapes).collect()))
+    assert sorted(map(str, V.aligned_blocks(lone, parsed).collect())) == sorted(map(str, V.aligned_blocks(lone).collect()))
+    assert sorted(map(str, A.block_rows(rows, cigars=A.parsed_cigars(rows, max_rows=0)).collect())) == sorted(
+        map(str, A.block_rows(rows).collect()))
+
+
+def test_probes_number_bins_through_all_levels(spark):
+    rows = spark.createDataFrame([("c", 5, 9), ("c", 90, 450), ("c", 399, 400), ("c", 0, 5000)], "ref string, start long, end long")
+    found = I.probes(rows, [0, 1, 4], 25)
+    assert "transform" not in plan(found)
+    got = sorted((r.start, r["_level"], r["_bin"]) for r in found.collect())
+    assert got == sorted((a, level, b) for a, e in ((5, 9), (90, 450), (399, 400), (0, 5000)) for level in (0, 1, 4)
+                         for b in range(a // I.level_widths(25)[level], e // I.level_widths(25)[level] + 1))
+
+
 def test_large_annotation_is_neither_repeated_nor_broadcast(spark):
     big = spark.createDataFrame([("c", 5, 9)], "ref string, start long, end long")
     small = spark.createDataFrame([(["c"], 1, 6, "x")], "refs array<string>, start long, end long, k string").select(
